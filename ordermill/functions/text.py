@@ -24,8 +24,8 @@ def strip(col: str | Column) -> Column:
 
 
 def is_present(col: str | Column) -> Column:
-    """True for text with at least one visible character; null counts as absent."""
-    return F.length(strip(col)) > 0
+    """True for text with a character that ``strip`` would keep; null is not present."""
+    return F.rlike(col, F.lit(r"[^\x00-\x20]"))
 
 
 def upper_stripped(col: str | Column) -> Column:
@@ -48,8 +48,8 @@ def title_state(col: str | Column, aliases: dict[str, str] = STATE_ALIASES) -> C
 
     The alias lookup sees the name before its inner blanks are collapsed.
     """
-    name = F.lower(strip(col))
+    name = strip(col)
     result = F.initcap(F.regexp_replace(name, r"\s+", " "))
     for known, spelled in aliases.items():
-        result = F.when(name == known, F.lit(spelled)).otherwise(result)
+        result = F.when(F.lower(name) == known, F.lit(spelled)).otherwise(result)
     return result

@@ -31,11 +31,11 @@ _STEPS = {
                          THEN 'FLASH-' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR)
                          ELSE 'PROMO-' || CAST((o_orderkey * 31 + i * 17) % 40 AS VARCHAR)
                     END for i in range(0, 7) if i < o_orderkey % 7], ',') AS promotion_ids
-        FROM orders
+        FROM (SELECT *, o_orderkey % (SELECT count(*) FROM part) AS o_partkey FROM orders)
         JOIN customer ON o_custkey = c_custkey
         JOIN nation ON c_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey
-        JOIN part ON p_partkey = o_orderkey % (SELECT count(*) FROM part)""",
+        JOIN part ON p_partkey = o_partkey""",
     # rolling top size
     "purchases": """
         SELECT row_key, order_date, upper(ship_state) AS state, upper(size) AS size, qty
