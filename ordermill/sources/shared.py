@@ -11,18 +11,19 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named in ``spark.checkpoint.dir``.
+    """Folder named in ``spark.checkpoint.dir``, or else the context's checkpoint folder.
 
-    Where the setting is missing, a local session gets a temporary folder. A
-    cluster session gets an error: a machine-local folder would lose the data
-    together with its executor.
+    Where neither is set, a local session gets a temporary folder. A cluster
+    session gets an error: a machine-local folder would lose the data together
+    with its executor.
     """
-    folder = spark.conf.get(_SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="ordermill-")
-        spark.conf.set(_SETTING, folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ordermill-"))
+        folder = context.getCheckpointDir()
     return folder
 
 
