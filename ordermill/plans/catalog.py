@@ -360,7 +360,10 @@ def prepare_sku_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def promo_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(_profile(spark, folder), "amount_mean").drop("amount_var")
+    # The total is exact to the cent, whereas a mean can lie half-way between two roundings.
+    total = F.round(F.col("amount_mean") * F.col("n_orders"), 2)
+    profile = _profile(spark, folder).withColumn("amount_total", total)
+    return profile.drop("amount_mean", "amount_var")
 
 
 @query

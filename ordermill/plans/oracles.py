@@ -306,7 +306,7 @@ ORACLES: dict[str, str] = {
     "promo_profile": _sql(
         _SKU_ORDERS,
         """SELECT sku, year, month, promo_count, count(*) AS n_orders,
-                  round(avg(amount), 4) AS amount_mean,
+                  round(sum(amount), 2) AS amount_total,
                   CAST(sum(count(*)) OVER (PARTITION BY sku, year, month
                                            ORDER BY promo_count) AS BIGINT) AS cume_orders,
                   CAST(sum(count(*)) OVER (PARTITION BY sku, year, month) AS BIGINT)
