@@ -123,6 +123,19 @@ def compare_designs(spark: SparkSession, folder: str) -> dict[str, dict[str, flo
     return report
 
 
+FINAL_TABLES = ["rolling_top_size", "median_variety", "city_cancellation", "sku_month_std"]
+
+
+def final_plans(spark: SparkSession, folder: str) -> dict[str, dict[str, object]]:
+    """Join strategies, shuffles and stages of the four final tables."""
+    plans = {}
+    for name in FINAL_TABLES:
+        df = QUERIES[name](spark, folder)
+        stages = stage_ids(spark, df.collect)
+        plans[name] = {**plan_report(df), "stages": len(stages)}
+    return plans
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = session(os.environ.get("BENCH_CPUS", "8"))
@@ -138,6 +151,7 @@ def main() -> None:
                 "queries": seconds,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
                 "designs": designs,
+                "plans": final_plans(spark, folder),
             }
         )
     )

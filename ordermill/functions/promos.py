@@ -11,22 +11,15 @@ from pyspark.sql import Column, functions as F
 
 def promo_array(col: str | Column) -> Column:
     """Trimmed, non-blank promotion ids in list order, repeats kept."""
-    pieces = F.split(F.coalesce(col, F.lit("")), ",")
-    # One-argument lambdas: F.trim itself takes two and would get the index.
-    trimmed = F.transform(pieces, lambda p: F.trim(p))
-    return F.filter(trimmed, lambda p: F.length(p) > 0)
+    # The spaces around a comma go with it, so the pieces need no trimming.
+    pieces = F.split(F.trim(F.coalesce(col, F.lit(""))), " *, *")
+    return F.array_remove(pieces, "")
 
 
 def raw_promo_count(col: str | Column) -> Column:
-    """Number of comma-separated pieces, 0 for a null or blank list."""
-    text = F.trim(col)
-    return F.when(text.isNull() | (text == ""), F.lit(0)).otherwise(
-        F.size(F.split(text, ","))
-    ).cast("long")
-
-
-def promo_count_bound(col: str | Column) -> Column:
-    """Upper bound on the ids in a list, from its commas alone (no splitting)."""
-    return F.coalesce(
-        F.length(col) - F.length(F.replace(col, F.lit(","), F.lit(""))) + 1, F.lit(0)
-    )
+    """Number of pieces between commas, 0 for a null or blank list.
+
+    Counts commas instead of splitting. Never lower than the array's size.
+    """
+    commas = F.length(col) - F.length(F.replace(col, F.lit(","), F.lit("")))
+    return F.coalesce(F.when(F.trim(col) != "", commas + 1), F.lit(0)).cast("long")

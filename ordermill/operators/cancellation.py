@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ordermill.functions.promos import promo_array, promo_count_bound
+from ordermill.functions.promos import promo_array, raw_promo_count
 from ordermill.functions.text import lower_trimmed, upper_trimmed
 from ordermill.sources.shared import settle
 
@@ -182,7 +182,7 @@ def city_cancellation(
     candidates = (
         orders.filter(
             (F.col("service_level") == "standard")
-            & (promo_count_bound("promotion_ids") >= min_promotions)
+            & (raw_promo_count("promotion_ids") >= min_promotions)
         )
         .join(averages, "ship_state")
         .filter(F.col("amount") < F.col(_AVG))

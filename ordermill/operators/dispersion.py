@@ -167,11 +167,10 @@ def deviation(qualifying: DataFrame, name: str, count_name: str) -> DataFrame:
 
     Groups with fewer than two orders get 0.
     """
+    n = F.count(F.lit(1))
+    std = F.when(n > 1, F.stddev_pop("amount"))
     return qualifying.groupBy(*GROUP).agg(
-        F.count(F.lit(1)).alias(count_name),
-        F.when(F.count(F.lit(1)) < 2, F.lit(0.0))
-        .otherwise(F.coalesce(F.stddev_pop("amount"), F.lit(0.0)))
-        .alias(name),
+        n.alias(count_name), F.coalesce(std, F.lit(0.0)).alias(name)
     )
 
 
@@ -273,8 +272,6 @@ def _deviations(profile: DataFrame, names: dict[str, str]) -> DataFrame:
         off = F.col("amount_mean") - F.col(f"{threshold}_mean")
         squares = over_qualifying(threshold, n * (F.col("amount_var") + off * off))
         kept = over_qualifying(threshold, n)
-        return F.when(kept < 2, F.lit(0.0)).otherwise(
-            F.coalesce(F.sqrt(squares / kept), F.lit(0.0))
-        )
+        return F.coalesce(F.when(kept > 1, F.sqrt(squares / kept)), F.lit(0.0))
 
     return means.groupBy(*GROUP).agg(*[std(t).alias(s) for t, s in names.items()])

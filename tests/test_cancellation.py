@@ -41,6 +41,13 @@ def test_incomplete_orders_are_dropped(spark):
     assert [r.row_key for r in prepared(spark, rows).collect()] == [1]
 
 
+def test_promo_rows_equal_the_exploded_array(spark):
+    lists = ["a, b", " a ,, ,b c  , ", "", None, ",", "x,x"]
+    orders = prepared(spark, [row(k, promos=p) for k, p in enumerate(lists)])
+    exploded = orders.selectExpr("row_key", "order_date", "explode(promo_array)")
+    assert sorted(cc.promo_rows(orders).collect()) == sorted(exploded.collect())
+
+
 @pytest.mark.parametrize("last_day, expected", [(1, []), (2, ["p"])])
 def test_promotion_span(spark, last_day, expected):
     orders = prepared(spark, [row(1, 0, promos="p"), row(2, last_day, promos=" p ,")])
