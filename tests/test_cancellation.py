@@ -100,7 +100,7 @@ order = st.builds(
 )
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(order, min_size=10, max_size=60))
 def test_both_ways_agree(spark, rows):
     orders = settle(prepared(spark, [row(k, **r) for k, r in enumerate(rows)]), "orders")

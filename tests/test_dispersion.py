@@ -45,7 +45,7 @@ def test_equal_amounts_have_no_deviation_however_large(spark):
 pair = st.tuples(st.integers(0, 6), st.integers(1, 10_000))
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.sampled_from("abc"), pair), min_size=1, max_size=60))
 def test_against_brute_force(spark, rows):
     groups = defaultdict(list)

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from ordermill.plans.inspect import plan_text
 from tests.compare import connect, rows_of, types_of
 
 FOLDER = "/root/testdata/sf0.001"
@@ -15,9 +16,17 @@ def db():
     return connect(FOLDER)
 
 
+def check_plan(result):
+    """No join without keys, and nothing leaves the JVM."""
+    text = plan_text(result)
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
+        assert node not in text
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows_and_types(spark, db, name):
     result = QUERIES[name](spark, FOLDER)
+    check_plan(result)
     assert dict(result.dtypes) == types_of(db, ORACLES[name])
     expected = db.execute(ORACLES[name]).fetchdf()
     assert rows_of(result.toPandas()) == rows_of(expected)
@@ -26,7 +35,9 @@ def test_same_rows_and_types(spark, db, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_without_oracle_runs(spark, name):
     assert name.endswith("_coarse")
-    assert QUERIES[name](spark, FOLDER).columns
+    result = QUERIES[name](spark, FOLDER)
+    check_plan(result)
+    assert result.columns
 
 
 def test_oracles_belong_to_queries():

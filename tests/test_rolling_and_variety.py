@@ -54,7 +54,7 @@ order = st.tuples(
 )
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(order, min_size=1, max_size=30), st.integers(1, 8))
 def test_against_brute_force(spark, rows, days):
     table = spark.createDataFrame(rows, SALES)
