@@ -2,29 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named in ``spark.checkpoint.dir``, or else the context's checkpoint folder.
+    """Folder named in ``spark.checkpoint.dir``, or else one in the warehouse.
 
-    Where neither is set, a local session gets a temporary folder. A cluster
-    session gets an error: a machine-local folder would lose the data together
-    with its executor.
+    The warehouse is the session's own storage: on a cluster every executor
+    reaches it. The caller's checkpoint folder is read and never set.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {_SETTING} to a folder every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="ordermill-"))
-        folder = context.getCheckpointDir()
-    return folder
+    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get(_WAREHOUSE).rstrip('/')}/ordermill"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -43,3 +36,35 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a table that was written to ``path``."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Scratch:
+    """Tables of one job in the shared folder, deleted when the job ends.
+
+    >>> with Scratch(spark) as scratch:
+    ...     orders = scratch.settle(orders, "orders")
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self._paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for path in self._paths:
+            forget(self._spark, path)
+
+    def settle(self, df: DataFrame, label: str) -> DataFrame:
+        """As ``settle``, for as long as the job runs."""
+        path = new_path(self._spark, label)
+        self._paths.append(path)
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)

@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as contract
+from ordermill.plans import catalog, oracles
 from ordermill.plans.inspect import plan_text
 from tests.compare import connect, rows_of, types_of
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLES = oracles.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -42,6 +43,8 @@ def test_without_oracle_runs(spark, name):
 
 def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES)
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLES.items() <= contract.oracle_sql().items()
 
 
 def test_entry(spark):

@@ -1,6 +1,8 @@
 import datetime as dt
 import glob
 
+import os
+
 import pytest
 
 from ordermill.__main__ import main
@@ -99,31 +101,32 @@ def test_parquet_is_sorted_and_replaced(spark, tmp_path):
 class Session:
     """Stands for a session with the given settings."""
 
-    def __init__(self, master, setting=None):
-        self.conf = {"spark.checkpoint.dir": setting}
+    def __init__(self, **settings):
+        self.conf = {"spark.sql.warehouse.dir": "hdfs:///warehouse"} | settings
         self.sparkContext = self
-        self.master = master
-        self.folder = None
 
     def getCheckpointDir(self):
-        return self.folder
-
-    def setCheckpointDir(self, folder):
-        self.folder = folder
+        return self.conf.get("context")
 
 
 def test_shared_folder_is_the_configured_one():
-    session = Session("yarn", "hdfs:///shared/")
+    session = Session(**{"spark.checkpoint.dir": "hdfs:///shared/"})
     assert shared.shared_folder(session) == "hdfs:///shared/"
     first, second = shared.new_path(session, "a"), shared.new_path(session, "a")
     assert first.startswith("hdfs:///shared/a-") and first != second
 
 
-def test_only_local_sessions_get_a_temporary_folder():
-    local = Session("local[2]")
-    assert shared.shared_folder(local) == shared.shared_folder(local) == local.folder
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared.shared_folder(Session("yarn"))
+def test_shared_folder_is_else_the_contexts_or_in_the_warehouse():
+    assert shared.shared_folder(Session(context="hdfs:///own")) == "hdfs:///own"
+    assert shared.shared_folder(Session()).startswith("hdfs:///warehouse/")
+
+
+def test_scratch_tables_go_with_the_job(spark):
+    with shared.Scratch(spark) as scratch:
+        table = scratch.settle(spark.range(3), "brief")
+        (folder,) = {os.path.dirname(f.removeprefix("file:")) for f in table.inputFiles()}
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
 
 
 def test_settled_table_lies_in_the_shared_folder(spark):
