@@ -56,3 +56,10 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterato
 def signed(values: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit values as the longs that Spark stores."""
     return values.astype(np.uint64).view(np.int64)
+
+
+def vocabulary() -> tuple[str, str]:
+    """File of the public 50k byte-level vocabulary and its split pattern."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ordermill.llm import simhash, substring
-from ordermill.llm.common import table
+from ordermill.llm import packing, simhash, substring
+from ordermill.llm.common import table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,3 +35,9 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+@query
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents, packed by source shares."""
+    return packing.pack(table(spark, folder, "documents"), *vocabulary())
