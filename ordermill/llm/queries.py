@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ordermill.llm import packing, simhash, substring
+from ordermill.llm import packing, simhash, substring, suffixtree
 from ordermill.llm.common import table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +41,9 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents, packed by source shares."""
     return packing.pack(table(spark, folder, "documents"), *vocabulary())
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents by a suffix tree learnt from six in seven of them."""
+    return suffixtree.score(table(spark, folder, "documents"))
