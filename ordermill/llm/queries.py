@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ordermill.llm import packing, simhash, substring, suffixtree
+from ordermill.llm import language, packing, simhash, substring, suffixarray, suffixtree, topk, toxicity
 from ordermill.llm.common import table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,30 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of all documents by a suffix tree learnt from six in seven of them."""
     return suffixtree.score(table(spark, folder, "documents"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents by their nearest labelled examples."""
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op5_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten largest integer inner products of every hundredth vector."""
+    vectors = topk.quantised(table(spark, folder, "embeddings"))
+    return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+@query
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of all documents."""
+    return language.identify(table(spark, folder, "documents"))
+
+
+@query
+def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the 200-byte strings that occur again."""
+    found = suffixarray.remove_repeats(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
