@@ -27,6 +27,15 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with __k and __t, which tell rows apart but for repeated ones:
+    the id, with a stand-in for null, and the hash of the text, null as empty.
+    """
+    return docs.withColumns({
+        "__k": F.coalesce(F.col("doc_id").cast("long"), F.lit(MIN_LONG)),
+        "__t": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+
+
 def id_remainder(divisor: int, column: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as empty text."""
     text = F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ordermill.llm import language, packing, simhash, substring, suffixarray, suffixtree, topk, toxicity
+from ordermill.llm import decontamination, language, packing, pii, simhash, substring, suffixarray, suffixtree, topk, toxicity
 from ordermill.llm.common import table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,7 +52,8 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of all documents by their nearest labelled examples."""
-    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    scored = toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.drop("text_hash")
 
 
 @query
@@ -74,3 +75,16 @@ def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = suffixarray.remove_repeats(table(spark, folder, "documents"))
     return found.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in all documents."""
+    return pii.find(table(spark, folder, "documents"))
+
+
+@query
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items held by documents."""
+    return decontamination.contaminated(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_hash")

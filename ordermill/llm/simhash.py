@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ordermill.llm.common import id_and_text, signed, slices, utf8
+from ordermill.llm.common import MIN_LONG, id_and_text, keyed, signed, slices, utf8
 from ordermill.llm.components import components
 from ordermill.sources.shared import settle
 
@@ -55,7 +55,7 @@ def _fingerprint(text: bytes, words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, fp): one row per input row, the fingerprint as a signed long.
+    """(doc_id, text_hash, fp): one row per input row, the fingerprint as a signed long.
 
     Null and empty texts have fingerprint zero; a text of fewer than ``words``
     words is one shingle. Other columns are ignored.
@@ -65,10 +65,12 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
         for batch in slices(rows, "text", 8 << 20):
             prints = [_fingerprint(t, words) for t in utf8(batch.column("text"))]
             yield pa.record_batch(
-                [batch.column("doc_id"), signed(np.array(prints, dtype=np.uint64))],
-                names=["doc_id", "fp"])
+                [batch.column("doc_id"), batch.column("text_hash"),
+                 signed(np.array(prints, dtype=np.uint64))],
+                names=["doc_id", "text_hash", "fp"])
 
-    return id_and_text(docs).mapInArrow(batches, "doc_id long, fp long")
+    rows = id_and_text(docs).withColumn("text_hash", F.xxhash64("text"))
+    return rows.mapInArrow(batches, "doc_id long, text_hash long, fp long")
 
 
 def _ring(segments: int) -> list[tuple[int, int]]:
@@ -158,12 +160,13 @@ def near_duplicates(
     segments: int = SEGMENTS,
     max_bucket: int = MAX_BUCKET,
 ) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``.
+    """(doc_id, text_hash, fp, component_id, root) for every row of ``docs``.
 
     Rows belong together when their fingerprints link, directly or in a chain;
     ``component_id`` is the smallest doc_id of the component. Equal fingerprints
     count once in the search. Repeated rows and repeated ids are kept; a
-    component whose ids are all null has a null ``component_id``. Runs jobs: the
+    component whose ids are all null has a null ``component_id``; ``root``, its
+    smallest fingerprint, tells it apart all the same. Runs jobs: the
     fingerprints and the links are written to the shared folder.
     """
     rows = settle(fingerprints(docs, words), "simhash-rows")
@@ -172,5 +175,29 @@ def near_duplicates(
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = settle(
+        rooted.join(smallest, "root").select("fp", "component_id", "root"), "simhash-named")
+    return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
+
+
+def keep_one(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` with one row of each component, the one of the smallest id.
+
+    Of rows with that id the smallest text hash stays, of repeated rows one; in
+    a component whose ids are all null likewise. Columns stay as they are.
+    """
+    found = settle(
+        near_duplicates(docs, **settings).select(
+            F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "text_hash", "root"),
+        "simhash-found")
+    first = found.groupBy("root").agg(F.min(F.struct("id", "text_hash")).alias("f")).select("f.*")
+    kept = settle(
+        first.select(
+            F.when(F.col("id") == 2**63 - 1, MIN_LONG).otherwise(F.col("id")).alias("__k"),
+            F.col("text_hash").alias("__t")),
+        "simhash-kept")
+    rows = keyed(docs).join(kept, ["__k", "__t"], "left_semi")
+    again = found.groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if again.limit(1).count():
+        rows = rows.dropDuplicates(["__k", "__t"])
+    return rows.select(*docs.columns)

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ordermill.llm.common import id_and_text, id_remainder, slices, utf8
+from ordermill.llm.common import MIN_LONG, id_and_text, id_remainder, keyed, slices, utf8
 from ordermill.sources.shared import settle
 
 MAX_EXAMPLES = 30_000
@@ -220,7 +220,7 @@ def score(
     neighbours: int = NEIGHBOURS,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, held_out, score, predicted, evidence.
+    """One row per row of ``docs``: doc_id, text_hash, held_out, score, predicted, evidence.
 
     ``labels`` has doc_id and toxic (0 or 1; null and other values are left
     out). Rows held out by the crc32 of their id give no example. ``evidence``
@@ -295,13 +295,25 @@ def score(
             kind = pa.list_(pa.struct(
                 [("doc_id", pa.int64()), ("toxic", pa.float64()), ("cosine", pa.float64())]))
             yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()),
+                [batch.column("doc_id"), batch.column("text_hash"), batch.column("held_out"),
+                 pa.array(scores, pa.float64()),
                  pa.array((scores >= threshold).astype(np.int32), pa.int32()),
                  pa.array([e for _, e in out], kind)],
-                names=["doc_id", "held_out", "score", "predicted", "evidence"])
+                names=["doc_id", "text_hash", "held_out", "score", "predicted", "evidence"])
 
     held = id_remainder(held_divisor) == held_remainder
-    return counted.select("doc_id", held.alias("held_out"), "terms", "counts").mapInArrow(
+    return counted.select(
+        "doc_id", "text_hash", held.alias("held_out"), "terms", "counts"
+    ).mapInArrow(
         batches,
-        "doc_id long, held_out boolean, score double, predicted int, "
+        "doc_id long, text_hash long, held_out boolean, score double, predicted int, "
         "evidence array<struct<doc_id:long,toxic:double,cosine:double>>")
+
+
+def clean(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
+    """``docs`` without the rows predicted toxic; columns as they are."""
+    found = settle(
+        score(docs, labels, **settings).filter("predicted = 1").select(
+            F.coalesce("doc_id", F.lit(MIN_LONG)).alias("__k"), F.col("text_hash").alias("__t"))
+        .distinct(), "toxicity-found")
+    return keyed(docs).join(found, ["__k", "__t"], "left_anti").select(*docs.columns)
