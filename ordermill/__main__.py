@@ -14,13 +14,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("job", choices=sorted(JOBS))
     parser.add_argument("source", help="CSV orders with a header line")
     parser.add_argument("target", help="folder for the result files")
+    parser.add_argument("--single-file", action="store_true", help="write one file, from one task")
     args = parser.parse_args(argv)
     spark = (
         SparkSession.builder.appName(f"ordermill {args.job}")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
-    JOBS[args.job](spark, args.source, args.target)
+    JOBS[args.job](spark, args.source, args.target, args.single_file)
 
 
 if __name__ == "__main__":

@@ -88,7 +88,7 @@ def thresholds_exact(
 ) -> DataFrame:
     """Exact percentiles of the promotion count per group, from the profile."""
     return profile.groupBy(*GROUP).agg(
-        *[_exact_threshold(p).alias(exact_name(p)) for p in percentiles]
+        *[_threshold(p).alias(exact_name(p)) for p in percentiles]
     )
 
 
@@ -109,32 +109,15 @@ def thresholds_approx(
     percentiles: Sequence[float] = PERCENTILES,
     accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """Approximate percentiles of the promotion count per group.
-
-    ``percentile_approx`` runs over the group's counts, each repeated as often
-    as it occurs. A group with more than 2 x ``accuracy`` orders is thinned to
-    that many evenly spaced ranks and sketched at twice the accuracy, so both
-    errors together stay within the asked-for 1 / ``accuracy`` of the orders.
-    Fed with order rows instead, the sketch keeps nearly every row at such an
-    accuracy, and one task would have to merge all rows of a hot group.
-    """
-    limit = 2 * accuracy
-
-    def rank(orders: Column) -> Column:
-        thinned = F.floor(orders * F.lit(float(limit)) / F.col("group_orders"))
-        return F.when(F.col("group_orders") <= limit, orders).otherwise(thinned)
+    """Approximate percentiles of the promotion count per group, from the profile.
 
-    below = F.col("cume_orders") - F.col("n_orders")
-    copies = (rank(F.col("cume_orders")) - rank(below)).cast("int")
-    repeated = profile.select(
-        *GROUP, F.explode(F.array_repeat("promo_count", copies)).alias("promo_count")
-    )
-    sketched = repeated.groupBy(*GROUP).agg(
-        F.percentile_approx("promo_count", list(percentiles), limit).alias("values")
-    )
-    return sketched.select(
-        *GROUP,
-        *[F.col("values")[i].alias(approx_name(p)) for i, p in enumerate(percentiles)],
+    The smallest count whose cumulative share reaches p - 1 / ``accuracy``: the
+    share at the result is within 1 / ``accuracy`` of p, the bound a sketch of
+    that accuracy gives, for groups of any size by the same rule. It is not
+    Spark's own sketch, which keeps nearly every row at such accuracies.
+    """
+    return profile.groupBy(*GROUP).agg(
+        *[_threshold(p, accuracy).alias(approx_name(p)) for p in percentiles]
     )
 
 
@@ -189,8 +172,9 @@ def sku_month_std_exact(
     profile: DataFrame, percentiles: Sequence[float] = PERCENTILES
 ) -> DataFrame:
     """Deviations above the exact percentiles, one row per group."""
+    thresholds = {exact_name(p): _threshold(p) for p in percentiles}
     return _deviations(
-        _with_exact_thresholds(profile, percentiles),
+        _with_thresholds(profile, thresholds),
         {exact_name(p): f"std_{percentile_label(p)}_exact" for p in percentiles},
     )
 
@@ -201,8 +185,9 @@ def sku_month_std_approx(
     accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Deviations above the approximate percentiles, one row per group."""
+    thresholds = {approx_name(p): _threshold(p, accuracy) for p in percentiles}
     return _deviations(
-        profile.join(thresholds_approx(profile, percentiles, accuracy), GROUP),
+        _with_thresholds(profile, thresholds),
         {approx_name(p): f"std_{percentile_label(p)}_approx" for p in percentiles},
     )
 
@@ -212,13 +197,10 @@ def sku_month_std(
     percentiles: Sequence[float] = PERCENTILES,
     accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """Final table: deviations above both kinds of percentiles.
-
-    The profile is read twice; settle it first when the orders are many.
-    """
-    both = _with_exact_thresholds(profile, percentiles).join(
-        thresholds_approx(profile, percentiles, accuracy), GROUP
-    )
+    """Final table: deviations above both kinds of percentiles."""
+    thresholds = {approx_name(p): _threshold(p, accuracy) for p in percentiles}
+    thresholds |= {exact_name(p): _threshold(p) for p in percentiles}
+    both = _with_thresholds(profile, thresholds)
     names = {approx_name(p): f"std_{percentile_label(p)}_approx" for p in percentiles}
     names |= {exact_name(p): f"std_{percentile_label(p)}_exact" for p in percentiles}
     table = _deviations(both, names)
@@ -237,15 +219,15 @@ def _cume_share() -> Column:
     return F.col("cume_orders") / F.col("group_orders")
 
 
-def _exact_threshold(p: float) -> Column:
-    return F.min(F.when(_cume_share() >= p, F.col("promo_count")))
+def _threshold(p: float, accuracy: int | None = None) -> Column:
+    """Smallest promotion count whose share reaches p, or p - 1 / ``accuracy``."""
+    least = p - 1 / accuracy if accuracy else p
+    return F.min(F.when(_cume_share() >= least, F.col("promo_count")))
 
 
-def _with_exact_thresholds(profile: DataFrame, percentiles: Sequence[float]) -> DataFrame:
+def _with_thresholds(profile: DataFrame, thresholds: dict[str, Column]) -> DataFrame:
     group = Window.partitionBy(*GROUP)
-    return profile.withColumns(
-        {exact_name(p): _exact_threshold(p).over(group) for p in percentiles}
-    )
+    return profile.withColumns({name: t.over(group) for name, t in thresholds.items()})
 
 
 def _deviations(profile: DataFrame, names: dict[str, str]) -> DataFrame:

@@ -153,4 +153,4 @@ def largest_std_diffs(diffs: DataFrame, k: int = 10) -> DataFrame:
 
 
 def _percent(part: Column) -> Column:
-    return F.round(part * 100.0 / F.count(F.lit(1)), 2)
+    return F.round(F.try_divide(part * 100.0, F.count(F.lit(1))), 2)

@@ -269,22 +269,27 @@ def valid_promotions(spark: SparkSession, folder: str) -> DataFrame:
     return cc.valid_promotions(_orders(spark, folder))
 
 
+def _valid(orders: DataFrame) -> DataFrame:
+    """Valid promotions, settled so that a hot one can be split in joins."""
+    return shared.settle(cc.valid_promotions(orders), "valid-promotions")
+
+
 @query
 def valid_promo_rows(spark: SparkSession, folder: str) -> DataFrame:
     orders = _orders(spark, folder)
-    return cc.valid_promo_rows(orders, cc.valid_promotions(orders))
+    return cc.valid_promo_rows(orders, _valid(orders))
 
 
 @query
 def valid_promo_count(spark: SparkSession, folder: str) -> DataFrame:
     orders = _orders(spark, folder)
-    return cc.valid_promo_count(orders, cc.valid_promotions(orders))
+    return cc.valid_promo_count(orders, _valid(orders))
 
 
 @query
 def orders_with_promo_count(spark: SparkSession, folder: str) -> DataFrame:
     orders = _orders(spark, folder)
-    counts = cc.valid_promo_count(orders, cc.valid_promotions(orders))
+    counts = cc.valid_promo_count(orders, _valid(orders))
     return cc.orders_with_promo_count(orders, counts).select(
         "row_key", "ship_city", "ship_state", "valid_promotion_count"
     )
@@ -307,8 +312,8 @@ def orders_with_state_avg(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _qualified(orders: DataFrame) -> DataFrame:
-    valid = shared.settle(cc.valid_promotions(orders), "valid-promotions")
     averages = shared.settle(cc.state_avg_amount(orders), "state-averages")
+    valid = _valid(orders)
     return cc.qualified_orders(orders, cc.valid_promo_count(orders, valid), averages)
 
 
@@ -395,8 +400,7 @@ def thresholds_approx_coarse(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def orders_with_thresholds(spark: SparkSession, folder: str) -> DataFrame:
     orders = _sku_orders(spark, folder)
-    thresholds = dp.thresholds_exact(dp.promo_profile(orders))
-    return dp.orders_with_thresholds(orders, thresholds).drop("amount")
+    return dp.orders_with_thresholds(orders, _thresholds(orders)).drop("amount")
 
 
 @query
@@ -406,8 +410,12 @@ def qualifying_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def _qualifying_p90(spark: SparkSession, folder: str) -> DataFrame:
     orders = _sku_orders(spark, folder)
-    thresholds = dp.thresholds_exact(dp.promo_profile(orders))
-    return dp.qualifying_orders(orders, thresholds, "p90_thresh_exact")
+    return dp.qualifying_orders(orders, _thresholds(orders), "p90_thresh_exact")
+
+
+def _thresholds(orders: DataFrame) -> DataFrame:
+    """Exact thresholds, settled so that a hot group can be split in joins."""
+    return shared.settle(dp.thresholds_exact(dp.promo_profile(orders)), "thresholds")
 
 
 @query
@@ -417,8 +425,11 @@ def sku_month_spine(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def spine_left_join(spark: SparkSession, folder: str) -> DataFrame:
-    spine = dp.sku_month_spine(_sku_orders(spark, folder))
-    stds = dp.deviation(_qualifying_p90(spark, folder), "std_p90_exact", "cnt_p90_exact")
+    profile = _settled_profile(spark, folder)
+    spine = dp.sku_month_spine(profile)
+    counts = dp.qualifying_counts(
+        profile, dp.thresholds_exact(profile), "p90_thresh_exact", "cnt_p90_exact")
+    stds = counts.join(dp.sku_month_std_exact(profile).drop("std_p80_exact"), dp.GROUP)
     return _rounded(dp.spine_left_join(spine, stds, "std_p90_exact"), "std_p90_exact")
 
 
@@ -506,6 +517,11 @@ def qualifying_diff_summary(spark: SparkSession, folder: str) -> DataFrame:
     return rp.qualifying_diff_summary(_set_diff(spark, folder))
 
 
+@query
+def qualifying_disagreements(spark: SparkSession, folder: str) -> DataFrame:
+    return rp.qualifying_disagreements(_set_diff(spark, folder))
+
+
 @query
 def qualifying_disagreements_coarse(spark: SparkSession, folder: str) -> DataFrame:
     return rp.qualifying_disagreements(_set_diff(spark, folder, COARSE_ACCURACY))
@@ -548,6 +564,11 @@ def std_diff_summary(spark: SparkSession, folder: str) -> DataFrame:
     return rp.std_diff_summary(_std_diff(spark, folder))
 
 
+@query
+def largest_std_diffs(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(rp.largest_std_diffs(_std_diff(spark, folder)), *_STDS)
+
+
 @query
 def largest_std_diffs_coarse(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(rp.largest_std_diffs(_std_diff(spark, folder, COARSE_ACCURACY)), *_STDS)

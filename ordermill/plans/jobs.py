@@ -2,7 +2,8 @@
 
 A job that needs its orders more than once stores them first as a narrow table
 in the shared folder, so the CSV text is parsed once and a lost executor costs
-no second parse.
+no second parse; the table goes when the job ends. Results are several sorted
+files unless ``single_file`` asks for one, which a single task then writes.
 """
 
 from __future__ import annotations
@@ -13,49 +14,62 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ordermill.operators import cancellation, dispersion, rolling, variety
 from ordermill.sources import orders_csv, sinks
-from ordermill.sources.shared import settle
+from ordermill.sources.shared import Scratch
 
 
 def _orders(
-    spark: SparkSession, path: str, columns: list[str], any_date_format: bool = False
+    spark: SparkSession,
+    path: str,
+    columns: list[str],
+    any_date_format: bool = False,
+    trim: bool = False,
 ) -> DataFrame:
-    raw = orders_csv.read_orders(spark, path, columns)
+    raw = orders_csv.read_orders(spark, path, columns, trim)
     return orders_csv.type_orders(raw, any_date_format)
 
 
-def rolling_top_size(spark: SparkSession, source: str, target: str) -> None:
+def rolling_top_size(
+    spark: SparkSession, source: str, target: str, single_file: bool = False
+) -> None:
     """Most bought size per state and rolling window, as CSV."""
     columns = ["date", "status", "qty", "size", "ship_state"]
-    result = rolling.rolling_top_size(_orders(spark, source, columns, any_date_format=True))
-    sinks.write_csv(result, target, ["window_date", "state"], single_file=True)
+    orders = _orders(spark, source, columns, any_date_format=True, trim=True)
+    result = rolling.rolling_top_size(orders)
+    sinks.write_csv(result, target, ["window_date", "state"], single_file)
 
 
-def median_variety(spark: SparkSession, source: str, target: str) -> None:
+def median_variety(
+    spark: SparkSession, source: str, target: str, single_file: bool = False
+) -> None:
     """Median number of SKUs per style, by month and state, as CSV."""
     columns = ["date", "sku", "style", "size", "ship_state"]
-    result = variety.median_variety(_orders(spark, source, columns))
-    sinks.write_csv(result, target, ["month", "state"], single_file=True)
+    result = variety.median_variety(_orders(spark, source, columns, trim=True))
+    sinks.write_csv(result, target, ["month", "state"], single_file)
 
 
-def city_cancellation(spark: SparkSession, source: str, target: str) -> None:
+def city_cancellation(
+    spark: SparkSession, source: str, target: str, single_file: bool = False
+) -> None:
     """Cancelled share per city, as parquet."""
     columns = ["date", "amount", "status", "fulfilment", "service_level", "courier_status",
                "ship_city", "ship_state", "promotion_ids"]
-    orders = settle(_orders(spark, source, columns), "orders")
-    result = cancellation.city_cancellation(cancellation.prepare_orders(orders))
-    sinks.write_parquet(result, target, ["ship_state", "ship_city"], single_file=True)
+    with Scratch(spark) as scratch:
+        orders = scratch.settle(_orders(spark, source, columns), "orders")
+        result = cancellation.city_cancellation(cancellation.prepare_orders(orders))
+        sinks.write_parquet(result, target, ["ship_state", "ship_city"], single_file)
 
 
-def sku_month_std(spark: SparkSession, source: str, target: str) -> None:
+def sku_month_std(
+    spark: SparkSession, source: str, target: str, single_file: bool = False
+) -> None:
     """Deviation per SKU and month by both kinds of percentiles, as parquet."""
     columns = ["date", "sku", "amount", "promotion_ids"]
     orders = dispersion.prepare_sku_orders(_orders(spark, source, columns))
-    profile = settle(dispersion.promo_profile(orders), "promo-profile")
-    result = dispersion.sku_month_std(profile)
-    sinks.write_parquet(result, target, ["year", "month", "SKU"], single_file=True)
+    result = dispersion.sku_month_std(dispersion.promo_profile(orders))
+    sinks.write_parquet(result, target, ["year", "month", "SKU"], single_file)
 
 
-JOBS: dict[str, Callable[[SparkSession, str, str], None]] = {
+JOBS: dict[str, Callable[..., None]] = {
     "rolling-top-size": rolling_top_size,
     "median-variety": median_variety,
     "city-cancellation": city_cancellation,

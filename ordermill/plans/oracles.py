@@ -6,6 +6,16 @@ WITH clauses; a query lists the ones it needs, in order.
 
 from __future__ import annotations
 
+
+def _approx(accuracy: int) -> str:
+    """The smallest promotion counts whose shares reach p - 1 / accuracy."""
+    return f"""
+        SELECT sku, year, month,
+               min(promo_count) FILTER (cume_dist >= {0.9 - 1 / accuracy!r}::DOUBLE) AS p90_thresh,
+               min(promo_count) FILTER (cume_dist >= {0.8 - 1 / accuracy!r}::DOUBLE) AS p80_thresh
+        FROM shares GROUP BY sku, year, month"""
+
+
 _STEPS = {
     "sales": """
         SELECT o_orderkey AS row_key,
@@ -128,9 +138,7 @@ _STEPS = {
                quantile_disc(promo_count, 0.9) AS p90_thresh_exact,
                quantile_disc(promo_count, 0.8) AS p80_thresh_exact
         FROM sku_orders GROUP BY sku, year, month""",
-    "approx": """
-        SELECT sku, year, month, p90_thresh_exact AS p90_thresh, p80_thresh_exact AS p80_thresh
-        FROM exact""",
+    "approx": _approx(1_000_000),
     "bounded": """
         SELECT * FROM sku_orders JOIN exact USING (sku, year, month)""",
     "stds": """
@@ -140,6 +148,27 @@ _STEPS = {
                round(coalesce(stddev_pop(amount) FILTER (promo_count >= p80_thresh_exact), 0.0), 4)
                    AS p80
         FROM bounded GROUP BY sku, year, month""",
+    "approx_bounded": """
+        SELECT * FROM sku_orders JOIN approx USING (sku, year, month)""",
+    "approx_stds": """
+        SELECT sku, year, month,
+               round(coalesce(stddev_pop(amount) FILTER (promo_count >= p90_thresh), 0.0), 4)
+                   AS a90,
+               round(coalesce(stddev_pop(amount) FILTER (promo_count >= p80_thresh), 0.0), 4)
+                   AS a80
+        FROM approx_bounded GROUP BY sku, year, month""",
+    "std_diffs": """
+        SELECT sku AS "SKU", year, month, a90 AS std_p90_approx, a80 AS std_p80_approx,
+               p90 AS std_p90_exact, p80 AS std_p80_exact,
+               round(abs(a90 - p90), 4) AS diff_std_p90, round(abs(a80 - p80), 4) AS diff_std_p80
+        FROM stds JOIN approx_stds USING (sku, year, month)""",
+    "approx_passing": """
+        SELECT sku, year, month, count(*) FILTER (promo_count >= p90_thresh) AS m
+        FROM approx_bounded GROUP BY sku, year, month""",
+    "set_diff": """
+        SELECT sku, year, month, m AS n_qualified_approx, n AS n_qualified_exact,
+               m - n AS diff_count
+        FROM passing JOIN approx_passing USING (sku, year, month)""",
     "compared": """
         SELECT sku, year, month, p90_thresh, p80_thresh, p90_thresh_exact, p80_thresh_exact,
                CAST(p90_thresh AS DOUBLE) - CAST(p90_thresh_exact AS DOUBLE) AS diff_p90,
@@ -166,21 +195,43 @@ _CITIES = [*_ENRICHED, "qualified", "cities"]
 _SKU_ORDERS = ["sales", "sku_orders"]
 _EXACT = [*_SKU_ORDERS, "exact"]
 _STDS = [*_EXACT, "bounded", "stds"]
-_COMPARED = [*_EXACT, "approx", "compared"]
+_APPROX = [*_SKU_ORDERS, "shares", "approx"]
+_COMPARED = [*_EXACT, "shares", "approx", "compared"]
+_APPROX_STDS = [*_APPROX, "approx_bounded", "approx_stds"]
+_STD_DIFFS = [*_STDS, *_APPROX_STDS[2:], "std_diffs"]
+_SET_DIFF = [*_EXACT, "bounded", "passing", "shares", "approx", "approx_bounded",
+             "approx_passing", "set_diff"]
 
 
-def _sql(steps: list[str], select: str) -> str:
-    clauses = ",\n".join(f"{name} AS MATERIALIZED ({_STEPS[name]})" for name in steps)
+def _sql(steps: list[str], select: str, accuracy: int | None = None) -> str:
+    bodies = _STEPS | ({"approx": _approx(accuracy)} if accuracy else {})
+    clauses = ",\n".join(f"{name} AS MATERIALIZED ({bodies[name]})" for name in steps)
     return f"WITH {clauses}\n{select}"
 
 
 _TOP_SIZE_SQL = _sql(_TOP_SIZE, "SELECT * FROM top_size")
 _CITIES_SQL = _sql(_CITIES, "SELECT * FROM cities")
-_STD_SQL = _sql(
-    _STDS,
-    """SELECT sku AS "SKU", year, month, p90 AS std_p90_approx, p80 AS std_p80_approx,
-              p90 AS std_p90_exact, p80 AS std_p80_exact FROM stds""",
-)
+_STD_SQL = _sql(_STD_DIFFS, "SELECT * EXCLUDE (diff_std_p90, diff_std_p80) FROM std_diffs")
+_DIFF_SUMMARY = """SELECT count(*) AS n_groups,
+                  count(*) FILTER (diff_p90 <> 0) AS n_diff_p90,
+                  round(100.0 * count(*) FILTER (diff_p90 <> 0) / count(*), 2) AS pct_diff_p90,
+                  avg(abs(diff_p90)) AS mean_abs_diff_p90,
+                  max(abs(diff_p90)) AS max_abs_diff_p90,
+                  count(*) FILTER (diff_p80 <> 0) AS n_diff_p80,
+                  round(100.0 * count(*) FILTER (diff_p80 <> 0) / count(*), 2) AS pct_diff_p80,
+                  avg(abs(diff_p80)) AS mean_abs_diff_p80,
+                  max(abs(diff_p80)) AS max_abs_diff_p80
+           FROM compared"""
+_DISAGREEMENTS = """SELECT sku, year, month, p90_thresh, p90_thresh_exact, diff_p90,
+                  p80_thresh, p80_thresh_exact, diff_p80
+           FROM compared WHERE diff_p90 <> 0 OR diff_p80 <> 0
+           ORDER BY sku, year, month LIMIT 10"""
+_SET_DISAGREEMENTS = """SELECT * FROM set_diff WHERE diff_count <> 0
+           ORDER BY abs(diff_count) DESC, sku, year, month LIMIT 10"""
+_LARGEST_STD_DIFFS = """SELECT * FROM std_diffs
+           ORDER BY diff_std_p90 DESC, "SKU", year, month LIMIT 10"""
+# The low accuracy of the coarse queries.
+_COARSE = 2
 
 ORACLES: dict[str, str] = {
     "scan_csv_normalised": _sql(
@@ -326,7 +377,8 @@ ORACLES: dict[str, str] = {
                   min(promo_count) FILTER (cume_dist >= 0.8) AS p80_thresh_exact
            FROM shares GROUP BY sku, year, month""",
     ),
-    "thresholds_approx": _sql([*_EXACT, "approx"], "SELECT * FROM approx"),
+    "thresholds_approx": _sql(_APPROX, "SELECT * FROM approx"),
+    "thresholds_approx_coarse": _sql(_APPROX, "SELECT * FROM approx", _COARSE),
     "orders_with_thresholds": _sql(
         [*_EXACT, "bounded"], "SELECT * EXCLUDE (amount) FROM bounded"
     ),
@@ -344,41 +396,25 @@ ORACLES: dict[str, str] = {
         _STDS, "SELECT sku, year, month, p90 AS std_p90_exact, p80 AS std_p80_exact FROM stds"
     ),
     "sku_month_std_approx": _sql(
-        _STDS, "SELECT sku, year, month, p90 AS std_p90_approx, p80 AS std_p80_approx FROM stds"
+        _APPROX_STDS,
+        "SELECT sku, year, month, a90 AS std_p90_approx, a80 AS std_p80_approx FROM approx_stds",
     ),
     "sku_month_std": _STD_SQL,
     "write_parquet_result": _STD_SQL,
     "threshold_compare": _sql(_COMPARED, "SELECT * FROM compared"),
-    "threshold_diff_summary": _sql(
-        _COMPARED,
-        """SELECT count(*) AS n_groups,
-                  count(*) FILTER (diff_p90 <> 0) AS n_diff_p90,
-                  round(100.0 * count(*) FILTER (diff_p90 <> 0) / count(*), 2) AS pct_diff_p90,
-                  avg(abs(diff_p90)) AS mean_abs_diff_p90,
-                  max(abs(diff_p90)) AS max_abs_diff_p90,
-                  count(*) FILTER (diff_p80 <> 0) AS n_diff_p80,
-                  round(100.0 * count(*) FILTER (diff_p80 <> 0) / count(*), 2) AS pct_diff_p80,
-                  avg(abs(diff_p80)) AS mean_abs_diff_p80,
-                  max(abs(diff_p80)) AS max_abs_diff_p80
-           FROM compared""",
-    ),
-    "threshold_disagreements": _sql(
-        _COMPARED,
-        """SELECT sku, year, month, p90_thresh, p90_thresh_exact, diff_p90,
-                  p80_thresh, p80_thresh_exact, diff_p80
-           FROM compared WHERE diff_p90 <> 0 OR diff_p80 <> 0
-           ORDER BY sku, year, month LIMIT 10""",
-    ),
-    "qualifying_set_diff": _sql(
-        [*_EXACT, "bounded", "passing"],
-        """SELECT sku, year, month, n AS n_qualified_approx, n AS n_qualified_exact,
-                  n - n AS diff_count FROM passing""",
-    ),
+    "threshold_diff_summary": _sql(_COMPARED, _DIFF_SUMMARY),
+    "threshold_diff_summary_coarse": _sql(_COMPARED, _DIFF_SUMMARY, _COARSE),
+    "threshold_disagreements": _sql(_COMPARED, _DISAGREEMENTS),
+    "threshold_disagreements_coarse": _sql(_COMPARED, _DISAGREEMENTS, _COARSE),
+    "qualifying_set_diff": _sql(_SET_DIFF, "SELECT * FROM set_diff"),
     "qualifying_diff_summary": _sql(
-        _EXACT,
-        """SELECT count(*) AS n_groups, CAST(0 AS BIGINT) AS n_diff,
-                  CAST(0 AS DOUBLE) AS pct_diff FROM exact""",
+        _SET_DIFF,
+        """SELECT count(*) AS n_groups, count(*) FILTER (diff_count <> 0) AS n_diff,
+                  round(100.0 * count(*) FILTER (diff_count <> 0) / count(*), 2) AS pct_diff
+           FROM set_diff""",
     ),
+    "qualifying_disagreements": _sql(_SET_DIFF, _SET_DISAGREEMENTS),
+    "qualifying_disagreements_coarse": _sql(_SET_DIFF, _SET_DISAGREEMENTS, _COARSE),
     "sku_month_sizes": _sql(
         [*_SKU_ORDERS, "sizes"],
         "SELECT sku, year, month, n_orders, round(est_size_mb, 4) AS est_size_mb FROM sizes",
@@ -395,16 +431,13 @@ ORACLES: dict[str, str] = {
                   round(max(est_size_mb) / 128.0, 8) AS partition_ratio
            FROM sizes WHERE n_orders > 10""",
     ),
-    "std_diff": _sql(
-        _STDS,
-        """SELECT sku AS "SKU", year, month, p90 AS std_p90_approx, p80 AS std_p80_approx,
-                  p90 AS std_p90_exact, p80 AS std_p80_exact,
-                  CAST(0 AS DOUBLE) AS diff_std_p90, CAST(0 AS DOUBLE) AS diff_std_p80
-           FROM stds""",
-    ),
+    "std_diff": _sql(_STD_DIFFS, "SELECT * FROM std_diffs"),
     "std_diff_summary": _sql(
-        _EXACT,
-        """SELECT count(*) AS n_groups, CAST(0 AS BIGINT) AS n_diff_std_p90,
-                  CAST(0 AS BIGINT) AS n_diff_std_p80 FROM exact""",
+        _STD_DIFFS,
+        """SELECT count(*) AS n_groups,
+                  count(*) FILTER (diff_std_p90 > 1e-9) AS n_diff_std_p90,
+                  count(*) FILTER (diff_std_p80 > 1e-9) AS n_diff_std_p80 FROM std_diffs""",
     ),
+    "largest_std_diffs": _sql(_STD_DIFFS, _LARGEST_STD_DIFFS),
+    "largest_std_diffs_coarse": _sql(_STD_DIFFS, _LARGEST_STD_DIFFS, _COARSE),
 }

@@ -25,7 +25,7 @@ COLUMN_ALIASES = {
     "sku": ["sku"],
     "style": ["style"],
     "ship_city": ["ship_city"],
-    "ship_state": ["ship_state", "ship-state", "shipstate", "state"],
+    "ship_state": ["ship_state", "shipstate", "state"],
     "promotion_ids": ["promotion_ids"],
 }
 
@@ -50,13 +50,17 @@ def resolve_columns(header: list[str], wanted: Iterable[str]) -> dict[str, str]:
 
 
 def read_orders(
-    spark: SparkSession, path: str | list[str], columns: Iterable[str] = COLUMN_ALIASES
+    spark: SparkSession,
+    path: str | list[str],
+    columns: Iterable[str] = COLUMN_ALIASES,
+    trim: bool = False,
 ) -> DataFrame:
     """Read CSV orders as text columns under their canonical names.
 
     All fields stay text: no extra pass to infer types, and the same result
     whatever the first rows look like. Short rows are filled with nulls, which
     the required-field filters drop. Blank lines are skipped by the reader.
+    ``trim`` takes white space off both ends of every field.
     """
     raw = (
         spark.read.option("header", True)
@@ -67,7 +71,8 @@ def read_orders(
         .csv(path)
     )
     resolved = resolve_columns(raw.columns, list(columns))
-    return raw.select(*[_quoted(raw_name).alias(c) for c, raw_name in resolved.items()])
+    fields = {c: _quoted(raw_name) for c, raw_name in resolved.items()}
+    return raw.select(*[(strip(f) if trim else f).alias(c) for c, f in fields.items()])
 
 
 def type_orders(raw: DataFrame, any_date_format: bool = False) -> DataFrame:

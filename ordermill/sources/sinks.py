@@ -12,7 +12,7 @@ def write_csv(
     single_file: bool = False,
     quoted: bool = False,
 ) -> None:
-    """Write ``df`` sorted, as CSV with a header.
+    """Write ``df`` sorted, as CSV with a header, replacing what was at ``path``.
 
     Values are written bare unless ``quoted`` asks for quotes around values
     that hold a comma or a quote. ``single_file`` is for small results: one
@@ -22,7 +22,7 @@ def write_csv(
     if single_file:
         rows = rows.coalesce(1)
     if quoted:
-        rows.write.option("header", True).csv(path)
+        rows.write.mode("overwrite").option("header", True).csv(path)
         return
     # One column holding the whole line, with a separator that cannot occur in it.
     line = F.concat_ws(
@@ -30,7 +30,8 @@ def write_csv(
     )
     (
         rows.select(line.alias(",".join(df.columns)))
-        .write.option("header", True)
+        .write.mode("overwrite")
+        .option("header", True)
         .option("sep", "\u0001")
         .option("quote", "\u0000")
         .option("escapeQuotes", False)

@@ -8,6 +8,7 @@ from pyspark.sql import Window, functions as F
 
 from ordermill.operators import dispersion as dp
 from ordermill.operators import reports as rp
+from ordermill.plans.inspect import plan_text
 
 SCHEMA = "row_key long, sku string, year int, month int, promo_count long, amount double"
 
@@ -76,7 +77,7 @@ def test_cume_dist_equals_the_window_function(spark):
     )
 
 
-@pytest.mark.parametrize("accuracy", [2, 7, 50])
+@pytest.mark.parametrize("accuracy", [2, 7, 50, 1000, 1_000_000, 2**31 - 1])
 def test_coarse_thresholds_stay_within_their_bound(spark, accuracy):
     """The share of orders up to the threshold is p, give or take 1 / accuracy."""
     counts = [i * i * 31 % 997 for i in range(5000)]
@@ -92,10 +93,27 @@ def test_coarse_thresholds_stay_within_their_bound(spark, accuracy):
 def test_fine_thresholds_are_exact_up_to_the_limit(spark):
     counts = [i * i * 31 % 997 for i in range(5000)]
     profile = dp.promo_profile(orders_of(spark, [(c, 1) for c in counts]))
-    found = dp.thresholds_approx(profile, accuracy=5000).first()
+    found = dp.thresholds_approx(profile, accuracy=50_000).first()
     assert (found.p90_thresh, found.p80_thresh) == (exact(counts, 0.9), exact(counts, 0.8))
 
 
+def test_approximate_thresholds_never_copy_orders(spark):
+    profile = dp.promo_profile(orders_of(spark, [(1, 1), (2, 1)]))
+    assert "Generate" not in plan_text(dp.thresholds_approx(profile, accuracy=2))
+
+
+def test_reports_on_no_groups(spark):
+    profile = dp.promo_profile(orders_of(spark, [(1, 1)]).limit(0))
+    compared = rp.threshold_compare(dp.thresholds_approx(profile), dp.thresholds_exact(profile))
+    summary = rp.threshold_diff_summary(compared).first()
+    assert (summary.n_groups, summary.pct_diff_p90) == (0, None)
+    counts = [
+        dp.qualifying_counts(profile, t, c, n) for t, c, n in (
+            (dp.thresholds_approx(profile), "p90_thresh", "n_qualified_approx"),
+            (dp.thresholds_exact(profile), "p90_thresh_exact", "n_qualified_exact"))]
+    assert rp.qualifying_diff_summary(rp.qualifying_set_diff(*counts)).first().n_groups == 0
+
+
 def test_row_form_agrees_with_the_profile(spark):
     pairs = [(i * 7 % 11, i * 37 % 101) for i in range(300)]
     table = orders_of(spark, pairs)
