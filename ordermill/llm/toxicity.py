@@ -241,8 +241,10 @@ def score(
     rows = known.count()
     share = min(1.0, max_examples / max(rows, 1))
     place = F.xxhash64("doc_id", F.lit("example")).cast("double") / 2.0**64 + 0.5
+    # Written first, so that the planner sees the bounded size and moves no texts.
+    chosen = settle(known.filter(place < share), "toxicity-labels")
     examples = settle(
-        id_and_text(docs).join(known.filter(place < share), "doc_id").select(
+        id_and_text(docs).join(chosen, "doc_id").select(
             "doc_id", "text", "toxic"),
         "toxicity-examples")
     terms = _chosen_terms(examples, max_terms, min_chi2)
