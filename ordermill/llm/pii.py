@@ -355,9 +355,11 @@ def redact(docs: DataFrame, rounds: int = ROUNDS, precision: float = PRECISION)
     rest = text.substr((last + 1).cast("int"), F.length(text))
     redacted = F.when(cuts.isNull(), text).otherwise(
         F.concat(F.array_join(F.transform(cuts, piece), ""), rest))
-    joined = keyed(docs).join(
+    # Written first: the planner takes the size of the spans' table for that of the cuts.
+    settled = settle(
         merged.select(F.col("k").alias("__k"), F.col("t").alias("__t"), F.col("cuts").alias("__cuts")),
-        ["__k", "__t"], "left")
+        "pii-cuts")
+    joined = keyed(docs).join(settled, ["__k", "__t"], "left")
     changed = {"text": redacted}
     if "n_chars" in docs.columns:
         size = F.length(redacted).cast(docs.schema["n_chars"].dataType)
