@@ -23,21 +23,40 @@ ROLLING_DATE_SHAPES = {
 }
 
 
-def parse_sale_date(col: str | Column, pattern: str = SALE_DATE_FORMAT) -> Column:
-    """Date in the one pattern of the export."""
-    return F.try_to_date(col, pattern)
+# Days 29 to 31 with what comes before them, in all patterns above.
+_LATE_DAY = r"^(\d{1,2}[/-]|\d{4}-\d{2}-)(?:29|30|31)(?=$|[/-])"
+
+
+def parse_sale_date(
+    col: str | Column, pattern: str = SALE_DATE_FORMAT, clamp: bool = False
+) -> Column:
+    """Date in the one pattern of the export.
+
+    With ``clamp``, days 29 to 31 that a month does not have become its last
+    day; without, they are null, as all other impossible days are.
+    """
+    text = F.col(col) if isinstance(col, str) else col
+    return _parsed(text, pattern, clamp)
+
+
+def _parsed(text: Column, pattern: str, clamp: bool) -> Column:
+    plain = F.try_to_date(text, pattern)
+    if not clamp:
+        return plain
+    first = F.try_to_date(F.regexp_replace(text, _LATE_DAY, "$101"), pattern)
+    return F.coalesce(plain, F.when(text.rlike(_LATE_DAY), F.last_day(first)))
 
 
 def parse_any_date(
-    col: str | Column, shapes: dict[str, str] = ROLLING_DATE_SHAPES
+    col: str | Column, shapes: dict[str, str] = ROLLING_DATE_SHAPES, clamp: bool = False
 ) -> Column:
-    """Date in any of several patterns.
+    """Date in any of several patterns; ``clamp`` as in ``parse_sale_date``.
 
     Trying the parsers in turn would pay for a failed parse per pattern and
     row. The shape test runs one parser per row, about 2.5 times as fast.
     """
     text = strip(col)
-    branches = [(text.rlike(shape), F.try_to_date(text, p)) for p, shape in shapes.items()]
+    branches = [(text.rlike(shape), _parsed(text, p, clamp)) for p, shape in shapes.items()]
     (test, value), *rest = branches
     return reduce(lambda chain, b: chain.when(b[0], b[1]), rest, F.when(test, value))
 

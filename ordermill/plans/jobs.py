@@ -23,9 +23,10 @@ def _orders(
     columns: list[str],
     any_date_format: bool = False,
     trim: bool = False,
+    clamp: bool = False,
 ) -> DataFrame:
     raw = orders_csv.read_orders(spark, path, columns, trim)
-    return orders_csv.type_orders(raw, any_date_format)
+    return orders_csv.type_orders(raw, any_date_format, clamp)
 
 
 def rolling_top_size(
@@ -33,7 +34,7 @@ def rolling_top_size(
 ) -> None:
     """Most bought size per state and rolling window, as CSV."""
     columns = ["date", "status", "qty", "size", "ship_state"]
-    orders = _orders(spark, source, columns, any_date_format=True, trim=True)
+    orders = _orders(spark, source, columns, any_date_format=True, trim=True, clamp=True)
     result = rolling.rolling_top_size(orders)
     sinks.write_csv(result, target, ["window_date", "state"], single_file)
 
@@ -43,7 +44,7 @@ def median_variety(
 ) -> None:
     """Median number of SKUs per style, by month and state, as CSV."""
     columns = ["date", "sku", "style", "size", "ship_state"]
-    result = variety.median_variety(_orders(spark, source, columns, trim=True))
+    result = variety.median_variety(_orders(spark, source, columns, trim=True, clamp=True))
     sinks.write_csv(result, target, ["month", "state"], single_file)
 
 

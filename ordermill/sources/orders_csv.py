@@ -75,14 +75,17 @@ def read_orders(
     return raw.select(*[(strip(f) if trim else f).alias(c) for c, f in fields.items()])
 
 
-def type_orders(raw: DataFrame, any_date_format: bool = False) -> DataFrame:
+def type_orders(
+    raw: DataFrame, any_date_format: bool = False, clamp: bool = False
+) -> DataFrame:
     """Give text orders typed columns: ``order_date``, ``qty`` and ``amount``.
 
     Unreadable dates and amounts become null and unreadable quantities 0, so
     the operators' filters drop them. Other columns are left as they are.
+    ``clamp`` reads days 29 to 31 that a month does not have as its last day.
     """
-    date: Column = parse_any_date("date") if any_date_format else parse_sale_date(
-        "date", SALE_DATE_FORMAT
+    date: Column = parse_any_date("date", clamp=clamp) if any_date_format else parse_sale_date(
+        "date", SALE_DATE_FORMAT, clamp
     )
     typed = {
         "order_date": ("date", date),

@@ -25,6 +25,16 @@ def test_sale_date(spark):
     assert found == [dt.date(2022, 4, 30), None, None, None]
 
 
+def test_days_a_month_does_not_have(spark):
+    late = ["02-30-22", "02-29-24", "04-31-22", "02-32-22", "13-30-22", "01-31-22", None]
+    expected = [dt.date(2022, 2, 28), dt.date(2024, 2, 29), dt.date(2022, 4, 30), None, None,
+                dt.date(2022, 1, 31), None]
+    assert values(spark, late, dates.parse_sale_date("x", clamp=True)) == expected
+    more = ["2/30/22", "2-30-22", "02-30-2022", "2022-02-30", "2/31/2022"]
+    found = values(spark, late + more, dates.parse_any_date("x", clamp=True))
+    assert found == expected + [dt.date(2022, 2, 28)] * len(more)
+
+
 def test_state_title(spark):
     inputs = [" ORISSA", "rajsthan", "JAMMU  &  KASHMIR", "delhi\t", "Orissa ", None]
     assert values(spark, inputs, text.title_state("x")) == [
