@@ -138,17 +138,30 @@ def orders_with_state_avg(orders: DataFrame, averages: DataFrame) -> DataFrame:
     return orders.join(averages, "ship_state", "left")
 
 
+def candidate_orders(orders: DataFrame, averages: DataFrame, min_promotions: int = 3) -> DataFrame:
+    """Standard orders below their state's average that list enough promotions.
+
+    The list may still name too few valid ones; only these orders need a look.
+    """
+    listed = orders.filter(
+        (F.col("service_level") == "standard")
+        & (raw_promo_count("promotion_ids") >= min_promotions)
+    )
+    return listed.join(averages, "ship_state").filter(F.col("amount") < F.col(_AVG))
+
+
 def qualified_orders(
-    orders: DataFrame, counts: DataFrame, averages: DataFrame, min_promotions: int = 3
+    orders: DataFrame, valid: DataFrame, averages: DataFrame, min_promotions: int = 3
 ) -> DataFrame:
-    """Standard orders below their state's average with enough valid promotions."""
-    enriched = orders_with_state_avg(orders_with_promo_count(orders, counts), averages)
-    return enriched.filter(
-        (F.col("service_level") == "standard")
-        & (F.col("valid_promotion_count") >= min_promotions)
-        & F.col(_AVG).isNotNull()
-        & (F.col("amount") < F.col(_AVG))
+    """Standard orders below their state's average with enough valid promotions.
+
+    Only the promotions of candidates are exploded and shuffled.
+    """
+    candidates = candidate_orders(orders, averages, min_promotions)
+    enough = valid_promo_count(candidates, valid).filter(
+        F.col("valid_promotion_count") >= min_promotions
     )
+    return candidates.join(enough, "row_key")
 
 
 def cancellation_by_city(qualified: DataFrame) -> DataFrame:
@@ -162,48 +175,41 @@ def cancellation_by_city(qualified: DataFrame) -> DataFrame:
 
 
 def city_cancellation(
-    orders: DataFrame, min_promotions: int = 3, min_active_days: int = 2
+    orders: DataFrame, valid: DataFrame, averages: DataFrame, min_promotions: int = 3
 ) -> DataFrame:
-    """Final table straight from prepared orders (runs two jobs for the side tables).
+    """Final table straight from prepared orders.
 
-    No order is ever joined to itself. Cheap standard orders are first counted
-    per city and promotion list, which needs no row key and folds an order
-    pattern that holds much of the input into one row per map task. Only these
-    groups are matched with the valid promotions.
+    No order is ever joined to itself. Candidates are first counted per city
+    and set of promotions, which needs no row key and folds an order pattern
+    that holds much of the input into one row per map task; lists that differ
+    in order, blanks or repeats meet in one set. Only these groups are matched
+    with the valid promotions.
 
-    The side tables are written out first: the planner then knows their sizes
-    and broadcasts them only where they are small.
+    With ``valid`` and ``averages`` settled the planner knows their sizes and
+    broadcasts them only where they are small.
     """
-    valid = settle(
-        valid_promotions(orders, min_active_days).select("promotion_id"), "valid-promotions"
-    )
-    averages = settle(state_avg_amount(orders), "state-averages")
-
-    candidates = (
-        orders.filter(
-            (F.col("service_level") == "standard")
-            & (raw_promo_count("promotion_ids") >= min_promotions)
-        )
-        .join(averages, "ship_state")
-        .filter(F.col("amount") < F.col(_AVG))
+    sets = (
+        candidate_orders(orders, averages, min_promotions)
+        .withColumn("promotions", F.array_sort(F.array_distinct(promo_array("promotion_ids"))))
+        .filter(F.size("promotions") >= min_promotions)
     )
-    groups = candidates.groupBy("ship_city", "ship_state", "promotion_ids").agg(
+    groups = sets.groupBy("ship_city", "ship_state", "promotions").agg(
         F.count(F.lit(1)).alias("orders"),
         F.count_if(F.col("status").contains("cancelled")).alias("cancelled"),
         F.max(_AVG).alias(_AVG),
     )
-    # The digest stands for the list once its promotions are on separate rows.
+    # The digest stands for the set once its promotions are on separate rows.
     listed = groups.select(
         "ship_city",
         "ship_state",
-        F.sha2("promotion_ids", 256).alias("list_key"),
+        F.sha2(F.array_join("promotions", ","), 256).alias("list_key"),
         "orders",
         "cancelled",
         _AVG,
-        F.explode(F.array_distinct(promo_array("promotion_ids"))).alias("promotion_id"),
+        F.explode("promotions").alias("promotion_id"),
     )
     qualified = (
-        listed.join(valid, "promotion_id", "left_semi")
+        listed.join(valid.select("promotion_id"), "promotion_id", "left_semi")
         .groupBy("ship_city", "ship_state", "list_key")
         .agg(
             F.count(F.lit(1)).alias("valid_promotion_count"),

@@ -301,20 +301,22 @@ def state_avg_amount(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(averages, "state_avg_merchant_shipped_amount")
 
 
+def _averages(orders: DataFrame) -> DataFrame:
+    """State averages, settled so that the planner knows their size."""
+    return shared.settle(cc.state_avg_amount(orders), "state-averages")
+
+
 @query
 def orders_with_state_avg(spark: SparkSession, folder: str) -> DataFrame:
     orders = _orders(spark, folder)
-    averages = shared.settle(cc.state_avg_amount(orders), "state-averages")
-    joined = cc.orders_with_state_avg(orders, averages).select(
+    joined = cc.orders_with_state_avg(orders, _averages(orders)).select(
         "row_key", "ship_state", "amount", "state_avg_merchant_shipped_amount"
     )
     return _rounded(joined, "amount", "state_avg_merchant_shipped_amount")
 
 
 def _qualified(orders: DataFrame) -> DataFrame:
-    averages = shared.settle(cc.state_avg_amount(orders), "state-averages")
-    valid = _valid(orders)
-    return cc.qualified_orders(orders, cc.valid_promo_count(orders, valid), averages)
+    return cc.qualified_orders(orders, _valid(orders), _averages(orders))
 
 
 @query
@@ -328,7 +330,9 @@ def qualified_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def city_cancellation(spark: SparkSession, folder: str) -> DataFrame:
-    result = cc.city_cancellation(_orders(spark, folder).drop("row_key"))
+    """The final table; its narrow orders are written once and read three times."""
+    orders = shared.settle(_orders(spark, folder).drop("row_key", "promo_array"), "orders")
+    result = cc.city_cancellation(orders, _valid(orders), _averages(orders))
     return _rounded(result, "state_avg_merchant_shipped_amount")
 
 

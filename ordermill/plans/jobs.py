@@ -55,8 +55,11 @@ def city_cancellation(
     columns = ["date", "amount", "status", "fulfilment", "service_level", "courier_status",
                "ship_city", "ship_state", "promotion_ids"]
     with Scratch(spark) as scratch:
-        orders = scratch.settle(_orders(spark, source, columns), "orders")
-        result = cancellation.city_cancellation(cancellation.prepare_orders(orders))
+        prepared = cancellation.prepare_orders(_orders(spark, source, columns))
+        orders = scratch.settle(prepared.drop("promo_array"), "orders")
+        valid = scratch.settle(cancellation.valid_promotions(orders), "valid-promotions")
+        averages = scratch.settle(cancellation.state_avg_amount(orders), "state-averages")
+        result = cancellation.city_cancellation(orders, valid, averages)
         sinks.write_parquet(result, target, ["ship_state", "ship_city"], single_file)
 
 

@@ -1,7 +1,8 @@
 import datetime as dt
+import random
+from collections import defaultdict
 
 import pytest
-from hypothesis import HealthCheck, given, settings, strategies as st
 
 from ordermill.operators import cancellation as cc
 from ordermill.sources.shared import settle
@@ -25,9 +26,8 @@ def prepared(spark, rows):
 def both_ways(orders):
     """The final table by order-level operators and by promotion lists."""
     valid, averages = cc.valid_promotions(orders), cc.state_avg_amount(orders)
-    counts = cc.valid_promo_count(orders, valid)
-    by_orders = cc.cancellation_by_city(cc.qualified_orders(orders, counts, averages))
-    by_lists = cc.city_cancellation(orders)
+    by_orders = cc.cancellation_by_city(cc.qualified_orders(orders, valid, averages))
+    by_lists = cc.city_cancellation(orders, valid, averages)
     return [sorted(map(tuple, t.collect())) for t in (by_orders, by_lists)]
 
 
@@ -89,20 +89,54 @@ def test_generated_keys_are_unique_and_stored(spark):
     assert keys and sorted(keys) == sorted(r.row_key for r in keyed.collect())
 
 
-promo_list = st.lists(st.sampled_from(["a", "b", "c", "d", " e", ""]), max_size=6).map(",".join)
-order = st.builds(
-    lambda day, amount, status, fulfilment, level, city, state, promos: dict(
-        day=day, amount=float(amount), status=status, fulfilment=fulfilment, level=level,
-        city=city, state=state, promos=promos),
-    st.integers(0, 4), st.integers(1, 9), st.sampled_from(["Shipped", "Cancelled"]),
-    st.sampled_from(["Merchant", "Amazon "]), st.sampled_from([" Standard", "Expedited"]),
-    st.sampled_from(["x", "y"]), st.sampled_from(["s", "t"]), promo_list,
-)
-
-
-@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(order, min_size=10, max_size=60))
-def test_both_ways_agree(spark, rows):
-    orders = settle(prepared(spark, [row(k, **r) for k, r in enumerate(rows)]), "orders")
+def random_case(rng, case):
+    """Up to 60 orders; places and promotions carry the case, so cases do not mix."""
+    def promos():
+        return ",".join(f"{p}{case}" if p.strip() else p
+                        for p in rng.choices(["a", "b", "c", "d", " e", ""], k=rng.randint(0, 6)))
+
+    return [
+        row(case * 1000 + k, rng.randint(0, 4), float(rng.randint(1, 9)),
+            rng.choice(["Shipped", "Cancelled"]), rng.choice(["Merchant", "Amazon "]),
+            rng.choice([" Standard", "Expedited"]), "Shipped", rng.choice("xy"),
+            f"{rng.choice('st')}{case}", promos())
+        for k in range(rng.randint(10, 60))
+    ]
+
+
+def brute_force(rows):
+    seen, paid, found = defaultdict(set), defaultdict(list), defaultdict(list)
+    pieces = {r[0]: {p.strip() for p in r[9].split(",")} - {""} for r in rows}
+    for r in rows:
+        for p in pieces[r[0]]:
+            seen[p].add(r[1])
+        if r[4] == "Merchant":
+            paid[r[8].upper()].append(r[2])
+    valid = {p for p, days in seen.items() if (max(days) - min(days)).days >= 2}
+    for r in rows:
+        state = r[8].upper()
+        if (r[5] == " Standard" and state in paid and len(pieces[r[0]] & valid) >= 3
+                and r[2] < sum(paid[state]) / len(paid[state])):
+            found[r[7].upper(), state].append(r[3] == "Cancelled")
+    return sorted(
+        (*place, len(hits), sum(hits), round(100 * sum(hits) / len(hits), 4),
+         pytest.approx(sum(paid[place[1]]) / len(paid[place[1]])))
+        for place, hits in found.items())
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_both_ways_against_brute_force(spark, seed):
+    """50 random cases in one table."""
+    rng = random.Random(seed)
+    rows = [r for case in range(50) for r in random_case(rng, case)]
+    by_orders, by_lists = both_ways(settle(prepared(spark, rows), "orders"))
+    assert by_orders == by_lists == brute_force(rows)
+    assert len(by_orders) > 50
+
+
+def test_lists_of_the_same_promotions_meet(spark):
+    orders = prepared(spark, BASE + [row(3, 1, 5.0, promos="c,a,b"),
+                                     row(4, 1, 5.0, promos="b, c,,a,a")])
     by_orders, by_lists = both_ways(orders)
     assert by_orders == by_lists
+    assert [r[2] for r in by_lists] == [2]

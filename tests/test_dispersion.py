@@ -1,9 +1,9 @@
 import bisect
 import math
+import random
 from collections import defaultdict
 
 import pytest
-from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
 from ordermill.operators import dispersion as dp
@@ -43,12 +43,12 @@ def test_equal_amounts_have_no_deviation_however_large(spark):
     assert dp.sku_month_std_exact(dp.promo_profile(orders_of(spark, rows))).first()[3:] == (0, 0)
 
 
-pair = st.tuples(st.integers(0, 6), st.integers(1, 10_000))
-
-
-@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.tuples(st.sampled_from("abc"), pair), min_size=1, max_size=60))
-def test_against_brute_force(spark, rows):
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_brute_force(spark, seed):
+    """60 random groups of 1 to 60 orders in one table."""
+    rng = random.Random(seed)
+    rows = [(f"k{g}", (rng.randint(0, 6), rng.randint(1, 10_000)))
+            for g in range(60) for _ in range(rng.randint(1, 60))]
     groups = defaultdict(list)
     for sku, p in rows:
         groups[sku].append(p)

@@ -46,6 +46,26 @@ def test_hot_promotion_is_split_beyond_the_broadcast_limit(spark, conf):
     assert "skew=true" in plan_text(counts)
 
 
+def test_candidates_are_chosen_before_their_promotions_are_exploded(spark):
+    report = plan_text(QUERIES["qualified_orders"](spark, FOLDER))
+    explode = report.index("Generate explode")
+    assert "standard" in report[explode:]
+
+
+def test_hot_group_is_split_beyond_the_broadcast_limit(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "16KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    orders = settle(spark.range(60_000).selectExpr(
+        "id AS row_key", "if(id % 3 = 0, 'HOT', concat('S', id % 997)) AS sku", "2022 AS year",
+        "4 AS month", "id % 5 AS promo_count", "cast(id AS double) AS amount"), "hot-groups")
+    thresholds = settle(dp.thresholds_exact(dp.promo_profile(orders)), "thresholds")
+    joined = dp.orders_with_thresholds(orders, thresholds)
+    assert len(joined.collect()) == 60_000
+    assert "skew=true" in plan_text(joined)
+
+
 def test_small_side_is_broadcast_by_its_size(spark):
     orders = _hot_orders(spark)
     valid = settle(cc.valid_promotions(orders), "valid")

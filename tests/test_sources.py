@@ -156,7 +156,11 @@ EXPECTED = {
 @pytest.mark.parametrize("job", sorted(JOBS))
 def test_jobs_from_csv(spark, tmp_path, job):
     source, target = export(tmp_path, ORDERS), str(tmp_path / "out")
+    folder = shared.shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
     main([job, source, target])
+    main([job, source, target])  # replaces its result
+    assert set(os.listdir(folder) if os.path.isdir(folder) else []) == before
     if job in EXPECTED:
         header, *rows = written(target).splitlines()
         assert (header, len(rows)) == EXPECTED[job]
