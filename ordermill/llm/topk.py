@@ -6,6 +6,9 @@ seen of a vector gives a lower bound of the score (unseen components at their
 worst) and an upper bound (unseen components at the list's present place). The
 block is done when no outsider's upper bound can reach the query's k-th lower
 bound; then the few vectors left are scored in full from what their lists hold.
+The queries of a group read in step, so a stretch is a matrix product: entries
+read from the lists' upper ends for positive weights, from the lower ends for
+negative ones.
 
 Queries and blocks meet by an equi-join on (block, query group): each group of
 queries is read once per block and each block once per group, never both whole.
@@ -24,8 +27,9 @@ K = 10
 SCALE = 1024
 BLOCK_ROWS = 8192
 GROUP_QUERIES = 256
-#: Entries read from each list in the first stretch; each stretch doubles.
-STRETCH = 64
+#: The first stretch is this share of each list; each further stretch ends four
+#: times as deep.
+FIRST_SHARE = 16
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -42,61 +46,77 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
 
 def _matrix(table: pa.Table, width: int) -> np.ndarray:
     values = table.column("v").combine_chunks()
-    return values.flatten().to_numpy().reshape(-1, width).astype(np.int64)
+    return values.flatten().to_numpy().reshape(table.num_rows, width).astype(np.int64)
 
 
 class Lists:
-    """A block's components, sorted per dimension."""
+    """A block's components, sorted per dimension.
+
+    ``place`` is each row's place in a dimension's list, from its lower end.
+    """
 
     def __init__(self, matrix: np.ndarray) -> None:
+        self.matrix = matrix
         self.rows, self.width = matrix.shape
-        self.order = np.argsort(matrix, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(matrix, self.order, axis=0)
-
-    def top(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows that can be among the k best (ties too) and their scores."""
-        up = query > 0
-        used = np.flatnonzero(query)
-        weight = query[used]
-        worst = np.where(up[used], self.sorted[0, used], self.sorted[-1, used]) * weight
-        seen = np.zeros(self.rows, dtype=np.int64)  # sum over the seen lists
-        owed = np.full(self.rows, worst.sum())  # worst case of the others
-        read = np.zeros((len(used), self.rows))
-        depth, step = 0, min(STRETCH, self.rows)
-        while True:
-            stop = min(depth + step, self.rows)
-            span = np.arange(depth, stop)
-            for j, d in enumerate(used):
-                at = self.rows - 1 - span if up[d] else span
-                rows = self.order[at, d]
-                seen[rows] += self.sorted[at, d] * weight[j]
-                owed[rows] -= worst[j]
-                read[j, rows] = 1
-            depth, step = stop, step * 2
-            if depth == self.rows:
-                keep = np.arange(self.rows)
-                break
-            edge = np.array(
-                [self.sorted[self.rows - 1 - depth if up[d] else depth, d] for d in used]) * weight
-            lower = seen + owed
-            bar = np.partition(lower, -k)[-k] if self.rows > k else lower.min()
-            # Upper bounds: what is still open counts as the edge of its list.
-            upper = seen + edge.sum() - edge @ read
-            keep = np.flatnonzero(upper >= bar)
-            if len(keep) <= max(4 * k, 64):
-                break
-        # Resolve: complete the remaining rows from the unread parts of their lists.
-        score = seen[keep].copy()
-        place = np.full(self.rows, -1)
-        place[keep] = np.arange(len(keep))
-        if depth < self.rows:
-            span = np.arange(depth, self.rows)
-            for j, d in enumerate(used):
-                at = self.rows - 1 - span if up[d] else span
-                mine = place[self.order[at, d]]
-                has = mine >= 0
-                score[mine[has]] += self.sorted[at[has], d] * weight[j]
-        return keep, score
+        order = np.argsort(matrix, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(matrix, order, axis=0)
+        self.place = np.empty_like(order)
+        np.put_along_axis(self.place, order, np.arange(self.rows)[:, None], axis=0)
+
+    def _number_type(self, queries: np.ndarray) -> type:
+        """Doubles where all sums are exact in them, else 64-bit integers."""
+        largest = [max(abs(int(m.max(initial=0))), abs(int(m.min(initial=0))))
+                   for m in (self.matrix, queries)]
+        return np.float64 if largest[0] * largest[1] * self.width < 2**51 else np.int64
+
+    def _read(self, depth: int) -> np.ndarray:
+        """What is read at a depth: from the upper ends, then from the lower ends."""
+        return np.hstack([self.place >= self.rows - depth, self.place < depth])
+
+    def top(self, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per query its index, the rows that can be among its k best (ties
+        too), ascending, and their scores."""
+        number = self._number_type(queries)
+        matrix = self.matrix.astype(number)
+        both = np.hstack([matrix, matrix])
+        weights = np.vstack([np.maximum(queries.T, 0), np.minimum(queries.T, 0)]).astype(number)
+        # An unread entry is worth the far end of its list at worst.
+        far = np.concatenate([self.sorted[0], self.sorted[-1]]).astype(number)[:, None]
+        enough = max(4 * k, 64)
+        left = np.arange(len(queries))
+        depth = -(-self.rows // FIRST_SHARE)
+        while len(left) and depth < self.rows and enough < self.rows:
+            w = weights[:, left]
+            read = self._read(depth)
+            mask = read.astype(number)
+            seen = (both * mask) @ w
+            lower = seen + (far * w).sum(axis=0) - mask @ (far * w)
+            bar = np.partition(lower, self.rows - k, axis=0)[self.rows - k]
+            # ... and what comes next in its list at best.
+            near = np.concatenate([self.sorted[self.rows - 1 - depth], self.sorted[depth]])
+            edge = near.astype(number)[:, None] * w
+            upper = seen + edge.sum(axis=0) - mask @ edge
+            inside = upper >= bar
+            done = inside.sum(axis=0) <= enough
+            for j in np.flatnonzero(done):
+                rows = np.flatnonzero(inside[:, j])
+                # Resolve: the unread parts of the lists complete these rows.
+                rest = (both[rows] * ~read[rows]) @ w[:, j]
+                yield left[j], rows, (seen[rows, j] + rest).astype(np.int64)
+            left = left[~done]
+            depth *= 4
+        if len(left):  # all lists are read to their ends
+            seen = matrix @ queries[left].T.astype(number)
+            for j, i in enumerate(left):
+                yield i, np.arange(self.rows), seen[:, j].astype(np.int64)
+
+
+def _best(score: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k highest scores, ties in the order given."""
+    at = np.arange(len(score))
+    if len(score) > k:
+        at = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
+    return at[np.argsort(-score[at], kind="stable")][:k]
 
 
 def top_k(
@@ -136,14 +156,14 @@ def top_k(
             by_id = np.argsort(ids, kind="stable")  # ties to the smaller id
             ids = ids[by_id]
             lists = Lists(_matrix(data, size)[by_id])
-            for own, q in zip(asked.column("vec_id").to_numpy(), _matrix(asked, size)):
-                # One more for each row of the query's own id.
-                mine = int((ids == own).sum())
-                rows, score = lists.top(q, k + mine)
-                other = ids[rows] != own
+            own = asked.column("vec_id").to_numpy()
+            # One more for each row of a query's own id.
+            mine = np.searchsorted(ids, own, "right") - np.searchsorted(ids, own, "left")
+            for i, rows, score in lists.top(_matrix(asked, size), k + int(mine.max())):
+                other = ids[rows] != own[i]
                 rows, score = rows[other], score[other]
-                best = np.lexsort((ids[rows], -score))[:k]
-                out.append((np.full(len(best), own), ids[rows[best]], score[best]))
+                best = _best(score, k)
+                out.append((np.full(len(best), own[i]), ids[rows[best]], score[best]))
         merged = [np.concatenate(x) if out else np.zeros(0, dtype=np.int64) for x in zip(*out)] or [
             np.zeros(0, dtype=np.int64)] * 3
         return pa.table(dict(zip(("query_id", "vec_id", "score"), merged)))

@@ -316,3 +316,27 @@ def test_benchmark_passages(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count() - 2
     assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
     assert decontamination.contaminated(docs.limit(0), bench).count() == 0
+
+
+@pytest.mark.parametrize("rows, width, most, k", [
+    (4000, 4, 300, 10), (3000, 2, 3, 10), (700, 5, 9, 500), (900, 3, 2**33, 10), (40, 0, 1, 5)])
+def test_topk_bounds_never_lose_a_row(rows, width, most, k):
+    """A block's kept rows hold the k best by brute force, ties in row order."""
+    rng = np.random.default_rng(rows)
+    matrix = rng.integers(-most, most + 1, (rows, width))
+    queries = rng.integers(-9, 10, (20, width))
+    found = {i: (kept, score) for i, kept, score in topk.Lists(matrix).top(queries, k)}
+    assert sorted(found) == list(range(20))
+    for i, (kept, score) in found.items():
+        full = matrix @ queries[i]
+        assert (score == full[kept]).all()
+        best = topk._best(score, k)
+        assert (kept[best] == np.lexsort((np.arange(rows), -full))[:k]).all()
+
+
+def test_topk_of_empty_vectors_scores_zero(spark):
+    table = spark.createDataFrame(
+        [(1, []), (2, []), (3, [1.0]), (4, None)], "vec_id long, embedding array<float>")
+    ready = topk.quantised(table)
+    got = topk.top_k(ready, ready.filter("vec_id = 1"), 5).collect()
+    assert [tuple(r) for r in got] == [(1, 1, 2, 0)]
