@@ -26,7 +26,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 K = 10
 SCALE = 1024
 BLOCK_ROWS = 8192
-GROUP_QUERIES = 256
+GROUP_QUERIES = 2048
+#: Queries of a group that read in step; bounds the memory of a task.
+STEP_QUERIES = 256
 #: The first stretch is this share of each list; each further stretch ends four
 #: times as deep.
 FIRST_SHARE = 16
@@ -159,11 +161,14 @@ def top_k(
             own = asked.column("vec_id").to_numpy()
             # One more for each row of a query's own id.
             mine = np.searchsorted(ids, own, "right") - np.searchsorted(ids, own, "left")
-            for i, rows, score in lists.top(_matrix(asked, size), k + int(mine.max())):
-                other = ids[rows] != own[i]
-                rows, score = rows[other], score[other]
-                best = _best(score, k)
-                out.append((np.full(len(best), own[i]), ids[rows[best]], score[best]))
+            queries = _matrix(asked, size)
+            for first in range(0, len(own), STEP_QUERIES):
+                step = slice(first, first + STEP_QUERIES)
+                for i, rows, score in lists.top(queries[step], k + int(mine[step].max())):
+                    other = ids[rows] != own[first + i]
+                    rows, score = rows[other], score[other]
+                    best = _best(score, k)
+                    out.append((np.full(len(best), own[first + i]), ids[rows[best]], score[best]))
         merged = [np.concatenate(x) if out else np.zeros(0, dtype=np.int64) for x in zip(*out)] or [
             np.zeros(0, dtype=np.int64)] * 3
         return pa.table(dict(zip(("query_id", "vec_id", "score"), merged)))

@@ -183,7 +183,8 @@ def test_scores_of_odd_and_empty_tables(spark):
 # Top-k
 
 
-def test_top_k_is_exact(spark):
+def test_top_k_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(topk, "STEP_QUERIES", 3)
     pick = np.random.default_rng(3)
     vectors = pick.integers(-9, 9, (300, 6)).astype(float)  # many ties
     rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
