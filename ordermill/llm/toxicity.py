@@ -1,38 +1,46 @@
 """Toxicity by the nearest labelled examples.
 
-Examples are a bounded sample of the labelled rows. The vocabulary is what tells
-the labels apart in them: the words with the largest chi-squared statistic, above
-a limit that chance hardly reaches. Over it, texts are TF-IDF vectors with
-document frequencies from all documents, and the ``neighbours`` examples of the
-largest exact cosine vote, each with weight 1 / (distance + 0.05). Votes become
-probabilities by monotone regression on the examples' own leave-one-out votes.
-
-Examples with equal vectors are one entry with counts. The index keeps, per
-word, its postings and each block's largest weight; a search scores blocks in
-the order of their bounds and stops when no block can reach the k-th best, so it
-is exact. The index is bounded by ``max_examples`` and is broadcast; documents
-are read once, and only their few vocabulary counts are written.
+Examples are the distinct texts of a bounded sample of the labelled rows. Texts
+are whole TF-IDF vectors: every word counts, with document frequencies from all
+documents, in the vector where an example has it and in the norm in any case. A
+word's weight is also multiplied by sqrt(1 + G), G being the likelihood ratio
+statistic of word and label in the examples, each text once; words that tell
+nothing keep the factor 1 or little more, and no word is left out. The
+``neighbours`` examples of the largest exact cosine vote, each with weight
+1 / (distance + 0.05). Votes become probabilities by monotone regression on the
+examples' own leave-one-out votes.
+
+The index has postings for most words and dense columns for those in a twentieth
+of the examples. A batch of texts is scored against all examples, the largest
+score of each block of them bounds the k-th best from below, and what can reach
+it is scored again in double precision, so the search is exact. The index is
+bounded by ``max_examples`` and is broadcast; of a document, the words no example
+has are weighed by a join with their frequencies.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ordermill.llm.common import MIN_LONG, id_and_text, id_remainder, keyed, slices, utf8
 from ordermill.sources.shared import settle
 
 MAX_EXAMPLES = 30_000
-MAX_TERMS = 256
-#: Chi-squared with one degree of freedom passes 50 by chance once in 10 ** 12.
-MIN_CHI2 = 50.0
 NEIGHBOURS = 15
 BLOCK = 64
+#: Words in more than this share of the examples are dense columns.
+DENSE = 0.05
+#: Texts scored at a time.
+BATCH = 64
 THRESHOLD = 0.7
 
 #: ASCII letters lower-cased, other ASCII but digits as white space; the rest as it is.
@@ -48,7 +56,7 @@ def words_of(text: bytes) -> list[bytes]:
 
 @dataclass
 class Index:
-    """Distinct example vectors with their labels, and block-max postings."""
+    """Distinct example vectors with their labels, postings and dense columns."""
 
     idf: np.ndarray
     vectors: list[tuple[np.ndarray, np.ndarray]]
@@ -56,23 +64,40 @@ class Index:
     toxic: np.ndarray
     ids: list[int | None]
     neighbours: int = NEIGHBOURS
-    postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-    block_max: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))
+    entries: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int32))
+    values: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    dense: np.ndarray | None = None
 
     def __post_init__(self) -> None:
-        lists: list[tuple[list[int], list[float]]] = [([], []) for _ in self.idf]
-        blocks = len(self.vectors) // BLOCK + 1
-        self.block_max = np.zeros((len(self.idf), blocks))
-        for e, (terms, weights) in enumerate(self.vectors):
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                lists[t][0].append(e)
-                lists[t][1].append(w)
-                self.block_max[t, e // BLOCK] = max(self.block_max[t, e // BLOCK], w)
-        self.postings = [(np.array(a, dtype=np.int64), np.array(b)) for a, b in lists]
-
-    def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        empty = (np.zeros(0, dtype=np.int64), np.zeros(0))
+        terms, weights = (np.concatenate(c) for c in zip(empty, *self.vectors))
+        owner = np.repeat(np.arange(len(self.vectors)), [len(t) for t, _ in self.vectors])
+        order = np.argsort(terms, kind="stable")
+        self.entries, self.values = owner[order].astype(np.int32), weights[order].astype(np.float32)
+        sizes = np.bincount(terms.astype(np.int64), minlength=len(self.idf))
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.dense = None
+
+    def _columns(self) -> np.ndarray:
+        """Numbers of the dense columns, -1 for other words; makes them when first used."""
+        if self.dense is None:
+            sizes = np.diff(self.starts)
+            wide = np.flatnonzero(sizes > DENSE * max(len(self.vectors), 1))
+            self.column = np.full(len(self.idf), -1)
+            self.column[wide] = np.arange(len(wide))
+            self.dense = np.zeros((len(wide), len(self.vectors)), dtype=np.float32)
+            for i, t in enumerate(wide.tolist()):
+                at = slice(self.starts[t], self.starts[t + 1])
+                self.dense[i, self.entries[at]] = self.values[at]
+        return self.column
+
+    def vector(
+        self, terms: np.ndarray, counts: np.ndarray, others: float = 0.0
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights; ``others`` is the squared weight of words no example has."""
         weights = (1 + np.log(counts)) * self.idf[terms]
-        norm = np.sqrt((weights**2).sum())
+        norm = np.sqrt((weights**2).sum() + others)
         return terms, weights / norm if norm else weights
 
     def search(
@@ -80,42 +105,89 @@ class Index:
     ) -> tuple[np.ndarray, np.ndarray]:
         """(entries, cosines) of the nearest, ties to the smaller entry.
 
-        ``without`` leaves one example of that entry out.
+        ``without`` leaves that entry out.
+        """
+        return self.search_all([(terms, weights)], [without])[0]
+
+    def search_all(
+        self, vectors: list[tuple[np.ndarray, np.ndarray]], without: list[int] | None = None
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``search`` for several vectors."""
+        rows, n = len(vectors), len(self.vectors)
+        if not n:
+            return [(np.zeros(0, dtype=np.int64), np.zeros(0))] * rows
+        column = self._columns()
+        terms = np.concatenate([t for t, _ in vectors]).astype(np.int64)
+        weights = np.concatenate([w for _, w in vectors])
+        row = np.repeat(np.arange(rows), [len(t) for t, _ in vectors])
+        wide = column[terms] >= 0
+        query = np.zeros((rows, len(self.dense)), dtype=np.float32)
+        query[row[wide], column[terms[wide]]] = weights[wide]
+        blocks = -(-n // BLOCK)
+        scores = np.full((rows, blocks * BLOCK), -1, dtype=np.float32)
+        scores[:, :n] = query @ self.dense
+        terms, weights, row = terms[~wide], weights[~wide], row[~wide]
+        sizes = self.starts[terms + 1] - self.starts[terms]
+        at = np.arange(sizes.sum()) + np.repeat(self.starts[terms] - (np.cumsum(sizes) - sizes), sizes)
+        scores[:, :n] += np.bincount(
+            np.repeat(row * n, sizes) + self.entries[at],
+            self.values[at] * np.repeat(weights, sizes), rows * n).reshape(rows, n)
+        if without is not None:
+            for i, e in enumerate(without):
+                if e >= 0:
+                    scores[i, e] = -1
+        # The k-th largest of the blocks' maxima is no more than the k-th best.
+        best = scores.reshape(rows, blocks, BLOCK).max(axis=2)
+        k = min(self.neighbours, blocks)
+        limits = np.partition(best, blocks - k, axis=1)[:, blocks - k] if blocks >= self.neighbours else np.zeros(rows)
+        out = []
+        full = np.zeros(len(self.idf))
+        for i, (t, w) in enumerate(vectors):
+            hits = np.flatnonzero(scores[i] > max(limits[i] - 1e-4, 0))
+            if len(hits) > self.neighbours:
+                kth = np.partition(scores[i, hits], -self.neighbours)[-self.neighbours]
+                hits = hits[scores[i, hits] >= kth - 1e-4]
+            full[t] = w
+            exact = np.array([full[self.vectors[e][0]] @ self.vectors[e][1] for e in hits.tolist()])
+            full[t] = 0
+            order = np.lexsort((hits, -np.round(exact, 12)))[: self.neighbours]
+            out.append((hits[order], np.minimum(exact[order], 1.0)))
+        return out
+
+    def vote(self, found: np.ndarray, scores: np.ndarray) -> float:
+        """Weighted share of toxic examples among the nearest, -1 without any.
+
+        Equal examples vote once, with the share of toxic ones among them.
         """
-        bounds = weights @ self.block_max[terms]
-        order = np.argsort(-bounds, kind="stable")
-        found = np.zeros(0, dtype=np.int64)
-        scores = np.zeros(0)
-        skipped = without if without >= 0 and self.total[without] == 1 else -1
-        for block in order:
-            full = len(found) == self.neighbours
-            if bounds[block] <= 0 or full and bounds[block] < scores[-1] - 1e-12:
-                break
-            low, high = block * BLOCK, (block + 1) * BLOCK
-            own = np.zeros(BLOCK)
-            for t, w in zip(terms, weights):
-                entries, values = self.postings[t]
-                a, b = np.searchsorted(entries, (low, high))
-                own[entries[a:b] - low] += w * values[a:b]
-            if low <= skipped < high:
-                own[skipped - low] = 0
-            hits = np.flatnonzero(own > 0)
-            found = np.concatenate([found, hits + low])
-            scores = np.concatenate([scores, own[hits]])
-            best = np.lexsort((found, -np.round(scores, 12)))[: self.neighbours]
-            found, scores = found[best], scores[best]
-        return found, np.minimum(scores, 1.0)
-
-    def vote(self, found: np.ndarray, scores: np.ndarray, without: int = -1) -> float:
-        """Weighted share of toxic examples among the nearest, -1 without any."""
-        total, toxic = self.total[found].astype(float), self.toxic[found].astype(float)
-        if without >= 0:  # one example of the entry, averaged over its labels
-            own = found == without
-            share = self.toxic[without] / self.total[without]
-            total[own] -= 1
-            toxic[own] -= share
-        weight = total / (1 - scores + 0.05)
-        return float((weight * toxic / np.maximum(total, 1e-9)).sum() / weight.sum()) if weight.sum() else -1.0
+        weight = 1 / (1 - scores + 0.05)
+        share = self.toxic[found] / self.total[found]
+        return float((weight * share).sum() / weight.sum()) if len(found) else -1.0
+
+
+@dataclass
+class Packed:
+    """An index as it travels: compressed terms and counts, opened once per process."""
+
+    idf: np.ndarray
+    sizes: np.ndarray
+    total: np.ndarray
+    toxic: np.ndarray
+    ids: np.ndarray
+    neighbours: int
+    words: bytes
+    index: Index | None = None
+
+    def open(self) -> Index:
+        if self.index is None:
+            terms, counts = np.frombuffer(zlib.decompress(self.words), "<i4").reshape(2, -1)
+            ends = np.cumsum(self.sizes)[:-1]
+            index = Index(self.idf, [], self.total, self.toxic, self.ids.tolist(), self.neighbours)
+            index.vectors = [
+                index.vector(t, c) for t, c in zip(np.split(terms, ends), np.split(counts, ends))
+            ] if len(self.sizes) else []
+            index.__post_init__()
+            self.index = index
+        return self.index
 
 
 @dataclass
@@ -148,14 +220,26 @@ def calibrated(votes: np.ndarray, total: np.ndarray, toxic: np.ndarray) -> Calib
     return Calibration(edges, values, rate)
 
 
-def _chosen_terms(examples: DataFrame, max_terms: int, min_chi2: float) -> list[bytes]:
-    """The words whose presence depends most on the label."""
+def _told(toxic: np.ndarray, clean: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """The likelihood ratio statistic of word and label, by texts with the word."""
+    n, some = n1 + n0, toxic + clean
+    total = np.zeros(len(some))
+    for seen, expected in (
+        (toxic, some * n1 / n), (clean, some * n0 / n),
+        (n1 - toxic, (n - some) * n1 / n), (n0 - clean, (n - some) * n0 / n),
+    ):
+        total += seen * np.log(np.maximum(seen, 1e-300) / np.maximum(expected, 1e-300))
+    return np.maximum(2 * total, 0)
+
+
+def _vocabulary(examples: DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The examples' words, and in how many toxic and other texts each occurs."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[int, Counter[bytes]] = {0: Counter(), 1: Counter()}
         for batch in parts:
             for text, toxic in zip(utf8(batch.column("text")), batch.column("toxic").to_pylist()):
-                counts[toxic].update(set(words_of(text)))
+                counts[toxic > 0].update(set(words_of(text)))
         words = list(counts[0].keys() | counts[1].keys())
         for at in range(0, len(words), 50_000):
             some = words[at : at + 50_000]
@@ -164,49 +248,42 @@ def _chosen_terms(examples: DataFrame, max_terms: int, min_chi2: float) -> list[
                  pa.array([counts[1][w] for w in some], pa.int64())],
                 names=["word", "clean", "toxic"])
 
-    sizes = examples.agg(
-        F.count_if(F.col("toxic") == 0).alias("clean"),
-        F.count_if(F.col("toxic") == 1).alias("toxic")).first()
-    n0, n1 = float(sizes.clean), float(sizes.toxic)
-    if not n0 or not n1:
-        return []
-    a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
-    cross = a * (n0 - b) - b * (n1 - a)
-    chi2 = (n0 + n1) * cross * cross / ((a + b) * (n0 + n1 - a - b + 0.5) * n0 * n1)
     found = (
         examples.select("text", "toxic")
         .mapInArrow(batches, "word binary, clean long, toxic long")
         .groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .withColumn("chi2", chi2)
-        .filter(F.col("chi2") >= min_chi2)
-        .orderBy(F.desc("chi2"), "word")
-        .limit(max_terms)
-    )
-    return [bytes(r.word) for r in found.collect()]
+        .toArrow().sort_by("word"))
+    return found["word"].to_pylist(), found["toxic"].to_numpy(), found["clean"].to_numpy()
 
 
-def _counted(docs: DataFrame, terms: list[bytes]) -> DataFrame:
-    """(doc_id, text_hash, terms, counts): how often each text uses the terms."""
-    number = {t: i for i, t in enumerate(terms)}
-    rows = id_and_text(docs).withColumn("text_hash", F.xxhash64("text"))
+def _counted(rows: DataFrame, shared, kept: str) -> DataFrame:
+    """The columns ``kept``, and how often each text uses the examples' words and others.
+
+    ``others`` are 64-bit digests.
+    """
+    names = rows.select(*[c.split()[0] for c in kept.split(", ")]).columns
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = number.keys()
+        number = shared.value
         for batch in slices(parts, "text", 8 << 20):
-            at, n = [], []
+            at, n, others, m = [], [], [], []
             for text in utf8(batch.column("text")):
-                words = words_of(text)
-                hits = Counter(w for w in words if w in number) if known & set(words) else {}
-                order = sorted((number[w], c) for w, c in hits.items())
+                hits = Counter(words_of(text))
+                order = sorted((number[w], c) for w, c in hits.items() if w in number)
                 at.append([i for i, _ in order])
                 n.append([c for _, c in order])
+                new = [(w, c) for w, c in hits.items() if w not in number] if len(order) < len(hits) else []
+                others.append([xxhash.xxh64_intdigest(w) - (1 << 63) for w, _ in new])
+                m.append([c for _, c in new])
             yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("text_hash"),
-                 pa.array(at, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32()))],
-                names=["doc_id", "text_hash", "terms", "counts"])
+                [*(batch.column(c) for c in names),
+                 pa.array(at, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32())),
+                 pa.array(others, pa.list_(pa.int64())), pa.array(m, pa.list_(pa.int32()))],
+                names=[*names, "terms", "counts", "others", "other_counts"])
 
     return rows.mapInArrow(
-        batches, "doc_id long, text_hash long, terms array<int>, counts array<int>")
+        batches,
+        f"{kept}, terms array<int>, counts array<int>, others array<long>, other_counts array<int>")
 
 
 def score(
@@ -215,8 +292,6 @@ def score(
     held_divisor: int = 3,
     held_remainder: int = 1,
     max_examples: int = MAX_EXAMPLES,
-    max_terms: int = MAX_TERMS,
-    min_chi2: float = MIN_CHI2,
     neighbours: int = NEIGHBOURS,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
@@ -225,8 +300,8 @@ def score(
     ``labels`` has doc_id and toxic (0 or 1; null and other values are left
     out). Rows held out by the crc32 of their id give no example. ``evidence``
     lists the nearest examples with doc_id, share of toxic ones among equals,
-    and cosine. Texts without any telling word, empty and null ones among them,
-    get the rate of such examples; without examples of both labels all scores
+    and cosine. Texts without any word of an example, empty and null ones among
+    them, get the rate of such examples; without examples of both labels all scores
     are that of the examples there are, or 0. Repeated rows and null ids are
     rows like any other; a label that occurs twice counts as toxic if one is.
 
@@ -239,77 +314,101 @@ def score(
     ).filter("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.filter(id_remainder(held_divisor) != held_remainder)
     rows = known.count()
-    share = min(1.0, max_examples / max(rows, 1))
+    part = min(1.0, max_examples / max(rows, 1))
     place = F.xxhash64("doc_id", F.lit("example")).cast("double") / 2.0**64 + 0.5
     # Written first, so that the planner sees the bounded size and moves no texts.
-    chosen = settle(known.filter(place < share), "toxicity-labels")
-    examples = settle(
-        id_and_text(docs).join(chosen, "doc_id").select(
-            "doc_id", "text", "toxic"),
-        "toxicity-examples")
-    terms = _chosen_terms(examples, max_terms, min_chi2)
-
-    counted = settle(_counted(docs, terms), "toxicity-counts")
-    frequency = {r.t: r.n for r in counted.select(F.explode("terms").alias("t")).groupBy("t").agg(
-        F.count(F.lit(1)).alias("n")).collect()}
+    chosen = settle(known.filter(place < part), "toxicity-labels")
+    # Equal texts are one example: copies tell nothing more.
+    distinct = settle(
+        id_and_text(docs).join(chosen, "doc_id").groupBy("text").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"), F.min("doc_id").alias("id"))
+        .withColumn("text_hash", F.xxhash64("text")),
+        "toxicity-texts")
+    terms, toxic, other = _vocabulary(distinct)
+    number = spark.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
+    texts = id_and_text(docs).withColumn("text_hash", F.xxhash64("text"))
+    counted = settle(_counted(texts, number, "doc_id long, text_hash long"), "toxicity-counts")
     total = counted.count()
-    idf = np.array([np.log((1 + total) / (1 + frequency.get(i, 0))) + 1 for i in range(len(terms))])
-
-    labelled = (
-        _counted(examples, terms).join(
-            examples.select("doc_id", F.xxhash64("text").alias("text_hash"), "toxic").distinct(),
-            ["doc_id", "text_hash"])
-        .groupBy("terms", "counts")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"), F.min("doc_id").alias("id"))
-        .collect()
-    )
-    labelled.sort(key=lambda r: (r.terms, r.counts))
-    blank = [r for r in labelled if not r.terms]
-    some = [r for r in labelled if r.terms]
-    index = Index(
-        idf, [], np.array([r.n for r in some]), np.array([r.toxic for r in some]),
-        [r.id for r in some], neighbours)
-    index.vectors = [index.vector(np.array(r.terms), np.array(r.counts)) for r in some]
-    index.__post_init__()
-    votes = [index.vote(*index.search(*v, without=e), without=e) for e, v in enumerate(index.vectors)]
+    frequency = np.zeros(len(terms))
+    seen = counted.select(F.explode("terms").alias("t")).groupBy("t").agg(
+        F.count(F.lit(1)).alias("n")).toArrow()
+    frequency[seen["t"].to_numpy()] = seen["n"].to_numpy()
+    labelled = _counted(distinct, number, "id long, text_hash long, n long, toxic long").drop(
+        "others", "other_counts").toArrow().sort_by(
+        [("id", "ascending"), ("text_hash", "ascending")]).combine_chunks()
+    bad = labelled["toxic"].to_numpy() > 0
+    idf = np.log((1 + total) / (1 + frequency)) + 1
+    if bad.any() and not bad.all():
+        idf *= np.sqrt(1 + _told(toxic, other, int(bad.sum()), int((~bad).sum())))
+    share = labelled["toxic"].to_numpy() / labelled["n"].to_numpy()
+    wordy = pc.list_value_length(labelled["terms"]).to_numpy() > 0
+    some = labelled.filter(pa.array(wordy)).combine_chunks()
+    flat = [pc.list_flatten(some[c]).to_numpy().astype("<i4") for c in ("terms", "counts")]
+    shared = spark.sparkContext.broadcast(Packed(
+        idf, pc.list_value_length(some["terms"]).to_numpy(), some["n"].to_numpy(),
+        some["toxic"].to_numpy(), some["id"].to_numpy(), neighbours,
+        zlib.compress(np.concatenate(flat).tobytes(), 1)))
+
+    def left_out(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value.open()
+        for batch in parts:
+            entries = batch.column("id").to_pylist()
+            for low in range(0, len(entries), BATCH):
+                own = entries[low : low + BATCH]
+                found = index.search_all([index.vectors[e] for e in own], own)
+                yield pa.record_batch(
+                    [pa.array(own, pa.int64()), pa.array([index.vote(*f) for f in found], pa.float64())],
+                    names=["id", "vote"])
+
+    votes = np.full(some.num_rows, -1.0)
+    done = spark.range(some.num_rows).repartition(max(1, some.num_rows // 2048)).mapInArrow(
+        left_out, "id long, vote double").toArrow()
+    votes[done["id"].to_numpy()] = done["vote"].to_numpy()
     fit = calibrated(
-        np.array(votes + [-1.0] * len(blank)),
-        np.array([r.n for r in some + blank], dtype=float),
-        np.array([r.toxic for r in some + blank], dtype=float))
-    shared = spark.sparkContext.broadcast((index, fit))
+        np.concatenate([votes, np.full((~wordy).sum(), -1.0)]), np.ones(len(share)),
+        np.concatenate([share[wordy], share[~wordy]]))
+
+    # The squared weight of the words no example has, by their frequencies.
+    key = F.coalesce("doc_id", F.lit(MIN_LONG)).alias("__k")
+    words = counted.select(
+        key, "text_hash", F.explode(F.arrays_zip("others", "other_counts")).alias("o")).select(
+        "__k", "text_hash", F.col("o.others").alias("word"), F.col("o.other_counts").alias("c"))
+    weight = (1 + F.log("c")) * (F.log((1 + F.lit(total)) / (1 + F.col("f"))) + 1)
+    rest = settle(
+        words.distinct().join(words.groupBy("word").agg(F.count(F.lit(1)).alias("f")), "word")
+        .groupBy("__k", "text_hash").agg(F.sum(weight * weight).alias("rest")), "toxicity-others")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, fit = shared.value
-        kept: dict[tuple, tuple[float, list[dict]]] = {}
-        for batch in parts:
-            out = []
-            for t, n in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist()):
-                key = (*t, -1, *n)
-                if key not in kept:
-                    if len(kept) > 100_000:
-                        kept.clear()
-                    found, near = index.search(*index.vector(np.array(t, dtype=int), np.array(n)))
-                    kept[key] = fit(index.vote(found, near)), [
-                        {"doc_id": index.ids[e], "toxic": float(index.toxic[e] / index.total[e]),
-                         "cosine": float(s)} for e, s in zip(found[:3], near[:3])]
-                out.append(kept[key])
-            scores = np.array([s for s, _ in out])
-            kind = pa.list_(pa.struct(
-                [("doc_id", pa.int64()), ("toxic", pa.float64()), ("cosine", pa.float64())]))
-            yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("text_hash"), batch.column("held_out"),
-                 pa.array(scores, pa.float64()),
-                 pa.array((scores >= threshold).astype(np.int32), pa.int32()),
-                 pa.array([e for _, e in out], kind)],
-                names=["doc_id", "text_hash", "held_out", "score", "predicted", "evidence"])
+        index = shared.value.open()
+        kind = pa.list_(pa.struct(
+            [("doc_id", pa.int64()), ("toxic", pa.float64()), ("cosine", pa.float64())]))
+        for whole in parts:
+            for low in range(0, whole.num_rows, BATCH):
+                batch = whole.slice(low, BATCH)
+                found = index.search_all([
+                    index.vector(np.array(t, dtype=np.int32), np.array(n), r) for t, n, r in zip(
+                        *(batch.column(c).to_pylist() for c in ("terms", "counts", "rest")))])
+                scores = np.array([fit(index.vote(*f)) for f in found])
+                near = [
+                    [{"doc_id": index.ids[e], "toxic": float(index.toxic[e] / index.total[e]),
+                      "cosine": float(s)} for e, s in zip(at[:3], cosines[:3])]
+                    for at, cosines in found]
+                yield pa.record_batch(
+                    [batch.column("doc_id"), batch.column("text_hash"), batch.column("held_out"),
+                     pa.array(scores, pa.float64()),
+                     pa.array((scores >= threshold).astype(np.int32), pa.int32()),
+                     pa.array(near, kind)],
+                    names=["doc_id", "text_hash", "held_out", "score", "predicted", "evidence"])
 
     held = id_remainder(held_divisor) == held_remainder
-    return counted.select(
-        "doc_id", "text_hash", held.alias("held_out"), "terms", "counts"
-    ).mapInArrow(
-        batches,
-        "doc_id long, text_hash long, held_out boolean, score double, predicted int, "
-        "evidence array<struct<doc_id:long,toxic:double,cosine:double>>")
+    return (
+        counted.select("doc_id", key, "text_hash", held.alias("held_out"), "terms", "counts")
+        .join(rest, ["__k", "text_hash"], "left")
+        .select("doc_id", "text_hash", "held_out", "terms", "counts", F.coalesce("rest", F.lit(0.0)).alias("rest"))
+        .mapInArrow(
+            batches,
+            "doc_id long, text_hash long, held_out boolean, score double, predicted int, "
+            "evidence array<struct<doc_id:long,toxic:double,cosine:double>>"))
 
 
 def clean(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
