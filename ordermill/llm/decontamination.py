@@ -1,10 +1,14 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Documents are read as passages of ``width`` words. TF-IDF weights come from the
-documents' own word frequencies; words outside the benchmark count as if seen
-once. A passage's share of squared weight in the benchmark's words bounds its
-squared cosine with any item; passages below ``min_share`` are left out at once,
-which bounds what is written. Over the other passages and the items, a randomised singular value
+Documents are read as passages of ``width`` words, and of half as many and so on
+down to the length of the shortest item. TF-IDF weights come from the documents'
+own word frequencies, for all words. A passage's share of squared weight in the
+items' words bounds its squared cosine with any item; passages below the square
+of ``min_cosine`` are left out at once, and those around which no item has enough
+of its words to be covered, which loses no match. Words in few documents are too
+many to send everywhere: they weigh as little as they can at first, so that
+cosines are bounds from above, and the matches' cosines are made exact by a join
+with these words' frequencies. Over the passages left and the items, a randomised singular value
 decomposition gives a latent space: a random start, multiplied by the passages'
 Gram matrix in Spark and made orthonormal, a few times. Items whose cosine with
 a passage there, with the passage's whole norm, reaches ``min_cosine`` are
@@ -21,11 +25,13 @@ words and vectors are bounded and are broadcast.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ordermill.llm.common import MIN_LONG, id_and_text, keyed, slices
@@ -33,10 +39,11 @@ from ordermill.sources.shared import settle
 
 WIDTH = 24
 STRIDE = 12
-MIN_SHARE = 0.25
 MIN_COSINE = 0.25
 COVERED, PARTLY, ANSWERED = 0.8, 0.6, 0.8
 BLOCK_ITEMS = 256
+#: Words in more than this share of the documents are sent to all tasks.
+OFTEN = 1 / 1024
 SPARE = 32
 ROUNDS = 1
 TERM_ROWS = 256
@@ -105,58 +112,110 @@ def _frequencies(texts: DataFrame, number: dict[str, int]) -> tuple[np.ndarray,
     return seen, rows
 
 
+def _digest(word: str) -> int:
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def _all_frequencies(texts: DataFrame) -> DataFrame:
+    """(word, n): in how many documents each word occurs, words as 64-bit digests."""
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(parts, "text", 8 << 20):
+            seen: Counter[str] = Counter()
+            for text in batch.column("text").to_pylist():
+                seen.update(set(words_of(text)))
+            yield pa.record_batch(
+                [pa.array([_digest(w) for w in seen], pa.int64()),
+                 pa.array(seen.values(), pa.int64())], names=["word", "n"])
+
+    return texts.select("text").mapInArrow(batches, "word long, n long").groupBy("word").agg(
+        F.sum("n").alias("n"))
+
+
+def _widths(width: int, shortest: int) -> list[int]:
+    """``width``, halved until a window fits into the shortest item."""
+    widths = [width]
+    while widths[-1] > max(shortest, 1):
+        widths.append(widths[-1] // 2)
+    return widths
+
+
 def _passages(
-    texts: DataFrame, number: dict[str, int], idf: np.ndarray, unknown: float, reach: int,
-    width: int, stride: int, min_share: float,
+    texts: DataFrame, number: dict[str, int], items: list[Item], idf: np.ndarray, often, least: float,
+    widths: list[tuple[int, int]], min_share: float,
 ) -> DataFrame:
-    """(doc_id, text_hash, at, words): passages with enough squared weight in known words.
+    """(doc_id, text_hash, at, size, words, squares, others): passages that may match.
 
-    ``words`` are the word numbers, -1 for others, of the passage and of
-    ``reach`` words before and after it; ``at`` is where the passage starts in
-    them.
+    ``words`` are the word numbers, -1 for others, of the passage and of the
+    longest item's number of words before and after it; ``at`` is where the
+    passage starts in them and ``size`` its length. ``squares`` is the squared
+    weight of its other words, those of few documents (``others``, digests)
+    counting as ``least``.
     """
-    weights = np.append(idf, unknown)  # -1 is the last
+    reach = max(len(i.words) for i in items)
+    held = np.zeros((len(number), len(items)), dtype=np.float32)
+    for i, item in enumerate(items):
+        np.add.at(held[:, i], item.words, 1)
+    needed = PARTLY * np.array([len(i.words) for i in items]) - 1e-3
+    shared = texts.sparkSession.sparkContext.broadcast((number, idf, held, needed))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, idf, held, needed = shared.value
+        common = often.value
         for batch in slices(parts, "text", 8 << 20):
             ids, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
             out = []
             for row, text in enumerate(batch.column("text").to_pylist()):
                 words = words_of(text)
-                if not words:
+                mine = [number[w] for w in set(words) if w in number]
+                near = np.flatnonzero(held[mine].sum(axis=0) >= needed) if mine else mine
+                if not len(near):
                     continue
+                own = held[:, near]
                 numbers = np.fromiter((number.get(w, -1) for w in words), np.int32, len(words))
-                weight = weights[numbers]
-                weight = weight * weight
-                known = np.concatenate([[0.0], np.cumsum(np.where(numbers >= 0, weight, 0))])
-                total = np.concatenate([[0.0], np.cumsum(weight)])
-                start = np.arange(0, max(len(words) - width + stride, 1), stride)
-                end = np.minimum(start + width, len(words))
-                share = (known[end] - known[start]) / np.maximum(total[end] - total[start], 1e-9)
-                for s in start[share >= min_share].tolist():
-                    low = max(s - reach, 0)
-                    out.append((ids[row], hashes[row], s - low,
-                                numbers[low : s + width + reach].astype("<i4").tobytes()))
+                digests = np.fromiter(
+                    (0 if w in number else _digest(w) for w in words), np.int64, len(words))
+                rare = np.array([n < 0 and d not in common for n, d in zip(numbers.tolist(), digests.tolist())])
+                for width, stride in widths:
+                    start = np.arange(0, max(len(words) - width + stride, 1), stride)
+                    for s in start.tolist():
+                        e = min(s + width, len(words))
+                        low = max(s - reach, 0)
+                        around = numbers[low : s + width + reach]
+                        if (own[np.unique(around[around >= 0])].sum(axis=0) < needed[near]).all():
+                            continue
+                        new, n = np.unique(digests[s:e][numbers[s:e] < 0], return_counts=True)
+                        squares = sum(
+                            (c * common.get(d, least)) ** 2 for d, c in zip(new.tolist(), n.tolist()))
+                        seen, n = np.unique(numbers[s:e][numbers[s:e] >= 0], return_counts=True)
+                        inside = ((n * idf[seen]) ** 2).sum()
+                        if inside < min_share * (inside + squares) or not inside:
+                            continue
+                        out.append((
+                            ids[row], hashes[row], s - low, e - s, around.astype("<i4").tobytes(),
+                            float(squares), digests[s:e][rare[s:e]].tolist()))
             if out:
                 yield pa.record_batch(
-                    [pa.array(v, t) for v, t in
-                     zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-                    names=["doc_id", "text_hash", "at", "words"])
+                    [pa.array(v, t) for v, t in zip(zip(*out), (
+                        pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.float64(),
+                        pa.list_(pa.int64())))],
+                    names=["doc_id", "text_hash", "at", "size", "words", "squares", "others"])
 
-    return texts.mapInArrow(batches, "doc_id long, text_hash long, at int, words binary")
+    return texts.mapInArrow(
+        batches, "doc_id long, text_hash long, at int, size int, words binary, squares double, "
+        "others array<long>")
 
 
-def _vector(words: np.ndarray, idf: np.ndarray, unknown: float) -> tuple[np.ndarray, np.ndarray]:
-    """(words, weights) of length one in all, unknown words included."""
+def _vector(words: np.ndarray, idf: np.ndarray, squares: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """(words, weights) of length one in all, ``squares`` of other words included."""
     own, n = np.unique(words[words >= 0], return_counts=True)
     weights = n * idf[own]
-    norm = np.sqrt((weights**2).sum() + (words < 0).sum() * unknown**2)
+    norm = np.sqrt((weights**2).sum() + squares)
     return own, weights / norm if norm else weights
 
 
 def _latent(
-    passages: DataFrame, items: list[np.ndarray], idf: np.ndarray, unknown: float, rank: int,
-    width: int, rounds: int,
+    passages: DataFrame, items: list[np.ndarray], idf: np.ndarray, rank: int, rounds: int,
 ) -> np.ndarray:
     """Right singular vectors (words x rank) of the passages' and items' TF-IDF rows.
 
@@ -175,8 +234,10 @@ def _latent(
             x = shared.value
             total = np.zeros_like(x)
             for batch in parts:
-                for at, words in zip(batch.column("at").to_pylist(), batch.column("words").to_pylist()):
-                    own, w = _vector(np.frombuffer(words, "<i4")[at : at + width], idf, unknown)
+                for at, size, words, squares in zip(
+                    *(batch.column(c).to_pylist() for c in ("at", "size", "words", "squares"))
+                ):
+                    own, w = _vector(np.frombuffer(words, "<i4")[at : at + size], idf, squares)
                     total[own] += np.outer(w, w @ x[own])
             for low in range(0, terms, TERM_ROWS):
                 rows = total[low : low + TERM_ROWS]
@@ -191,13 +252,13 @@ def _latent(
 
         out = np.zeros_like(x)
         for row in (
-            passages.select("at", "words").mapInArrow(partial, "low int, rows binary")
+            passages.select("at", "size", "words", "squares").mapInArrow(partial, "low int, rows binary")
             .groupBy("low").applyInArrow(summed, "low int, rows binary").collect()
         ):
             part = np.frombuffer(bytes(row.rows)).reshape(-1, x.shape[1])
             out[row.low : row.low + len(part)] += part
         for words in items:
-            own, w = _vector(words, idf, unknown)
+            own, w = _vector(words, idf)
             out[own] += weight * np.outer(w, w @ x[own])
         shared.unpersist()
         return out
@@ -211,12 +272,11 @@ def _latent(
 
 
 def _matches(
-    passages: DataFrame, items: list[Item], idf: np.ndarray, unknown: float, latent: np.ndarray,
-    width: int, min_cosine: float,
+    passages: DataFrame, items: list[Item], idf: np.ndarray, latent: np.ndarray, min_cosine: float,
 ) -> DataFrame:
     vectors = np.zeros((len(items), latent.shape[1]))
     for i, item in enumerate(items):
-        own, w = _vector(np.array(item.words), idf, unknown)
+        own, w = _vector(np.array(item.words), idf)
         vectors[i] = w @ latent[own]
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
     shared = passages.sparkSession.sparkContext.broadcast(
@@ -227,29 +287,47 @@ def _matches(
         for batch in parts:
             out = []
             for row in batch.to_pylist():
-                words, at = np.frombuffer(row["words"], "<i4"), row["at"]
-                own, w = _vector(words[at : at + width], idf, unknown)
+                words, at, size = np.frombuffer(row["words"], "<i4"), row["at"], row["size"]
+                own, w = _vector(words[at : at + size], idf, row["squares"])
+                whole = float(((np.unique(words[at : at + size][words[at : at + size] >= 0], return_counts=True)[1] * idf[own]) ** 2).sum()) + row["squares"]
                 cosines = vectors @ (w.astype(np.float32) @ latent[own])
-                for i in np.flatnonzero(cosines >= min_cosine).tolist():
+                for i in np.flatnonzero(cosines >= min_cosine - 1e-6).tolist():
                     item = items[i]
                     reach = len(item.words)
-                    region = words[max(at - reach, 0) : at + width + reach]
+                    region = words[max(at - reach, 0) : at + size + reach]
                     covered = _common(item.words, region) / len(item.words)
                     if covered < PARTLY:
                         continue
                     answer = _common(item.answer, region) / max(len(item.answer), 1)
                     if covered >= COVERED or answer >= ANSWERED:
                         out.append((row["doc_id"], row["text_hash"], item.item_id,
-                                    float(cosines[i]), covered, answer))
+                                    float(cosines[i]), covered, answer, whole, row["others"]))
             if out:
-                kinds = (pa.int64(),) * 3 + (pa.float64(),) * 3
+                kinds = (pa.int64(),) * 3 + (pa.float64(),) * 4 + (pa.list_(pa.int64()),)
                 yield pa.record_batch(
                     [pa.array(v, t) for v, t in zip(zip(*out), kinds)],
-                    names=["doc_id", "text_hash", "item_id", "cosine", "covered", "answered"])
+                    names=["doc_id", "text_hash", "item_id", "cosine", "covered", "answered", "whole", "others"])
 
     return passages.mapInArrow(
         batches,
-        "doc_id long, text_hash long, item_id long, cosine double, covered double, answered double")
+        "doc_id long, text_hash long, item_id long, cosine double, covered double, answered double, "
+        "whole double, others array<long>")
+
+
+def _exact(found: DataFrame, frequencies: DataFrame, total: int, least: float) -> DataFrame:
+    """Matches with their passage's whole norm, words of few documents weighed too."""
+    rows = settle(found.withColumn("row", F.expr("uuid()")), "benchmark-matches")
+    weight = F.log((1 + F.lit(total)) / (1 + F.col("n"))) + 1
+    more = (
+        rows.select("row", F.explode("others").alias("word"))
+        .groupBy("row", "word").agg(F.count(F.lit(1)).alias("c"))
+        .join(frequencies, "word")
+        .groupBy("row").agg(
+            F.sum(F.col("c") * F.col("c") * (weight * weight - F.lit(least * least))).alias("more"))
+    )
+    full = F.col("whole") + F.greatest(F.coalesce("more", F.lit(0.0)), F.lit(0.0))
+    return rows.join(more, "row", "left").withColumn(
+        "cosine", F.col("cosine") * F.sqrt(F.col("whole") / full))
 
 
 def contaminated(
@@ -257,7 +335,6 @@ def contaminated(
     benchmark: DataFrame,
     width: int = WIDTH,
     stride: int = STRIDE,
-    min_share: float = MIN_SHARE,
     min_cosine: float = MIN_COSINE,
     block_items: int = BLOCK_ITEMS,
     rounds: int = ROUNDS,
@@ -279,6 +356,13 @@ def contaminated(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
     ).filter("text IS NOT NULL")
     blocks = max(1, -(-bench.count() // block_items))
+    frequencies = settle(_all_frequencies(texts), "benchmark-frequencies")
+    total = texts.count()
+    often = {
+        r.word: float(np.log((1 + total) / (1 + r.n))) + 1
+        for r in frequencies.filter(F.col("n") > OFTEN * total).toLocalIterator()}
+    least = float(np.log((1 + total) / (1 + np.floor(OFTEN * total)))) + 1
+    shared = spark.sparkContext.broadcast(often)
     found = []
     for block in range(blocks):
         rows = [
@@ -290,24 +374,25 @@ def contaminated(
             continue
         number = {w: i for i, w in enumerate(sorted({w for r in rows for w in words_of(r.text)}))}
         items = _items(rows, number)
-        seen, total = _frequencies(texts, number)
+        seen, _ = _frequencies(texts, number)
         idf = np.log((1 + total) / (1 + seen)) + 1
-        unknown = float(np.log(1 + total)) + 1
-        reach = max(len(i.words) for i in items)
+        widths = [
+            (w, max(1, w * stride // width))
+            for w in _widths(width, min(len(i.words) for i in items))]
         passages = settle(
-            _passages(texts, number, idf, unknown, reach, width, stride, min_share),
+            _passages(texts, number, items, idf, shared, least, widths, min_cosine**2),
             "benchmark-passages")
         rank = min(len(items) + SPARE, len(number))
-        latent = _latent(
-            passages, [np.array(i.words) for i in items], idf, unknown, rank, width, rounds)
-        found.append(_matches(passages, items, idf, unknown, latent, width, min_cosine))
+        latent = _latent(passages, [np.array(i.words) for i in items], idf, rank, rounds)
+        found.append(_exact(
+            _matches(passages, items, idf, latent, min_cosine), frequencies, total, least))
     if not found:
         return spark.createDataFrame(
             [], "doc_id long, text_hash long, item_id long, cosine double, covered double, answered double")
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.union(more)
-    return pairs.groupBy("doc_id", "text_hash", "item_id").agg(
+    return pairs.filter(F.col("cosine") >= min_cosine - 1e-6).groupBy("doc_id", "text_hash", "item_id").agg(
         F.max("cosine").alias("cosine"), F.max("covered").alias("covered"),
         F.max("answered").alias("answered"))
 

@@ -354,6 +354,19 @@ def test_benchmark_passages(spark):
     assert decontamination.contaminated(docs.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("n", [20, 400])
+def test_short_items_among_rare_words(spark, n):
+    """Items of 15 words are found anywhere in texts of words seen once."""
+    items = [" ".join(words(15, 200 + i, 40)) for i in range(4)]
+    texts = [" ".join(words(60, i, 40)) for i in range(n)]
+    for i in range(4):
+        own = [f"own{n}x{i}x{j}" for j in range(60)]
+        texts.append(" ".join(own[: 13 + 5 * i]) + " " + items[i] + " " + " ".join(own[13 + 5 * i :]))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = decontamination.contaminated(documents(spark, texts), bench)
+    assert {(n + i, i) for i in range(4)} <= {(r.doc_id, r.item_id) for r in found.collect()}
+
+
 @pytest.mark.parametrize("rows, width, most, k", [
     (4000, 4, 300, 10), (3000, 2, 3, 10), (700, 5, 9, 500), (900, 3, 2**33, 10), (40, 0, 1, 5)])
 def test_topk_bounds_never_lose_a_row(rows, width, most, k):
