@@ -2,9 +2,9 @@
 
 A text is cut into lines, and lines after sentence ends, so that a passage set
 into other prose is found as well. A unit is normalised (case, digits and white
-space folded) and digested; units of fewer than ``min_chars`` normalised
-characters are too common to tell anything and always stay. Of each digest the
-occurrence of the smallest (doc_id, text, position) stays.
+space folded) and digested, however short it is; only blank units stay as they
+are. A repeated line goes with its sentences. Of each digest the occurrence of
+the smallest (doc_id, text, position) stays.
 
 Only digests travel, not texts. They are counted first, with map-side combine,
 so a line that a third of all texts share shrinks to one row per task; then the
@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, functions as F
 from ordermill.llm.common import MIN_LONG, id_and_text, slices
 from ordermill.sources.shared import settle
 
-MIN_CHARS = 40
+#: Shorter units always stay; 1 leaves out blank ones only.
+MIN_CHARS = 1
 #: Ends of units: line breaks, or also white space after a sentence.
 LINES = r"[^\n]*\n?"
 SENTENCES = r"(?:[^\n.!?]|[.!?](?![ \t\n]))*+(?:[.!?]+[ \t]*)?\n?"

@@ -44,6 +44,12 @@ def test_repeated_units_go_but_the_first(spark):
     assert rows[1].text == texts[1][: span.start] + texts[1][span.end :]
 
 
+def test_short_repeated_units_go(spark):
+    texts = ["Short line\n\nOwn one. Yes.", "short  LINE\n\nOwn two. Yes. Own three.\n", "Yes."]
+    rows = {r.doc_id: r for r in substring.remove_repeats(documents(spark, texts)).collect()}
+    assert [rows[i].text for i in range(3)] == [texts[0], "\nOwn two. Own three.\n", ""]
+
+
 def test_substring_on_odd_and_empty_tables(spark):
     docs = documents(spark, ODD, doc_id=IDS)
     assert substring.remove_repeats(docs).count() == len(ODD)
