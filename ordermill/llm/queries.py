@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ordermill.llm import decontamination, language, packing, pii, simhash, substring, suffixarray, suffixtree, topk, toxicity
+from ordermill.llm import (
+    bestfit, conversations, decontamination, language, oracles, packing, pii, planes, simhash,
+    substring, suffixarray, suffixtree, topk, toxicity,
+)
 from ordermill.llm.common import table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
 
 
 def query(function: Query) -> Query:
@@ -88,3 +91,23 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items held by documents."""
     return decontamination.contaminated(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_hash")
+
+
+@query
+def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents, packed into as few sequences as best-two-fit takes."""
+    return bestfit.pack(table(spark, folder, "documents"), *vocabulary())
+
+
+@query
+def op12_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters of all vectors and how tight they are."""
+    vectors = planes.quantised(table(spark, folder, "embeddings"))
+    return planes.with_quality(*planes.cluster(vectors))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of all damaged conversations and their cheapest repair."""
+    rows = table(spark, folder, "conversations")
+    return conversations.repair(conversations.damaged(rows), ids=rows)
