@@ -98,11 +98,14 @@ def qualifying_disagreements(set_diff: DataFrame, k: int = 10) -> DataFrame:
 
 def sku_month_sizes(orders: DataFrame, row_bytes: int = 200) -> DataFrame:
     """Orders per group and their estimated size in MB."""
-    return (
-        orders.groupBy(*GROUP)
-        .agg(F.count(F.lit(1)).alias("n_orders"))
-        .withColumn("est_size_mb", F.col("n_orders") * row_bytes / F.lit(1024.0 * 1024.0))
-    )
+    counted = orders.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n_orders"))
+    return estimated_sizes(counted, row_bytes)
+
+
+def estimated_sizes(counted: DataFrame, row_bytes: int = 200) -> DataFrame:
+    """Groups with their ``n_orders`` and an estimated size in MB."""
+    return counted.withColumn(
+        "est_size_mb", F.col("n_orders") * row_bytes / F.lit(1024.0 * 1024.0))
 
 
 def largest_groups(sizes: DataFrame, min_orders: int = 1000, k: int = 20) -> DataFrame:

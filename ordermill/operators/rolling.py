@@ -8,23 +8,28 @@ yields only dates that have an order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ordermill.functions.text import is_present, upper_stripped
 
 
-def shipped_purchases(sales: DataFrame) -> DataFrame:
-    """Rows that count as a purchase, with state and size in upper case.
+def is_purchase() -> Column:
+    """Whether a row counts as a purchase.
 
     Any status that contains "shipped" counts, so "Unshipped" does as well.
     """
-    kept = sales.filter(
+    return (
         F.lower("status").contains("shipped")
         & (F.col("qty") > 0)
         & is_present("size")
         & is_present("ship_state")
         & F.col("order_date").isNotNull()
     )
+
+
+def shipped_purchases(sales: DataFrame) -> DataFrame:
+    """Rows that count as a purchase, with state and size in upper case."""
+    kept = sales.filter(is_purchase())
     key = [c for c in ("row_key",) if c in sales.columns]
     return kept.select(
         *key,
@@ -56,7 +61,7 @@ def rolling_fanout(daily: DataFrame, days: int = 7) -> DataFrame:
 def rolling_size_qty(sales: DataFrame, days: int = 7) -> DataFrame:
     """Units per window date, state and size."""
     daily = daily_size_qty(shipped_purchases(sales))
-    return _sum_windows(rolling_fanout(daily, days))
+    return sum_windows(rolling_fanout(daily, days))
 
 
 def rolling_size_qty_event_time(sales: DataFrame, days: int = 7) -> DataFrame:
@@ -71,7 +76,7 @@ def rolling_size_qty_event_time(sales: DataFrame, days: int = 7) -> DataFrame:
     windowed = daily.select(
         window.alias("covers"), "state", "size", "qty"
     ).select(F.col("covers.end").cast("date").alias("window_date"), "state", "size", "qty")
-    return _sum_windows(windowed)
+    return sum_windows(windowed)
 
 
 def top_size(size_qty: DataFrame) -> DataFrame:
@@ -87,5 +92,6 @@ def rolling_top_size(sales: DataFrame, days: int = 7) -> DataFrame:
     return top_size(rolling_size_qty(sales, days))
 
 
-def _sum_windows(windowed: DataFrame) -> DataFrame:
+def sum_windows(windowed: DataFrame) -> DataFrame:
+    """Units per window date, state and size of days already dealt to windows."""
     return windowed.groupBy("window_date", "state", "size").agg(F.sum("qty").alias("qty"))

@@ -54,13 +54,14 @@ def variety_per_style(items: DataFrame) -> DataFrame:
 
 
 def median_variety(sales: DataFrame, sizes: Sequence[str] = LARGE_SIZES) -> DataFrame:
-    """Exact median over styles of the number of distinct SKUs, per month and state.
+    """Exact median over styles of the number of distinct SKUs, per month and state."""
+    return median_of(variety_per_style(sized_items(sales, sizes)))
+
+
+def median_of(varieties: DataFrame) -> DataFrame:
+    """Exact median of the styles' varieties, per month and state.
 
     ``median`` keeps one count per distinct value. Varieties of one group add
     up to its SKUs, so s SKUs give fewer than sqrt(2 s) distinct values.
     """
-    return (
-        variety_per_style(sized_items(sales, sizes))
-        .groupBy("month", "state")
-        .agg(F.median("variety").alias("median_variety"))
-    )
+    return varieties.groupBy("month", "state").agg(F.median("variety").alias("median_variety"))

@@ -521,6 +521,11 @@ def qualifying_diff_summary(spark: SparkSession, folder: str) -> DataFrame:
     return rp.qualifying_diff_summary(_set_diff(spark, folder))
 
 
+@query
+def qualifying_diff_summary_coarse(spark: SparkSession, folder: str) -> DataFrame:
+    return rp.qualifying_diff_summary(_set_diff(spark, folder, COARSE_ACCURACY))
+
+
 @query
 def qualifying_disagreements(spark: SparkSession, folder: str) -> DataFrame:
     return rp.qualifying_disagreements(_set_diff(spark, folder))
@@ -568,6 +573,11 @@ def std_diff_summary(spark: SparkSession, folder: str) -> DataFrame:
     return rp.std_diff_summary(_std_diff(spark, folder))
 
 
+@query
+def std_diff_summary_coarse(spark: SparkSession, folder: str) -> DataFrame:
+    return rp.std_diff_summary(_std_diff(spark, folder, COARSE_ACCURACY))
+
+
 @query
 def largest_std_diffs(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(rp.largest_std_diffs(_std_diff(spark, folder)), *_STDS)

@@ -28,8 +28,13 @@ def plan_text(df: DataFrame, mode: str = "simple") -> str:
 
 
 def plan_report(df: DataFrame) -> dict[str, object]:
-    """Join strategies and number of shuffles (broadcasts not counted) of a plan."""
-    text = plan_text(df)
+    """``plan_facts`` of a query: of the plan that ran if rows were collected before."""
+    return plan_facts(plan_text(df))
+
+
+def plan_facts(text: str) -> dict[str, object]:
+    """Join strategies and number of shuffles (broadcasts not counted) in a plan's text."""
+    text = text.split("== Initial Plan ==")[0]
     return {
         "joins": [s for s in JOIN_STRATEGIES if s in text],
         "exchanges": len(re.findall(r"\bExchange\b", text)),

@@ -16,7 +16,7 @@ def _approx(accuracy: int) -> str:
         FROM shares GROUP BY sku, year, month"""
 
 
-_STEPS = {
+STEPS = {
     "sales": """
         SELECT o_orderkey AS row_key,
                CAST(o_orderdate AS DATE) AS order_date,
@@ -143,23 +143,20 @@ _STEPS = {
         SELECT * FROM sku_orders JOIN exact USING (sku, year, month)""",
     "stds": """
         SELECT sku, year, month,
-               round(coalesce(stddev_pop(amount) FILTER (promo_count >= p90_thresh_exact), 0.0), 4)
-                   AS p90,
-               round(coalesce(stddev_pop(amount) FILTER (promo_count >= p80_thresh_exact), 0.0), 4)
-                   AS p80
+               coalesce(stddev_pop(amount) FILTER (promo_count >= p90_thresh_exact), 0.0) AS p90,
+               coalesce(stddev_pop(amount) FILTER (promo_count >= p80_thresh_exact), 0.0) AS p80
         FROM bounded GROUP BY sku, year, month""",
     "approx_bounded": """
         SELECT * FROM sku_orders JOIN approx USING (sku, year, month)""",
     "approx_stds": """
         SELECT sku, year, month,
-               round(coalesce(stddev_pop(amount) FILTER (promo_count >= p90_thresh), 0.0), 4)
-                   AS a90,
-               round(coalesce(stddev_pop(amount) FILTER (promo_count >= p80_thresh), 0.0), 4)
-                   AS a80
+               coalesce(stddev_pop(amount) FILTER (promo_count >= p90_thresh), 0.0) AS a90,
+               coalesce(stddev_pop(amount) FILTER (promo_count >= p80_thresh), 0.0) AS a80
         FROM approx_bounded GROUP BY sku, year, month""",
     "std_diffs": """
-        SELECT sku AS "SKU", year, month, a90 AS std_p90_approx, a80 AS std_p80_approx,
-               p90 AS std_p90_exact, p80 AS std_p80_exact,
+        SELECT sku AS "SKU", year, month,
+               round(a90, 4) AS std_p90_approx, round(a80, 4) AS std_p80_approx,
+               round(p90, 4) AS std_p90_exact, round(p80, 4) AS std_p80_exact,
                round(abs(a90 - p90), 4) AS diff_std_p90, round(abs(a80 - p80), 4) AS diff_std_p80
         FROM stds JOIN approx_stds USING (sku, year, month)""",
     "approx_passing": """
@@ -187,31 +184,34 @@ _STEPS = {
 _PURCHASES = ["sales", "purchases"]
 _SIZE_QTY = [*_PURCHASES, "fanned", "size_qty"]
 _TOP_SIZE = [*_SIZE_QTY, "top_size"]
-_ITEMS = ["sales", "items"]
+ITEMS = ["sales", "items"]
 _SPANS = ["sales", "prepared", "exploded", "spans"]
 _VALID_ROWS = [*_SPANS, "valid", "valid_rows"]
 _ENRICHED = [*_VALID_ROWS, "valid_counts", "averages", "enriched"]
 _CITIES = [*_ENRICHED, "qualified", "cities"]
-_SKU_ORDERS = ["sales", "sku_orders"]
-_EXACT = [*_SKU_ORDERS, "exact"]
-_STDS = [*_EXACT, "bounded", "stds"]
-_APPROX = [*_SKU_ORDERS, "shares", "approx"]
-_COMPARED = [*_EXACT, "shares", "approx", "compared"]
+SKU_ORDERS = ["sales", "sku_orders"]
+EXACT = [*SKU_ORDERS, "exact"]
+_STDS = [*EXACT, "bounded", "stds"]
+_APPROX = [*SKU_ORDERS, "shares", "approx"]
+COMPARED = [*EXACT, "shares", "approx", "compared"]
 _APPROX_STDS = [*_APPROX, "approx_bounded", "approx_stds"]
 _STD_DIFFS = [*_STDS, *_APPROX_STDS[2:], "std_diffs"]
-_SET_DIFF = [*_EXACT, "bounded", "passing", "shares", "approx", "approx_bounded",
+SET_DIFF = [*EXACT, "bounded", "passing", "shares", "approx", "approx_bounded",
              "approx_passing", "set_diff"]
 
 
-def _sql(steps: list[str], select: str, accuracy: int | None = None) -> str:
-    bodies = _STEPS | ({"approx": _approx(accuracy)} if accuracy else {})
+def sql(
+    steps: list[str], select: str, accuracy: int | None = None, bodies: dict[str, str] | None = None
+) -> str:
+    """A query over these steps; ``bodies`` replaces some of them."""
+    bodies = STEPS | ({"approx": _approx(accuracy)} if accuracy else {}) | (bodies or {})
     clauses = ",\n".join(f"{name} AS MATERIALIZED ({bodies[name]})" for name in steps)
     return f"WITH {clauses}\n{select}"
 
 
-_TOP_SIZE_SQL = _sql(_TOP_SIZE, "SELECT * FROM top_size")
-_CITIES_SQL = _sql(_CITIES, "SELECT * FROM cities")
-_STD_SQL = _sql(_STD_DIFFS, "SELECT * EXCLUDE (diff_std_p90, diff_std_p80) FROM std_diffs")
+TOP_SIZE_SQL = sql(_TOP_SIZE, "SELECT * FROM top_size")
+_CITIES_SQL = sql(_CITIES, "SELECT * FROM cities")
+_STD_SQL = sql(_STD_DIFFS, "SELECT * EXCLUDE (diff_std_p90, diff_std_p80) FROM std_diffs")
 _DIFF_SUMMARY = """SELECT count(*) AS n_groups,
                   count(*) FILTER (diff_p90 <> 0) AS n_diff_p90,
                   round(100.0 * count(*) FILTER (diff_p90 <> 0) / count(*), 2) AS pct_diff_p90,
@@ -226,19 +226,29 @@ _DISAGREEMENTS = """SELECT sku, year, month, p90_thresh, p90_thresh_exact, diff_
                   p80_thresh, p80_thresh_exact, diff_p80
            FROM compared WHERE diff_p90 <> 0 OR diff_p80 <> 0
            ORDER BY sku, year, month LIMIT 10"""
+_SET_SUMMARY = """SELECT count(*) AS n_groups, count(*) FILTER (diff_count <> 0) AS n_diff,
+                  round(100.0 * count(*) FILTER (diff_count <> 0) / count(*), 2) AS pct_diff
+           FROM set_diff"""
+_STD_SUMMARY = """SELECT count(*) AS n_groups,
+                  count(*) FILTER (diff_std_p90 > 1e-9) AS n_diff_std_p90,
+                  count(*) FILTER (diff_std_p80 > 1e-9) AS n_diff_std_p80 FROM std_diffs"""
 _SET_DISAGREEMENTS = """SELECT * FROM set_diff WHERE diff_count <> 0
            ORDER BY abs(diff_count) DESC, sku, year, month LIMIT 10"""
 _LARGEST_STD_DIFFS = """SELECT * FROM std_diffs
            ORDER BY diff_std_p90 DESC, "SKU", year, month LIMIT 10"""
 # The low accuracy of the coarse queries.
-_COARSE = 2
+COARSE = 2
+
+# Promotion lists with blanks and empty pieces in every fifth row.
+_RAGGED = """CASE WHEN row_key % 5 = 0 THEN replace(promotion_ids, ',', ' , ') || ', ,'
+                 ELSE promotion_ids END"""
 
 ORACLES: dict[str, str] = {
-    "scan_csv_normalised": _sql(
+    "scan_csv_normalised": sql(
         ["sales"],
         "SELECT * EXCLUDE (row_key) REPLACE (round(amount, 4) AS amount) FROM sales",
     ),
-    "parse_dates": _sql(
+    "parse_dates": sql(
         ["sales"],
         """SELECT row_key, shown AS date,
                   CASE WHEN form IN (0, 1, 2) THEN this_century
@@ -260,10 +270,10 @@ ORACLES: dict[str, str] = {
                      ELSE '02-30-22' END AS shown
                  FROM sales)""",
     ),
-    "month_key": _sql(
+    "month_key": sql(
         ["sales"], "SELECT row_key, strftime(order_date, '%Y-%m') AS month FROM sales"
     ),
-    "normalise_state": _sql(
+    "normalise_state": sql(
         ["sales"],
         """SELECT row_key, CASE row_key % 5 WHEN 0 THEN 'Odisha' WHEN 1 THEN 'Rajasthan'
                   ELSE array_to_string(
@@ -272,68 +282,69 @@ ORACLES: dict[str, str] = {
                       ' ') END AS state
            FROM sales""",
     ),
-    "filter_shipped": _sql(_PURCHASES, "SELECT * FROM purchases"),
-    "rolling_fanout": _sql(
+    "filter_shipped": sql(_PURCHASES, "SELECT * FROM purchases"),
+    "rolling_fanout": sql(
         [*_PURCHASES, "fanned"],
         """SELECT window_date, order_date, state, size, CAST(sum(qty) AS BIGINT) AS qty
            FROM fanned GROUP BY window_date, order_date, state, size""",
     ),
-    "rolling_size_qty": _sql(_SIZE_QTY, "SELECT * FROM size_qty"),
-    "rolling_top_size": _TOP_SIZE_SQL,
-    "rolling_top_size_window": _TOP_SIZE_SQL,
-    "write_csv_result": _TOP_SIZE_SQL,
-    "filter_size_class": _sql(_ITEMS, "SELECT * FROM items"),
-    "distinct_style_skus": _sql(
-        _ITEMS, "SELECT DISTINCT month, state, style, sku FROM items"
+    "rolling_size_qty": sql(_SIZE_QTY, "SELECT * FROM size_qty"),
+    "rolling_top_size": TOP_SIZE_SQL,
+    "rolling_top_size_window": TOP_SIZE_SQL,
+    "write_csv_result": TOP_SIZE_SQL,
+    "filter_size_class": sql(ITEMS, "SELECT * FROM items"),
+    "distinct_style_skus": sql(
+        ITEMS, "SELECT DISTINCT month, state, style, sku FROM items"
     ),
-    "variety_per_style": _sql([*_ITEMS, "variety"], "SELECT * FROM variety"),
-    "median_variety": _sql(
-        [*_ITEMS, "variety"],
+    "variety_per_style": sql([*ITEMS, "variety"], "SELECT * FROM variety"),
+    "median_variety": sql(
+        [*ITEMS, "variety"],
         """SELECT month, state, CAST(median(variety) AS DOUBLE) AS median_variety
            FROM variety GROUP BY month, state""",
     ),
-    "prepare_orders": _sql(
+    "prepare_orders": sql(
         ["sales", "prepared"],
         """SELECT * REPLACE (round(amount, 4) AS amount),
                   CAST(len([p for p in string_split(promotion_ids, ',') if p <> ''])
                        AS INTEGER) AS n_promos
            FROM prepared""",
     ),
-    "promo_arrays": _sql(
+    "promo_arrays": sql(
         ["sales"],
-        """SELECT row_key, CAST(row_key % 7 AS INTEGER) AS n_promos,
-                  replace(promotion_ids, ',', '|') AS promos
-           FROM sales""",
+        f"""SELECT row_key, CAST(len(promos) AS INTEGER) AS n_promos,
+                  array_to_string(promos, '|') AS promos
+           FROM (SELECT row_key, list_filter(
+                     list_transform(string_split({_RAGGED}, ','), lambda p: trim(p)), lambda p: p <> '') AS promos
+                 FROM sales)""",
     ),
-    "promo_count": _sql(
+    "promo_count": sql(
         ["sales"],
-        """SELECT row_key,
-                  CASE WHEN row_key % 5 <> 0 THEN row_key % 7
-                       ELSE greatest(row_key % 7, 1) + 2 END AS promo_count
-           FROM sales""",
+        f"""SELECT row_key, CASE WHEN trim(coalesce(ragged, '')) = '' THEN 0
+                                ELSE CAST(len(string_split(ragged, ',')) AS BIGINT) END AS promo_count
+           FROM (SELECT row_key, {_RAGGED} AS ragged FROM sales)""",
     ),
-    "promo_rows": _sql(["sales", "prepared", "exploded"], "SELECT * FROM exploded"),
-    "promo_active_span": _sql(_SPANS, "SELECT * FROM spans"),
-    "valid_promotions": _sql([*_SPANS, "valid"], "SELECT * FROM valid"),
-    "valid_promo_rows": _sql(_VALID_ROWS, "SELECT * FROM valid_rows"),
-    "valid_promo_count": _sql(
+    "promo_rows": sql(["sales", "prepared", "exploded"], "SELECT * FROM exploded"),
+    "promo_active_span": sql(_SPANS, "SELECT * FROM spans"),
+    "valid_promotions": sql([*_SPANS, "valid"], "SELECT * FROM valid"),
+    "valid_promo_rows": sql(_VALID_ROWS, "SELECT * FROM valid_rows"),
+    "valid_promo_count": sql(
         [*_VALID_ROWS, "valid_counts"], "SELECT * FROM valid_counts"
     ),
-    "orders_with_promo_count": _sql(
+    "orders_with_promo_count": sql(
         _ENRICHED, "SELECT row_key, ship_city, ship_state, valid_promotion_count FROM enriched"
     ),
-    "state_avg_amount": _sql(
+    "state_avg_amount": sql(
         ["sales", "prepared", "averages"],
         """SELECT ship_state, round(state_avg_merchant_shipped_amount, 4)
                   AS state_avg_merchant_shipped_amount FROM averages""",
     ),
-    "orders_with_state_avg": _sql(
+    "orders_with_state_avg": sql(
         _ENRICHED,
         """SELECT row_key, ship_state, round(amount, 4) AS amount,
                   round(state_avg_merchant_shipped_amount, 4)
                   AS state_avg_merchant_shipped_amount FROM enriched""",
     ),
-    "qualified_orders": _sql(
+    "qualified_orders": sql(
         [*_ENRICHED, "qualified"],
         """SELECT row_key, ship_city, ship_state, status, round(amount, 4) AS amount,
                   valid_promotion_count, round(state_avg_merchant_shipped_amount, 4)
@@ -342,7 +353,7 @@ ORACLES: dict[str, str] = {
     "city_cancellation": _CITIES_SQL,
     "city_cancellation_by_orders": _CITIES_SQL,
     "city_cancellation_generated_key": _CITIES_SQL,
-    "clean_counts": _sql(
+    "clean_counts": sql(
         [*_SPANS, "valid", "sku_orders"],
         """SELECT (SELECT count(*) FROM sales) AS rows_in,
                   (SELECT count(*) FROM prepared) AS city_rows_kept,
@@ -351,11 +362,11 @@ ORACLES: dict[str, str] = {
                       AS sku_rows_dropped,
                   (SELECT count(*) FROM valid) AS valid_promotions""",
     ),
-    "prepare_sku_orders": _sql(
-        _SKU_ORDERS, "SELECT * REPLACE (round(amount, 4) AS amount) FROM sku_orders"
+    "prepare_sku_orders": sql(
+        SKU_ORDERS, "SELECT * REPLACE (round(amount, 4) AS amount) FROM sku_orders"
     ),
-    "promo_profile": _sql(
-        _SKU_ORDERS,
+    "promo_profile": sql(
+        SKU_ORDERS,
         """SELECT sku, year, month, promo_count, count(*) AS n_orders,
                   round(sum(amount), 2) AS amount_total,
                   CAST(sum(count(*)) OVER (PARTITION BY sku, year, month
@@ -364,80 +375,74 @@ ORACLES: dict[str, str] = {
                       AS group_orders
            FROM sku_orders GROUP BY sku, year, month, promo_count""",
     ),
-    "promo_cume_dist": _sql(
-        [*_SKU_ORDERS, "shares"],
+    "promo_cume_dist": sql(
+        [*SKU_ORDERS, "shares"],
         """SELECT row_key, sku, year, month, promo_count, round(cume_dist, 4) AS cume_dist
            FROM shares""",
     ),
-    "thresholds_exact": _sql(_EXACT, "SELECT * FROM exact"),
-    "thresholds_exact_by_rows": _sql(
-        [*_SKU_ORDERS, "shares"],
+    "thresholds_exact": sql(EXACT, "SELECT * FROM exact"),
+    "thresholds_exact_by_rows": sql(
+        [*SKU_ORDERS, "shares"],
         """SELECT sku, year, month,
                   min(promo_count) FILTER (cume_dist >= 0.9) AS p90_thresh_exact,
                   min(promo_count) FILTER (cume_dist >= 0.8) AS p80_thresh_exact
            FROM shares GROUP BY sku, year, month""",
     ),
-    "thresholds_approx": _sql(_APPROX, "SELECT * FROM approx"),
-    "thresholds_approx_coarse": _sql(_APPROX, "SELECT * FROM approx", _COARSE),
-    "orders_with_thresholds": _sql(
-        [*_EXACT, "bounded"], "SELECT * EXCLUDE (amount) FROM bounded"
+    "thresholds_approx": sql(_APPROX, "SELECT * FROM approx"),
+    "thresholds_approx_coarse": sql(_APPROX, "SELECT * FROM approx", COARSE),
+    "orders_with_thresholds": sql(
+        [*EXACT, "bounded"], "SELECT * EXCLUDE (amount) FROM bounded"
     ),
-    "qualifying_orders": _sql(
-        [*_EXACT, "bounded"],
+    "qualifying_orders": sql(
+        [*EXACT, "bounded"],
         "SELECT * EXCLUDE (amount) FROM bounded WHERE promo_count >= p90_thresh_exact",
     ),
-    "sku_month_spine": _sql(_SKU_ORDERS, "SELECT DISTINCT sku, year, month FROM sku_orders"),
-    "spine_left_join": _sql(
+    "sku_month_spine": sql(SKU_ORDERS, "SELECT DISTINCT sku, year, month FROM sku_orders"),
+    "spine_left_join": sql(
         [*_STDS, "passing"],
-        """SELECT sku, year, month, n AS cnt_p90_exact, p90 AS std_p90_exact
+        """SELECT sku, year, month, n AS cnt_p90_exact, round(p90, 4) AS std_p90_exact
            FROM stds JOIN passing USING (sku, year, month)""",
     ),
-    "sku_month_std_exact": _sql(
-        _STDS, "SELECT sku, year, month, p90 AS std_p90_exact, p80 AS std_p80_exact FROM stds"
+    "sku_month_std_exact": sql(
+        _STDS, """SELECT sku, year, month, round(p90, 4) AS std_p90_exact, round(p80, 4) AS std_p80_exact
+           FROM stds"""
     ),
-    "sku_month_std_approx": _sql(
+    "sku_month_std_approx": sql(
         _APPROX_STDS,
-        "SELECT sku, year, month, a90 AS std_p90_approx, a80 AS std_p80_approx FROM approx_stds",
+        """SELECT sku, year, month, round(a90, 4) AS std_p90_approx, round(a80, 4) AS std_p80_approx
+           FROM approx_stds""",
     ),
     "sku_month_std": _STD_SQL,
     "write_parquet_result": _STD_SQL,
-    "threshold_compare": _sql(_COMPARED, "SELECT * FROM compared"),
-    "threshold_diff_summary": _sql(_COMPARED, _DIFF_SUMMARY),
-    "threshold_diff_summary_coarse": _sql(_COMPARED, _DIFF_SUMMARY, _COARSE),
-    "threshold_disagreements": _sql(_COMPARED, _DISAGREEMENTS),
-    "threshold_disagreements_coarse": _sql(_COMPARED, _DISAGREEMENTS, _COARSE),
-    "qualifying_set_diff": _sql(_SET_DIFF, "SELECT * FROM set_diff"),
-    "qualifying_diff_summary": _sql(
-        _SET_DIFF,
-        """SELECT count(*) AS n_groups, count(*) FILTER (diff_count <> 0) AS n_diff,
-                  round(100.0 * count(*) FILTER (diff_count <> 0) / count(*), 2) AS pct_diff
-           FROM set_diff""",
-    ),
-    "qualifying_disagreements": _sql(_SET_DIFF, _SET_DISAGREEMENTS),
-    "qualifying_disagreements_coarse": _sql(_SET_DIFF, _SET_DISAGREEMENTS, _COARSE),
-    "sku_month_sizes": _sql(
-        [*_SKU_ORDERS, "sizes"],
+    "threshold_compare": sql(COMPARED, "SELECT * FROM compared"),
+    "threshold_diff_summary": sql(COMPARED, _DIFF_SUMMARY),
+    "threshold_diff_summary_coarse": sql(COMPARED, _DIFF_SUMMARY, COARSE),
+    "threshold_disagreements": sql(COMPARED, _DISAGREEMENTS),
+    "threshold_disagreements_coarse": sql(COMPARED, _DISAGREEMENTS, COARSE),
+    "qualifying_set_diff": sql(SET_DIFF, "SELECT * FROM set_diff"),
+    "qualifying_diff_summary": sql(SET_DIFF, _SET_SUMMARY),
+    "qualifying_diff_summary_coarse": sql(SET_DIFF, _SET_SUMMARY, COARSE),
+    "qualifying_disagreements": sql(SET_DIFF, _SET_DISAGREEMENTS),
+    "qualifying_disagreements_coarse": sql(SET_DIFF, _SET_DISAGREEMENTS, COARSE),
+    "sku_month_sizes": sql(
+        [*SKU_ORDERS, "sizes"],
         "SELECT sku, year, month, n_orders, round(est_size_mb, 4) AS est_size_mb FROM sizes",
     ),
-    "largest_groups": _sql(
-        [*_SKU_ORDERS, "sizes"],
+    "largest_groups": sql(
+        [*SKU_ORDERS, "sizes"],
         """SELECT sku, year, month, n_orders, round(est_size_mb, 4) AS est_size_mb
            FROM sizes WHERE n_orders > 10
            ORDER BY n_orders DESC, sku, year, month LIMIT 20""",
     ),
-    "group_size_summary": _sql(
-        [*_SKU_ORDERS, "sizes"],
+    "group_size_summary": sql(
+        [*SKU_ORDERS, "sizes"],
         """SELECT count(*) AS n_large_groups, round(max(est_size_mb), 8) AS max_size_mb,
                   round(max(est_size_mb) / 128.0, 8) AS partition_ratio
            FROM sizes WHERE n_orders > 10""",
     ),
-    "std_diff": _sql(_STD_DIFFS, "SELECT * FROM std_diffs"),
-    "std_diff_summary": _sql(
-        _STD_DIFFS,
-        """SELECT count(*) AS n_groups,
-                  count(*) FILTER (diff_std_p90 > 1e-9) AS n_diff_std_p90,
-                  count(*) FILTER (diff_std_p80 > 1e-9) AS n_diff_std_p80 FROM std_diffs""",
-    ),
-    "largest_std_diffs": _sql(_STD_DIFFS, _LARGEST_STD_DIFFS),
-    "largest_std_diffs_coarse": _sql(_STD_DIFFS, _LARGEST_STD_DIFFS, _COARSE),
+    "std_diff": sql(_STD_DIFFS, "SELECT * FROM std_diffs"),
+    "std_diff_summary": sql(_STD_DIFFS, _STD_SUMMARY),
+    "std_diff_summary_coarse": sql(_STD_DIFFS, _STD_SUMMARY, COARSE),
+    "largest_std_diffs": sql(_STD_DIFFS, _LARGEST_STD_DIFFS),
+    "largest_std_diffs_coarse": sql(_STD_DIFFS, _LARGEST_STD_DIFFS, COARSE),
 }

@@ -4,21 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ordermill.sources.counts import Counts
+
+
+def _sorted(df: DataFrame, order_by: list[str], counts: Counts | None) -> DataFrame:
+    rows = df.orderBy(*order_by)
+    return counts.at("result", rows) if counts else rows
+
 
 def write_csv(
     df: DataFrame,
     path: str,
     order_by: list[str],
     single_file: bool = False,
+    counts: Counts | None = None,
     quoted: bool = False,
 ) -> None:
     """Write ``df`` sorted, as CSV with a header, replacing what was at ``path``.
 
     Values are written bare unless ``quoted`` asks for quotes around values
     that hold a comma or a quote. ``single_file`` is for small results: one
-    task then merges the sorted partitions.
+    task then merges the sorted partitions. ``counts`` takes the rows as "result".
     """
-    rows = df.orderBy(*order_by)
+    rows = _sorted(df, order_by, counts)
     if single_file:
         rows = rows.coalesce(1)
     if quoted:
@@ -42,10 +50,14 @@ def write_csv(
 
 
 def write_parquet(
-    df: DataFrame, path: str, order_by: list[str], single_file: bool = False
+    df: DataFrame,
+    path: str,
+    order_by: list[str],
+    single_file: bool = False,
+    counts: Counts | None = None,
 ) -> None:
     """Write ``df`` sorted, as parquet, replacing what was at ``path``."""
-    rows = df.orderBy(*order_by)
+    rows = _sorted(df, order_by, counts)
     if single_file:
         rows = rows.coalesce(1)
     rows.write.mode("overwrite").parquet(path)

@@ -39,7 +39,7 @@ def _plain(value):
 
 # Column types that mean the same in both engines.
 _SAME_TYPE = {"DOUBLE": "double", "BIGINT": "bigint", "INTEGER": "int", "DATE": "date",
-              "VARCHAR": "string"}
+              "VARCHAR": "string", "BOOLEAN": "boolean"}
 
 
 def types_of(db: duckdb.DuckDBPyConnection, sql: str) -> dict[str, str]:
