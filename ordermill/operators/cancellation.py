@@ -69,9 +69,13 @@ def promo_rows(orders: DataFrame) -> DataFrame:
 
 def promo_active_span(orders: DataFrame) -> DataFrame:
     """First and last day of each promotion and the days between them."""
+    return active_span(promo_rows(orders))
+
+
+def active_span(rows: DataFrame) -> DataFrame:
+    """``promo_active_span`` from promotion rows."""
     return (
-        promo_rows(orders)
-        .groupBy("promotion_id")
+        rows.groupBy("promotion_id")
         .agg(
             F.min("order_date").alias("first_seen_date"),
             F.max("order_date").alias("last_seen_date"),
@@ -91,14 +95,33 @@ def valid_promo_rows(orders: DataFrame, valid: DataFrame) -> DataFrame:
     ``valid`` has one row per promotion, so a semi join gives the inner join's
     rows; a promotion on very many orders is split at run time by AQE.
     """
+    return _in_valid(promo_rows(orders), valid)
+
+
+def _in_valid(rows: DataFrame, valid: DataFrame) -> DataFrame:
     return (
-        promo_rows(orders)
-        .select("row_key", "promotion_id")
+        rows.select("row_key", "promotion_id")
         .join(valid.select("promotion_id"), "promotion_id", "left_semi")
         .select("row_key", "promotion_id")
     )
 
 
+def stored_valid_promo_rows(orders: DataFrame, min_active_days: int = 2) -> DataFrame:
+    """``valid_promo_rows`` from promotion rows that are stored once and read twice.
+
+    The rows give the valid promotions and are then joined with them. As both
+    sides are read from tables, the valid ones with a selection, Spark's runtime
+    Bloom filter can apply (with its default settings from 10 GB of rows and below
+    10 MB of valid promotions): rows of other promotions are dropped in the scan's
+    tasks, before the shuffle. A promotion list that is exploded on the way to the
+    join can not be filtered so. Runs jobs: both tables are written.
+    """
+    rows = settle(promo_rows(orders), "promo-rows")
+    valid = active_span(rows).filter(F.col("active_days") >= min_active_days)
+    valid = settle(valid, "valid-promotions").filter(F.col("active_days") >= min_active_days)
+    return _in_valid(rows, valid)
+
+
 def valid_promo_count(orders: DataFrame, valid: DataFrame) -> DataFrame:
     """Distinct valid promotions per order; orders without any are absent.
 

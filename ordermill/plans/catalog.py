@@ -280,6 +280,12 @@ def valid_promo_rows(spark: SparkSession, folder: str) -> DataFrame:
     return cc.valid_promo_rows(orders, _valid(orders))
 
 
+@query
+def valid_promo_rows_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from stored promotion rows, with a Bloom filter where that pays."""
+    return cc.stored_valid_promo_rows(_orders(spark, folder))
+
+
 @query
 def valid_promo_count(spark: SparkSession, folder: str) -> DataFrame:
     orders = _orders(spark, folder)

@@ -327,6 +327,7 @@ ORACLES: dict[str, str] = {
     "promo_active_span": sql(_SPANS, "SELECT * FROM spans"),
     "valid_promotions": sql([*_SPANS, "valid"], "SELECT * FROM valid"),
     "valid_promo_rows": sql(_VALID_ROWS, "SELECT * FROM valid_rows"),
+    "valid_promo_rows_stored": sql(_VALID_ROWS, "SELECT * FROM valid_rows"),
     "valid_promo_count": sql(
         [*_VALID_ROWS, "valid_counts"], "SELECT * FROM valid_counts"
     ),

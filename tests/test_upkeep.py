@@ -2,8 +2,11 @@
 
 import collections
 import datetime as dt
+import json
 import os
 import random
+import subprocess
+import sys
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -348,38 +351,18 @@ def test_stored_table_goes_when_dropped(spark):
 
 
 def test_event_log_gives_stages_and_the_executed_plan(tmp_path):
-    """In a session of its own, which alone can switch the log on."""
-    import subprocess
-    import sys
-
-    script = f"""
-import json
-from pyspark.sql import SparkSession, functions as F
-from ordermill.plans.eventlog import *
-from ordermill.plans.inspect import plan_facts, run_to_nowhere
-spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
-    .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "file://{tmp_path}")
-    .config("spark.eventLog.compress", "false").config("spark.sql.shuffle.partitions", "4")
-    .config("spark.sql.adaptive.coalescePartitions.enabled", "false").getOrCreate())
+    facts, text, stages, all_stages = logged(tmp_path, """
 big = spark.range(0, 40_000, 1, 4).selectExpr("if(id % 10 < 9, 1, id) AS k", "id")
 small = spark.range(3).withColumnRenamed("id", "k").groupBy("k").count()
 with described(spark, "one") as name:
     run_to_nowhere(big.repartition(4, "k").join(small, "k"))
 with described(spark, "other"):
     run_to_nowhere(spark.range(10))
-events = read_log(spark, "file://{tmp_path}")
+events = read_log(spark, log)
 plans = executed_plans(events, name)
 stages = [r.asDict() for r in stage_report(events, name).orderBy("stage").collect()]
-print("FOUND " + json.dumps([[plan_facts(p) for p in plans], plans[0], stages,
-                             stage_report(events).count()]))
-"""
-    out = subprocess.run(
-        [sys.executable, "-c", script], capture_output=True, text=True, timeout=300,
-        cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    import json
-
-    (found,) = [s for s in out.stdout.splitlines() if s.startswith("FOUND ")]
-    facts, text, stages, all_stages = json.loads(found.removeprefix("FOUND "))
+found = [[plan_facts(p) for p in plans], plans[0], stages, stage_report(events).count()]
+""")
     # At run time the small grouped side is broadcast, whatever was planned first.
     assert len(facts) == 1 and facts[0]["joins"] == ["BroadcastHashJoin"]
     assert "isFinalPlan=true" in text
@@ -387,3 +370,54 @@ print("FOUND " + json.dumps([[plan_facts(p) for p in plans], plans[0], stages,
     assert sum(s["shuffle_bytes_written"] for s in stages) > 0
     assert max(s["skew"] for s in stages) > 3
     assert max(s["largest_task_rows"] for s in stages) >= 36_000
+
+
+def test_bloom_filter_drops_rows_before_the_shuffle(tmp_path):
+    with_filter, without = logged(tmp_path, """
+from ordermill.operators import cancellation as cc
+from ordermill.sources.shared import settle
+for name, value in {"autoBroadcastJoinThreshold": -1,
+                    "optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": 1}.items():
+    spark.conf.set(f"spark.sql.{name}", value)
+# One promotion in fifty lasts, the others have a day each.
+orders = settle(spark.range(0, 50_000, 1, 4).selectExpr(
+    "id AS row_key", "date_add(date '2022-01-01', cast(id % 300 AS int)) AS order_date",
+    "concat('P', if(id % 50 = 0, id % 400, id)) AS promotion_ids"), "orders")
+found = []
+for on in (True, False):
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", on)
+    joined = cc.stored_valid_promo_rows(orders)
+    with described(spark, "join") as name:
+        rows = len(joined.collect())
+    events = read_log(spark, log)
+    moved = sum(r.shuffle_bytes_written for r in stage_report(events, name).collect())
+    found.append([rows, "might_contain" in executed_plans(events, name)[-1], moved])
+""")
+    assert with_filter[0] == without[0] == 1000
+    assert with_filter[1] and not without[1]
+    assert with_filter[2] < without[2] / 5
+
+
+def logged(tmp_path, body):
+    """``found`` of a script run in a session of its own, which alone can switch the log on."""
+    script = f"""
+import json
+from pyspark.sql import SparkSession, functions as F
+from ordermill.plans.eventlog import *
+from ordermill.plans.inspect import plan_facts, run_to_nowhere
+log = "file://{tmp_path}"
+spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
+    .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log)
+    .config("spark.eventLog.compress", "false").config("spark.sql.shuffle.partitions", "4")
+    .config("spark.sql.warehouse.dir", "{tmp_path}/warehouse")
+    .config("spark.sql.adaptive.coalescePartitions.enabled", "false").getOrCreate())
+log = log + "/*local-*"
+{body}
+print("FOUND " + json.dumps(found))
+"""
+    out = subprocess.run(
+        [sys.executable, "-c", script], capture_output=True, text=True, timeout=300,
+        cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    lines = [s for s in out.stdout.splitlines() if s.startswith("FOUND ")]
+    assert lines, out.stderr[-3000:]
+    return json.loads(lines[0].removeprefix("FOUND "))
