@@ -2,13 +2,16 @@
 
 Documents are read as passages of ``width`` words, and of half as many and so on
 down to the length of the shortest item. TF-IDF weights come from the documents'
-own word frequencies, for all words. A passage's share of squared weight in the
-items' words bounds its squared cosine with any item; passages below the square
-of ``min_cosine`` are left out at once, and those around which no item has enough
-of its words to be covered, which loses no match. Words in few documents are too
-many to send everywhere: they weigh as little as they can at first, so that
-cosines are bounds from above, and the matches' cosines are made exact by a join
-with these words' frequencies. Over the passages left and the items, a randomised singular value
+own word frequencies, for all words. Only passages around which an item can be
+covered are looked at: its rare words are looked up in the text, and where enough
+of them lie close together the words around the passage are counted (``Places``).
+A passage's share of squared weight in the items' words bounds its squared cosine
+with any item; passages below the square of ``min_cosine`` are left out too. Both
+bounds lose no match. Words in few documents are too many to send everywhere:
+they weigh as little as they can at first, so that cosines are bounds from above,
+and the matches' cosines are made exact by a join with these words' frequencies.
+
+Over the passages left and the items, a randomised singular value
 decomposition gives a latent space: a random start, multiplied by the passages'
 Gram matrix in Spark and made orthonormal, a few times. Items whose cosine with
 a passage there, with the passage's whole norm, reaches ``min_cosine`` are
@@ -16,10 +19,10 @@ candidates. Each is checked in the text around the passage: the longest common
 subsequence of words must cover the item, or most of it and its answer, the
 item's last sentence.
 
-Items are handled in blocks of ``block_items``, each with a latent space of as
-many dimensions as items and a few more, in which items weigh as much as all
-passages, so no item is lost to rank. A block's
-words and vectors are bounded and are broadcast.
+Different item texts are handled in blocks of at most ``block_items`` and
+``BLOCK_WORDS`` words, each with a latent space of as many dimensions as items and
+a few more, in which items weigh as much as all passages, so no item is lost to
+rank. A block's words and vectors are bounded and are broadcast.
 """
 
 from __future__ import annotations
@@ -42,6 +45,9 @@ STRIDE = 12
 MIN_COSINE = 0.25
 COVERED, PARTLY, ANSWERED = 0.8, 0.6, 0.8
 BLOCK_ITEMS = 256
+BLOCK_WORDS = 1 << 16
+#: Share of the words needed that an item's most frequent words may give.
+FREQUENT = 0.7
 #: Words in more than this share of the documents are sent to all tasks.
 OFTEN = 1 / 1024
 SPARE = 32
@@ -90,28 +96,6 @@ def _common(words: list[int], region: np.ndarray) -> int:
     return len(words) - row.bit_count()
 
 
-def _frequencies(texts: DataFrame, number: dict[str, int]) -> tuple[np.ndarray, int]:
-    """In how many documents each word occurs, and the number of documents."""
-
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, rows = np.zeros(len(number), dtype=np.int64), 0
-        known = number.keys()
-        for batch in slices(parts, "text", 8 << 20):
-            for text in batch.column("text").to_pylist():
-                seen[[number[w] for w in known & set(words_of(text))]] += 1
-                rows += 1
-        at = np.flatnonzero(seen)
-        yield pa.record_batch(
-            [np.concatenate([[-1], at]), np.concatenate([[rows], seen[at]])], names=["word", "n"])
-
-    counted = texts.select("text").mapInArrow(batches, "word long, n long")
-    sums = {r.word: r.n for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}
-    rows = sums.pop(-1, 0)
-    seen = np.zeros(len(number))
-    seen[list(sums)] = list(sums.values())
-    return seen, rows
-
-
 def _digest(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) - (1 << 63)
 
@@ -132,6 +116,16 @@ def _all_frequencies(texts: DataFrame) -> DataFrame:
         F.sum("n").alias("n"))
 
 
+def _seen(frequencies: DataFrame, number: dict[str, int]) -> np.ndarray:
+    """In how many documents each of a block's words occurs."""
+    known = frequencies.sparkSession.createDataFrame(
+        [(_digest(w), i) for w, i in number.items()], "word long, number int")
+    seen = np.zeros(len(number))
+    for r in frequencies.join(known, "word").select("number", "n").collect():
+        seen[r.number] = r.n
+    return seen
+
+
 def _widths(width: int, shortest: int) -> list[int]:
     """``width``, halved until a window fits into the shortest item."""
     widths = [width]
@@ -140,6 +134,76 @@ def _widths(width: int, shortest: int) -> list[int]:
     return widths
 
 
+class Places:
+    """Where a text may cover an item: a lossless filter by the items' rare words.
+
+    To cover ``needed`` words of an item, the region around a window (the window
+    and as many words as the item has on both sides) must hold so many of them,
+    none more often than the item. The item's most frequent words give a share of
+    that at most; the rest must come from its other, rare words. So windows are
+    taken only where enough rare words lie in one region, and kept if the region's
+    words, all counted, can cover the item.
+    """
+
+    def __init__(self, items: list[Item], idf: np.ndarray) -> None:
+        self.terms = len(idf)
+        self.reach = np.array([len(i.words) for i in items])
+        self.needed = np.ceil(PARTLY * self.reach - 1e-3).astype(np.int64)
+        self.counts = [np.unique(i.words, return_counts=True) for i in items]
+        frequent = np.floor(FREQUENT * self.needed).astype(np.int64)
+        self.rare_needed = self.needed - frequent
+        pairs = [
+            (word, i) for i, item in enumerate(items)
+            for word in set(sorted(item.words, key=lambda w: (idf[w], w))[frequent[i] :])]
+        word, owner = np.array(pairs, dtype=np.int64).T
+        order = np.argsort(word, kind="stable")
+        self.owners = owner[order]
+        self.first = np.searchsorted(word[order], np.arange(self.terms + 1))
+
+    def windows(self, numbers: np.ndarray, widths: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """(start, width) of all windows of a text around which an item may be covered.
+
+        ``numbers`` are the text's words, -1 for words of no item; ``widths`` are
+        (width, stride).
+        """
+        at = np.flatnonzero(numbers >= 0)
+        low = self.first[numbers[at]]
+        many = self.first[numbers[at] + 1] - low
+        place = np.repeat(at, many)
+        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        owner = self.owners[np.repeat(low, many) + nth]
+        order = np.argsort(owner, kind="stable")
+        owner, place = owner[order], place[order]
+        # Runs of as many rare words of one item as are needed, by first and last place.
+        here = np.arange(len(owner))
+        end = here + self.rare_needed[owner] - 1
+        here, end = here[end < len(owner)], end[end < len(owner)]
+        same = owner[end] == owner[here]
+        owner, first, last = owner[here[same]], place[here[same]], place[end[same]]
+        found = []
+        for width, stride in widths:
+            least = last - width - self.reach[owner] + 1
+            most = first + self.reach[owner]
+            after = max(len(numbers) - width + stride, 1)
+            kept: set[int] = set()
+            for i in np.unique(owner[least <= most]).tolist():
+                near = (owner == i) & (least <= most)
+                starts: set[int] = set()
+                for a, z in zip(least[near].tolist(), most[near].tolist()):
+                    a = -(-max(a, 0) // stride) * stride
+                    starts.update(range(a, min(z + 1, after), stride))
+                kept.update(s for s in starts - kept if self._coverable(numbers, s, width, i))
+            found += [(s, width) for s in sorted(kept)]
+        return found
+
+    def _coverable(self, numbers: np.ndarray, start: int, width: int, i: int) -> bool:
+        reach = int(self.reach[i])
+        region = numbers[max(start - reach, 0) : start + width + reach]
+        words, counts = self.counts[i]
+        held = np.bincount(region[region >= 0], minlength=self.terms)[words]
+        return int(np.minimum(held, counts).sum()) >= self.needed[i]
+
+
 def _passages(
     texts: DataFrame, number: dict[str, int], items: list[Item], idf: np.ndarray, often, least: float,
     widths: list[tuple[int, int]], min_share: float,
@@ -153,47 +217,30 @@ def _passages(
     counting as ``least``.
     """
     reach = max(len(i.words) for i in items)
-    held = np.zeros((len(number), len(items)), dtype=np.float32)
-    for i, item in enumerate(items):
-        np.add.at(held[:, i], item.words, 1)
-    needed = PARTLY * np.array([len(i.words) for i in items]) - 1e-3
-    shared = texts.sparkSession.sparkContext.broadcast((number, idf, held, needed))
+    shared = texts.sparkSession.sparkContext.broadcast((number, idf, Places(items, idf)))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, idf, held, needed = shared.value
+        number, idf, places = shared.value
         common = often.value
         for batch in slices(parts, "text", 8 << 20):
             ids, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
             out = []
             for row, text in enumerate(batch.column("text").to_pylist()):
                 words = words_of(text)
-                mine = [number[w] for w in set(words) if w in number]
-                near = np.flatnonzero(held[mine].sum(axis=0) >= needed) if mine else mine
-                if not len(near):
-                    continue
-                own = held[:, near]
                 numbers = np.fromiter((number.get(w, -1) for w in words), np.int32, len(words))
-                digests = np.fromiter(
-                    (0 if w in number else _digest(w) for w in words), np.int64, len(words))
-                rare = np.array([n < 0 and d not in common for n, d in zip(numbers.tolist(), digests.tolist())])
-                for width, stride in widths:
-                    start = np.arange(0, max(len(words) - width + stride, 1), stride)
-                    for s in start.tolist():
-                        e = min(s + width, len(words))
-                        low = max(s - reach, 0)
-                        around = numbers[low : s + width + reach]
-                        if (own[np.unique(around[around >= 0])].sum(axis=0) < needed[near]).all():
-                            continue
-                        new, n = np.unique(digests[s:e][numbers[s:e] < 0], return_counts=True)
-                        squares = sum(
-                            (c * common.get(d, least)) ** 2 for d, c in zip(new.tolist(), n.tolist()))
-                        seen, n = np.unique(numbers[s:e][numbers[s:e] >= 0], return_counts=True)
-                        inside = ((n * idf[seen]) ** 2).sum()
-                        if inside < min_share * (inside + squares) or not inside:
-                            continue
-                        out.append((
-                            ids[row], hashes[row], s - low, e - s, around.astype("<i4").tobytes(),
-                            float(squares), digests[s:e][rare[s:e]].tolist()))
+                for s, width in places.windows(numbers, widths):
+                    e = min(s + width, len(words))
+                    low = max(s - reach, 0)
+                    other = Counter(_digest(w) for w, n in zip(words[s:e], numbers[s:e].tolist()) if n < 0)
+                    squares = sum((c * common.get(d, least)) ** 2 for d, c in other.items())
+                    seen, n = np.unique(numbers[s:e][numbers[s:e] >= 0], return_counts=True)
+                    inside = ((n * idf[seen]) ** 2).sum()
+                    if inside < min_share * (inside + squares) or not inside:
+                        continue
+                    rare = [d for d in other.elements() if d not in common]
+                    out.append((
+                        ids[row], hashes[row], s - low, e - s,
+                        numbers[low : s + width + reach].astype("<i4").tobytes(), float(squares), rare))
             if out:
                 yield pa.record_batch(
                     [pa.array(v, t) for v, t in zip(zip(*out), (
@@ -330,6 +377,21 @@ def _exact(found: DataFrame, frequencies: DataFrame, total: int, least: float) -
         "cosine", F.col("cosine") * F.sqrt(F.col("whole") / full))
 
 
+def _blocks(items: DataFrame, block_items: int) -> Iterator[list]:
+    """Items with words, in blocks of bounded numbers of items and words, one at a time."""
+    block, words = [], 0
+    for row in items.orderBy("item_id").toLocalIterator():
+        n = len(words_of(row.text))
+        if block and (len(block) == block_items or words + n > BLOCK_WORDS):
+            yield block
+            block, words = [], 0
+        if n:
+            block.append(row)
+            words += n
+    if block:
+        yield block
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -347,15 +409,15 @@ def contaminated(
     without words are left out, repeated ids count as items of their own. Null
     texts count as empty; rows equal in id and text give one row per item; ids
     may be null. ``text_hash`` is the text's xxhash64, to join on. Runs jobs;
-    per block of items, at most ``block_items`` items and their words come to
-    the driver.
+    the items, each text once, come to the driver block by block.
     """
     spark = docs.sparkSession
     texts = id_and_text(docs).withColumn("text_hash", F.xxhash64("text"))
     bench = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
-    ).filter("text IS NOT NULL")
-    blocks = max(1, -(-bench.count() // block_items))
+    ).filter("text IS NOT NULL").withColumn("item_hash", F.xxhash64("text"))
+    # Equal texts are one item here and get their ids back at the end.
+    different = settle(bench.select(F.col("item_hash").alias("item_id"), "text").distinct(), "benchmark-items")
     frequencies = settle(_all_frequencies(texts), "benchmark-frequencies")
     total = texts.count()
     often = {
@@ -364,18 +426,10 @@ def contaminated(
     least = float(np.log((1 + total) / (1 + np.floor(OFTEN * total)))) + 1
     shared = spark.sparkContext.broadcast(often)
     found = []
-    for block in range(blocks):
-        rows = [
-            r for r in bench.filter(
-                F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-            if words_of(r.text)
-        ]
-        if not rows:
-            continue
+    for rows in _blocks(different, block_items):
         number = {w: i for i, w in enumerate(sorted({w for r in rows for w in words_of(r.text)}))}
         items = _items(rows, number)
-        seen, _ = _frequencies(texts, number)
-        idf = np.log((1 + total) / (1 + seen)) + 1
+        idf = np.log((1 + total) / (1 + _seen(frequencies, number))) + 1
         widths = [
             (w, max(1, w * stride // width))
             for w in _widths(width, min(len(i.words) for i in items))]
@@ -392,7 +446,10 @@ def contaminated(
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.union(more)
-    return pairs.filter(F.col("cosine") >= min_cosine - 1e-6).groupBy("doc_id", "text_hash", "item_id").agg(
+    ids = bench.select("item_id", "item_hash").distinct()
+    pairs = pairs.filter(F.col("cosine") >= min_cosine - 1e-6).withColumnRenamed(
+        "item_id", "item_hash").join(ids, "item_hash")
+    return pairs.groupBy("doc_id", "text_hash", "item_id").agg(
         F.max("cosine").alias("cosine"), F.max("covered").alias("covered"),
         F.max("answered").alias("answered"))
 
