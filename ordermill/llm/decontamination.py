@@ -31,6 +31,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ BLOCK_ITEMS = 256
 BLOCK_WORDS = 1 << 16
 #: Share of the words needed that an item's most frequent words may give.
 FREQUENT = 0.7
+#: Different words that a task counts before it passes them on.
+HELD_WORDS = 400_000
 #: Words in more than this share of the documents are sent to all tasks.
 OFTEN = 1 / 1024
 SPARE = 32
@@ -103,14 +106,20 @@ def _digest(word: str) -> int:
 def _all_frequencies(texts: DataFrame) -> DataFrame:
     """(word, n): in how many documents each word occurs, words as 64-bit digests."""
 
+    def counted(seen: Counter[str]) -> pa.RecordBatch:
+        return pa.record_batch(
+            [pa.array([_digest(w) for w in seen], pa.int64()), pa.array(seen.values(), pa.int64())],
+            names=["word", "n"])
+
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
         for batch in slices(parts, "text", 8 << 20):
-            seen: Counter[str] = Counter()
             for text in batch.column("text").to_pylist():
                 seen.update(set(words_of(text)))
-            yield pa.record_batch(
-                [pa.array([_digest(w) for w in seen], pa.int64()),
-                 pa.array(seen.values(), pa.int64())], names=["word", "n"])
+            if len(seen) > HELD_WORDS:
+                yield counted(seen)
+                seen.clear()
+        yield counted(seen)
 
     return texts.select("text").mapInArrow(batches, "word long, n long").groupBy("word").agg(
         F.sum("n").alias("n"))
@@ -149,9 +158,17 @@ class Places:
         self.terms = len(idf)
         self.reach = np.array([len(i.words) for i in items])
         self.needed = np.ceil(PARTLY * self.reach - 1e-3).astype(np.int64)
-        self.counts = [np.unique(i.words, return_counts=True) for i in items]
+        # Each word's place among the item's different words; all others share the last.
+        self.local = np.empty((len(items), self.terms + 1), dtype=np.int32)
+        self.counts = []
+        for i, item in enumerate(items):
+            own, counts = np.unique(item.words, return_counts=True)
+            self.local[i] = len(own)
+            self.local[i, own] = np.arange(len(own))
+            self.counts.append(counts)
         frequent = np.floor(FREQUENT * self.needed).astype(np.int64)
         self.rare_needed = self.needed - frequent
+        self.fewest = self.rare_needed.min()
         pairs = [
             (word, i) for i, item in enumerate(items)
             for word in set(sorted(item.words, key=lambda w: (idf[w], w))[frequent[i] :])]
@@ -169,6 +186,8 @@ class Places:
         at = np.flatnonzero(numbers >= 0)
         low = self.first[numbers[at]]
         many = self.first[numbers[at] + 1] - low
+        if many.sum() < self.fewest:
+            return []
         place = np.repeat(at, many)
         nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         owner = self.owners[np.repeat(low, many) + nth]
@@ -199,9 +218,9 @@ class Places:
     def _coverable(self, numbers: np.ndarray, start: int, width: int, i: int) -> bool:
         reach = int(self.reach[i])
         region = numbers[max(start - reach, 0) : start + width + reach]
-        words, counts = self.counts[i]
-        held = np.bincount(region[region >= 0], minlength=self.terms)[words]
-        return int(np.minimum(held, counts).sum()) >= self.needed[i]
+        counts = self.counts[i]
+        held = np.bincount(self.local[i, region], minlength=len(counts) + 1)
+        return int(np.minimum(held[:-1], counts).sum()) >= self.needed[i]
 
 
 def _passages(
@@ -227,7 +246,7 @@ def _passages(
             out = []
             for row, text in enumerate(batch.column("text").to_pylist()):
                 words = words_of(text)
-                numbers = np.fromiter((number.get(w, -1) for w in words), np.int32, len(words))
+                numbers = np.fromiter(map(number.get, words, repeat(-1)), np.int32, len(words))
                 for s, width in places.windows(numbers, widths):
                     e = min(s + width, len(words))
                     low = max(s - reach, 0)
