@@ -2,28 +2,29 @@
 
 Examples are the distinct texts of a bounded sample of the labelled rows. Texts
 are whole TF-IDF vectors: every word counts, with document frequencies from all
-documents, in the vector where an example has it and in the norm in any case. A
-word's weight is also multiplied by sqrt(1 + G), G being the likelihood ratio
-statistic of word and label in the examples, each text once; words that tell
-nothing keep the factor 1 or little more, and no word is left out. The
-``neighbours`` examples of the largest exact cosine vote, each with weight
-1 / (distance + 0.05). Votes become probabilities by monotone regression on the
-examples' own leave-one-out votes.
-
-The index has postings for most words and dense columns for those in a twentieth
-of the examples. A batch of texts is scored against all examples, the largest
-score of each block of them bounds the k-th best from below, and what can reach
-it is scored again in double precision, so the search is exact. The index is
-bounded by ``max_examples`` and is broadcast; of a document, the words no example
-has are weighed by a join with their frequencies.
+documents, in the vector where an example has it and in the norm in any case. The
+``neighbours`` examples of the largest exact cosine vote. A vote weighs
+1 / (distance + 0.05), times the part of the inner product that tells labels apart:
+the products of the shared words, each by its likelihood ratio statistic G of word
+and label in the examples (each text once). G has no part in vector or cosine.
+Votes become probabilities by monotone regression on the examples' own votes, an
+example being left out of both its neighbours and its G.
+
+The index is a block-max inverted one. Alike examples lie in blocks of 64; a word
+has a record per block with its largest weight there and its postings. Words in a
+twentieth of the examples have a column instead. The records give a text an upper
+bound for every block; blocks are visited by falling bound, and those whose bound
+can not reach the k-th best score so far are skipped. What can reach it is scored
+again in double precision, so the search is exact. Words travel as 64-bit digests,
+never as texts. The index is bounded by ``max_examples`` and is broadcast; of a
+document, the words no example has are weighed by a join with their frequencies.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +36,16 @@ from ordermill.llm.common import MIN_LONG, id_and_text, id_remainder, keyed, sli
 from ordermill.sources.shared import settle
 
 MAX_EXAMPLES = 30_000
-NEIGHBOURS = 15
+NEIGHBOURS = 50
 BLOCK = 64
 #: Words in more than this share of the examples are dense columns.
 DENSE = 0.05
-#: Texts scored at a time.
-BATCH = 64
+#: Texts scored at a time, and the most words that they may have together but for one text.
+BATCH, BATCH_WORDS = 64, 40_000
+#: A vote's weight without any telling word, beside their share of the inner product.
+PLAIN = 0.01
+#: Single precision scores are this close to the exact ones.
+SLACK = 1e-4
 THRESHOLD = 0.7
 
 #: ASCII letters lower-cased, other ASCII but digits as white space; the rest as it is.
@@ -54,140 +59,207 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size, one after another."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def digests(words: list[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w) for w in words], dtype=np.uint64).view(np.int64)
+
+
 @dataclass
-class Index:
-    """Distinct example vectors with their labels, postings and dense columns."""
+class Examples:
+    """What is learnt, as it travels: words, and distinct examples in rising order of id.
 
+    ``told`` has the words' G, and G without one toxic and without one other example
+    that has the word. ``terms`` and ``counts`` hold ``sizes`` entries per example.
+    """
+
+    words: np.ndarray
     idf: np.ndarray
-    vectors: list[tuple[np.ndarray, np.ndarray]]
-    total: np.ndarray
-    toxic: np.ndarray
-    ids: list[int | None]
+    told: np.ndarray
+    sizes: np.ndarray
+    terms: np.ndarray
+    counts: np.ndarray
+    share: np.ndarray
+    ids: np.ndarray
     neighbours: int = NEIGHBOURS
-    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))
-    entries: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int32))
-    values: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    dense: np.ndarray | None = None
-
-    def __post_init__(self) -> None:
-        empty = (np.zeros(0, dtype=np.int64), np.zeros(0))
-        terms, weights = (np.concatenate(c) for c in zip(empty, *self.vectors))
-        owner = np.repeat(np.arange(len(self.vectors)), [len(t) for t, _ in self.vectors])
-        order = np.argsort(terms, kind="stable")
-        self.entries, self.values = owner[order].astype(np.int32), weights[order].astype(np.float32)
-        sizes = np.bincount(terms.astype(np.int64), minlength=len(self.idf))
-        self.starts = np.concatenate([[0], np.cumsum(sizes)])
-        self.dense = None
-
-    def _columns(self) -> np.ndarray:
-        """Numbers of the dense columns, -1 for other words; makes them when first used."""
-        if self.dense is None:
-            sizes = np.diff(self.starts)
-            wide = np.flatnonzero(sizes > DENSE * max(len(self.vectors), 1))
-            self.column = np.full(len(self.idf), -1)
-            self.column[wide] = np.arange(len(wide))
-            self.dense = np.zeros((len(wide), len(self.vectors)), dtype=np.float32)
-            for i, t in enumerate(wide.tolist()):
-                at = slice(self.starts[t], self.starts[t + 1])
-                self.dense[i, self.entries[at]] = self.values[at]
-        return self.column
+    index: Index | None = None
+
+    def open(self) -> Index:
+        """The index, made once per process."""
+        if self.index is None:
+            self.index = Index(self)
+        return self.index
+
+
+class Index:
+    """The block-max index; ``visited`` counts the blocks scored, of ``offered``."""
+
+    def __init__(self, of: Examples) -> None:
+        self.of, self.visited, self.offered = of, 0, 0
+        n, words = len(of.sizes), len(of.idf)
+        owner = np.repeat(np.arange(n), of.sizes)
+        self.starts = np.cumsum(of.sizes) - of.sizes
+        self.weights = (1 + np.log(of.counts)) * of.idf[of.terms]
+        self.weights /= np.sqrt(np.bincount(owner, self.weights**2, n))[owner]
+        single = self.weights.astype(np.float32)
+        self.blocks = -(-n // BLOCK)
+        wide = np.flatnonzero(np.bincount(of.terms, minlength=words) > DENSE * n)
+        self.column = np.full(words, -1, dtype=np.int32)
+        self.column[wide] = np.arange(len(wide))
+        column = self.column[of.terms]
+        dense = np.zeros((n, len(wide)), dtype=np.float32)
+        dense[owner[column >= 0], column[column >= 0]] = single[column >= 0]
+        #: The example at each place; alike ones are neighbours.
+        sign = 1 - 2 * (of.terms * np.int64(40503) >> 8 & 1)
+        sketch = np.bincount(owner * 256 + of.terms % 256, single * sign, n * 256).reshape(n, 256)
+        self.example = _alike(sketch.astype(np.float32))
+        self.place = np.empty(n, dtype=np.int64)
+        self.place[self.example] = np.arange(n)
+        self.cube = np.zeros((self.blocks * BLOCK, len(wide)), dtype=np.float32)
+        self.cube[:n] = dense[self.example]
+        self.cube = self.cube.reshape(self.blocks, BLOCK, len(wide))
+        self.tops = np.ascontiguousarray(self.cube.max(axis=1).T) if n else np.zeros((0, 0), np.float32)
+        sparse = column < 0
+        terms, place, single = of.terms[sparse], self.place[owner[sparse]], single[sparse]
+        order = np.argsort(terms * np.int64(max(n, 1)) + place)
+        terms, place, self.values = terms[order], place[order], single[order]
+        self.slots = (place % BLOCK).astype(np.uint8)
+        block = place // BLOCK
+        new = np.ones(len(terms), dtype=bool)
+        new[1:] = (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])
+        self.postings = np.flatnonzero(new).astype(np.int32)
+        self.lengths = np.diff(self.postings, append=len(terms)).astype(np.int32)
+        self.block = block[new].astype(np.int32)
+        self.largest = (
+            np.maximum.reduceat(self.values, self.postings) if len(terms) else np.zeros(0, np.float32))
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(terms[new], minlength=words))])
 
     def vector(
         self, terms: np.ndarray, counts: np.ndarray, others: float = 0.0
     ) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights; ``others`` is the squared weight of words no example has."""
-        weights = (1 + np.log(counts)) * self.idf[terms]
+        weights = (1 + np.log(counts)) * self.of.idf[terms]
         norm = np.sqrt((weights**2).sum() + others)
         return terms, weights / norm if norm else weights
 
-    def search(
-        self, terms: np.ndarray, weights: np.ndarray, without: int = -1
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """(entries, cosines) of the nearest, ties to the smaller entry.
+    def own(self, example: int) -> tuple[np.ndarray, np.ndarray]:
+        at = slice(self.starts[example], self.starts[example] + self.of.sizes[example])
+        return self.of.terms[at], self.weights[at]
 
-        ``without`` leaves that entry out.
+    def search(
+        self, queries: list[tuple[np.ndarray, np.ndarray]], without: list[int] | None = None
+    ) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each query (examples, cosines, telling parts) of its nearest, ties to
+        the smaller example. Only examples that share a word count. ``without`` leaves
+        out one example per query, also from G.
         """
-        return self.search_all([(terms, weights)], [without])[0]
-
-    def search_all(
-        self, vectors: list[tuple[np.ndarray, np.ndarray]], without: list[int] | None = None
-    ) -> list[tuple[np.ndarray, np.ndarray]]:
-        """``search`` for several vectors."""
-        rows, n = len(vectors), len(self.vectors)
-        if not n:
-            return [(np.zeros(0, dtype=np.int64), np.zeros(0))] * rows
-        column = self._columns()
-        terms = np.concatenate([t for t, _ in vectors]).astype(np.int64)
-        weights = np.concatenate([w for _, w in vectors])
-        row = np.repeat(np.arange(rows), [len(t) for t, _ in vectors])
-        wide = column[terms] >= 0
-        query = np.zeros((rows, len(self.dense)), dtype=np.float32)
-        query[row[wide], column[terms[wide]]] = weights[wide]
-        blocks = -(-n // BLOCK)
-        scores = np.full((rows, blocks * BLOCK), -1, dtype=np.float32)
-        scores[:, :n] = query @ self.dense
+        rows, blocks = len(queries), self.blocks
+        if not blocks:
+            return [(np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0))] * rows
+        terms = np.concatenate([t for t, _ in queries]).astype(np.int64)
+        weights = np.concatenate([w for _, w in queries]).astype(np.float32)
+        row = np.repeat(np.arange(rows), [len(t) for t, _ in queries])
+        wide = self.column[terms] >= 0
+        dense = np.zeros((rows, self.cube.shape[2]), dtype=np.float32)
+        dense[row[wide], self.column[terms[wide]]] = weights[wide]
         terms, weights, row = terms[~wide], weights[~wide], row[~wide]
-        sizes = self.starts[terms + 1] - self.starts[terms]
-        at = np.arange(sizes.sum()) + np.repeat(self.starts[terms] - (np.cumsum(sizes) - sizes), sizes)
-        scores[:, :n] += np.bincount(
-            np.repeat(row * n, sizes) + self.entries[at],
-            self.values[at] * np.repeat(weights, sizes), rows * n).reshape(rows, n)
-        if without is not None:
-            for i, e in enumerate(without):
-                if e >= 0:
-                    scores[i, e] = -1
-        # The k-th largest of the blocks' maxima is no more than the k-th best.
-        best = scores.reshape(rows, blocks, BLOCK).max(axis=2)
-        k = min(self.neighbours, blocks)
-        limits = np.partition(best, blocks - k, axis=1)[:, blocks - k] if blocks >= self.neighbours else np.zeros(rows)
-        out = []
-        full = np.zeros(len(self.idf))
-        for i, (t, w) in enumerate(vectors):
-            hits = np.flatnonzero(scores[i] > max(limits[i] - 1e-4, 0))
-            if len(hits) > self.neighbours:
-                kth = np.partition(scores[i, hits], -self.neighbours)[-self.neighbours]
-                hits = hits[scores[i, hits] >= kth - 1e-4]
+        sizes = self.first[terms + 1] - self.first[terms]
+        record = _ranges(self.first[terms], sizes)
+        weight = np.repeat(weights, sizes)
+        pair = np.repeat(row * blocks, sizes) + self.block[record]
+        bound = dense @ self.tops
+        bound += np.bincount(pair, weight * self.largest[record], rows * blocks).reshape(rows, blocks)
+        scores = np.full((rows, blocks, BLOCK), -1, dtype=np.float32)
+        limit = np.zeros(rows)
+        left = bound > 0
+        self.offered += rows * blocks
+        take = -(-self.of.neighbours // BLOCK)
+        while True:
+            left &= bound > np.maximum(limit - SLACK, 0)[:, None]
+            if not left.any():
+                break
+            now = left
+            if take < blocks:
+                best = np.where(left, bound, -1)
+                now = left & (best >= np.partition(best, blocks - take, axis=1)[:, [blocks - take]])
+            self.visited += int(now.sum())
+            for b in np.flatnonzero(now.any(axis=0)).tolist():
+                some = np.flatnonzero(now[:, b])
+                scores[some, b] = dense[some] @ self.cube[b].T
+            hit = now.ravel()[pair]
+            entry = _ranges(self.postings[record[hit]], self.lengths[record[hit]])
+            many = self.lengths[record[hit]]
+            scores += np.bincount(
+                np.repeat(pair[hit] * BLOCK, many) + self.slots[entry],
+                np.repeat(weight[hit], many) * self.values[entry], scores.size).reshape(scores.shape)
+            record, weight, pair = record[~hit], weight[~hit], pair[~hit]
+            flat = scores.reshape(rows, -1)
+            if without is not None:
+                flat[np.arange(rows), self.place[without]] = -1
+            # The k-th largest of the maxima of eights is no more than the k-th best.
+            best = scores.reshape(rows, -1, 8).max(axis=2)
+            if best.shape[1] >= self.of.neighbours:
+                low = best.shape[1] - self.of.neighbours
+                limit = np.partition(best, low, axis=1)[:, low]
+            left &= ~now
+            take *= 4
+        out, full = [], np.zeros(len(self.of.idf))
+        flat = scores.reshape(rows, -1)
+        for i, (t, w) in enumerate(queries):
+            at = np.flatnonzero(flat[i] > max(limit[i] - SLACK, 0))
+            if len(at) > self.of.neighbours:
+                kth = np.partition(flat[i, at], -self.of.neighbours)[-self.of.neighbours]
+                at = at[flat[i, at] >= kth - SLACK]
+            found = self.example[at]
             full[t] = w
-            exact = np.array([full[self.vectors[e][0]] @ self.vectors[e][1] for e in hits.tolist()])
+            entry = _ranges(self.starts[found], self.of.sizes[found])
+            some = self.of.terms[entry]
+            product = full[some] * self.weights[entry]
+            told = self.of.told[
+                0 if without is None else 1 if self.of.share[without[i]] > 0 else 2]
+            ends = np.cumsum(self.of.sizes[found]) - self.of.sizes[found]
+            exact = np.add.reduceat(product, ends) if len(found) else np.zeros(0)
+            telling = np.add.reduceat(product * told[some], ends) if len(found) else np.zeros(0)
             full[t] = 0
-            order = np.lexsort((hits, -np.round(exact, 12)))[: self.neighbours]
-            out.append((hits[order], np.minimum(exact[order], 1.0)))
+            order = np.lexsort((found, -np.round(exact, 12)))[: self.of.neighbours]
+            out.append((found[order], np.minimum(exact[order], 1.0), telling[order]))
         return out
 
-    def vote(self, found: np.ndarray, scores: np.ndarray) -> float:
+    def vote(self, found: np.ndarray, cosines: np.ndarray, telling: np.ndarray) -> float:
         """Weighted share of toxic examples among the nearest, -1 without any.
 
         Equal examples vote once, with the share of toxic ones among them.
         """
-        weight = 1 / (1 - scores + 0.05)
-        share = self.toxic[found] / self.total[found]
-        return float((weight * share).sum() / weight.sum()) if len(found) else -1.0
-
+        weight = (PLAIN + telling) / (1 - cosines + 0.05)
+        return float((weight * self.of.share[found]).sum() / weight.sum()) if len(found) else -1.0
 
-@dataclass
-class Packed:
-    """An index as it travels: compressed terms and counts, opened once per process."""
 
-    idf: np.ndarray
-    sizes: np.ndarray
-    total: np.ndarray
-    toxic: np.ndarray
-    ids: np.ndarray
-    neighbours: int
-    words: bytes
-    index: Index | None = None
+def _alike(rows: np.ndarray, most: int = 64, rounds: int = 3) -> np.ndarray:
+    """An order of the rows (sketches of vectors) in which alike ones are neighbours, by k-means.
 
-    def open(self) -> Index:
-        if self.index is None:
-            terms, counts = np.frombuffer(zlib.decompress(self.words), "<i4").reshape(2, -1)
-            ends = np.cumsum(self.sizes)[:-1]
-            index = Index(self.idf, [], self.total, self.toxic, self.ids.tolist(), self.neighbours)
-            index.vectors = [
-                index.vector(t, c) for t, c in zip(np.split(terms, ends), np.split(counts, ends))
-            ] if len(self.sizes) else []
-            index.__post_init__()
-            self.index = index
-        return self.index
+    Only the bounds' tightness depends on it, never a result.
+    """
+    groups = min(most, len(rows) // BLOCK)
+    if groups < 2:
+        return np.arange(len(rows))
+    centres = rows[np.linspace(0, len(rows) - 1, groups).astype(int)]
+    for _ in range(rounds):
+        group = np.argmax(rows @ centres.T, axis=1)
+        order = np.argsort(group, kind="stable")
+        used, starts = np.unique(group[order], return_index=True)
+        centres = np.add.reduceat(rows[order], starts, axis=0)
+        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
+    # Groups follow one another by likeness too, since blocks do not end with them.
+    group = np.argmax(rows @ centres.T, axis=1)
+    near, at, rank = centres @ centres.T, 0, np.zeros(len(centres), dtype=np.int64)
+    for i in range(len(centres)):
+        rank[at] = i
+        near[:, at] = -1
+        at = int(np.argmax(near[at]))
+    return np.argsort(rank[group], kind="stable")
 
 
 @dataclass
@@ -222,6 +294,8 @@ def calibrated(votes: np.ndarray, total: np.ndarray, toxic: np.ndarray) -> Calib
 
 def _told(toxic: np.ndarray, clean: np.ndarray, n1: int, n0: int) -> np.ndarray:
     """The likelihood ratio statistic of word and label, by texts with the word."""
+    if n1 <= 0 or n0 <= 0:
+        return np.zeros(len(toxic))
     n, some = n1 + n0, toxic + clean
     total = np.zeros(len(some))
     for seen, expected in (
@@ -232,28 +306,26 @@ def _told(toxic: np.ndarray, clean: np.ndarray, n1: int, n0: int) -> np.ndarray:
     return np.maximum(2 * total, 0)
 
 
-def _vocabulary(examples: DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The examples' words, and in how many toxic and other texts each occurs."""
+def _vocabulary(examples: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Digests of the examples' words, rising, and in how many toxic and other texts each occurs."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, Counter[bytes]] = {0: Counter(), 1: Counter()}
-        for batch in parts:
+        for batch in slices(parts, "text", 8 << 20):
+            counts: dict[int, Counter[bytes]] = {0: Counter(), 1: Counter()}
             for text, toxic in zip(utf8(batch.column("text")), batch.column("toxic").to_pylist()):
                 counts[toxic > 0].update(set(words_of(text)))
-        words = list(counts[0].keys() | counts[1].keys())
-        for at in range(0, len(words), 50_000):
-            some = words[at : at + 50_000]
+            words = list(counts[0].keys() | counts[1].keys())
             yield pa.record_batch(
-                [pa.array(some, pa.binary()), pa.array([counts[0][w] for w in some], pa.int64()),
-                 pa.array([counts[1][w] for w in some], pa.int64())],
+                [pa.array(digests(words)), pa.array([counts[0][w] for w in words], pa.int64()),
+                 pa.array([counts[1][w] for w in words], pa.int64())],
                 names=["word", "clean", "toxic"])
 
     found = (
         examples.select("text", "toxic")
-        .mapInArrow(batches, "word binary, clean long, toxic long")
+        .mapInArrow(batches, "word long, clean long, toxic long")
         .groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .toArrow().sort_by("word"))
-    return found["word"].to_pylist(), found["toxic"].to_numpy(), found["clean"].to_numpy()
+    return tuple(found[c].to_numpy() for c in ("word", "toxic", "clean"))
 
 
 def _counted(rows: DataFrame, shared, kept: str) -> DataFrame:
@@ -263,22 +335,30 @@ def _counted(rows: DataFrame, shared, kept: str) -> DataFrame:
     """
     names = rows.select(*[c.split()[0] for c in kept.split(", ")]).columns
 
+    def lists(owner: np.ndarray, rows: int, values: np.ndarray) -> pa.Array:
+        ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=rows))])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = shared.value
-        for batch in slices(parts, "text", 8 << 20):
-            at, n, others, m = [], [], [], []
+        known = shared.value
+        for batch in slices(parts, "text", 4 << 20):
+            sizes, words, n = [], [], []
             for text in utf8(batch.column("text")):
                 hits = Counter(words_of(text))
-                order = sorted((number[w], c) for w, c in hits.items() if w in number)
-                at.append([i for i, _ in order])
-                n.append([c for _, c in order])
-                new = [(w, c) for w, c in hits.items() if w not in number] if len(order) < len(hits) else []
-                others.append([xxhash.xxh64_intdigest(w) - (1 << 63) for w, _ in new])
-                m.append([c for _, c in new])
+                sizes.append(len(hits))
+                words += hits.keys()
+                n += hits.values()
+            word, n = digests(words), np.array(n, dtype=np.int32)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((word, row))
+            word, n, row = word[order], n[order], row[order]
+            at = np.searchsorted(known, word)
+            inside = known[np.minimum(at, len(known) - 1)] == word if len(known) else at < 0
+            parts_of = [
+                lists(row[some], len(sizes), values[some]) for some, values in (
+                    (inside, at.astype(np.int32)), (inside, n), (~inside, word), (~inside, n))]
             yield pa.record_batch(
-                [*(batch.column(c) for c in names),
-                 pa.array(at, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32())),
-                 pa.array(others, pa.list_(pa.int64())), pa.array(m, pa.list_(pa.int32()))],
+                [*(batch.column(c) for c in names), *parts_of],
                 names=[*names, "terms", "counts", "others", "other_counts"])
 
     return rows.mapInArrow(
@@ -286,6 +366,22 @@ def _counted(rows: DataFrame, shared, kept: str) -> DataFrame:
         f"{kept}, terms array<int>, counts array<int>, others array<long>, other_counts array<int>")
 
 
+def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Batches of few rows and words, with the rows' (terms, counts)."""
+    for whole in batches:
+        ends = np.cumsum(pc.list_value_length(whole.column("terms")).to_numpy(zero_copy_only=False))
+        low = 0
+        while low < whole.num_rows:
+            before = ends[low - 1] if low else 0
+            high = int(np.searchsorted(ends, before + BATCH_WORDS, side="right"))
+            high = min(max(high, low + 1), low + BATCH, whole.num_rows)
+            batch = whole.slice(low, high - low)
+            flat = [pc.list_flatten(batch.column(c)).to_numpy() for c in ("terms", "counts")]
+            cuts = ends[low : high - 1] - before
+            yield batch, list(zip(*(np.split(f, cuts) for f in flat)))
+            low = high
+
+
 def score(
     docs: DataFrame,
     labels: DataFrame,
@@ -324,12 +420,12 @@ def score(
             F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"), F.min("doc_id").alias("id"))
         .withColumn("text_hash", F.xxhash64("text")),
         "toxicity-texts")
-    terms, toxic, other = _vocabulary(distinct)
-    number = spark.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
+    words, toxic, other = _vocabulary(distinct)
+    number = spark.sparkContext.broadcast(words)
     texts = id_and_text(docs).withColumn("text_hash", F.xxhash64("text"))
     counted = settle(_counted(texts, number, "doc_id long, text_hash long"), "toxicity-counts")
     total = counted.count()
-    frequency = np.zeros(len(terms))
+    frequency = np.zeros(len(words))
     seen = counted.select(F.explode("terms").alias("t")).groupBy("t").agg(
         F.count(F.lit(1)).alias("n")).toArrow()
     frequency[seen["t"].to_numpy()] = seen["n"].to_numpy()
@@ -337,17 +433,17 @@ def score(
         "others", "other_counts").toArrow().sort_by(
         [("id", "ascending"), ("text_hash", "ascending")]).combine_chunks()
     bad = labelled["toxic"].to_numpy() > 0
-    idf = np.log((1 + total) / (1 + frequency)) + 1
-    if bad.any() and not bad.all():
-        idf *= np.sqrt(1 + _told(toxic, other, int(bad.sum()), int((~bad).sum())))
+    n1, n0 = int(bad.sum()), int((~bad).sum())
+    told = [_told(toxic, other, n1, n0), _told(np.maximum(toxic - 1, 0), other, n1 - 1, n0),
+            _told(toxic, np.maximum(other - 1, 0), n1, n0 - 1)]
     share = labelled["toxic"].to_numpy() / labelled["n"].to_numpy()
     wordy = pc.list_value_length(labelled["terms"]).to_numpy() > 0
     some = labelled.filter(pa.array(wordy)).combine_chunks()
-    flat = [pc.list_flatten(some[c]).to_numpy().astype("<i4") for c in ("terms", "counts")]
-    shared = spark.sparkContext.broadcast(Packed(
-        idf, pc.list_value_length(some["terms"]).to_numpy(), some["n"].to_numpy(),
-        some["toxic"].to_numpy(), some["id"].to_numpy(), neighbours,
-        zlib.compress(np.concatenate(flat).tobytes(), 1)))
+    shared = spark.sparkContext.broadcast(Examples(
+        words, np.log((1 + total) / (1 + frequency)) + 1, np.array(told, dtype=np.float32),
+        pc.list_value_length(some["terms"]).to_numpy().astype(np.int64),
+        *(pc.list_flatten(some[c]).to_numpy() for c in ("terms", "counts")),
+        share[wordy], some["id"].to_numpy(), neighbours))
 
     def left_out(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value.open()
@@ -355,7 +451,7 @@ def score(
             entries = batch.column("id").to_pylist()
             for low in range(0, len(entries), BATCH):
                 own = entries[low : low + BATCH]
-                found = index.search_all([index.vectors[e] for e in own], own)
+                found = index.search([index.own(e) for e in own], own)
                 yield pa.record_batch(
                     [pa.array(own, pa.int64()), pa.array([index.vote(*f) for f in found], pa.float64())],
                     names=["id", "vote"])
@@ -382,23 +478,20 @@ def score(
         index = shared.value.open()
         kind = pa.list_(pa.struct(
             [("doc_id", pa.int64()), ("toxic", pa.float64()), ("cosine", pa.float64())]))
-        for whole in parts:
-            for low in range(0, whole.num_rows, BATCH):
-                batch = whole.slice(low, BATCH)
-                found = index.search_all([
-                    index.vector(np.array(t, dtype=np.int32), np.array(n), r) for t, n, r in zip(
-                        *(batch.column(c).to_pylist() for c in ("terms", "counts", "rest")))])
-                scores = np.array([fit(index.vote(*f)) for f in found])
-                near = [
-                    [{"doc_id": index.ids[e], "toxic": float(index.toxic[e] / index.total[e]),
-                      "cosine": float(s)} for e, s in zip(at[:3], cosines[:3])]
-                    for at, cosines in found]
-                yield pa.record_batch(
-                    [batch.column("doc_id"), batch.column("text_hash"), batch.column("held_out"),
-                     pa.array(scores, pa.float64()),
-                     pa.array((scores >= threshold).astype(np.int32), pa.int32()),
-                     pa.array(near, kind)],
-                    names=["doc_id", "text_hash", "held_out", "score", "predicted", "evidence"])
+        for batch, vectors in _vectors(parts):
+            rest = batch.column("rest").to_pylist()
+            found = index.search([index.vector(t, n, r) for (t, n), r in zip(vectors, rest)])
+            scores = np.array([fit(index.vote(*f)) for f in found])
+            near = [
+                [{"doc_id": int(index.of.ids[e]), "toxic": float(index.of.share[e]), "cosine": float(s)}
+                 for e, s in zip(at[:3], cosines[:3])]
+                for at, cosines, _ in found]
+            yield pa.record_batch(
+                [batch.column("doc_id"), batch.column("text_hash"), batch.column("held_out"),
+                 pa.array(scores, pa.float64()),
+                 pa.array((scores >= threshold).astype(np.int32), pa.int32()),
+                 pa.array(near, kind)],
+                names=["doc_id", "text_hash", "held_out", "score", "predicted", "evidence"])
 
     held = id_remainder(held_divisor) == held_remainder
     return (

@@ -278,57 +278,6 @@ def test_toxicity_learns_words_and_leaves_others(spark):
     assert toxicity.score(docs.limit(0), labels).count() == 0
 
 
-def test_search_equals_all_cosines():
-    pick = np.random.default_rng(2)
-    vectors = [(np.sort(pick.choice(20, 4, False)), pick.integers(1, 4, 4)) for _ in range(500)]
-    ones = np.ones(500, dtype=int)
-    index = toxicity.Index(pick.random(20) + 1, [], ones, ones, list(range(500)))
-    index.vectors = [index.vector(*v) for v in vectors]
-    index.__post_init__()
-    dense = np.zeros((500, 20))
-    for i, (t, w) in enumerate(index.vectors):
-        dense[i, t] = w
-    for q in range(0, 500, 7):
-        cosines = dense @ dense[q]
-        found, scores = index.search(*index.vectors[q])
-        assert np.allclose(scores, np.sort(cosines)[::-1][: len(scores)]) and len(found) == 15
-
-
-def test_toxicity_of_few_examples_and_long_texts(spark):
-    """Few labels tell texts apart, every word counts in the cosine, copies once."""
-    texts = [" ".join(words(40, i)) + (" vile nasty" if i % 5 == 0 else "") for i in range(60)]
-    texts += ["vile"] * 3 + [" ".join(words(3000, 99, 2000)) + " vile"]
-    docs = documents(spark, texts)
-    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(60)] + [
-        (i, 1) for i in (60, 61, 62)], "doc_id long, toxic int")
-    rows = {r.doc_id: r for r in toxicity.score(docs, labels).collect()}
-    mean = [np.mean([rows[i].score for i in range(60) if (i % 5 == 0) == bad]) for bad in (True, False)]
-    assert mean[0] > mean[1] + 0.5
-    assert all(e.cosine < 0.9 for e in rows[63].evidence)
-    # By brute force: neighbours and cosines of whole vectors, words no example has in the norm.
-    held = {i: zlib.crc32(str(i).encode()) % 3 == 1 for i in rows}
-    examples = {texts[i]: int(i >= 60 or i % 5 == 0) for i in range(63) if not held[i]}
-    counts = {t: collections.Counter(t.split()) for t in texts}
-    df = collections.Counter(w for t in texts for w in counts[t])
-    n = [sum(v == k for v in examples.values()) for k in (0, 1)]
-
-    def factor(w):
-        seen = [sum(w in counts[t] for t, v in examples.items() if v == k) for k in (0, 1)]
-        cells = [(s, sum(seen) * m / sum(n)) for s, m in zip(seen, n)]
-        cells += [(m - s, (sum(n) - sum(seen)) * m / sum(n)) for s, m in zip(seen, n)]
-        g = 2 * sum(s * math.log(s / e) for s, e in cells if s)
-        return (math.log((1 + len(texts)) / (1 + df[w])) + 1) * math.sqrt(1 + max(g, 0))
-
-    known = {w: factor(w) for w in df}
-    vectors = {t: {w: (1 + math.log(c)) * known[w] for w, c in counts[t].items()} for t in texts}
-    size = {t: math.sqrt(sum(v * v for v in vectors[t].values())) for t in texts}
-    for i, row in rows.items():
-        own = vectors[texts[i]]
-        best = sorted((sum(own.get(w, 0) * v for w, v in vectors[t].items()) / size[t] / size[texts[i]]
-                       for t in examples), reverse=True)[:3]
-        assert [e.cosine for e in row.evidence] == pytest.approx([c for c in best if c > 0])
-
-
 def test_languages(spark):
     pick = random.Random(4)
     syllables = {"aa": ["ka", "lo", "mi"], "bb": ["sch", "ung", "zu"]}
