@@ -61,7 +61,9 @@ def words_of(text: bytes) -> list[bytes]:
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers from each start on, as many as its size, one after another."""
-    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    out = np.arange(sizes.sum(), dtype=np.int32)
+    out += np.repeat((starts - (np.cumsum(sizes) - sizes)).astype(np.int32), sizes)
+    return out
 
 
 def digests(words: list[bytes]) -> np.ndarray:
@@ -100,42 +102,73 @@ class Index:
     def __init__(self, of: Examples) -> None:
         self.of, self.visited, self.offered = of, 0, 0
         n, words = len(of.sizes), len(of.idf)
-        owner = np.repeat(np.arange(n), of.sizes)
         self.starts = np.cumsum(of.sizes) - of.sizes
-        self.weights = (1 + np.log(of.counts)) * of.idf[of.terms]
-        self.weights /= np.sqrt(np.bincount(owner, self.weights**2, n))[owner]
-        single = self.weights.astype(np.float32)
+        self.logs = 1 + np.log(np.arange(1, int(of.counts.max(initial=0)) + 1))
+        self.logs = np.concatenate([[0.0], self.logs])
         self.blocks = -(-n // BLOCK)
         wide = np.flatnonzero(np.bincount(of.terms, minlength=words) > DENSE * n)
         self.column = np.full(words, -1, dtype=np.int32)
         self.column[wide] = np.arange(len(wide))
-        column = self.column[of.terms]
-        dense = np.zeros((n, len(wide)), dtype=np.float32)
-        dense[owner[column >= 0], column[column >= 0]] = single[column >= 0]
+        self.norms = np.zeros(n)
+        single = np.zeros(len(of.terms), dtype=np.float32)
+        sketch = np.zeros((n, 256), dtype=np.float32)
+        dense = np.zeros((self.blocks * BLOCK, len(wide)), dtype=np.float32)
+        for low in range(0, n, 1024):  # Parts only bound the memory.
+            sizes = of.sizes[low : low + 1024]
+            at = slice(self.starts[low], self.starts[low] + sizes.sum())
+            owner, terms = np.repeat(np.arange(len(sizes)), sizes), of.terms[at]
+            weights = self.logs[of.counts[at]] * of.idf[terms]
+            self.norms[low : low + 1024] = np.sqrt(np.bincount(owner, weights**2, len(sizes)))
+            weights /= self.norms[low : low + 1024][owner]
+            single[at] = weights
+            sign = 1 - 2 * (terms * np.int64(40503) >> 8 & 1)
+            sketch[low : low + 1024] = np.bincount(
+                owner * 256 + terms % 256, weights * sign, len(sizes) * 256).reshape(-1, 256)
+            column = self.column[terms]
+            dense[low + owner[column >= 0], column[column >= 0]] = weights[column >= 0]
         #: The example at each place; alike ones are neighbours.
-        sign = 1 - 2 * (of.terms * np.int64(40503) >> 8 & 1)
-        sketch = np.bincount(owner * 256 + of.terms % 256, single * sign, n * 256).reshape(n, 256)
-        self.example = _alike(sketch.astype(np.float32))
-        self.place = np.empty(n, dtype=np.int64)
+        self.example = _alike(sketch, self.norms)
+        del sketch
+        self.place = np.empty(n, dtype=np.int32)
         self.place[self.example] = np.arange(n)
-        self.cube = np.zeros((self.blocks * BLOCK, len(wide)), dtype=np.float32)
-        self.cube[:n] = dense[self.example]
-        self.cube = self.cube.reshape(self.blocks, BLOCK, len(wide))
+        dense[:n] = dense[self.example]
+        self.cube = dense.reshape(self.blocks, BLOCK, len(wide))
         self.tops = np.ascontiguousarray(self.cube.max(axis=1).T) if n else np.zeros((0, 0), np.float32)
-        sparse = column < 0
-        terms, place, single = of.terms[sparse], self.place[owner[sparse]], single[sparse]
-        order = np.argsort(terms * np.int64(max(n, 1)) + place)
-        terms, place, self.values = terms[order], place[order], single[order]
-        self.slots = (place % BLOCK).astype(np.uint8)
-        block = place // BLOCK
-        new = np.ones(len(terms), dtype=bool)
-        new[1:] = (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])
-        self.postings = np.flatnonzero(new).astype(np.int32)
-        self.lengths = np.diff(self.postings, append=len(terms)).astype(np.int32)
-        self.block = block[new].astype(np.int32)
-        self.largest = (
-            np.maximum.reduceat(self.values, self.postings) if len(terms) else np.zeros(0, np.float32))
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(terms[new], minlength=words))])
+        self._post(single)
+
+    def _post(self, single: np.ndarray) -> None:
+        """Postings and records of the words without a column, by parts of the words."""
+        of, words = self.of, len(self.of.idf)
+        place = np.repeat(self.place, of.sizes)
+        sizes = np.bincount(of.terms, minlength=words) * (self.column < 0)
+        ends = np.cumsum(sizes)
+        cuts = np.unique(np.searchsorted(ends, np.arange(0, sizes.sum(), 1 << 20), side="left"))
+        values, slots, starts, block, largest, count = [], [], [], [], [], []
+        before = 0
+        for low, high in zip(cuts, [*cuts[1:], words]):
+            some = np.flatnonzero((of.terms >= low) & (of.terms < high) & (self.column[of.terms] < 0))
+            some = some[np.lexsort((place[some], of.terms[some]))]
+            terms, at, value = of.terms[some], place[some], single[some]
+            new = np.ones(len(some), dtype=bool)
+            new[1:] = (terms[1:] != terms[:-1]) | (at[1:] // BLOCK != at[:-1] // BLOCK)
+            first = np.flatnonzero(new)
+            values.append(value)
+            slots.append((at % BLOCK).astype(np.uint8))
+            starts.append((first + before).astype(np.int32))
+            block.append((at[first] // BLOCK).astype(np.int32))
+            largest.append(np.maximum.reduceat(value, first) if len(first) else value)
+            count.append(np.bincount(terms[first] - low, minlength=high - low))
+            before += len(some)
+        none = [np.zeros(0, dtype=np.int32)]
+        self.values = np.concatenate(values or [np.zeros(0, np.float32)])
+        self.slots = np.concatenate(slots or none)
+        #: Where the postings of a record start; its end is the next one's start.
+        self.postings = np.concatenate([*starts, np.array([before], dtype=np.int32)])
+        self.block = np.concatenate(block or none)
+        self.largest = np.concatenate(largest or [np.zeros(0, np.float32)])
+        counts = np.concatenate(count) if count else np.zeros(words, dtype=np.int64)
+        skipped = np.zeros(words - len(counts), dtype=np.int64)
+        self.first = np.concatenate([[0], np.cumsum(np.concatenate([skipped, counts]))])
 
     def vector(
         self, terms: np.ndarray, counts: np.ndarray, others: float = 0.0
@@ -147,7 +180,8 @@ class Index:
 
     def own(self, example: int) -> tuple[np.ndarray, np.ndarray]:
         at = slice(self.starts[example], self.starts[example] + self.of.sizes[example])
-        return self.of.terms[at], self.weights[at]
+        weights = self.logs[self.of.counts[at]] * self.of.idf[self.of.terms[at]]
+        return self.of.terms[at], weights / self.norms[example]
 
     def search(
         self, queries: list[tuple[np.ndarray, np.ndarray]], without: list[int] | None = None
@@ -156,7 +190,7 @@ class Index:
         the smaller example. Only examples that share a word count. ``without`` leaves
         out one example per query, also from G.
         """
-        rows, blocks = len(queries), self.blocks
+        rows, blocks, k = len(queries), self.blocks, self.of.neighbours
         if not blocks:
             return [(np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0))] * rows
         terms = np.concatenate([t for t, _ in queries]).astype(np.int64)
@@ -169,65 +203,84 @@ class Index:
         sizes = self.first[terms + 1] - self.first[terms]
         record = _ranges(self.first[terms], sizes)
         weight = np.repeat(weights, sizes)
-        pair = np.repeat(row * blocks, sizes) + self.block[record]
+        pair = np.repeat((row * blocks).astype(np.int32), sizes) + self.block[record]
         bound = dense @ self.tops
         bound += np.bincount(pair, weight * self.largest[record], rows * blocks).reshape(rows, blocks)
-        scores = np.full((rows, blocks, BLOCK), -1, dtype=np.float32)
-        limit = np.zeros(rows)
-        left = bound > 0
         self.offered += rows * blocks
-        take = -(-self.of.neighbours // BLOCK)
-        while True:
-            left &= bound > np.maximum(limit - SLACK, 0)[:, None]
-            if not left.any():
-                break
-            now = left
-            if take < blocks:
-                best = np.where(left, bound, -1)
-                now = left & (best >= np.partition(best, blocks - take, axis=1)[:, [blocks - take]])
+        places: list[list[np.ndarray]] = [[] for _ in range(rows)]
+        scores: list[list[np.ndarray]] = [[] for _ in range(rows)]
+        limit = np.zeros(rows)
+        # First the blocks of the largest bounds, for a k-th score; then all that can beat it.
+        take = min(blocks, max(blocks // 16, -(-2 * k // BLOCK)))
+        now = bound > 0
+        if take < blocks:
+            now &= bound >= np.partition(bound, blocks - take, axis=1)[:, [blocks - take]]
+        left = ~now
+        for last in (False, True):
             self.visited += int(now.sum())
-            for b in np.flatnonzero(now.any(axis=0)).tolist():
-                some = np.flatnonzero(now[:, b])
-                scores[some, b] = dense[some] @ self.cube[b].T
-            hit = now.ravel()[pair]
-            entry = _ranges(self.postings[record[hit]], self.lengths[record[hit]])
-            many = self.lengths[record[hit]]
-            scores += np.bincount(
-                np.repeat(pair[hit] * BLOCK, many) + self.slots[entry],
-                np.repeat(weight[hit], many) * self.values[entry], scores.size).reshape(scores.shape)
-            record, weight, pair = record[~hit], weight[~hit], pair[~hit]
-            flat = scores.reshape(rows, -1)
-            if without is not None:
-                flat[np.arange(rows), self.place[without]] = -1
-            # The k-th largest of the maxima of eights is no more than the k-th best.
-            best = scores.reshape(rows, -1, 8).max(axis=2)
-            if best.shape[1] >= self.of.neighbours:
-                low = best.shape[1] - self.of.neighbours
-                limit = np.partition(best, low, axis=1)[:, low]
-            left &= ~now
-            take *= 4
+            score = self._visit(now, dense, pair, record, weight)
+            at = np.cumsum(now.sum(axis=1))[:-1] * BLOCK
+            for i, (b, own) in enumerate(zip(now, np.split(score.ravel(), at))):
+                where = (np.flatnonzero(b)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+                some = own > max(limit[i] - SLACK, 0)
+                if without is not None:
+                    some &= where != self.place[without[i]]
+                places[i].append(where[some])
+                scores[i].append(own[some])
+                if not last and len(scores[i][0]) >= k:
+                    limit[i] = np.partition(scores[i][0], -k)[-k]
+            now = left & (bound > np.maximum(limit - SLACK, 0)[:, None])
+            if not now.any():
+                break
         out, full = [], np.zeros(len(self.of.idf))
-        flat = scores.reshape(rows, -1)
+        shared = np.zeros(len(self.of.idf), dtype=bool)
         for i, (t, w) in enumerate(queries):
-            at = np.flatnonzero(flat[i] > max(limit[i] - SLACK, 0))
-            if len(at) > self.of.neighbours:
-                kth = np.partition(flat[i, at], -self.of.neighbours)[-self.of.neighbours]
-                at = at[flat[i, at] >= kth - SLACK]
+            at, single = np.concatenate(places[i]), np.concatenate(scores[i])
+            if len(at) > k:
+                at = at[single >= np.partition(single, -k)[-k] - SLACK]
             found = self.example[at]
-            full[t] = w
-            entry = _ranges(self.starts[found], self.of.sizes[found])
+            full[t] = w * self.of.idf[t]
+            shared[t] = True
+            starts, ends = self.starts[found], np.cumsum(self.of.sizes[found])
+            entry = np.flatnonzero(shared[np.concatenate([
+                np.zeros(0, dtype=np.int32),
+                *(self.of.terms[a : a + n] for a, n in zip(starts, self.of.sizes[found]))])])
+            owner = np.searchsorted(ends, entry, side="right")
+            entry += (starts - ends + self.of.sizes[found])[owner]
             some = self.of.terms[entry]
-            product = full[some] * self.weights[entry]
+            product = full[some] * self.logs[self.of.counts[entry]]
             told = self.of.told[
                 0 if without is None else 1 if self.of.share[without[i]] > 0 else 2]
-            ends = np.cumsum(self.of.sizes[found]) - self.of.sizes[found]
-            exact = np.add.reduceat(product, ends) if len(found) else np.zeros(0)
-            telling = np.add.reduceat(product * told[some], ends) if len(found) else np.zeros(0)
-            full[t] = 0
-            order = np.lexsort((found, -np.round(exact, 12)))[: self.of.neighbours]
+            exact, telling = (
+                np.bincount(owner, x, len(found)) / self.norms[found]
+                for x in (product, product * told[some]))
+            shared[t] = False
+            order = np.lexsort((found, -np.round(exact, 12)))[:k]
             out.append((found[order], np.minimum(exact[order], 1.0), telling[order]))
         return out
 
+    def _visit(
+        self, now: np.ndarray, dense: np.ndarray, pair: np.ndarray, record: np.ndarray, weight: np.ndarray
+    ) -> np.ndarray:
+        """Scores of the blocks that ``now`` marks by row, one line for each mark, by row."""
+        line = np.cumsum(now.ravel(), dtype=np.int32).reshape(now.shape) - 1
+        score = np.zeros((int(now.sum()), BLOCK), dtype=np.float32)
+        hit = now.ravel()[pair]
+        record, weight = record[hit], weight[hit]
+        starts = self.postings[record]
+        many = self.postings[record + 1] - starts
+        entry = _ranges(starts, many)
+        to = np.repeat(line.ravel()[pair[hit]] * BLOCK, many)
+        to += self.slots[entry]
+        score += np.bincount(
+            to, np.repeat(weight, many) * self.values[entry], score.size).reshape(score.shape)
+        for b in np.flatnonzero(now.any(axis=0)).tolist():
+            some = np.flatnonzero(now[:, b])
+            # Picking rows costs more than it saves where most of them count.
+            mine = (dense @ self.cube[b].T)[some] if len(some) * 3 > len(dense) else dense[some] @ self.cube[b].T
+            score[line[some, b]] += mine
+        return score
+
     def vote(self, found: np.ndarray, cosines: np.ndarray, telling: np.ndarray) -> float:
         """Weighted share of toxic examples among the nearest, -1 without any.
 
@@ -237,8 +290,9 @@ class Index:
         return float((weight * self.of.share[found]).sum() / weight.sum()) if len(found) else -1.0
 
 
-def _alike(rows: np.ndarray, most: int = 64, rounds: int = 3) -> np.ndarray:
-    """An order of the rows (sketches of vectors) in which alike ones are neighbours, by k-means.
+def _alike(rows: np.ndarray, norms: np.ndarray, most: int = 64, rounds: int = 3) -> np.ndarray:
+    """An order of the rows (sketches of vectors) in which alike ones are neighbours, by k-means,
+    in a group by their norms, as weights of long texts are small.
 
     Only the bounds' tightness depends on it, never a result.
     """
@@ -259,7 +313,7 @@ def _alike(rows: np.ndarray, most: int = 64, rounds: int = 3) -> np.ndarray:
         rank[at] = i
         near[:, at] = -1
         at = int(np.argmax(near[at]))
-    return np.argsort(rank[group], kind="stable")
+    return np.lexsort((norms, rank[group]))
 
 
 @dataclass
@@ -430,20 +484,23 @@ def score(
         F.count(F.lit(1)).alias("n")).toArrow()
     frequency[seen["t"].to_numpy()] = seen["n"].to_numpy()
     labelled = _counted(distinct, number, "id long, text_hash long, n long, toxic long").drop(
-        "others", "other_counts").toArrow().sort_by(
-        [("id", "ascending"), ("text_hash", "ascending")]).combine_chunks()
-    bad = labelled["toxic"].to_numpy() > 0
-    n1, n0 = int(bad.sum()), int((~bad).sum())
+        "others", "other_counts").toArrow()
+    order = np.lexsort((labelled["text_hash"].to_numpy(), labelled["id"].to_numpy()))
+    sizes = pc.list_value_length(labelled["terms"]).to_numpy().astype(np.int64)
+    flat = [pc.list_flatten(labelled[c]).to_numpy() for c in ("terms", "counts")]
+    ids, share = labelled["id"].to_numpy(), labelled["toxic"].to_numpy() / labelled["n"].to_numpy()
+    del labelled
+    flat[1] = flat[1].astype(np.min_scalar_type(int(flat[1].max(initial=0))))
+    n1, n0 = int((share > 0).sum()), int((share == 0).sum())
     told = [_told(toxic, other, n1, n0), _told(np.maximum(toxic - 1, 0), other, n1 - 1, n0),
             _told(toxic, np.maximum(other - 1, 0), n1, n0 - 1)]
-    share = labelled["toxic"].to_numpy() / labelled["n"].to_numpy()
-    wordy = pc.list_value_length(labelled["terms"]).to_numpy() > 0
-    some = labelled.filter(pa.array(wordy)).combine_chunks()
+    wordy = order[sizes[order] > 0]
+    blank = share[sizes == 0]
+    entry = _ranges((np.cumsum(sizes) - sizes)[wordy], sizes[wordy])
     shared = spark.sparkContext.broadcast(Examples(
         words, np.log((1 + total) / (1 + frequency)) + 1, np.array(told, dtype=np.float32),
-        pc.list_value_length(some["terms"]).to_numpy().astype(np.int64),
-        *(pc.list_flatten(some[c]).to_numpy() for c in ("terms", "counts")),
-        share[wordy], some["id"].to_numpy(), neighbours))
+        sizes[wordy], flat[0][entry], flat[1][entry], share[wordy], ids[wordy], neighbours))
+    del flat, entry, told
 
     def left_out(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value.open()
@@ -456,13 +513,13 @@ def score(
                     [pa.array(own, pa.int64()), pa.array([index.vote(*f) for f in found], pa.float64())],
                     names=["id", "vote"])
 
-    votes = np.full(some.num_rows, -1.0)
-    done = spark.range(some.num_rows).repartition(max(1, some.num_rows // 2048)).mapInArrow(
+    votes = np.zeros(len(wordy))
+    done = spark.range(len(wordy)).repartition(max(1, len(wordy) // 2048)).mapInArrow(
         left_out, "id long, vote double").toArrow()
     votes[done["id"].to_numpy()] = done["vote"].to_numpy()
     fit = calibrated(
-        np.concatenate([votes, np.full((~wordy).sum(), -1.0)]), np.ones(len(share)),
-        np.concatenate([share[wordy], share[~wordy]]))
+        np.concatenate([votes, np.full(len(blank), -1.0)]), np.ones(len(share)),
+        np.concatenate([share[wordy], blank]))
 
     # The squared weight of the words no example has, by their frequencies.
     key = F.coalesce("doc_id", F.lit(MIN_LONG)).alias("__k")
