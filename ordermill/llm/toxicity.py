@@ -170,12 +170,10 @@ class Index:
         skipped = np.zeros(words - len(counts), dtype=np.int64)
         self.first = np.concatenate([[0], np.cumsum(np.concatenate([skipped, counts]))])
 
-    def vector(
-        self, terms: np.ndarray, counts: np.ndarray, others: float = 0.0
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and weights; ``others`` is the squared weight of words no example has."""
+    def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights, by the words that some example has."""
         weights = (1 + np.log(counts)) * self.of.idf[terms]
-        norm = np.sqrt((weights**2).sum() + others)
+        norm = np.sqrt((weights**2).sum())
         return terms, weights / norm if norm else weights
 
     def own(self, example: int) -> tuple[np.ndarray, np.ndarray]:
@@ -281,13 +279,14 @@ class Index:
             score[line[some, b]] += mine
         return score
 
-    def vote(self, found: np.ndarray, cosines: np.ndarray, telling: np.ndarray) -> float:
-        """Weighted share of toxic examples among the nearest, -1 without any.
 
-        Equal examples vote once, with the share of toxic ones among them.
-        """
-        weight = (PLAIN + telling) / (1 - cosines + 0.05)
-        return float((weight * self.of.share[found]).sum() / weight.sum()) if len(found) else -1.0
+def vote(share: np.ndarray, cosines: np.ndarray, telling: np.ndarray) -> float:
+    """Weighted share of toxic examples among the nearest, -1 without any.
+
+    Equal examples vote once, with the share of toxic ones among them.
+    """
+    weight = (PLAIN + telling) / (1 - cosines + 0.05)
+    return float((weight * share).sum() / weight.sum()) if len(share) else -1.0
 
 
 def _alike(rows: np.ndarray, norms: np.ndarray, most: int = 64, rounds: int = 3) -> np.ndarray:
@@ -510,7 +509,8 @@ def score(
                 own = entries[low : low + BATCH]
                 found = index.search([index.own(e) for e in own], own)
                 yield pa.record_batch(
-                    [pa.array(own, pa.int64()), pa.array([index.vote(*f) for f in found], pa.float64())],
+                    [pa.array(own, pa.int64()), pa.array(
+                        [vote(index.of.share[f[0]], *f[1:]) for f in found], pa.float64())],
                     names=["id", "vote"])
 
     votes = np.zeros(len(wordy))
@@ -531,30 +531,58 @@ def score(
         words.distinct().join(words.groupBy("word").agg(F.count(F.lit(1)).alias("f")), "word")
         .groupBy("__k", "text_hash").agg(F.sum(weight * weight).alias("rest")), "toxicity-others")
 
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def searched(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value.open()
+        for batch, vectors in _vectors(parts):
+            found = index.search([index.vector(t, n) for t, n in vectors])
+            squares = [(((1 + np.log(n)) * index.of.idf[t]) ** 2).sum() for t, n in vectors]
+            ends = np.concatenate([[0], np.cumsum([len(f[0]) for f in found])])
+            lists = [
+                pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32()), pa.array(np.concatenate([f[i] for f in found]), kind, safe=False))
+                for i, kind in enumerate((pa.int32(), pa.float32(), pa.float32()))]
+            yield pa.record_batch(
+                [*(batch.column(c) for c in ("doc_id", "__k", "text_hash")),
+                 pa.array(squares, pa.float64()), *lists],
+                names=["doc_id", "__k", "text_hash", "squares", "found", "cosines", "telling"])
+
+    # The norm's other words change no order, so texts are searched where they are read and
+    # only their neighbours meet the rest.
+    near = counted.select("doc_id", key, "text_hash", "terms", "counts").mapInArrow(
+        searched,
+        "doc_id long, __k long, text_hash long, squares double, found array<int>, "
+        "cosines array<float>, telling array<float>")
+    known_of = spark.sparkContext.broadcast((share[wordy], ids[wordy]))
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        share, ids = known_of.value
         kind = pa.list_(pa.struct(
             [("doc_id", pa.int64()), ("toxic", pa.float64()), ("cosine", pa.float64())]))
-        for batch, vectors in _vectors(parts):
-            rest = batch.column("rest").to_pylist()
-            found = index.search([index.vector(t, n, r) for (t, n), r in zip(vectors, rest)])
-            scores = np.array([fit(index.vote(*f)) for f in found])
-            near = [
-                [{"doc_id": int(index.of.ids[e]), "toxic": float(index.of.share[e]), "cosine": float(s)}
-                 for e, s in zip(at[:3], cosines[:3])]
-                for at, cosines, _ in found]
+        for batch in parts:
+            scores, evidence = [], []
+            squares, rest = (batch.column(c).to_numpy() for c in ("squares", "rest"))
+            scale = np.sqrt(squares / np.maximum(squares + rest, 1e-300))
+            for i, part in enumerate(scale.tolist()):
+                found, cosines, telling = (
+                    batch.column(c)[i].values.to_numpy() for c in ("found", "cosines", "telling"))
+                cosines = cosines.astype(float) * part
+                scores.append(fit(vote(share[found], cosines, telling.astype(float) * part)))
+                evidence.append([
+                    {"doc_id": int(ids[e]), "toxic": float(share[e]), "cosine": float(s)}
+                    for e, s in zip(found[:3], cosines[:3])])
+            scores = np.array(scores)
             yield pa.record_batch(
                 [batch.column("doc_id"), batch.column("text_hash"), batch.column("held_out"),
                  pa.array(scores, pa.float64()),
                  pa.array((scores >= threshold).astype(np.int32), pa.int32()),
-                 pa.array(near, kind)],
+                 pa.array(evidence, kind)],
                 names=["doc_id", "text_hash", "held_out", "score", "predicted", "evidence"])
 
     held = id_remainder(held_divisor) == held_remainder
     return (
-        counted.select("doc_id", key, "text_hash", held.alias("held_out"), "terms", "counts")
-        .join(rest, ["__k", "text_hash"], "left")
-        .select("doc_id", "text_hash", "held_out", "terms", "counts", F.coalesce("rest", F.lit(0.0)).alias("rest"))
+        near.join(rest, ["__k", "text_hash"], "left")
+        .select("doc_id", "text_hash", held.alias("held_out"), "squares", "found", "cosines", "telling",
+                F.coalesce("rest", F.lit(0.0)).alias("rest"))
         .mapInArrow(
             batches,
             "doc_id long, text_hash long, held_out boolean, score double, predicted int, "
