@@ -234,8 +234,8 @@ def pack(
     """
     found = settle(
         pieces(docs, vocabulary, pattern, sequence, end_id, with_ids), "bestfit-pieces")
-    counts = settle(
-        found.groupBy("chunk", "length").agg(F.count(F.lit(1)).alias("n")), "bestfit-counts")
+    # Counted anew where it is needed: as a table it would be one small file per shuffle partition.
+    counts = found.groupBy("chunk", "length").agg(F.count(F.lit(1)).alias("n"))
     histogram = {
         r["length"]: r["n"]
         for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()
@@ -248,6 +248,8 @@ def pack(
     ranked = found.join(bases, ["chunk", "length"]).select(
         *[c for c in found.columns if c not in ("chunk", "nth")],
         (F.col("base") + F.col("nth")).alias("rank"))
+    # As many tasks and files as the pieces' table needs, however many partitions the join has.
+    ranked = ranked.coalesce(max(found.rdd.getNumPartitions(), 1))
     columns = [c for c in ranked.columns if c != "rank"]
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

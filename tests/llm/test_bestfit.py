@@ -129,3 +129,19 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     assert sorted(str(r.doc_id) for r in rows) == ["7", "7", "None", "None"]
     assert sorted(r.offset for r in rows) == [0, 3, 6, 8]
     assert bestfit.pack(docs.limit(0), *vocabulary()).collect() == []
+
+
+def test_few_files_with_many_partitions(spark, conf, tmp_path, monkeypatch):
+    """Small pieces from many shuffle partitions: neither tables nor the result fall apart."""
+    conf("spark.sql.shuffle.partitions", "97")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    written = []
+    whole = bestfit.settle
+    monkeypatch.setattr(bestfit, "settle", lambda df, label: written.append(whole(df, label)) or written[-1])
+    texts = ["word " * (i % 40) for i in range(300)]
+    found = bestfit.pack(documents(spark, texts), *vocabulary(), sequence=64)
+    assert sum(len(t.inputFiles()) for t in written) < 20
+    found.write.parquet(f"{tmp_path}/out")
+    assert len(list((tmp_path / "out").glob("part-*"))) < 20
+    assert spark.read.parquet(f"{tmp_path}/out").select("doc_id").distinct().count() == len(texts)
