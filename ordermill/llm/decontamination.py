@@ -61,8 +61,20 @@ _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"[.!?]+(?:\s+|$)")
 
 
+#: ASCII letters lower-cased, digits as they are, the rest of ASCII as blanks.
+_FOLD = "".join(chr(c).lower() if chr(c).isalnum() else " " for c in range(128))
+_FOLD_BYTES = _FOLD.encode() + bytes(range(128, 256))
+_ODD = re.compile(r"[^\x00-\x7f\w]")
+
+
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """The runs of letters and digits, lower-cased: ``_WORD``, mostly without the pattern's cost."""
+    if text.isascii():
+        return text.translate(_FOLD).split()
+    text = text.lower()
+    if _ODD.search(text):
+        return _WORD.findall(text)
+    return text.encode().translate(_FOLD_BYTES).decode().split()
 
 
 @dataclass

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -133,3 +134,17 @@ def test_no_items_and_no_documents(spark):
     clash = documents(spark, ["a b c", "z"]).selectExpr("*", "1 AS __k", "2 AS __t", "3 AS word")
     kept = dc.clean(clash.drop("__k", "__t"), one)
     assert [r.doc_id for r in kept.collect()] == [1]
+
+
+def test_words_are_those_of_the_pattern():
+    texts = [chr(c) for c in range(0x3000)] + ["a" + chr(c) + "B_c" for c in range(0x250)]
+    texts += ["É ß_x 漢字 😀 e\u0301 \ud800 ١٢ ²", "Ünder_Score\tx\x1cy\x85z", "İI ŉ", "x\u3000y\xa0z", ""]
+    for text in texts:
+        assert dc.words_of(text) == re.findall(r"[^\W_]+", text.lower())
+
+
+def test_words_are_split_without_the_pattern(monkeypatch):
+    """Only texts with other signs than letters and digits outside ASCII need it."""
+    monkeypatch.setattr(dc, "_WORD", None)
+    assert dc.words_of("One, two_THREE 4.") == ["one", "two", "three", "4"]
+    assert dc.words_of("Één, zwölf_漢字") == ["één", "zwölf", "漢字"]
