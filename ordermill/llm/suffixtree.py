@@ -1,12 +1,13 @@
 """Language-model scores from a probabilistic suffix tree.
 
 The model has two alphabets. Over words, the root gives each word its smoothed
-frequency, as the base score does. A preceding word becomes a state if it was
-seen 2 to ``max_context`` times and passes a divergence test from the root that
-leaves each occurrence out in turn, so that chance pairs do not count; it lists
-the words that followed it twice or more and passes the rest of its probability
-to the root. More frequent words say little about the next one, and their lists
-would grow with the vocabulary. A new word gets its share from the root in part
+frequency, as the base score does. A context is the last 1 to ``max_words`` words.
+It becomes a state if it was seen twice or more, the context shorter by its first
+word is a state, and it passes a divergence test from that one (from the root, for
+one word) that leaves each occurrence out in turn, so that chance pairs do not
+count. No context is too frequent or too rare for the test. A state lists the words
+that followed it twice or more and passes the rest of its probability to the next
+shorter one. A new word gets its share from the root in part
 as one of as many equally likely ones as are known (the base score's convention)
 and in part by its spelling, from a tree over bytes that learns from the
 distinct words, since new words resemble those and not the most frequent ones.
@@ -24,9 +25,13 @@ count for each of 257 symbols. Scores use the longest state that is a suffix.
 
 Texts become rows of word numbers, local to a chunk of bounded vocabulary, once.
 What is shuffled after that are a chunk's distinct words as digests with counts,
-and chunks as a whole, compressed. At most depth / min_share byte states can
+chunks as a whole, compressed, and for each length of contexts a chunk's distinct
+pairs of a context and the next word, as digests, dealt by context; those of very
+frequent contexts are dealt by both, and the parts of their test are summed. Each
+chunk gets the totals of its own pairs back, in their order, never a whole list.
+At most depth / min_share byte states can
 exist, whatever the input, and the listed next symbols are bounded likewise;
-that bounded tree is what the tasks receive. Word states are joined, not sent.
+that bounded tree is what the tasks receive.
 """
 
 from __future__ import annotations
@@ -44,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ordermill.llm.common import id_and_text, id_remainder, signed, slices, utf8
-from ordermill.sources.shared import forget, new_path, settle
+from ordermill.sources.shared import settle
 
 DEPTH = 7
 MIN_SHARE = 1e-5
@@ -52,11 +57,18 @@ MIN_SHARE = 1e-5
 LISTED = 1 / 16
 SYMBOLS = 257
 BLANK, END = b" ", b"\n"
-MAX_CONTEXT = 64
+#: Words of the longest context.
+MAX_WORDS = 2
+#: Contexts seen so often have their next words dealt to several groups.
+HOT = 1 << 21
+#: The test's expected probabilities travel in so many steps for a factor e.
+STEPS = 64
+#: Training tokens for each group that counts contexts.
+BUCKET_TOKENS = 2_000_000
 #: Part of a new word's share that follows its spelling.
 SPELLED = 0.2
 CHUNK_WORDS = 400_000
-CHUNK_TOKENS = 8_000_000
+CHUNK_TOKENS = 2_000_000
 
 
 def _pressed(values: np.ndarray) -> bytes:
@@ -363,78 +375,229 @@ def tree_symbols(tree: Tree, grams: np.ndarray, depth: int) -> np.ndarray:
     return part.symbols(grams, np.full(len(grams), depth))
 
 
-def _seen(depth: int, most: int):
-    """Per chunk the pairs (kind 0) and the spelling of its first words (kind 1).
-
-    Pairs are (state, next word, n, the next word's count in all) for training
-    texts and first words that occur 2 to ``most`` times; of the next word 32
-    bits tell it apart in a state's short list. Spellings are (gram, size, n).
-    """
+def _spelled(depth: int):
+    """Per chunk the spelling of the words that it is the first to hold: (gram, size, n)."""
 
     def of(numbered: pa.Table, counts: pa.Table) -> pa.Table:
         chunk = _Chunk(numbered, counts)
-        held = chunk.texts.column("held_out").to_pylist()
-        lists = [x for x, h in zip(chunk.lists(), held) if not h]
-        before, after = _neighbours(lists)
-        c = chunk.c
-        fits = (c[before] >= 2) & (c[before] <= most)
-        pair, n = np.unique(before[fits] << 32 | after[fits], return_counts=True)
-        before, after = pair >> 32, pair & 0xFFFFFFFF
-        known = [w for w, f, k in zip(chunk.words, chunk.first, c) if f and k]
+        known = [w for w, f, k in zip(chunk.words, chunk.first, chunk.c) if f and k]
         gram, size, _ = _grams(known, depth)
-        gram, at, m = np.unique(gram, return_index=True, return_counts=True)
-        return pa.table({
-            "kind": np.repeat(np.array([0, 1], dtype=np.int32), [len(pair), len(gram)]),
-            "x": np.concatenate([chunk.keys[before], signed(gram)]),
-            "y": np.concatenate([_short(chunk.keys[after]), size[at]]),
-            "n": np.concatenate([n, m]).astype(np.int64),
-            "c": np.concatenate([c[after], np.zeros(len(gram), dtype=np.int64)]),
-        })
+        gram, at, n = np.unique(gram, return_index=True, return_counts=True)
+        return pa.table({"gram": signed(gram), "size": size[at], "n": n.astype(np.int64)})
 
     return of
 
 
-def _short(keys: np.ndarray) -> np.ndarray:
-    return keys & 0xFFFFFFFF
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64-bit digests of pairs of digests."""
+    x = (a ^ (b * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
+@dataclass(frozen=True)
+class Dealt:
+    """How pairs of a context and the next word are dealt: by context, but those of a
+    context seen ``hot`` times or more by both, to buckets from ``buckets`` on.
+    """
+
+    buckets: int
+    hot: int
+
+    def of(self, context: np.ndarray, seen: np.ndarray, word: np.ndarray) -> np.ndarray:
+        many = np.flatnonzero(seen >= self.hot)
+        salt = np.zeros(len(context), dtype=np.uint64)
+        salt[many] = word[many] % (seen[many] // self.hot + 1).astype(np.uint64)
+        bucket = (_mixed(context, salt) % np.uint64(self.buckets)).astype(np.int64)
+        bucket[many] += self.buckets
+        # Short numbers are sorted faster.
+        return bucket.astype(np.min_scalar_type(2 * self.buckets))
 
 
-def _neighbours(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(word, next word) at all places of all texts."""
-    if not lists:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    flat = np.concatenate(lists)
-    starts = np.zeros(len(flat) + 1, dtype=bool)
-    starts[np.cumsum([len(x) for x in lists])] = True
-    inside = ~starts[1 : len(flat)]
-    return flat[:-1][inside], flat[1:][inside]
+class Walk:
+    """All places of a chunk's texts, with the probability of the word at each.
 
+    It starts with the words' probabilities at the root. ``learn`` goes on to contexts
+    of one more word: ``context`` numbers the one before each place (-1: none to be
+    looked at), ``seen`` is how often it occurs in training texts.
+    """
+
+    def __init__(self, chunk: _Chunk, root: np.ndarray) -> None:
+        lists = chunk.lists()
+        sizes = np.array([len(x) for x in lists], dtype=np.int64)
+        self.starts = np.cumsum(sizes) - sizes
+        self.word = np.concatenate([np.zeros(0, dtype=np.int32), *lists], dtype=np.int32)
+        del lists
+        held = np.array(chunk.texts.column("held_out").to_pylist(), dtype=bool)
+        self.train = np.repeat(~held, sizes)
+        self.p = root[self.word]
+        self.keys = chunk.keys.view(np.uint64)
+        self.seen, self.digest = chunk.c, self.keys
+        self.context = np.full(len(self.word), -1, dtype=np.int32)
+        self.context[1:] = self.word[:-1]
+        self.context[self.starts] = -1
+
+    def _pair(self) -> None:
+        """Number the different pairs of a context and the next word, by context."""
+        at = np.flatnonzero(self.context >= 0)
+        self.at = at = at[self.seen[self.context[at]] > 1].astype(np.int32)
+        pair = self.context[at].astype(np.int64) << 32
+        pair |= self.word[at]
+        order = np.argsort(pair)
+        pair = pair[order]
+        new = np.diff(pair, prepend=-1) != 0
+        self.which = np.empty(len(pair), dtype=np.int32)
+        self.which[order] = np.cumsum(new, dtype=np.int32) - 1
+        pair = pair[new]
+        self.before, self.after = pair >> 32, pair & 0xFFFFFFFF
+
+    def dealt(self, dealt: Dealt) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(bucket, pairs, contexts, pairs of each context) for all pairs, by bucket."""
+        bucket = dealt.of(self.digest[self.before], self.seen[self.before], self.keys[self.after])
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(bucket[order][1:] != bucket[order][:-1]) + 1
+        for part in np.split(order, cuts) if len(order) else []:
+            before = self.before[part]
+            new = np.flatnonzero(np.diff(before, prepend=-1))
+            yield int(bucket[part[0]]), part, before[new], np.diff(new, append=len(part))
+
+    def sent(self, chunk: int, dealt: Dealt) -> pa.Table:
+        """What the chunk counts: a row per bucket."""
+        self._pair()
+        n = np.bincount(self.which[self.train[self.at]], minlength=len(self.before))
+        p = np.ones(len(self.before))
+        p[self.which] = self.p[self.at]
+        p = np.where(n > 0, np.round(np.log(p) * -STEPS), 0).astype(np.int64)
+        out = [
+            (chunk, bucket, self.digest[contexts].tobytes(), _pressed(sizes),
+             _short(self.keys[self.after[part]]).astype("<u4").tobytes(), _pressed(n[part]), _pressed(p[part]))
+            for bucket, part, contexts, sizes in self.dealt(dealt)]
+        kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 5)
+        return pa.table([pa.array(v, t) for v, t in zip(zip(*out) if out else [()] * 7, kinds)],
+                        names=["chunk", "bucket", "contexts", "sizes", "words", "n", "p"])
+
+    def learn(self, answers: list[dict], hot: tuple[np.ndarray, ...], dealt: Dealt) -> None:
+        """Take the states of this length in, with the ``answers`` to what was sent."""
+        self._pair()
+        told = {a["bucket"]: a for a in answers}
+        total = np.zeros(len(self.before), dtype=np.int64)
+        whole = np.zeros(len(self.seen), dtype=np.int64)
+        left = np.zeros(len(self.seen), dtype=np.int64)
+        for bucket, part, contexts, _ in self.dealt(dealt):
+            total[part] = _values(told[bucket]["totals"])
+            if bucket < dealt.buckets:
+                whole[contexts], left[contexts] = (_values(told[bucket][c]) for c in ("whole", "rest"))
+            else:
+                at, known = _find(hot[0], self.digest[contexts])
+                whole[contexts[known]], left[contexts[known]] = hot[1][at[known]], hot[2][at[known]]
+        context = self.context[self.at]
+        state = whole[context] > 0
+        at, which, context = self.at[state], self.which[state], context[state]
+        listed = np.where(total[which] > 1, total[which], 0)
+        self.p[at] = (listed + left[context] * self.p[at]) / whole[context]
+        # A longer context is a state's with the word before it: the pair at the place before.
+        pairs = np.full(len(self.word) + 1, -1, dtype=np.int32)
+        pairs[self.at + 1] = self.which
+        pairs[self.starts] = -1
+        self.context[:] = -1
+        self.context[at] = pairs[at]
+        self.seen, self.digest = total, _mixed(self.digest[self.before], self.keys[self.after])
+
+
+def _short(keys: np.ndarray) -> np.ndarray:
+    """32 bits, which tell a word apart among those that follow one context."""
+    return keys & np.uint64(0xFFFFFFFF)
 
-def word_states(pairs: DataFrame, tokens: int) -> DataFrame:
-    """(state, rest, next, share): the states that pass the test, with their lists.
+
+def _gain(n: np.ndarray, p: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """What pairs gain over the next shorter context, but for their context's total.
 
     Each occurrence is predicted from the others: n - 1 of of - 1 times, with t
-    (different next words) pseudo counts shared as at the root.
+    (different next words) pseudo counts shared as in the next shorter context.
     """
-    # One shuffle serves both groupings; a chunk's pairs are distinct already.
-    pairs = pairs.repartition("state").groupBy("state", "next").agg(
-        F.sum("n").alias("n"), F.max("c").alias("c"))
-    root = (F.col("c") + 1) / F.lit(float(tokens))
-    t, of = F.col("t"), F.col("of")
-    entry = F.struct("next", "n", root.alias("p"))
-    states = pairs.groupBy("state").agg(
-        F.collect_list(entry).alias("list"), F.sum("n").alias("of")).withColumn("t", F.size("list"))
-    gain = F.aggregate(
-        "list", F.lit(0.0),
-        lambda a, e: a + e.n * F.log(((e.n - 1) / e.p + t) / (of - 1 + t)))
-    listed = F.transform(
-        F.filter("list", lambda e: e.n > 1),
-        lambda e: F.struct(e.next.alias("next"), (e.n / (of + t)).alias("share")))
-    rest = 1 - F.aggregate("listed", F.lit(0.0), lambda a, e: a + e.share)
-    return (
-        states.filter(gain > 0).withColumn("listed", listed)
-        .select("state", rest.alias("rest"), F.explode("listed").alias("e"))
-        .select("state", "rest", "e.next", "e.share")
-    )
+    return n * np.log((n - 1) / p + t)
+
+
+def _merged(dealt: Dealt):
+    """Per bucket: all chunks' pairs counted, contexts tested, an answer per chunk.
+
+    Of hot contexts, which other buckets share, the parts of their test.
+    """
+
+    def of(key: tuple, rows: pa.Table) -> pa.Table:
+        is_hot = key[0].as_py() >= dealt.buckets
+        rows = rows.select(["chunk", "contexts", "sizes", "words", "n", "p"]).to_pylist()
+        lists = [np.frombuffer(r["contexts"], dtype=np.uint64) for r in rows]
+        context, place = np.unique(np.concatenate(lists), return_inverse=True)
+        places = np.split(place, np.cumsum([len(x) for x in lists])[:-1])
+        owner = np.concatenate([np.repeat(x, _values(r["sizes"])) for x, r in zip(places, rows)])
+        words = np.concatenate([np.frombuffer(r["words"], dtype="<u4") for r in rows])
+        ends = np.cumsum([len(r["words"]) // 4 for r in rows])[:-1]
+        pair, which = np.unique(owner << 32 | words, return_inverse=True)
+        own, steps = (np.concatenate([_values(r[c]) for r in rows]) for c in ("n", "p"))
+        p = np.ones(len(pair))
+        p[which[own > 0]] = np.exp(steps[own > 0] / -STEPS)
+        n = np.bincount(which, own).astype(np.int64)
+        owner = pair >> 32
+        size = len(context)
+        t, single = (np.bincount(owner[x], minlength=size) for x in (n > 0, n == 1))
+        seen = np.bincount(owner, n, size).astype(np.int64)
+        totals = [_pressed(x) for x in np.split(n[which], ends)]
+        columns: dict[str, list] = {"chunk": [r["chunk"] for r in rows], "bucket": [key[0].as_py()] * len(rows),
+                                    "totals": totals}
+        if is_hot:
+            parts = [np.flatnonzero((owner == i) & (n > 0)) for i in range(size)]
+            columns |= {
+                "context": signed(context).tolist(), "t": t.tolist(), "single": single.tolist(),
+                "seen": seen.tolist(), "n": [n[x].tobytes() for x in parts], "p": [p[x].tobytes() for x in parts]}
+            # Answers first, then the contexts.
+            for c, v in columns.items():
+                none = [None] * size if c in ("chunk", "bucket", "totals") else [None] * len(rows)
+                columns[c] = v + none if c in ("chunk", "bucket", "totals") else none + v
+        else:
+            some = n > 0
+            gain = np.bincount(owner[some], _gain(n[some], p[some], t[owner[some]]), size)
+            state = gain > seen * np.log(np.maximum(seen - 1 + t, 1))
+            whole = np.where(state, seen + t, 0)
+            columns |= {"whole": [_pressed(whole[x]) for x in places],
+                        "rest": [_pressed((t + single)[x]) for x in places]}
+        return pa.table([
+            pa.array(columns.get(f.name, [None] * len(columns["chunk"])), f.type) for f in ANSWER], schema=ANSWER)
+
+    return of
+
+
+#: Answers (totals, whole, rest: see ``Walk``) and parts of hot contexts' tests.
+ANSWER = pa.schema([
+    ("chunk", pa.int64()), ("bucket", pa.int64()), ("totals", pa.binary()), ("whole", pa.binary()),
+    ("rest", pa.binary()), ("context", pa.int64()), ("t", pa.int64()), ("single", pa.int64()),
+    ("seen", pa.int64()), ("n", pa.binary()), ("p", pa.binary())])
+_ANSWER = ("chunk long, bucket long, totals binary, whole binary, rest binary, context long, t long, "
+           "single long, seen long, n binary, p binary")
+
+
+def _hot_states(answers: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, whole, rest) of the hot contexts that are states; few, as each takes ``hot`` tokens."""
+    parts = answers.filter("context IS NOT NULL").drop("chunk", "bucket", "totals", "whole", "rest")
+    sums = parts.groupBy("context").agg(*[F.sum(c).alias(f"all_{c}") for c in ("t", "single", "seen")])
+
+    def gains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            yield pa.record_batch(
+                [batch.column("context"), pa.array([
+                    float(_gain(np.frombuffer(r["n"], np.int64), np.frombuffer(r["p"]), r["all_t"]).sum())
+                    for r in rows], pa.float64())], names=["context", "gain"])
+
+    gain = parts.join(sums, "context").select("context", "n", "p", "all_t").mapInArrow(
+        gains, "context long, gain double").groupBy("context").agg(F.sum("gain").alias("gain"))
+    told = gain.join(sums, "context").filter(
+        F.col("gain") > F.col("all_seen") * F.log(F.col("all_seen") - 1 + F.col("all_t"))).toPandas()
+    context = told.context.to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(context)
+    t, single, seen = (told[f"all_{c}"].to_numpy().astype(np.int64)[order] for c in ("t", "single", "seen"))
+    return context[order], seen + t, t + single
 
 
 def score(
@@ -443,7 +606,8 @@ def score(
     held_remainder: int = 2,
     depth: int = DEPTH,
     min_share: float = MIN_SHARE,
-    max_context: int = MAX_CONTEXT,
+    max_words: int = MAX_WORDS,
+    hot: int = HOT,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score.
@@ -452,8 +616,9 @@ def score(
     ``base_score`` is the sum of the tokens' smoothed log10 frequencies and
     ``score`` the model's log10 probability of the text. Null and empty texts
     hold one token, the end. Repeated rows and null ids are rows like any
-    other. Without any training row all words are new. Runs jobs: numbered
-    texts, word counts and states go to the shared folder.
+    other. Without any training row all words are new. Contexts have up to
+    ``max_words`` words. Runs jobs: numbered texts, word counts and states go to the
+    shared folder.
     """
     spark = docs.sparkSession
     numbered = settle(_numbered(docs, held_divisor, held_remainder), "lm-numbered")
@@ -462,78 +627,60 @@ def score(
     tokens, kinds = sums.tokens or 0, sums.kinds or 0
     blocks = counts.select("chunk", "numbers", "counts", "first")
 
-    path = new_path(spark, "lm-seen")
-    numbered.groupBy("chunk").cogroup(blocks.groupBy("chunk")).applyInArrow(
-        _seen(depth, max_context), "kind int, x long, y long, n long, c long"
-    ).write.parquet(path)
-    seen = spark.read.parquet(path)
+    # Numbers of chunks' words in all texts, and what is learnt, chunk by chunk.
+    vocabulary = numbered.filter("words IS NOT NULL")
     tree = build_tree(
-        gram_counts(seen.filter("kind = 1").selectExpr("x AS gram", "y AS size", "n")),
-        depth, min_share)
-    states = settle(
-        word_states(
-            seen.filter("kind = 0").selectExpr("x AS state", "y AS next", "n", "c"),
-            tokens + kinds + 1),
-        "lm-states")
-    forget(spark, path)
+        gram_counts(vocabulary.groupBy("chunk").cogroup(blocks.groupBy("chunk")).applyInArrow(
+            _spelled(depth), "gram long, size long, n long")), depth, min_share)
     shared = spark.sparkContext.broadcast(tree)
-
-    # Every chunk gets the lists of its own words' states.
-    def own_keys(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            for row in batch.to_pylist():
-                keys = _keys(_words(row["words"]))
-                yield pa.record_batch(
-                    [np.full(len(keys), row["chunk"]), keys, np.arange(len(keys), dtype=np.int32)],
-                    names=["chunk", "state", "number"])
-
-    found = (
-        numbered.filter("words IS NOT NULL").select("chunk", "words")
-        .mapInArrow(own_keys, "chunk long, state long, number int")
-        .join(states, "state")
-        .select("chunk", "number", "rest", "next", "share")
-    )
+    dealt = Dealt(tokens // BUCKET_TOKENS + 1, hot)
     none = F.lit(None)
-    about = blocks.select(
-        "*", none.cast("int").alias("number"), none.cast("double").alias("rest"),
-        none.cast("long").alias("next"), none.cast("double").alias("share"),
-    ).unionByName(found.select(
-        "chunk", none.cast("binary").alias("numbers"), none.cast("binary").alias("counts"),
-        none.cast("binary").alias("first"), "number", "rest", "next", "share"))
+    answered = [none.cast(t).alias(c) for c, t in (
+        ("level", "int"), ("bucket", "long"), ("totals", "binary"), ("whole", "binary"), ("rest", "binary"))]
+    about = blocks.select("*", *answered)
+    hots: list[tuple[np.ndarray, ...]] = []
+
+    def walked(numbered: pa.Table, about: pa.Table, spelled: bool) -> tuple[_Chunk, Walk]:
+        """The chunk, and its places after all levels that are answered."""
+        is_answer = about.column("level").is_valid()
+        chunk = _Chunk(
+            numbered, about.filter(pa.compute.invert(is_answer)).select(["numbers", "counts", "first"]))
+        root = chunk.c + 1.0
+        new = np.flatnonzero(chunk.c == 0)
+        if len(new) and spelled:
+            root[new] = 1 - SPELLED + SPELLED * (kinds + 1) * 10 ** shared.value.words(
+                [chunk.words[i] for i in new])
+        walk = Walk(chunk, root / (tokens + kinds + 1))
+        answers = about.filter(is_answer).select(["level", "bucket", "totals", "whole", "rest"]).to_pylist()
+        for level, states in enumerate(hots):
+            walk.learn([a for a in answers if a["level"] == level], states, dealt)
+        return chunk, walk
+
+    def sent(key: tuple, numbered: pa.Table, about: pa.Table) -> pa.Table:
+        return walked(numbered, about, False)[1].sent(key[0].as_py(), dealt)
+
+    for level in range(max_words):
+        pairs = numbered.groupBy("chunk").cogroup(about.groupBy("chunk")).applyInArrow(
+            sent, "chunk long, bucket long, contexts binary, sizes binary, words binary, n binary, p binary")
+        answers = settle(
+            pairs.groupBy("bucket").applyInArrow(_merged(dealt), _ANSWER), f"lm-states-{level + 1}")
+        about = about.unionByName(answers.filter("chunk IS NOT NULL").select(
+            "chunk", *[none.cast("binary").alias(c) for c in ("numbers", "counts", "first")],
+            F.lit(level).alias("level"), "bucket", "totals", "whole", "rest"))
+        hots.append(_hot_states(answers))
 
     def sums_of(numbered: pa.Table, about: pa.Table) -> pa.Table:
-        listed = about.column("next").is_valid()
-        chunk = _Chunk(
-            numbered, about.filter(pa.compute.invert(listed)).select(["numbers", "counts", "first"]))
-        c, lists = chunk.c, about.filter(listed)
-        root = c + 1.0
-        new = np.flatnonzero(c == 0)
-        if len(new):
-            spelled = shared.value.words([chunk.words[i] for i in new])
-            root[new] = 1 - SPELLED + SPELLED * (kinds + 1) * 10**spelled
-        root /= tokens + kinds + 1
-        base = np.log10((c + 1) / (tokens + kinds + 1))
-        state = lists.column("number").to_numpy().astype(np.int64)
-        rest = np.ones(len(c))
-        rest[state] = lists.column("rest").to_numpy()
-        pair = state * (1 << 32) + lists.column("next").to_numpy()
-        order = np.argsort(pair.view(np.uint64))
-        pair, share = pair.view(np.uint64)[order], lists.column("share").to_numpy()[order]
-        short = _short(chunk.keys)
-        out = []
-        for x in chunk.lists():
-            p = root[x]
-            p[1:] *= rest[x[:-1]]
-            at, found = _find(pair, (x[:-1] * (1 << 32) + short[x[1:]]).view(np.uint64))
-            p[1:][found] += share[at[found]]
-            out.append((int((c[x] > 0).sum()), float(base[x].sum()), float(np.log10(p).sum())))
-        known, base_score, score = zip(*out) if out else ((), (), ())
+        chunk, walk = walked(numbered, about, True)
+        base = np.log10((chunk.c + 1) / (tokens + kinds + 1))
+        known, base_score, score = (
+            np.add.reduceat(x, walk.starts) if len(walk.starts) else x
+            for x in ((chunk.c > 0).astype(np.int64)[walk.word], base[walk.word], np.log10(walk.p)))
         return pa.table({
             "doc_id": chunk.texts.column("doc_id"),
             "held_out": chunk.texts.column("held_out"),
             "n_tokens": chunk.texts.column("n_tokens"),
             "n_known": pa.array(known, pa.int64()),
-            "train_tokens": pa.array([tokens] * len(out), pa.int64()),
+            "train_tokens": pa.array([tokens] * len(known), pa.int64()),
             "base_score": pa.array(base_score, pa.float64()),
             "score": pa.array(score, pa.float64()),
         })

@@ -180,6 +180,77 @@ def test_scores_against_counts(spark):
         assert r.base_score == pytest.approx(base) and r.score < 0
 
 
+def brute_scores(lists, held, max_words):
+    """{context: (state, {next: n})} and scores of lists of known words, by the definition."""
+    count = collections.Counter(w for ws, h in zip(lists, held) if not h for w in ws)
+    total = sum(count.values()) + len(count) + 1
+    states, tracked = {}, set()
+
+    def probability(context, word, longest):
+        p = (count[word] + 1) / total
+        for size in range(1, min(longest, len(context)) + 1):
+            after = states.get(tuple(context[-size:]))
+            if after is None:
+                break
+            n, t = sum(after.values()), len(after)
+            single = sum(x == 1 for x in after.values())
+            p = ((after[word] if after[word] > 1 else 0) + (t + single) * p) / (n + t)
+        return p
+
+    for size in range(1, max_words + 1):
+        seen = collections.defaultdict(collections.Counter)
+        for ws, h in zip(lists, held):
+            for i in range(size, len(ws) if not h else 0):
+                context = tuple(ws[i - size : i])
+                if size == 1 or context[1:] in states:
+                    seen[context][ws[i]] += 1
+        # Looked at: seen twice or more, as is the context without its last word, for any length.
+        seen = {c: after for c, after in seen.items()
+                if sum(after.values()) > 1 and (size == 1 or c in tracked)}
+        tracked = {(*c, w) for c, after in seen.items() for w, n in after.items() if n > 1}
+        found = {}
+        for context, after in seen.items():
+            of, t, gain = sum(after.values()), len(after), 0.0
+            for w, n in after.items():
+                steps = round(-math.log(probability(context[1:], w, size - 1)) * suffixtree.STEPS)
+                p = math.exp(-steps / suffixtree.STEPS)
+                gain += n * math.log(((n - 1) / p + t) / (of - 1 + t))
+            if gain > 0:
+                found[context] = after
+        states |= found
+    return states, [
+        sum(math.log10(probability(ws[max(i - max_words, 0) : i], w, max_words)) for i, w in enumerate(ws))
+        for ws in lists]
+
+
+@pytest.mark.parametrize("hot, max_words", [(1 << 21, 1), (1 << 21, 3), (20, 3)])
+def test_scores_against_all_contexts(spark, monkeypatch, hot, max_words):
+    """Frequent contexts count, longer ones too; several chunks and hot contexts change nothing."""
+    pick = random.Random(11)
+    follow = {w: pick.sample(range(30), 2) for w in [(a, b) for a in range(30) for b in range(30)]}
+    texts = []
+    for _ in range(70):
+        ws = [pick.randrange(30), pick.randrange(30)]
+        while len(ws) < 90:
+            ws.append(pick.choice(follow[ws[-2], ws[-1]]) if pick.random() < 0.8 else pick.randrange(30))
+        texts.append(" ".join(f"w{w}" for w in ws))
+    lists = [t.split() + ["\n"] for t in texts]
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    monkeypatch.setattr(suffixtree, "BUCKET_TOKENS", 1500)
+    states, expected = brute_scores(lists, held, max_words)
+    assert any(sum(after.values()) > 64 for after in states.values())
+    assert {len(c) for c in states} == set(range(1, max_words + 1))
+    rows = {r.doc_id: r for r in suffixtree.score(documents(spark, texts), max_words=max_words, hot=hot).collect()}
+    for i, score in enumerate(expected):
+        assert rows[i].score == pytest.approx(score, abs=1e-6)
+    for context in [*states][:50]:  # What follows a context shares one at most.
+        n, t = sum(states[context].values()), len(states[context])
+        listed = sum(x for x in states[context].values() if x > 1)
+        assert listed / (n + t) < 1
+    test = [i for i, h in enumerate(held) if h]
+    assert sum(rows[i].score for i in test) > sum(rows[i].base_score for i in test)
+
+
 def test_scores_of_odd_and_empty_tables(spark):
     docs = documents(spark, ODD, doc_id=IDS)
     assert suffixtree.score(docs).filter("score < 0").count() == len(ODD)
