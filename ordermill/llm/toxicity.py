@@ -12,9 +12,10 @@ example being left out of both its neighbours and its G.
 
 The index is a block-max inverted one. Alike examples lie in blocks of 64; a word
 has a record per block with its largest weight there and its postings. Words in a
-twentieth of the examples have a column instead. The records give a text an upper
-bound for every block; blocks are visited by falling bound, and those whose bound
-can not reach the k-th best score so far are skipped. What can reach it is scored
+twentieth of the examples have a column instead, whose part of the scores is exact
+before. With it the records give a text an upper bound for every block; the blocks of
+the largest bounds are visited first, then the others but for those whose bound can
+not reach the k-th best score so far: these are skipped. What can reach it is scored
 again in double precision, so the search is exact. Words travel as 64-bit digests,
 never as texts. The index is bounded by ``max_examples`` and is broadcast; of a
 document, the words no example has are weighed by a join with their frequencies.
@@ -59,10 +60,10 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def _ranges(starts: np.ndarray, sizes: np.ndarray, kind: type = np.int64) -> np.ndarray:
     """The numbers from each start on, as many as its size, one after another."""
-    out = np.arange(sizes.sum(), dtype=np.int32)
-    out += np.repeat((starts - (np.cumsum(sizes) - sizes)).astype(np.int32), sizes)
+    out = np.arange(sizes.sum(), dtype=kind)
+    out += np.repeat((starts - (np.cumsum(sizes) - sizes)).astype(kind), sizes)
     return out
 
 
@@ -72,8 +73,9 @@ def digests(words: list[bytes]) -> np.ndarray:
 
 @dataclass
 class Examples:
-    """What is learnt, as it travels: words, and distinct examples in rising order of id.
+    """What is learnt, as it travels: distinct examples in rising order of id.
 
+    ``words`` (digests) may be left out, as only texts that are counted need them.
     ``told`` has the words' G, and G without one toxic and without one other example
     that has the word. ``terms`` and ``counts`` hold ``sizes`` entries per example.
     """
@@ -110,9 +112,7 @@ class Index:
         self.column = np.full(words, -1, dtype=np.int32)
         self.column[wide] = np.arange(len(wide))
         self.norms = np.zeros(n)
-        single = np.zeros(len(of.terms), dtype=np.float32)
         sketch = np.zeros((n, 256), dtype=np.float32)
-        dense = np.zeros((self.blocks * BLOCK, len(wide)), dtype=np.float32)
         for low in range(0, n, 1024):  # Parts only bound the memory.
             sizes = of.sizes[low : low + 1024]
             at = slice(self.starts[low], self.starts[low] + sizes.sum())
@@ -120,55 +120,64 @@ class Index:
             weights = self.logs[of.counts[at]] * of.idf[terms]
             self.norms[low : low + 1024] = np.sqrt(np.bincount(owner, weights**2, len(sizes)))
             weights /= self.norms[low : low + 1024][owner]
-            single[at] = weights
             sign = 1 - 2 * (terms * np.int64(40503) >> 8 & 1)
             sketch[low : low + 1024] = np.bincount(
                 owner * 256 + terms % 256, weights * sign, len(sizes) * 256).reshape(-1, 256)
-            column = self.column[terms]
-            dense[low + owner[column >= 0], column[column >= 0]] = weights[column >= 0]
         #: The example at each place; alike ones are neighbours.
         self.example = _alike(sketch, self.norms)
         del sketch
         self.place = np.empty(n, dtype=np.int32)
         self.place[self.example] = np.arange(n)
-        dense[:n] = dense[self.example]
-        self.cube = dense.reshape(self.blocks, BLOCK, len(wide))
-        self.tops = np.ascontiguousarray(self.cube.max(axis=1).T) if n else np.zeros((0, 0), np.float32)
-        self._post(single)
+        #: The columns, by place.
+        self.dense = np.zeros((self.blocks * BLOCK, len(wide)), dtype=np.float32)
+        for low in range(0, n, 1024):
+            sizes = of.sizes[low : low + 1024]
+            at = slice(self.starts[low], self.starts[low] + sizes.sum())
+            wide = np.flatnonzero(self.column[of.terms[at]] >= 0)
+            terms, owner = of.terms[at][wide], low + np.repeat(np.arange(len(sizes)), sizes)[wide]
+            self.dense[self.place[owner], self.column[terms]] = self._weights(at.start + wide, owner)
+        self._post()
 
-    def _post(self, single: np.ndarray) -> None:
+    def _weights(self, entries: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """Weights of entries of the examples ``owner``, in single precision."""
+        weights = self.logs[self.of.counts[entries]] * self.of.idf[self.of.terms[entries]]
+        return (weights / self.norms[owner]).astype(np.float32)
+
+    def _post(self) -> None:
         """Postings and records of the words without a column, by parts of the words."""
         of, words = self.of, len(self.of.idf)
-        place = np.repeat(self.place, of.sizes)
+        narrow = (self.column < 0)[of.terms]
         sizes = np.bincount(of.terms, minlength=words) * (self.column < 0)
         ends = np.cumsum(sizes)
-        cuts = np.unique(np.searchsorted(ends, np.arange(0, sizes.sum(), 1 << 20), side="left"))
-        values, slots, starts, block, largest, count = [], [], [], [], [], []
-        before = 0
+        total = int(sizes.sum())
+        cuts = np.unique(np.searchsorted(ends, np.arange(0, total, 1 << 19), side="left"))
+        # Room for as many records as postings; what is not used is never touched.
+        self.values = np.empty(total, dtype=np.float32)
+        self.slots = np.empty(total, dtype=np.uint8)
+        postings, block = (np.empty(total + 1, dtype=np.int32) for _ in range(2))
+        largest = np.empty(total, dtype=np.float32)
+        count = np.zeros(words, dtype=np.int64)
+        before = records = 0
         for low, high in zip(cuts, [*cuts[1:], words]):
-            some = np.flatnonzero((of.terms >= low) & (of.terms < high) & (self.column[of.terms] < 0))
-            some = some[np.lexsort((place[some], of.terms[some]))]
-            terms, at, value = of.terms[some], place[some], single[some]
+            some = np.flatnonzero((of.terms >= low) & (of.terms < high) & narrow)
+            owner = np.searchsorted(self.starts, some, side="right") - 1
+            order = np.lexsort((self.place[owner], of.terms[some]))
+            some, owner = some[order], owner[order]
+            terms, at, value = of.terms[some], self.place[owner], self._weights(some, owner)
             new = np.ones(len(some), dtype=bool)
             new[1:] = (terms[1:] != terms[:-1]) | (at[1:] // BLOCK != at[:-1] // BLOCK)
             first = np.flatnonzero(new)
-            values.append(value)
-            slots.append((at % BLOCK).astype(np.uint8))
-            starts.append((first + before).astype(np.int32))
-            block.append((at[first] // BLOCK).astype(np.int32))
-            largest.append(np.maximum.reduceat(value, first) if len(first) else value)
-            count.append(np.bincount(terms[first] - low, minlength=high - low))
-            before += len(some)
-        none = [np.zeros(0, dtype=np.int32)]
-        self.values = np.concatenate(values or [np.zeros(0, np.float32)])
-        self.slots = np.concatenate(slots or none)
+            own, mine = slice(before, before + len(some)), slice(records, records + len(first))
+            self.values[own], self.slots[own] = value, at % BLOCK
+            postings[mine], block[mine] = first + before, at[first] // BLOCK
+            if len(first):
+                largest[mine] = np.maximum.reduceat(value, first)
+            count[low:high] = np.bincount(terms[first] - low, minlength=high - low)
+            before, records = own.stop, mine.stop
         #: Where the postings of a record start; its end is the next one's start.
-        self.postings = np.concatenate([*starts, np.array([before], dtype=np.int32)])
-        self.block = np.concatenate(block or none)
-        self.largest = np.concatenate(largest or [np.zeros(0, np.float32)])
-        counts = np.concatenate(count) if count else np.zeros(words, dtype=np.int64)
-        skipped = np.zeros(words - len(counts), dtype=np.int64)
-        self.first = np.concatenate([[0], np.cumsum(np.concatenate([skipped, counts]))])
+        postings[records] = before
+        self.postings, self.block, self.largest = postings[: records + 1], block[:records], largest[:records]
+        self.first = np.concatenate([[0], np.cumsum(count)])
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights, by the words that some example has."""
@@ -195,45 +204,20 @@ class Index:
         weights = np.concatenate([w for _, w in queries]).astype(np.float32)
         row = np.repeat(np.arange(rows), [len(t) for t, _ in queries])
         wide = self.column[terms] >= 0
-        dense = np.zeros((rows, self.cube.shape[2]), dtype=np.float32)
+        dense = np.zeros((rows, self.dense.shape[1]), dtype=np.float32)
         dense[row[wide], self.column[terms[wide]]] = weights[wide]
-        terms, weights, row = terms[~wide], weights[~wide], row[~wide]
-        sizes = self.first[terms + 1] - self.first[terms]
-        record = _ranges(self.first[terms], sizes)
-        weight = np.repeat(weights, sizes)
-        pair = np.repeat((row * blocks).astype(np.int32), sizes) + self.block[record]
-        bound = dense @ self.tops
-        bound += np.bincount(pair, weight * self.largest[record], rows * blocks).reshape(rows, blocks)
-        self.offered += rows * blocks
-        places: list[list[np.ndarray]] = [[] for _ in range(rows)]
-        scores: list[list[np.ndarray]] = [[] for _ in range(rows)]
-        limit = np.zeros(rows)
-        # First the blocks of the largest bounds, for a k-th score; then all that can beat it.
-        take = min(blocks, max(blocks // 16, -(-2 * k // BLOCK)))
-        now = bound > 0
-        if take < blocks:
-            now &= bound >= np.partition(bound, blocks - take, axis=1)[:, [blocks - take]]
-        left = ~now
-        for last in (False, True):
-            self.visited += int(now.sum())
-            score = self._visit(now, dense, pair, record, weight)
-            at = np.cumsum(now.sum(axis=1))[:-1] * BLOCK
-            for i, (b, own) in enumerate(zip(now, np.split(score.ravel(), at))):
-                where = (np.flatnonzero(b)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-                some = own > max(limit[i] - SLACK, 0)
-                if without is not None:
-                    some &= where != self.place[without[i]]
-                places[i].append(where[some])
-                scores[i].append(own[some])
-                if not last and len(scores[i][0]) >= k:
-                    limit[i] = np.partition(scores[i][0], -k)[-k]
-            now = left & (bound > np.maximum(limit - SLACK, 0)[:, None])
-            if not now.any():
-                break
+        dense = (dense @ self.dense.T).reshape(rows, blocks, BLOCK)
+        ends = np.cumsum(np.bincount(row[~wide], minlength=rows))[:-1]
+        places, scores = [], []
+        for i, (score, t, w) in enumerate(zip(
+                dense, np.split(terms[~wide], ends), np.split(weights[~wide], ends))):
+            at, single = self._nearest(score, t, w, None if without is None else self.place[without[i]])
+            places.append(at)
+            scores.append(single)
         out, full = [], np.zeros(len(self.of.idf))
         shared = np.zeros(len(self.of.idf), dtype=bool)
         for i, (t, w) in enumerate(queries):
-            at, single = np.concatenate(places[i]), np.concatenate(scores[i])
+            at, single = places[i], scores[i]
             if len(at) > k:
                 at = at[single >= np.partition(single, -k)[-k] - SLACK]
             found = self.example[at]
@@ -257,27 +241,54 @@ class Index:
             out.append((found[order], np.minimum(exact[order], 1.0), telling[order]))
         return out
 
-    def _visit(
-        self, now: np.ndarray, dense: np.ndarray, pair: np.ndarray, record: np.ndarray, weight: np.ndarray
-    ) -> np.ndarray:
-        """Scores of the blocks that ``now`` marks by row, one line for each mark, by row."""
-        line = np.cumsum(now.ravel(), dtype=np.int32).reshape(now.shape) - 1
-        score = np.zeros((int(now.sum()), BLOCK), dtype=np.float32)
-        hit = now.ravel()[pair]
-        record, weight = record[hit], weight[hit]
-        starts = self.postings[record]
-        many = self.postings[record + 1] - starts
-        entry = _ranges(starts, many)
-        to = np.repeat(line.ravel()[pair[hit]] * BLOCK, many)
-        to += self.slots[entry]
-        score += np.bincount(
-            to, np.repeat(weight, many) * self.values[entry], score.size).reshape(score.shape)
-        for b in np.flatnonzero(now.any(axis=0)).tolist():
-            some = np.flatnonzero(now[:, b])
-            # Picking rows costs more than it saves where most of them count.
-            mine = (dense @ self.cube[b].T)[some] if len(some) * 3 > len(dense) else dense[some] @ self.cube[b].T
-            score[line[some, b]] += mine
-        return score
+    def _nearest(
+        self, score: np.ndarray, terms: np.ndarray, weights: np.ndarray, without: int | None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Places of what may be nearest, and their scores. ``score`` has the columns' part by
+        block; it gets the part of the words without a column where blocks are visited.
+        """
+        blocks, k, limit = self.blocks, self.of.neighbours, 0.0
+        sizes = self.first[terms + 1] - self.first[terms]
+        record = _ranges(self.first[terms], sizes)
+        weight = np.repeat(weights, sizes)
+        block = self.block.take(record)
+        bound = score.max(axis=1) + np.bincount(block, weight * self.largest.take(record), blocks)
+        self.offered += blocks
+        # First the blocks of the largest bounds, for a k-th score; then all that can beat it.
+        take = min(blocks, max(blocks // 16, -(-2 * k // BLOCK)))
+        now = bound > 0
+        if take < blocks:
+            now &= bound >= np.partition(bound, blocks - take)[blocks - take]
+        left, places, scores = ~now, [], []
+        for last in (False, True):
+            visited = np.flatnonzero(now)
+            self.visited += len(visited)
+            line = np.cumsum(now) - 1
+            hit = np.flatnonzero(now[block])
+            entry = record[hit]
+            starts = self.postings[entry]
+            many = self.postings[entry + 1] - starts
+            entry = _ranges(starts, many)
+            to = np.repeat(line[block[hit]] * BLOCK, many)
+            to += self.slots.take(entry)
+            value = np.repeat(weight[hit], many)
+            value *= self.values.take(entry)
+            own = score[visited].ravel()
+            own += np.bincount(to, value, len(own))
+            some = own > max(limit - SLACK, 0)
+            where = (visited[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            if without is not None:
+                some &= where != without
+            places.append(where[some])
+            scores.append(own[some])
+            if last:
+                break
+            if len(scores[0]) >= k:
+                limit = np.partition(scores[0], -k)[-k]
+            now = left & (bound > max(limit - SLACK, 0))
+            if not now.any():
+                break
+        return np.concatenate(places), np.concatenate(scores)
 
 
 def vote(share: np.ndarray, cosines: np.ndarray, telling: np.ndarray) -> float:
@@ -495,9 +506,9 @@ def score(
             _told(toxic, np.maximum(other - 1, 0), n1, n0 - 1)]
     wordy = order[sizes[order] > 0]
     blank = share[sizes == 0]
-    entry = _ranges((np.cumsum(sizes) - sizes)[wordy], sizes[wordy])
+    entry = _ranges((np.cumsum(sizes) - sizes)[wordy], sizes[wordy], np.int32)
     shared = spark.sparkContext.broadcast(Examples(
-        words, np.log((1 + total) / (1 + frequency)) + 1, np.array(told, dtype=np.float32),
+        words[:0], np.log((1 + total) / (1 + frequency)) + 1, np.array(told, dtype=np.float32),
         sizes[wordy], flat[0][entry], flat[1][entry], share[wordy], ids[wordy], neighbours))
     del flat, entry, told
 

@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -60,6 +61,26 @@ def test_search_equals_all_cosines(topics, neighbours):
         assert index.visited < index.offered / 4
 
 
+def test_memory_of_searching():
+    """Many queries at once take little memory beside the index."""
+    pick = np.random.default_rng(3)
+    vectors = []
+    for _ in range(4000):
+        some = np.unique((pick.random(150) ** 2 * 6000).astype(int))
+        vectors.append((some, pick.integers(1, 4, len(some))))
+    of = examples(vectors, 6000, 15)
+    tracemalloc.start()
+    index = toxicity.Index(of)
+    size = tracemalloc.get_traced_memory()[0]
+    queries = [index.own(i) for i in range(64)]
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    index.search(queries)
+    searched = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert searched < size / 2, (size, searched)
+
+
 def test_index_without_examples_or_words():
     empty = toxicity.Examples(
         np.zeros(0, int), np.zeros(0), np.zeros((3, 0), np.float32), np.zeros(0, int),
