@@ -71,11 +71,11 @@ CHUNK_WORDS = 400_000
 CHUNK_TOKENS = 2_000_000
 
 
-def _pressed(values: np.ndarray) -> bytes:
+def _pressed(values: np.ndarray, level: int = 1) -> bytes:
     """Non-negative integers, byte plane by byte plane, compressed."""
     planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
     used = max(1, 8 - next((i for i, p in enumerate(planes[::-1]) if p.any()), 7))
-    return bytes([used]) + zstandard.compress(planes[:used].tobytes(), 1)
+    return bytes([used]) + zstandard.compress(planes[:used].tobytes(), level)
 
 
 def _values(pressed: bytes) -> np.ndarray:
@@ -89,13 +89,15 @@ def _numbered(docs: DataFrame, held_divisor: int, held_remainder: int) -> DataFr
     """Texts as word numbers, and per chunk the words with their training counts.
 
     A row with ``words`` holds a chunk's vocabulary (blank between words) and
-    its counts in ``numbers``; the others are texts with their words' numbers. A
-    chunk ends with its input partition or when its vocabulary is full.
+    its counts in ``numbers``; the others hold some texts each, with their words' numbers
+    one text after another. A chunk ends with its input partition or when its vocabulary
+    is full. These rows are shuffled with every level of contexts, so they are
+    compressed better than the rest.
     """
     rows = id_and_text(docs).withColumn("held_out", id_remainder(held_divisor) == held_remainder)
     schema = pa.schema([
-        ("chunk", pa.int64()), ("words", pa.binary()), ("doc_id", pa.int64()),
-        ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("numbers", pa.binary())])
+        ("chunk", pa.int64()), ("words", pa.binary()), ("doc_id", pa.list_(pa.int64())),
+        ("held_out", pa.list_(pa.bool_())), ("n_tokens", pa.list_(pa.int64())), ("numbers", pa.binary())])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 24
@@ -104,7 +106,7 @@ def _numbered(docs: DataFrame, held_divisor: int, held_remainder: int) -> DataFr
         tokens = 0
 
         def vocabulary() -> pa.RecordBatch:
-            words = zstandard.compress(BLANK.join(numbers), 1)
+            words = zstandard.compress(BLANK.join(numbers), 3)
             counts = _pressed(np.pad(trained, (0, len(numbers) - len(trained))))
             return _batch(schema, 1, chunk=[chunk], words=[words], numbers=[counts])
 
@@ -119,9 +121,9 @@ def _numbered(docs: DataFrame, held_divisor: int, held_remainder: int) -> DataFr
                 more = np.bincount(np.concatenate(seen), minlength=len(trained))
                 more[: len(trained)] += trained
                 trained = more
-            yield _batch(schema, len(lists), chunk=[chunk] * len(lists),
-                         doc_id=batch.column("doc_id"), held_out=batch.column("held_out"),
-                         n_tokens=[len(x) for x in lists], numbers=[_pressed(x) for x in lists])
+            yield _batch(schema, 1, chunk=[chunk], doc_id=[batch.column("doc_id").to_pylist()],
+                         held_out=[held], n_tokens=[[len(x) for x in lists]],
+                         numbers=[_pressed(np.concatenate(lists), 3)])
             tokens += sum(map(len, lists))
             if len(numbers) >= CHUNK_WORDS or tokens >= CHUNK_TOKENS:
                 yield vocabulary()
@@ -133,7 +135,8 @@ def _numbered(docs: DataFrame, held_divisor: int, held_remainder: int) -> DataFr
 
     return rows.mapInArrow(
         batches,
-        "chunk long, words binary, doc_id long, held_out boolean, n_tokens long, numbers binary")
+        "chunk long, words binary, doc_id array<long>, held_out array<boolean>, n_tokens array<long>, "
+        "numbers binary")
 
 
 def _batch(schema: pa.Schema, size: int, **columns) -> pa.RecordBatch:
@@ -207,7 +210,10 @@ class _Chunk:
 
     def __init__(self, numbered: pa.Table, counts: pa.Table) -> None:
         vocabulary = numbered.filter(numbered.column("words").is_valid())
-        self.texts = numbered.filter(numbered.column("words").is_null())
+        texts = numbered.filter(numbered.column("words").is_null())
+        self.numbers = texts.column("numbers")
+        self.doc_id, self.held_out, self.n_tokens = (
+            pa.compute.list_flatten(texts.column(c)) for c in ("doc_id", "held_out", "n_tokens"))
         self.words = [w for v in vocabulary.column("words").to_pylist() for w in _words(v)]
         self.keys = _keys(self.words)
         self.c = np.zeros(len(self.words), dtype=np.int64)
@@ -218,7 +224,8 @@ class _Chunk:
             self.first[number] = _values(block["first"]).astype(bool)
 
     def lists(self) -> list[np.ndarray]:
-        return [_values(b) for b in self.texts.column("numbers").to_pylist()]
+        """The numbers of the texts' words, of some texts in each list."""
+        return [_values(b) for b in self.numbers.to_pylist()]
 
 
 def _grams(words: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -424,12 +431,10 @@ class Walk:
     """
 
     def __init__(self, chunk: _Chunk, root: np.ndarray) -> None:
-        lists = chunk.lists()
-        sizes = np.array([len(x) for x in lists], dtype=np.int64)
+        sizes = chunk.n_tokens.to_numpy()
         self.starts = np.cumsum(sizes) - sizes
-        self.word = np.concatenate([np.zeros(0, dtype=np.int32), *lists], dtype=np.int32)
-        del lists
-        held = np.array(chunk.texts.column("held_out").to_pylist(), dtype=bool)
+        self.word = np.concatenate([np.zeros(0, dtype=np.int32), *chunk.lists()], dtype=np.int32)
+        held = np.array(chunk.held_out.to_pylist(), dtype=bool)
         self.train = np.repeat(~held, sizes)
         self.p = root[self.word]
         self.keys = chunk.keys.view(np.uint64)
@@ -676,9 +681,9 @@ def score(
             np.add.reduceat(x, walk.starts) if len(walk.starts) else x
             for x in ((chunk.c > 0).astype(np.int64)[walk.word], base[walk.word], np.log10(walk.p)))
         return pa.table({
-            "doc_id": chunk.texts.column("doc_id"),
-            "held_out": chunk.texts.column("held_out"),
-            "n_tokens": chunk.texts.column("n_tokens"),
+            "doc_id": chunk.doc_id,
+            "held_out": chunk.held_out,
+            "n_tokens": chunk.n_tokens,
             "n_known": pa.array(known, pa.int64()),
             "train_tokens": pa.array([tokens] * len(known), pa.int64()),
             "base_score": pa.array(base_score, pa.float64()),
