@@ -6,7 +6,8 @@ too little or too much, less than one token, is its deficit and is carried on.
 A queue's deficit after n windows is its share of all tokens so far less the
 tokens it gave. Both follow from n alone, so any task computes the cut of any
 queue at any window without seeing the windows before: that is how deficits pass
-window and partition borders. Every window is full, and only the very last
+window and partition borders. Rare sources share a queue, in which they take turns:
+there a deficit is less than one document. Every window is full, and only the very last
 sequence of all is short.
 
 Documents are cut freely at window shares and sequence ends. Token ids are
@@ -34,6 +35,8 @@ WINDOW_SEQUENCES = 16
 MAX_QUEUES = 1000
 END_ID = 0
 BATCH_BYTES = 24 << 20
+#: Tokens of the shared queue that are put in order together.
+RANGE_TOKENS = 1 << 20
 
 # First bytes of UTF-8 characters that may be white space (fixed by Unicode).
 _MAYBE_SPACE = (0xC2, 0xE1, 0xE2, 0xE3)
@@ -277,6 +280,29 @@ def _pieces(
     }
 
 
+def _in_turn(rows: DataFrame, tokens: int) -> DataFrame:
+    """(chunk, source, start, at): where in their shared queue the documents of rare sources lie.
+
+    Each source gives its documents at an even pace, over the whole queue: a document comes
+    when its source's share of tokens is due, so at any place every source is within one
+    document of its share. Sources start at different phases of their first document. The
+    places are prefix sums inside of ranges of time of about ``RANGE_TOKENS``.
+    """
+    phase = F.xxhash64("source").cast("double") / 2.0**64 + 0.5
+    ranges = tokens // RANGE_TOKENS + 1
+    timed = rows.select(
+        "chunk", "source", "start", "n",
+        ((F.col("base") + F.col("start") + phase * F.col("n")) / F.col("all")).alias("time"),
+    ).withColumn("range", F.least(F.floor(F.col("time") * ranges), F.lit(ranges - 1)))
+    order = Window.partitionBy("range").orderBy("time", "source", "chunk", "start").rowsBetween(
+        Window.unboundedPreceding, -1)
+    sums = timed.groupBy("range").agg(F.sum("n").alias("m")).withColumn(
+        "before", F.sum("m").over(Window.partitionBy(F.lit(0)).orderBy("range")) - F.col("m"))
+    inside = timed.withColumn("inside", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    return inside.join(sums, "range").select(
+        "chunk", "source", "start", (F.col("before") + F.col("inside")).alias("at"))
+
+
 def pack(
     docs: DataFrame,
     vocabulary: str,
@@ -297,7 +323,8 @@ def pack(
     too. ``weights`` gives target shares by source; the default is each
     source's share of all tokens. Sources with less than 1 / ``max_queues`` of
     the tokens share one queue, so the number of queues is bounded whatever the
-    number of sources.
+    number of sources; inside it they take turns by whole documents, each in
+    proportion to its tokens.
 
     Runs jobs: the ids are written to the shared folder, the sums of at most
     ``max_queues`` + 1 queues come to the driver.
@@ -326,18 +353,17 @@ def pack(
 
     names = spark.createDataFrame(
         [(s, i) for i, (s, _) in enumerate(large)], "source string, queue int")
-    queued = counts.join(F.broadcast(names), "source", "left").withColumn(
-        "queue", F.coalesce("queue", F.lit(len(large))))
-    inside = Window.partitionBy("chunk", "queue").orderBy("source").rowsBetween(
-        Window.unboundedPreceding, -1)
-    queued = queued.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    before = Window.partitionBy("queue").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = queued.groupBy("queue", "chunk").agg(F.sum("n").alias("m")).withColumn(
-        "before", F.coalesce(F.sum("m").over(before), F.lit(0)))
-    offsets = queued.join(chunks, ["queue", "chunk"]).select(
-        "chunk", "source", "queue", (F.col("before") + F.col("inside")).alias("base"))
-    placed = tokens.join(offsets, ["chunk", "source"]).select(
+    before = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumns({
+        "base": F.coalesce(F.sum("n").over(before), F.lit(0)),
+        "all": F.sum("n").over(Window.partitionBy("source"))}).drop("n")
+    placed = tokens.join(offsets.join(F.broadcast(names), "source"), ["chunk", "source"]).select(
         "doc_id", "source", "queue", (F.col("base") + F.col("start")).alias("at"), "n", "ids")
+    if rest:
+        rare = tokens.join(F.broadcast(names), "source", "left_anti")
+        at = _in_turn(rare.join(offsets, ["chunk", "source"]), int(rest))
+        placed = placed.unionByName(rare.join(at, ["chunk", "source", "start"]).select(
+            "doc_id", "source", F.lit(len(large)).alias("queue"), "at", "n", "ids"))
 
     fields = [("doc_id", "long"), ("start", "long"), ("length", "long"), ("ids_crc32", "long"),
               ("doc_tokens", "long"), ("sequence_id", "long"), ("offset", "long"),

@@ -268,16 +268,29 @@ def spans(docs: DataFrame, rounds: int = ROUNDS, precision: float = PRECISION) -
     free = wider.join(taken, ["k", "t"], "left").filter(
         ~F.exists(F.coalesce("taken", F.array().cast("array<struct<start:bigint,end:bigint>>")),
                   lambda b: (b.start < F.col("end")) & (F.col("start") < b.end)))
-    # Of spans that overlap in a chain, the best scored one.
+    return base.select("k", "t", "kind", "wide", "start", "end").union(
+        apart(free).select("k", "t", "kind", F.lit(True).alias("wide"), "start", "end"))
+
+
+def apart(spans: DataFrame) -> DataFrame:
+    """(k, t, start, end, kind): of ``spans`` with a score, by falling score, each that
+    overlaps none taken before it. Only spans of one chain of overlapping ones are compared.
+    """
     order = Window.partitionBy("k", "t").orderBy("start", F.desc("end"))
     reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     chain = F.sum(F.when(F.col("start") < F.col("reached"), 0).otherwise(1)).over(
         order.rowsBetween(Window.unboundedPreceding, 0))
-    chained = free.withColumn("reached", reached).withColumn("chain", chain)
-    best = Window.partitionBy("k", "t", "chain").orderBy(F.desc("score"), "start", "end", "kind")
-    added = chained.withColumn("nth", F.row_number().over(best)).filter("nth = 1")
-    return base.select("k", "t", "kind", "wide", "start", "end").union(
-        added.select("k", "t", "kind", F.lit(True).alias("wide"), "start", "end"))
+    chained = spans.withColumn("reached", reached).withColumn("chain", chain)
+    item = F.struct((-F.col("score")).alias("low"), "start", "end", "kind")
+    ranked = chained.groupBy("k", "t", "chain").agg(F.array_sort(F.collect_list(item)).alias("items"))
+
+    def overlaps(taken: Column, span: Column) -> Column:
+        return F.exists(taken, lambda b: (b.start < span.end) & (span.start < b.end))
+
+    taken = F.aggregate(
+        "items", F.filter("items", lambda s: F.lit(False)),
+        lambda found, s: F.when(overlaps(found, s), found).otherwise(F.concat(found, F.array(s))))
+    return ranked.select("k", "t", F.inline(taken)).drop("low")
 
 
 def _listed(items: Column) -> Column:

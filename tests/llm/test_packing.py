@@ -110,6 +110,28 @@ def test_rare_sources_share_a_queue(spark, public):
     check(rows, dict(enumerate(texts)), public, 16)
 
 
+def test_rare_sources_take_turns(spark, monkeypatch):
+    """In the shared queue every source is within a document of its share, at every sequence's end."""
+    monkeypatch.setattr(packing, "RANGE_TOKENS", 300)
+    texts = [" word" * (1 + (i * 7) % 9) for i in range(900)]
+    sources = [f"s{i // 20:02d}" for i in range(600)] + ["large"] * 300
+    docs = documents(spark, texts, source=sources)
+    rows = packing.pack(docs, *vocabulary(), max_queues=10, sequence=64, window_sequences=1).collect()
+    total, done = {}, {}
+    for r in rows:
+        total[r.source] = total.get(r.source, 0) + r.length
+    assert len(total) == 31 and total["large"] * 10 > sum(total.values())
+    rare = sum(n for s, n in total.items() if s != "large")
+    last = max(r.sequence_id for r in rows)
+    for sequence in range(last + 1):
+        for r in rows:
+            if r.sequence_id == sequence:
+                done[r.source] = done.get(r.source, 0) + r.length
+        given = sum(n for s, n in done.items() if s != "large") / rare
+        for s in total.keys() - {"large"}:
+            assert abs(done.get(s, 0) - given * total[s]) <= 14, (sequence, s)
+
+
 def test_cuts_never_fall_back():
     mix = packing.Mixture([5, 100_000, 33_333, 70], None, 256)
     cuts = mix.cuts(np.arange(0, 530))

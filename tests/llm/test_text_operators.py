@@ -251,6 +251,16 @@ def test_scores_against_all_contexts(spark, monkeypatch, hot, max_words):
     assert sum(rows[i].score for i in test) > sum(rows[i].base_score for i in test)
 
 
+def test_texts_of_a_slice_are_one_row_of_numbers(spark):
+    """What is shuffled with every level is compressed together, not text by text."""
+    texts = [" ".join(random.Random(i).choices("abcdefgh", k=9)) for i in range(300)] + ODD
+    rows = suffixtree._numbered(documents(spark, texts), 7, 2).filter("words IS NULL").collect()
+    assert len(rows) == 3 and sorted(i for r in rows for i in r.doc_id) == list(range(len(texts)))
+    for r in rows:
+        assert len(suffixtree._values(bytes(r.numbers))) == sum(r.n_tokens)
+        assert len(r.held_out) == len(r.doc_id) == len(r.n_tokens)
+
+
 def test_scores_of_odd_and_empty_tables(spark):
     docs = documents(spark, ODD, doc_id=IDS)
     assert suffixtree.score(docs).filter("score < 0").count() == len(ODD)
@@ -331,6 +341,22 @@ def test_redaction(spark):
     assert pii.find(docs.limit(0)).count() == 0 and pii.redact(docs.limit(0)).count() == 0
 
 
+def test_spans_of_a_chain_are_taken_by_score(spark):
+    """Spans at both ends of a chain stay where the one that joins them does not."""
+    pick = random.Random(4)
+    rows = [(1, 1, "card", 0, 19, 0.9), (1, 1, "phone", 10, 30, 0.5), (1, 1, "card", 20, 39, 0.8)]
+    rows += [(2, t, pick.choice(pii.KINDS), a, a + pick.randrange(1, 12), pick.random())
+             for t in range(20) for a in pick.choices(range(60), k=15)]
+    found = pii.apart(spark.createDataFrame(
+        rows, "k long, t long, kind string, start long, end long, score double"))
+    expected = set()
+    for k, t, kind, start, end, _ in sorted(rows, key=lambda r: (-r[5], r[3], r[4], r[2])):
+        if not any(x[:2] == (k, t) and x[3] < end and start < x[4] for x in expected):
+            expected.add((k, t, kind, start, end))
+    assert {(1, 1, "card", 0, 19), (1, 1, "card", 20, 39)} < expected
+    assert sorted(tuple(r) for r in found.select("k", "t", "kind", "start", "end").collect()) == sorted(expected)
+
+
 # Toxicity, language, benchmark
 
 
