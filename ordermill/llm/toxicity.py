@@ -23,6 +23,7 @@ document, the words no example has are weighed by a join with their frequencies.
 
 from __future__ import annotations
 
+import ctypes
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -67,6 +68,14 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray, kind: type = np.int64) -> np.
     return out
 
 
+def _trim() -> None:
+    """Give freed memory back: a worker that waits for its next task keeps it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # Where the C library has it.
+    if trim is not None:
+        trim(0)
+
+
 def digests(words: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w) for w in words], dtype=np.uint64).view(np.int64)
 
@@ -95,6 +104,7 @@ class Examples:
         """The index, made once per process."""
         if self.index is None:
             self.index = Index(self)
+            _trim()
         return self.index
 
 
@@ -154,7 +164,8 @@ class Index:
         # Room for as many records as postings; what is not used is never touched.
         self.values = np.empty(total, dtype=np.float32)
         self.slots = np.empty(total, dtype=np.uint8)
-        postings, block = (np.empty(total + 1, dtype=np.int32) for _ in range(2))
+        postings = np.empty(total + 1, dtype=np.int32)
+        block = np.empty(total, dtype=np.min_scalar_type(self.blocks))
         largest = np.empty(total, dtype=np.float32)
         count = np.zeros(words, dtype=np.int64)
         before = records = 0
@@ -383,6 +394,7 @@ def _vocabulary(examples: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray
                 [pa.array(digests(words)), pa.array([counts[0][w] for w in words], pa.int64()),
                  pa.array([counts[1][w] for w in words], pa.int64())],
                 names=["word", "clean", "toxic"])
+        _trim()
 
     found = (
         examples.select("text", "toxic")
@@ -405,7 +417,7 @@ def _counted(rows: DataFrame, shared, kept: str) -> DataFrame:
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in slices(parts, "text", 4 << 20):
+        for batch in slices(parts, "text", 1 << 20):
             sizes, words, n = [], [], []
             for text in utf8(batch.column("text")):
                 hits = Counter(words_of(text))
@@ -424,6 +436,7 @@ def _counted(rows: DataFrame, shared, kept: str) -> DataFrame:
             yield pa.record_batch(
                 [*(batch.column(c) for c in names), *parts_of],
                 names=[*names, "terms", "counts", "others", "other_counts"])
+        _trim()
 
     return rows.mapInArrow(
         batches,
@@ -523,6 +536,7 @@ def score(
                     [pa.array(own, pa.int64()), pa.array(
                         [vote(index.of.share[f[0]], *f[1:]) for f in found], pa.float64())],
                     names=["id", "vote"])
+        _trim()
 
     votes = np.zeros(len(wordy))
     done = spark.range(len(wordy)).repartition(max(1, len(wordy) // 2048)).mapInArrow(
@@ -556,6 +570,7 @@ def score(
                 [*(batch.column(c) for c in ("doc_id", "__k", "text_hash")),
                  pa.array(squares, pa.float64()), *lists],
                 names=["doc_id", "__k", "text_hash", "squares", "found", "cosines", "telling"])
+        _trim()
 
     # The norm's other words change no order, so texts are searched where they are read and
     # only their neighbours meet the rest.
