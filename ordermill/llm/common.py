@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,6 +63,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterato
             yield batch.slice(a, b - a)
 
 
+def trim() -> None:
+    """Give freed memory back: a worker that waits for its next task keeps it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # Where the C library has it.
+    if trim is not None:
+        trim(0)
+
+
 def signed(values: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit values as the longs that Spark stores."""
     return values.astype(np.uint64).view(np.int64)

@@ -42,14 +42,15 @@ from dataclasses import dataclass
 from itertools import count
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ordermill.llm.common import id_and_text, id_remainder, signed, slices, utf8
-from ordermill.sources.shared import settle
+from ordermill.llm.common import id_and_text, id_remainder, signed, slices, trim, utf8
+from ordermill.sources.shared import Scratch, settle_and_free, shuffles_freed
 
 DEPTH = 7
 MIN_SHARE = 1e-5
@@ -309,22 +310,18 @@ def _find(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, known[at] == wanted
 
 
-def build_tree(
-    counts: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE
-) -> Tree:
-    """The tree for the counts of ``gram_counts``.
-
-    Contexts are tested in Spark. At most depth / min_share of them and their
-    listed symbols come to the driver.
-    """
-    counts = settle(counts, "tree-counts")
+def _tested(
+    counts: DataFrame, min_share: float, scratch: Scratch
+) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Contexts that pass the test, and frequent contexts' symbols with their counts."""
+    counts = scratch.settle(counts, "tree-counts")
     total = counts.filter("length = 0").agg(F.sum("n")).first()[0] or 0
     frequent = (
         counts.groupBy("length", "context")
         .agg(F.sum("n").alias("of"), F.count(F.lit(1)).alias("kinds"))
         .filter(F.col("of") >= min_share * total)
     )
-    entries = settle(counts.join(frequent, ["length", "context"]), "tree-entries")
+    entries = scratch.settle(counts.join(frequent, ["length", "context"]), "tree-entries")
     mask = F.expr("shiftleft(1L, 8 * length - 8) - 1")
     longer = entries.filter("length > 0").select(
         "*", (F.col("length") - 1).alias("length_"), F.col("context").bitwiseAND(mask).alias("context_"))
@@ -337,7 +334,21 @@ def build_tree(
         .agg(F.sum(F.col("n") * F.log(F.col("n") / F.col("of") / F.col("expected"))).alias("gain"))
         .filter(F.col("gain") > 0.5 * F.col("kinds") * F.log(F.col("of").cast("double")))
     )
-    kept = tested.select("length", "context").toPandas()
+    listed = entries.filter(F.col("n") >= LISTED * min_share * total)
+    return tested.select("length", "context").toPandas(), listed.toPandas()
+
+
+def build_tree(
+    counts: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE
+) -> Tree:
+    """The tree for the counts of ``gram_counts``.
+
+    Contexts are tested in Spark. At most depth / min_share of them and their
+    listed symbols come to the driver. All else is dropped again.
+    """
+    spark = counts.sparkSession
+    with Scratch(spark) as scratch, shuffles_freed(spark):
+        kept, listed = _tested(counts, min_share, scratch)
     states = [np.zeros(0, dtype=np.uint64) for _ in range(depth + 1)]
     for d in range(depth, 0, -1):
         own = kept.loc[kept.length == d, "context"].to_numpy().astype(np.int64).view(np.uint64)
@@ -346,7 +357,6 @@ def build_tree(
         states[d] = np.unique(own)
     states[0] = np.zeros(1, dtype=np.uint64)
 
-    listed = entries.filter(F.col("n") >= LISTED * min_share * total).toPandas()
     tree = Tree(states, [], [], [])
     for d in range(depth + 1):
         rows = listed[listed.length == d]
@@ -415,6 +425,24 @@ class Dealt:
         return bucket.astype(np.min_scalar_type(2 * self.buckets))
 
 
+def _sorted_pairs(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """high << 32 | low of non-negative numbers, rising, and where each stood."""
+    bits, places = (int(x).bit_length() for x in (low.max(initial=0), len(low)))
+    pair = high.astype(np.int64)
+    if int(pair.max(initial=0)).bit_length() + bits + places > 63:
+        pair = pair << 32 | low
+        order = np.argsort(pair, kind="stable")
+        return pair[order], order
+    # With the place in its lowest bits a number is sorted alone, which is faster.
+    pair <<= bits + places
+    pair |= low.astype(np.int64) << places
+    pair |= np.arange(len(low))
+    pair.sort()
+    order = (pair & (1 << places) - 1).astype(np.int32)
+    pair >>= places
+    return pair >> bits << 32 | pair & (1 << bits) - 1, order
+
+
 class Walk:
     """All places of a chunk's texts, with the probability of the word at each.
 
@@ -442,10 +470,7 @@ class Walk:
         """Number the different pairs of a context and the next word, by context."""
         at = np.flatnonzero(self.context >= 0)
         self.at = at = at[self.seen[self.context[at]] > 1].astype(np.int32)
-        pair = self.context[at].astype(np.int64) << 32
-        pair |= self.word[at]
-        order = np.argsort(pair)
-        pair = pair[order]
+        pair, order = _sorted_pairs(self.context[at], self.word[at])
         new = np.diff(pair, prepend=-1) != 0
         self.which = np.empty(len(pair), dtype=np.int32)
         self.which[order] = np.cumsum(new, dtype=np.int32) - 1
@@ -621,9 +646,10 @@ def score(
     shared folder.
     """
     spark = docs.sparkSession
-    numbered = settle(_numbered(docs, held_divisor, held_remainder), "lm-numbered")
-    counts = settle(_word_counts(numbered), "lm-counts")
-    sums = counts.agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds")).first()
+    numbered = settle_and_free(_numbered(docs, held_divisor, held_remainder), "lm-numbered")
+    counts = settle_and_free(_word_counts(numbered), "lm-counts")
+    with shuffles_freed(spark):
+        sums = counts.agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds")).first()
     tokens, kinds = sums.tokens or 0, sums.kinds or 0
     blocks = counts.select("chunk", "numbers", "counts", "first")
 
@@ -657,17 +683,20 @@ def score(
         return chunk, walk
 
     def sent(key: tuple, numbered: pa.Table, about: pa.Table) -> pa.Table:
-        return walked(numbered, about, False)[1].sent(key[0].as_py(), dealt)
+        out = walked(numbered, about, False)[1].sent(key[0].as_py(), dealt)
+        trim()
+        return out
 
     for level in range(max_words):
         pairs = numbered.groupBy("chunk").cogroup(about.groupBy("chunk")).applyInArrow(
             sent, "chunk long, bucket long, contexts binary, sizes binary, words binary, n binary, p binary")
-        answers = settle(
+        answers = settle_and_free(
             pairs.groupBy("bucket").applyInArrow(_merged(dealt), _ANSWER), f"lm-states-{level + 1}")
         about = about.unionByName(answers.filter("chunk IS NOT NULL").select(
             "chunk", *[none.cast("binary").alias(c) for c in ("numbers", "counts", "first")],
             F.lit(level).alias("level"), "bucket", "totals", "whole", "rest"))
-        hots.append(_hot_states(answers))
+        with shuffles_freed(spark):
+            hots.append(_hot_states(answers))
 
     def sums_of(numbered: pa.Table, about: pa.Table) -> pa.Table:
         chunk, walk = walked(numbered, about, True)
@@ -675,7 +704,7 @@ def score(
         known, base_score, score = (
             np.add.reduceat(x, walk.starts) if len(walk.starts) else x
             for x in ((chunk.c > 0).astype(np.int64)[walk.word], base[walk.word], np.log10(walk.p)))
-        return pa.table({
+        out = pa.table({
             "doc_id": chunk.texts.column("doc_id"),
             "held_out": chunk.texts.column("held_out"),
             "n_tokens": chunk.texts.column("n_tokens"),
@@ -684,6 +713,9 @@ def score(
             "base_score": pa.array(base_score, pa.float64()),
             "score": pa.array(score, pa.float64()),
         })
+        del chunk, walk
+        trim()
+        return out
 
     return numbered.groupBy("chunk").cogroup(about.groupBy("chunk")).applyInArrow(
         sums_of,

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _WAREHOUSE = "spark.sql.warehouse.dir"
+#: Spark's own setting to drop the shuffle files of a query when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,6 +42,30 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Spark drops the shuffle files of each query made within when that query ends.
+
+    For queries that run once: their shuffles only fill the disk afterwards, until the
+    driver's garbage collector meets them. The caller's setting is put back.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
+def settle_and_free(df: DataFrame, label: str) -> DataFrame:
+    """As ``settle``; the table stands for the job, whose shuffle files are dropped."""
+    with shuffles_freed(df.sparkSession):
+        return settle(df, label)
+
+
 def forget(spark: SparkSession, path: str) -> None:
     """Delete a table that was written to ``path``."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -15,7 +15,7 @@ from ordermill.llm import (
     decontamination, induced, language, pii, simhash, substring, suffixarray, suffixtree, topk,
     toxicity,
 )
-from tests.llm.util import documents
+from tests.llm.util import documents, left_behind
 
 ODD = [None, "", " ", "a", "same words here", "same words here", "x " * 30_000, "é ß 漢字 😀 \x00 end"]
 IDS = [3, 4, 5, None, 7, 7, 8, 9]
@@ -257,6 +257,26 @@ def test_scores_of_odd_and_empty_tables(spark):
     assert suffixtree.score(docs.limit(0)).count() == 0
 
 
+def test_pairs_sort_as_whole_numbers():
+    """Numbers that leave no room for their places sort as well."""
+    pick = np.random.default_rng(1)
+    for size, most in ((0, 5), (1, 1), (1000, 30), (5000, 2**31 - 1)):
+        high, low = (pick.integers(0, most, size).astype(np.int32) for _ in range(2))
+        whole = high.astype(np.int64) << 32 | low
+        order = np.argsort(whole, kind="stable")
+        pairs, places = suffixtree._sorted_pairs(high, low)
+        assert np.array_equal(pairs, whole[order]) and np.array_equal(places, order)
+
+
+def test_language_model_leaves_no_shuffles(spark):
+    """Before the scores are asked for, only the tables they are made from are on disk."""
+    docs = documents(spark, [" ".join(words(60, i, 50)) for i in range(30)])
+    files, tables, scores = left_behind(spark, lambda: suffixtree.score(docs))
+    assert not files
+    assert tables == ["lm-counts", "lm-numbered", "lm-states-1", "lm-states-2"]
+    assert scores.count() == scores.count() == 30
+
+
 # Top-k
 
 

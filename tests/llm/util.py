@@ -1,7 +1,13 @@
-"""Small tables for the operators' tests."""
+"""Small tables for the operators' tests, and what their jobs leave on disk."""
 
 from __future__ import annotations
 
+import glob
+import os
+import time
+
+from ordermill.sources.shared import shared_folder
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -15,3 +21,24 @@ def documents(spark, texts, **columns):
         (i, t, g, s, len(t or "")) for i, t, g, s in zip(ids, texts, langs, sources, strict=True)
     ]
     return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+def left_behind(spark, run):
+    """The shuffle files that ``run`` leaves, and the labels of its tables in the shared folder."""
+    def files():
+        local = spark.sparkContext.getConf().get("spark.local.dir", os.environ.get("SPARK_LOCAL_DIRS", "/tmp"))
+        return set(glob.glob(f"{local}/blockmgr-*/*/shuffle_*.data"))
+
+    def tables():
+        return {os.path.basename(p).rsplit("-", 1)[0]: p
+                for p in glob.glob(f"{shared_folder(spark)}/*") if p not in earlier}
+
+    earlier = set(glob.glob(f"{shared_folder(spark)}/*"))
+    before = files()
+    result = run()
+    for _ in range(50):  # Spark drops them on its own thread.
+        left = files() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    return left, sorted(tables()), result
