@@ -23,7 +23,6 @@ document, the words no example has are weighed by a join with their frequencies.
 
 from __future__ import annotations
 
-import ctypes
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,8 +33,8 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ordermill.llm.common import MIN_LONG, id_and_text, id_remainder, keyed, slices, utf8
-from ordermill.sources.shared import settle
+from ordermill.llm.common import MIN_LONG, id_and_text, id_remainder, keyed, slices, trim, utf8
+from ordermill.sources.shared import Scratch, settle_and_free, shuffles_freed
 
 MAX_EXAMPLES = 30_000
 NEIGHBOURS = 50
@@ -63,19 +62,12 @@ def words_of(text: bytes) -> list[bytes]:
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray, kind: type = np.int64) -> np.ndarray:
     """The numbers from each start on, as many as its size, one after another."""
-    out = np.arange(sizes.sum(), dtype=kind)
-    out += np.repeat((starts - (np.cumsum(sizes) - sizes)).astype(kind), sizes)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    out = np.arange(ends[-1] if len(ends) else 0, dtype=kind)
+    out += np.repeat((starts - (ends - sizes)).astype(kind), sizes)
     return out
 
 
-def _trim() -> None:
-    """Give freed memory back: a worker that waits for its next task keeps it otherwise."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # Where the C library has it.
-    if trim is not None:
-        trim(0)
-
-
 def digests(words: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w) for w in words], dtype=np.uint64).view(np.int64)
 
@@ -104,7 +96,7 @@ class Examples:
         """The index, made once per process."""
         if self.index is None:
             self.index = Index(self)
-            _trim()
+            trim()
         return self.index
 
 
@@ -163,8 +155,9 @@ class Index:
         cuts = np.unique(np.searchsorted(ends, np.arange(0, total, 1 << 19), side="left"))
         # Room for as many records as postings; what is not used is never touched.
         self.values = np.empty(total, dtype=np.float32)
-        self.slots = np.empty(total, dtype=np.uint8)
-        postings = np.empty(total + 1, dtype=np.int32)
+        self.places = np.empty(total, dtype=np.min_scalar_type(self.blocks * BLOCK))
+        postings = np.empty(total, dtype=np.int32)
+        many = np.empty(total, dtype=np.uint8)
         block = np.empty(total, dtype=np.min_scalar_type(self.blocks))
         largest = np.empty(total, dtype=np.float32)
         count = np.zeros(words, dtype=np.int64)
@@ -179,15 +172,16 @@ class Index:
             new[1:] = (terms[1:] != terms[:-1]) | (at[1:] // BLOCK != at[:-1] // BLOCK)
             first = np.flatnonzero(new)
             own, mine = slice(before, before + len(some)), slice(records, records + len(first))
-            self.values[own], self.slots[own] = value, at % BLOCK
+            self.values[own], self.places[own] = value, at
             postings[mine], block[mine] = first + before, at[first] // BLOCK
+            many[mine] = np.diff(first, append=len(some))
             if len(first):
                 largest[mine] = np.maximum.reduceat(value, first)
             count[low:high] = np.bincount(terms[first] - low, minlength=high - low)
             before, records = own.stop, mine.stop
-        #: Where the postings of a record start; its end is the next one's start.
-        postings[records] = before
-        self.postings, self.block, self.largest = postings[: records + 1], block[:records], largest[:records]
+        #: Where the postings of a record start, and how many they are.
+        self.postings, self.many = postings[:records], many[:records]
+        self.block, self.largest = block[:records], largest[:records]
         self.first = np.concatenate([[0], np.cumsum(count)])
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,13 +228,14 @@ class Index:
             found = self.example[at]
             full[t] = w * self.of.idf[t]
             shared[t] = True
-            starts, ends = self.starts[found], np.cumsum(self.of.sizes[found])
-            entry = np.flatnonzero(shared[np.concatenate([
+            starts, sizes = self.starts[found], self.of.sizes[found]
+            ends = np.cumsum(sizes)
+            entry = np.flatnonzero(shared.take(np.concatenate([
                 np.zeros(0, dtype=np.int32),
-                *(self.of.terms[a : a + n] for a, n in zip(starts, self.of.sizes[found]))])])
+                *(self.of.terms[a : a + n] for a, n in zip(starts.tolist(), sizes.tolist()))])))
             owner = np.searchsorted(ends, entry, side="right")
-            entry += (starts - ends + self.of.sizes[found])[owner]
-            some = self.of.terms[entry]
+            entry += (starts - ends + sizes)[owner]
+            some = self.of.terms.take(entry)
             product = full[some] * self.logs[self.of.counts[entry]]
             told = self.of.told[
                 0 if without is None else 1 if self.of.share[without[i]] > 0 else 2]
@@ -259,8 +254,9 @@ class Index:
         block; it gets the part of the words without a column where blocks are visited.
         """
         blocks, k, limit = self.blocks, self.of.neighbours, 0.0
-        sizes = self.first[terms + 1] - self.first[terms]
-        record = _ranges(self.first[terms], sizes)
+        start = self.first[terms]
+        sizes = self.first[terms + 1] - start
+        record = _ranges(start, sizes)
         weight = np.repeat(weights, sizes)
         block = self.block.take(record)
         bound = score.max(axis=1) + np.bincount(block, weight * self.largest.take(record), blocks)
@@ -274,24 +270,20 @@ class Index:
         for last in (False, True):
             visited = np.flatnonzero(now)
             self.visited += len(visited)
-            line = np.cumsum(now) - 1
-            hit = np.flatnonzero(now[block])
+            hit = now.take(block)
             entry = record[hit]
-            starts = self.postings[entry]
-            many = self.postings[entry + 1] - starts
-            entry = _ranges(starts, many)
-            to = np.repeat(line[block[hit]] * BLOCK, many)
-            to += self.slots.take(entry)
+            many = self.many.take(entry)
             value = np.repeat(weight[hit], many)
+            entry = _ranges(self.postings.take(entry), many)
             value *= self.values.take(entry)
-            own = score[visited].ravel()
-            own += np.bincount(to, value, len(own))
-            some = own > max(limit - SLACK, 0)
-            where = (visited[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            own = np.bincount(self.places.take(entry), value, blocks * BLOCK).reshape(blocks, BLOCK)
+            own = (own if len(visited) == blocks else own[visited]) + score[visited]
+            some = np.flatnonzero(own > max(limit - SLACK, 0))
+            where = visited[some // BLOCK] * BLOCK + some % BLOCK
             if without is not None:
-                some &= where != without
-            places.append(where[some])
-            scores.append(own[some])
+                some, where = some[where != without], where[where != without]
+            places.append(where)
+            scores.append(own.ravel()[some])
             if last:
                 break
             if len(scores[0]) >= k:
@@ -394,7 +386,7 @@ def _vocabulary(examples: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray
                 [pa.array(digests(words)), pa.array([counts[0][w] for w in words], pa.int64()),
                  pa.array([counts[1][w] for w in words], pa.int64())],
                 names=["word", "clean", "toxic"])
-        _trim()
+        trim()
 
     found = (
         examples.select("text", "toxic")
@@ -407,7 +399,8 @@ def _vocabulary(examples: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray
 def _counted(rows: DataFrame, shared, kept: str) -> DataFrame:
     """The columns ``kept``, and how often each text uses the examples' words and others.
 
-    ``others`` are 64-bit digests.
+    The words' numbers rise; ``gaps`` has the first and the steps to the next ones (see
+    ``_terms``), which take less room on disk. ``others`` are 64-bit digests.
     """
     names = rows.select(*[c.split()[0] for c in kept.split(", ")]).columns
 
@@ -430,30 +423,60 @@ def _counted(rows: DataFrame, shared, kept: str) -> DataFrame:
             word, n, row = word[order], n[order], row[order]
             at = np.searchsorted(known, word)
             inside = known[np.minimum(at, len(known) - 1)] == word if len(known) else at < 0
+            gaps = np.diff(at[inside], prepend=0)
+            first = np.flatnonzero(np.diff(row[inside], prepend=-1))
+            gaps[first] = at[inside][first]
             parts_of = [
-                lists(row[some], len(sizes), values[some]) for some, values in (
-                    (inside, at.astype(np.int32)), (inside, n), (~inside, word), (~inside, n))]
+                lists(row[some], len(sizes), values) for some, values in (
+                    (inside, gaps.astype(np.int32)), (inside, n[inside]),
+                    (~inside, word[~inside]), (~inside, n[~inside]))]
             yield pa.record_batch(
                 [*(batch.column(c) for c in names), *parts_of],
-                names=[*names, "terms", "counts", "others", "other_counts"])
-        _trim()
+                names=[*names, "gaps", "counts", "others", "other_counts"])
+        trim()
 
     return rows.mapInArrow(
         batches,
-        f"{kept}, terms array<int>, counts array<int>, others array<long>, other_counts array<int>")
+        f"{kept}, gaps array<int>, counts array<int>, others array<long>, other_counts array<int>")
+
+
+def _terms(gaps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The words' numbers of rows of ``sizes`` gaps."""
+    whole = np.cumsum(gaps, dtype=np.int64)
+    sizes = sizes[sizes > 0]
+    starts = np.cumsum(sizes) - sizes
+    whole -= np.repeat(whole[starts] - gaps[starts], sizes)
+    return whole.astype(np.int32)
+
+
+def _seen(counted: DataFrame) -> DataFrame:
+    """(t, n): how many texts use each of the examples' words, those of any text."""
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            gaps = batch.column("gaps")
+            term, n = np.unique(
+                _terms(pc.list_flatten(gaps).to_numpy(), pc.list_value_length(gaps).to_numpy()),
+                return_counts=True)
+            yield pa.record_batch([pa.array(term, pa.int32()), pa.array(n, pa.int64())], names=["t", "n"])
+        trim()
+
+    return counted.select("gaps").mapInArrow(batches, "t int, n long").groupBy("t").agg(F.sum("n").alias("n"))
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Batches of few rows and words, with the rows' (terms, counts)."""
     for whole in batches:
-        ends = np.cumsum(pc.list_value_length(whole.column("terms")).to_numpy(zero_copy_only=False))
+        sizes = pc.list_value_length(whole.column("gaps")).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
         low = 0
         while low < whole.num_rows:
             before = ends[low - 1] if low else 0
             high = int(np.searchsorted(ends, before + BATCH_WORDS, side="right"))
             high = min(max(high, low + 1), low + BATCH, whole.num_rows)
             batch = whole.slice(low, high - low)
-            flat = [pc.list_flatten(batch.column(c)).to_numpy() for c in ("terms", "counts")]
+            gaps, counts = (pc.list_flatten(batch.column(c)).to_numpy() for c in ("gaps", "counts"))
+            flat = _terms(gaps, sizes[low:high]), counts
             cuts = ends[low : high - 1] - before
             yield batch, list(zip(*(np.split(f, cuts) for f in flat)))
             low = high
@@ -486,31 +509,34 @@ def score(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")
     ).filter("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.filter(id_remainder(held_divisor) != held_remainder)
-    rows = known.count()
+    with shuffles_freed(spark):
+        rows = known.count()
     part = min(1.0, max_examples / max(rows, 1))
     place = F.xxhash64("doc_id", F.lit("example")).cast("double") / 2.0**64 + 0.5
     # Written first, so that the planner sees the bounded size and moves no texts.
-    chosen = settle(known.filter(place < part), "toxicity-labels")
-    # Equal texts are one example: copies tell nothing more.
-    distinct = settle(
-        id_and_text(docs).join(chosen, "doc_id").groupBy("text").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"), F.min("doc_id").alias("id"))
-        .withColumn("text_hash", F.xxhash64("text")),
-        "toxicity-texts")
-    words, toxic, other = _vocabulary(distinct)
-    number = spark.sparkContext.broadcast(words)
+    chosen = settle_and_free(known.filter(place < part), "toxicity-labels")
+    with Scratch(spark) as scratch, shuffles_freed(spark):
+        # Equal texts are one example: copies tell nothing more.
+        distinct = scratch.settle(
+            id_and_text(docs).join(chosen, "doc_id").groupBy("text").agg(
+                F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"), F.min("doc_id").alias("id"))
+            .withColumn("text_hash", F.xxhash64("text")),
+            "toxicity-texts")
+        words, toxic, other = _vocabulary(distinct)
+        number = spark.sparkContext.broadcast(words)
+        labelled = _counted(distinct, number, "id long, text_hash long, n long, toxic long").drop(
+            "others", "other_counts").toArrow()
     texts = id_and_text(docs).withColumn("text_hash", F.xxhash64("text"))
-    counted = settle(_counted(texts, number, "doc_id long, text_hash long"), "toxicity-counts")
+    counted = settle_and_free(_counted(texts, number, "doc_id long, text_hash long"), "toxicity-counts", "zstd")
     total = counted.count()
     frequency = np.zeros(len(words))
-    seen = counted.select(F.explode("terms").alias("t")).groupBy("t").agg(
-        F.count(F.lit(1)).alias("n")).toArrow()
+    with shuffles_freed(spark):
+        seen = _seen(counted).toArrow()
     frequency[seen["t"].to_numpy()] = seen["n"].to_numpy()
-    labelled = _counted(distinct, number, "id long, text_hash long, n long, toxic long").drop(
-        "others", "other_counts").toArrow()
     order = np.lexsort((labelled["text_hash"].to_numpy(), labelled["id"].to_numpy()))
-    sizes = pc.list_value_length(labelled["terms"]).to_numpy().astype(np.int64)
-    flat = [pc.list_flatten(labelled[c]).to_numpy() for c in ("terms", "counts")]
+    sizes = pc.list_value_length(labelled["gaps"]).to_numpy().astype(np.int64)
+    flat = [pc.list_flatten(labelled[c]).to_numpy() for c in ("gaps", "counts")]
+    flat[0] = _terms(flat[0], sizes)
     ids, share = labelled["id"].to_numpy(), labelled["toxic"].to_numpy() / labelled["n"].to_numpy()
     del labelled
     flat[1] = flat[1].astype(np.min_scalar_type(int(flat[1].max(initial=0))))
@@ -536,11 +562,12 @@ def score(
                     [pa.array(own, pa.int64()), pa.array(
                         [vote(index.of.share[f[0]], *f[1:]) for f in found], pa.float64())],
                     names=["id", "vote"])
-        _trim()
+        trim()
 
     votes = np.zeros(len(wordy))
-    done = spark.range(len(wordy)).repartition(max(1, len(wordy) // 2048)).mapInArrow(
-        left_out, "id long, vote double").toArrow()
+    with shuffles_freed(spark):
+        done = spark.range(len(wordy)).repartition(max(1, len(wordy) // 2048)).mapInArrow(
+            left_out, "id long, vote double").toArrow()
     votes[done["id"].to_numpy()] = done["vote"].to_numpy()
     fit = calibrated(
         np.concatenate([votes, np.full(len(blank), -1.0)]), np.ones(len(share)),
@@ -552,7 +579,7 @@ def score(
         key, "text_hash", F.explode(F.arrays_zip("others", "other_counts")).alias("o")).select(
         "__k", "text_hash", F.col("o.others").alias("word"), F.col("o.other_counts").alias("c"))
     weight = (1 + F.log("c")) * (F.log((1 + F.lit(total)) / (1 + F.col("f"))) + 1)
-    rest = settle(
+    rest = settle_and_free(
         words.distinct().join(words.groupBy("word").agg(F.count(F.lit(1)).alias("f")), "word")
         .groupBy("__k", "text_hash").agg(F.sum(weight * weight).alias("rest")), "toxicity-others")
 
@@ -570,11 +597,11 @@ def score(
                 [*(batch.column(c) for c in ("doc_id", "__k", "text_hash")),
                  pa.array(squares, pa.float64()), *lists],
                 names=["doc_id", "__k", "text_hash", "squares", "found", "cosines", "telling"])
-        _trim()
+        trim()
 
     # The norm's other words change no order, so texts are searched where they are read and
     # only their neighbours meet the rest.
-    near = counted.select("doc_id", key, "text_hash", "terms", "counts").mapInArrow(
+    near = counted.select("doc_id", key, "text_hash", "gaps", "counts").mapInArrow(
         searched,
         "doc_id long, __k long, text_hash long, squares double, found array<int>, "
         "cosines array<float>, telling array<float>")
@@ -617,7 +644,7 @@ def score(
 
 def clean(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """``docs`` without the rows predicted toxic; columns as they are."""
-    found = settle(
+    found = settle_and_free(
         score(docs, labels, **settings).filter("predicted = 1").select(
             F.coalesce("doc_id", F.lit(MIN_LONG)).alias("__k"), F.col("text_hash").alias("__t"))
         .distinct(), "toxicity-found")

@@ -29,7 +29,7 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+def settle(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This runs a job. It cuts the lineage in a way that survives lost executors,
@@ -38,7 +38,7 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     skewed partitions split at run time, above. Nothing is broadcast by hint.
     """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -60,10 +60,10 @@ def shuffles_freed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_CLEANUP, before)
 
 
-def settle_and_free(df: DataFrame, label: str) -> DataFrame:
+def settle_and_free(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """As ``settle``; the table stands for the job, whose shuffle files are dropped."""
     with shuffles_freed(df.sparkSession):
-        return settle(df, label)
+        return settle(df, label, compression)
 
 
 def forget(spark: SparkSession, path: str) -> None:

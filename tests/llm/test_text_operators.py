@@ -268,8 +268,9 @@ def test_pairs_sort_as_whole_numbers():
         assert np.array_equal(pairs, whole[order]) and np.array_equal(places, order)
 
 
-def test_language_model_leaves_no_shuffles(spark):
+def test_language_model_leaves_no_shuffles(spark, conf):
     """Before the scores are asked for, only the tables they are made from are on disk."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")  # No shuffle is given up half-way.
     docs = documents(spark, [" ".join(words(60, i, 50)) for i in range(30)])
     files, tables, scores = left_behind(spark, lambda: suffixtree.score(docs))
     assert not files

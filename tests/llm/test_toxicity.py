@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from ordermill.llm import toxicity
-from tests.llm.util import documents
+from tests.llm.util import documents, left_behind
 
 ODD = [None, "", " ", "a", "same words here", "same words here", "x " * 30_000, "é ß 漢字 😀 \x00 end"]
 
@@ -167,3 +167,15 @@ def test_null_ids_and_repeated_rows(spark):
     kept = toxicity.clean(docs, given)
     assert kept.columns == docs.columns
     assert kept.count() == len(texts) - sum(r.predicted for r in rows)
+
+
+def test_no_shuffles_are_left(spark, conf):
+    """Before the scores are asked for, shuffles are gone and the caller's setting is back."""
+    conf("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false")
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")  # No shuffle is given up half-way.
+    docs = documents(spark, [" ".join(words(30, i)) for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 60, 2)], "doc_id long, toxic int")
+    files, _, scores = left_behind(spark, lambda: toxicity.score(docs, labels))
+    assert not files
+    assert scores.count() == scores.count() == 60
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
