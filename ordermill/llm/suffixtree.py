@@ -297,10 +297,14 @@ class Tree:
 
     def words(self, words: list[bytes]) -> np.ndarray:
         """log10 probability of each word, blank or end of text included."""
-        gram, size, word = _grams(words, self.depth)
-        distinct, first, back = np.unique(gram, return_index=True, return_inverse=True)
-        logs = self.symbols(distinct, size[first])
-        return np.bincount(word, weights=logs[back], minlength=len(words))
+        out = np.zeros(len(words))
+        for low in range(0, len(words), 20_000):  # Parts only bound the memory.
+            some = words[low : low + 20_000]
+            gram, size, word = _grams(some, self.depth)
+            distinct, first, back = np.unique(gram, return_index=True, return_inverse=True)
+            logs = self.symbols(distinct, size[first])
+            out[low : low + len(some)] = np.bincount(word, weights=logs[back], minlength=len(some))
+        return out
 
 
 def _find(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -434,13 +438,18 @@ def _sorted_pairs(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.nda
         order = np.argsort(pair, kind="stable")
         return pair[order], order
     # With the place in its lowest bits a number is sorted alone, which is faster.
-    pair <<= bits + places
-    pair |= low.astype(np.int64) << places
-    pair |= np.arange(len(low))
+    pair <<= bits
+    pair |= low
+    pair <<= places
+    pair |= np.arange(len(low), dtype=np.int32)
     pair.sort()
     order = (pair & (1 << places) - 1).astype(np.int32)
     pair >>= places
-    return pair >> bits << 32 | pair & (1 << bits) - 1, order
+    low = pair & (1 << bits) - 1
+    pair >>= bits
+    pair <<= 32
+    pair |= low
+    return pair, order
 
 
 class Walk:
@@ -528,6 +537,7 @@ class Walk:
         self.context[:] = -1
         self.context[at] = pairs[at]
         self.seen, self.digest = total, _mixed(self.digest[self.before], self.keys[self.after])
+        del self.at, self.which, self.before, self.after
 
 
 def _short(keys: np.ndarray) -> np.ndarray:
@@ -677,9 +687,14 @@ def score(
             root[new] = 1 - SPELLED + SPELLED * (kinds + 1) * 10 ** shared.value.words(
                 [chunk.words[i] for i in new])
         walk = Walk(chunk, root / (tokens + kinds + 1))
+        # What the places are made from is not needed beside them.
+        del root, new
+        chunk.words = []
+        trim()
         answers = about.filter(is_answer).select(["level", "bucket", "totals", "whole", "rest"]).to_pylist()
         for level, states in enumerate(hots):
             walk.learn([a for a in answers if a["level"] == level], states, dealt)
+            trim()
         return chunk, walk
 
     def sent(key: tuple, numbered: pa.Table, about: pa.Table) -> pa.Table:
@@ -700,6 +715,8 @@ def score(
 
     def sums_of(numbered: pa.Table, about: pa.Table) -> pa.Table:
         chunk, walk = walked(numbered, about, True)
+        del walk.context, walk.seen, walk.digest, walk.keys, walk.train
+        trim()
         base = np.log10((chunk.c + 1) / (tokens + kinds + 1))
         known, base_score, score = (
             np.add.reduceat(x, walk.starts) if len(walk.starts) else x
