@@ -10,12 +10,13 @@ and label in the examples (each text once). G has no part in vector or cosine.
 Votes become probabilities by monotone regression on the examples' own votes, an
 example being left out of both its neighbours and its G.
 
-The index is a block-max inverted one. Alike examples lie in blocks of 64; a word
-has a record per block with its largest weight there and its postings. Words in a
-twentieth of the examples have a column instead, whose part of the scores is exact
-before. With it the records give a text an upper bound for every block; the blocks of
-the largest bounds are visited first, then the others but for those whose bound can
-not reach the k-th best score so far: these are skipped. What can reach it is scored
+The index is a block-max inverted one. Alike examples lie in blocks of 64. Words in a
+tenth of the examples have a column instead of postings, whose part of the scores is
+exact before; so is that of rare words, whose short lists are read at once. The words
+between have their largest weight in every block: one product with these gives a text
+an upper bound for every block, and blocks that can not reach the k-th best score known
+are skipped. If few are left, only their parts of the lists are read, else whole lists,
+which cost less than their parts. What can be among the nearest is scored
 again in double precision, so the search is exact. Words travel as 64-bit digests,
 never as texts. The index is bounded by ``max_examples`` and is broadcast; of a
 document, the words no example has are weighed by a join with their frequencies.
@@ -40,9 +41,13 @@ MAX_EXAMPLES = 30_000
 NEIGHBOURS = 50
 BLOCK = 64
 #: Words in more than this share of the examples are dense columns.
-DENSE = 0.05
+DENSE = 0.1
+#: Words in no more than this share are rare; of the others so many have largest weights by block.
+RARE, PEAKS = 0.01, 4096
+#: Lists of frequent words are read whole if one in so many of their postings is needed.
+WHOLE = 8
 #: Texts scored at a time, and the most words that they may have together but for one text.
-BATCH, BATCH_WORDS = 64, 40_000
+BATCH, BATCH_WORDS = 128, 40_000
 #: A vote's weight without any telling word, beside their share of the inner product.
 PLAIN = 0.01
 #: Single precision scores are this close to the exact ones.
@@ -60,6 +65,12 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
+def _parts(ends: np.ndarray, most: int = 1 << 19) -> list[tuple[int, int]]:
+    """(first, last + 1) of words whose postings, which end at ``ends[1:]``, are about ``most``."""
+    cuts = np.unique(np.searchsorted(ends[1:], np.arange(0, ends[-1], most), side="left")).tolist()
+    return list(zip(cuts, [*cuts[1:], len(ends) - 1]))
+
+
 def _ranges(starts: np.ndarray, sizes: np.ndarray, kind: type = np.int64) -> np.ndarray:
     """The numbers from each start on, as many as its size, one after another."""
     ends = np.cumsum(sizes, dtype=np.int64)
@@ -79,6 +90,8 @@ class Examples:
     ``words`` (digests) may be left out, as only texts that are counted need them.
     ``told`` has the words' G, and G without one toxic and without one other example
     that has the word. ``terms`` and ``counts`` hold ``sizes`` entries per example.
+    ``number`` has the words' numbers here for those in the texts' counts: by falling
+    frequency, so that what is read most lies together.
     """
 
     words: np.ndarray
@@ -90,6 +103,7 @@ class Examples:
     share: np.ndarray
     ids: np.ndarray
     neighbours: int = NEIGHBOURS
+    number: np.ndarray | None = None
     index: Index | None = None
 
     def open(self) -> Index:
@@ -101,7 +115,7 @@ class Examples:
 
 
 class Index:
-    """The block-max index; ``visited`` counts the blocks scored, of ``offered``."""
+    """The block-max index; ``visited`` counts the blocks not skipped, of ``offered``."""
 
     def __init__(self, of: Examples) -> None:
         self.of, self.visited, self.offered = of, 0, 0
@@ -110,6 +124,7 @@ class Index:
         self.logs = 1 + np.log(np.arange(1, int(of.counts.max(initial=0)) + 1))
         self.logs = np.concatenate([[0.0], self.logs])
         self.blocks = -(-n // BLOCK)
+        self.low = of.terms.astype(np.uint16)
         wide = np.flatnonzero(np.bincount(of.terms, minlength=words) > DENSE * n)
         self.column = np.full(words, -1, dtype=np.int32)
         self.column[wide] = np.arange(len(wide))
@@ -146,43 +161,51 @@ class Index:
         return (weights / self.norms[owner]).astype(np.float32)
 
     def _post(self) -> None:
-        """Postings and records of the words without a column, by parts of the words."""
-        of, words = self.of, len(self.of.idf)
+        """Postings of the words without a column, by parts of the words; frequent words'
+        largest weights, and where their postings of a block start.
+        """
+        of, words, n = self.of, len(self.of.idf), len(self.of.sizes)
         narrow = (self.column < 0)[of.terms]
         sizes = np.bincount(of.terms, minlength=words) * (self.column < 0)
-        ends = np.cumsum(sizes)
-        total = int(sizes.sum())
-        cuts = np.unique(np.searchsorted(ends, np.arange(0, total, 1 << 19), side="left"))
-        # Room for as many records as postings; what is not used is never touched.
-        self.values = np.empty(total, dtype=np.float32)
+        some = np.flatnonzero(sizes > RARE * n)
+        some = np.sort(some[np.argsort(-sizes[some], kind="stable")[:PEAKS]])
+        #: The row of each frequent word.
+        self.row = np.full(words, -1, dtype=np.int32)
+        self.row[some] = np.arange(len(some))
+        self.first = np.concatenate([[0], np.cumsum(sizes)])
+        total = int(self.first[-1])
+        #: Places by word and count; postings of one word and count make a run.
         self.places = np.empty(total, dtype=np.min_scalar_type(self.blocks * BLOCK))
-        postings = np.empty(total, dtype=np.int32)
-        many = np.empty(total, dtype=np.uint8)
-        block = np.empty(total, dtype=np.min_scalar_type(self.blocks))
-        largest = np.empty(total, dtype=np.float32)
-        count = np.zeros(words, dtype=np.int64)
-        before = records = 0
-        for low, high in zip(cuts, [*cuts[1:], words]):
+        self.peaks = np.zeros((len(some), self.blocks), dtype=np.float32)
+        self.cuts = np.zeros((len(some), self.blocks + 1), dtype=np.int32)
+        runs, near = [], []
+        for low, high in _parts(self.first):
             some = np.flatnonzero((of.terms >= low) & (of.terms < high) & narrow)
             owner = np.searchsorted(self.starts, some, side="right") - 1
-            order = np.lexsort((self.place[owner], of.terms[some]))
+            order = np.lexsort((self.place[owner], of.counts[some], of.terms[some]))
             some, owner = some[order], owner[order]
-            terms, at, value = of.terms[some], self.place[owner], self._weights(some, owner)
+            terms, counts, at = of.terms[some], of.counts[some], self.place[owner]
+            self.places[self.first[low] : self.first[high]] = at
             new = np.ones(len(some), dtype=bool)
-            new[1:] = (terms[1:] != terms[:-1]) | (at[1:] // BLOCK != at[:-1] // BLOCK)
-            first = np.flatnonzero(new)
-            own, mine = slice(before, before + len(some)), slice(records, records + len(first))
-            self.values[own], self.places[own] = value, at
-            postings[mine], block[mine] = first + before, at[first] // BLOCK
-            many[mine] = np.diff(first, append=len(some))
-            if len(first):
-                largest[mine] = np.maximum.reduceat(value, first)
-            count[low:high] = np.bincount(terms[first] - low, minlength=high - low)
-            before, records = own.stop, mine.stop
-        #: Where the postings of a record start, and how many they are.
-        self.postings, self.many = postings[:records], many[:records]
-        self.block, self.largest = block[:records], largest[:records]
-        self.first = np.concatenate([[0], np.cumsum(count)])
+            new[1:] = (terms[1:] != terms[:-1]) | (counts[1:] != counts[:-1])
+            new = np.flatnonzero(new)
+            runs.append((terms[new], counts[new], np.diff(new, append=len(some)).astype(np.int32)))
+            often = np.flatnonzero(self.row[terms] >= 0)
+            often = often[np.lexsort((at[often], terms[often]))]
+            row, at, value = self.row[terms[often]], at[often], self._weights(some[often], owner[often])
+            np.maximum.at(self.peaks, (row, at // BLOCK), value)
+            np.add.at(self.cuts, (row, at // BLOCK + 1), 1)
+            near.append((at.astype(self.places.dtype), value))
+        runs.append((of.terms[:0], of.counts[:0], np.zeros(0, dtype=np.int32)))
+        terms, self.run_count, self.run_size = (np.concatenate(x) for x in zip(*runs))
+        self.run = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=words))])
+        #: The frequent words' postings by place, and where those of a block start.
+        near.append((self.places[:0], np.zeros(0, dtype=np.float32)))
+        self.near, self.value = (np.concatenate(x) for x in zip(*near))
+        self.held = self.cuts.sum(axis=0)[1:]
+        self.cuts = np.cumsum(self.cuts, axis=None, dtype=np.int32).reshape(self.cuts.shape)
+        self.scale = np.zeros(self.blocks * BLOCK)
+        self.scale[:n] = 1 / np.maximum(self.norms[self.example], 1e-300)
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights, by the words that some example has."""
@@ -205,93 +228,109 @@ class Index:
         rows, blocks, k = len(queries), self.blocks, self.of.neighbours
         if not blocks:
             return [(np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0))] * rows
-        terms = np.concatenate([t for t, _ in queries]).astype(np.int64)
+        terms = np.concatenate([t for t, _ in queries])
         weights = np.concatenate([w for _, w in queries]).astype(np.float32)
         row = np.repeat(np.arange(rows), [len(t) for t, _ in queries])
-        wide = self.column[terms] >= 0
-        dense = np.zeros((rows, self.dense.shape[1]), dtype=np.float32)
-        dense[row[wide], self.column[terms[wide]]] = weights[wide]
+        column, often = self.column.take(terms), self.row.take(terms)
+        dense, bounds = (
+            np.zeros((rows, len(part)), dtype=np.float32) for part in (self.dense.T, self.peaks))
+        for part, own in (dense, column), (bounds, often):
+            some = np.flatnonzero(own >= 0)
+            part[row[some], own[some]] = weights[some]
         dense = (dense @ self.dense.T).reshape(rows, blocks, BLOCK)
-        ends = np.cumsum(np.bincount(row[~wide], minlength=rows))[:-1]
-        places, scores = [], []
-        for i, (score, t, w) in enumerate(zip(
-                dense, np.split(terms[~wide], ends), np.split(weights[~wide], ends))):
-            at, single = self._nearest(score, t, w, None if without is None else self.place[without[i]])
-            places.append(at)
-            scores.append(single)
-        out, full = [], np.zeros(len(self.of.idf))
-        shared = np.zeros(len(self.of.idf), dtype=bool)
+        bounds = bounds @ self.peaks
+        rare, often = ((column < 0) & (often < 0)).nonzero()[0], (often >= 0).nonzero()[0]
+        rare, often = (
+            [(terms[x], weights[x]) for x in np.split(
+                some, np.cumsum(np.bincount(row[some], minlength=rows))[:-1])]
+            for some in (rare, often))
+        nearest = [
+            self._nearest(*of, None if without is None else self.place[without[i]])
+            for i, of in enumerate(zip(dense, bounds, rare, often))]
+        out, full, maybe = [], np.zeros(len(self.of.idf)), np.zeros(1 << 16, dtype=bool)
         for i, (t, w) in enumerate(queries):
-            at, single = places[i], scores[i]
+            at, single = nearest[i]
             if len(at) > k:
                 at = at[single >= np.partition(single, -k)[-k] - SLACK]
             found = self.example[at]
             full[t] = w * self.of.idf[t]
-            shared[t] = True
-            starts, sizes = self.starts[found], self.of.sizes[found]
+            maybe[t & 0xFFFF] = True
+            starts, sizes = self.starts.take(found), self.of.sizes.take(found)
             ends = np.cumsum(sizes)
-            entry = np.flatnonzero(shared.take(np.concatenate([
-                np.zeros(0, dtype=np.int32),
-                *(self.of.terms[a : a + n] for a, n in zip(starts.tolist(), sizes.tolist()))])))
+            # Shared words by the low bits first; what only looks shared adds nothing.
+            entry = maybe.take(np.concatenate([
+                self.low[:0], *[self.low[a:b] for a, b in zip(starts.tolist(), (starts + sizes).tolist())],
+            ])).nonzero()[0]
             owner = np.searchsorted(ends, entry, side="right")
-            entry += (starts - ends + sizes)[owner]
+            entry += (starts - ends + sizes).take(owner)
             some = self.of.terms.take(entry)
-            product = full[some] * self.logs[self.of.counts[entry]]
+            product = full.take(some) * self.logs.take(self.of.counts.take(entry))
             told = self.of.told[
                 0 if without is None else 1 if self.of.share[without[i]] > 0 else 2]
             exact, telling = (
-                np.bincount(owner, x, len(found)) / self.norms[found]
-                for x in (product, product * told[some]))
-            shared[t] = False
+                np.bincount(owner, x, len(found)) / self.norms.take(found)
+                for x in (product, product * told.take(some)))
+            full[t] = 0
+            maybe[t & 0xFFFF] = False
             order = np.lexsort((found, -np.round(exact, 12)))[:k]
             out.append((found[order], np.minimum(exact[order], 1.0), telling[order]))
         return out
 
     def _nearest(
-        self, score: np.ndarray, terms: np.ndarray, weights: np.ndarray, without: int | None
+        self, score: np.ndarray, bound: np.ndarray, rare: tuple[np.ndarray, np.ndarray],
+        often: tuple[np.ndarray, np.ndarray], without: int | None,
     ) -> tuple[np.ndarray, np.ndarray]:
         """Places of what may be nearest, and their scores. ``score`` has the columns' part by
-        block; it gets the part of the words without a column where blocks are visited.
+        block, ``bound`` the most that frequent words can add; ``rare`` and ``often`` are the
+        (terms, weights) of the words without a column.
         """
-        blocks, k, limit = self.blocks, self.of.neighbours, 0.0
-        start = self.first[terms]
-        sizes = self.first[terms + 1] - start
-        record = _ranges(start, sizes)
-        weight = np.repeat(weights, sizes)
-        block = self.block.take(record)
-        bound = score.max(axis=1) + np.bincount(block, weight * self.largest.take(record), blocks)
-        self.offered += blocks
-        # First the blocks of the largest bounds, for a k-th score; then all that can beat it.
-        take = min(blocks, max(blocks // 16, -(-2 * k // BLOCK)))
-        now = bound > 0
-        if take < blocks:
-            now &= bound >= np.partition(bound, blocks - take)[blocks - take]
-        left, places, scores = ~now, [], []
-        for last in (False, True):
-            visited = np.flatnonzero(now)
-            self.visited += len(visited)
-            hit = now.take(block)
-            entry = record[hit]
-            many = self.many.take(entry)
-            value = np.repeat(weight[hit], many)
-            entry = _ranges(self.postings.take(entry), many)
-            value *= self.values.take(entry)
-            own = np.bincount(self.places.take(entry), value, blocks * BLOCK).reshape(blocks, BLOCK)
-            own = (own if len(visited) == blocks else own[visited]) + score[visited]
-            some = np.flatnonzero(own > max(limit - SLACK, 0))
-            where = visited[some // BLOCK] * BLOCK + some % BLOCK
-            if without is not None:
-                some, where = some[where != without], where[where != without]
-            places.append(where)
-            scores.append(own.ravel()[some])
-            if last:
-                break
-            if len(scores[0]) >= k:
-                limit = np.partition(scores[0], -k)[-k]
-            now = left & (bound > max(limit - SLACK, 0))
-            if not now.any():
-                break
-        return np.concatenate(places), np.concatenate(scores)
+        self.offered += self.blocks
+        flat = score.reshape(-1)
+        terms, weights = rare
+        flat += self._sums(terms, weights)
+        if without is not None:
+            flat[without] = -1
+        # What has been summed is no more than the score, so it gives a limit.
+        top = score.max(axis=1)
+        visited = np.flatnonzero(top + bound > self._limit(flat, top))
+        self.visited += len(visited)
+        terms, weights = often
+        if WHOLE * self.held.take(visited).sum() < self.held.sum():
+            rows = self.row.take(terms)[:, None]
+            start = self.cuts[rows, visited].ravel()
+            sizes = self.cuts[rows, visited + 1].ravel() - start
+            entry = _ranges(start, sizes)
+            value = np.repeat(np.repeat(weights, len(visited)), sizes) * self.value.take(entry)
+            flat += np.bincount(self.near.take(entry), value, flat.size)
+        else:
+            flat += self._sums(terms, weights)
+        if without is not None:
+            flat[without] = -1
+        top = score.max(axis=1)
+        limit = self._limit(flat, top)
+        hit = np.flatnonzero(top > limit)
+        score = score[hit].ravel()
+        some = np.flatnonzero(score > limit)
+        return hit[some // BLOCK] * BLOCK + some % BLOCK, score[some]
+
+    def _sums(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the whole lists of words add to the scores, by place."""
+        ends = self.first.take(terms + 1).tolist()
+        places = np.concatenate([
+            self.places[:0], *(self.places[a:b] for a, b in zip(self.first.take(terms).tolist(), ends))])
+        run = self.run.take(terms)
+        many = self.run.take(terms + 1) - run
+        run = _ranges(run, many)
+        # All postings of a run add the same, but for the example's norm.
+        value = np.repeat(weights * self.of.idf.take(terms), many) * self.logs.take(self.run_count.take(run))
+        return np.bincount(places, np.repeat(value, self.run_size.take(run)), len(self.scale)) * self.scale
+
+    def _limit(self, scores: np.ndarray, top: np.ndarray) -> float:
+        """What the k nearest exceed, from the blocks' largest scores if they are enough."""
+        k = self.of.neighbours
+        if len(top) < 2 * k:
+            top = scores
+        return max(np.partition(top, -k)[-k] - SLACK, 0) if len(top) > k else 0
 
 
 def vote(share: np.ndarray, cosines: np.ndarray, telling: np.ndarray) -> float:
@@ -449,23 +488,26 @@ def _terms(gaps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return whole.astype(np.int32)
 
 
-def _seen(counted: DataFrame) -> DataFrame:
+def _seen(counted: DataFrame, words: int) -> DataFrame:
     """(t, n): how many texts use each of the examples' words, those of any text."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(words, dtype=np.int64)
         for batch in parts:
             gaps = batch.column("gaps")
-            term, n = np.unique(
-                _terms(pc.list_flatten(gaps).to_numpy(), pc.list_value_length(gaps).to_numpy()),
-                return_counts=True)
-            yield pa.record_batch([pa.array(term, pa.int32()), pa.array(n, pa.int64())], names=["t", "n"])
+            seen += np.bincount(
+                _terms(pc.list_flatten(gaps).to_numpy(), pc.list_value_length(gaps).to_numpy()), minlength=words)
+        term = np.flatnonzero(seen)
+        yield pa.record_batch([pa.array(term, pa.int32()), pa.array(seen[term], pa.int64())], names=["t", "n"])
         trim()
 
     return counted.select("gaps").mapInArrow(batches, "t int, n long").groupBy("t").agg(F.sum("n").alias("n"))
 
 
-def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Batches of few rows and words, with the rows' (terms, counts)."""
+def _vectors(
+    batches: Iterator[pa.RecordBatch], number: np.ndarray
+) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Batches of few rows and words, with the rows' (terms, counts), words as ``number`` has them."""
     for whole in batches:
         sizes = pc.list_value_length(whole.column("gaps")).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes)
@@ -476,7 +518,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch
             high = min(max(high, low + 1), low + BATCH, whole.num_rows)
             batch = whole.slice(low, high - low)
             gaps, counts = (pc.list_flatten(batch.column(c)).to_numpy() for c in ("gaps", "counts"))
-            flat = _terms(gaps, sizes[low:high]), counts
+            flat = number.take(_terms(gaps, sizes[low:high])), counts
             cuts = ends[low : high - 1] - before
             yield batch, list(zip(*(np.split(f, cuts) for f in flat)))
             low = high
@@ -531,7 +573,7 @@ def score(
     total = counted.count()
     frequency = np.zeros(len(words))
     with shuffles_freed(spark):
-        seen = _seen(counted).toArrow()
+        seen = _seen(counted, len(words)).toArrow()
     frequency[seen["t"].to_numpy()] = seen["n"].to_numpy()
     order = np.lexsort((labelled["text_hash"].to_numpy(), labelled["id"].to_numpy()))
     sizes = pc.list_value_length(labelled["gaps"]).to_numpy().astype(np.int64)
@@ -546,9 +588,13 @@ def score(
     wordy = order[sizes[order] > 0]
     blank = share[sizes == 0]
     entry = _ranges((np.cumsum(sizes) - sizes)[wordy], sizes[wordy], np.int32)
+    falling = np.argsort(-(toxic + other), kind="stable")
+    rank = np.empty(len(falling), dtype=np.int32)
+    rank[falling] = np.arange(len(falling))
     shared = spark.sparkContext.broadcast(Examples(
-        words[:0], np.log((1 + total) / (1 + frequency)) + 1, np.array(told, dtype=np.float32),
-        sizes[wordy], flat[0][entry], flat[1][entry], share[wordy], ids[wordy], neighbours))
+        words[:0], np.log((1 + total) / (1 + frequency[falling])) + 1,
+        np.array([t[falling] for t in told], dtype=np.float32),
+        sizes[wordy], rank[flat[0][entry]], flat[1][entry], share[wordy], ids[wordy], neighbours, rank))
     del flat, entry, told
 
     def left_out(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -585,7 +631,7 @@ def score(
 
     def searched(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value.open()
-        for batch, vectors in _vectors(parts):
+        for batch, vectors in _vectors(parts, index.of.number):
             found = index.search([index.vector(t, n) for t, n in vectors])
             squares = [(((1 + np.log(n)) * index.of.idf[t]) ** 2).sum() for t, n in vectors]
             ends = np.concatenate([[0], np.cumsum([len(f[0]) for f in found])])

@@ -61,6 +61,30 @@ def test_search_equals_all_cosines(topics, neighbours):
         assert index.visited < index.offered / 4
 
 
+@pytest.mark.parametrize("whole", [0, 10**9])
+def test_parts_of_lists_and_whole_lists(whole, monkeypatch):
+    """Words with a column, frequent and rare ones; frequent lists are read by block or whole."""
+    monkeypatch.setattr(toxicity, "WHOLE", whole)
+    pick = np.random.default_rng(4)
+    vectors = []
+    for _ in range(1500):
+        some = np.unique((pick.random(40) ** 3 * 3000).astype(int))
+        vectors.append((some, pick.integers(1, 5, len(some))))
+    index = toxicity.Index(examples(vectors, 3000, 20))
+    used = {t for v in vectors for t in v[0].tolist()}
+    assert 0 < index.dense.shape[1] < index.dense.shape[1] + len(index.peaks) < len(used)
+    dense = np.zeros((len(vectors), 3000))
+    for i in range(len(vectors)):
+        t, w = index.own(i)
+        dense[i, t] = w
+    own = list(range(0, 1500, 25))
+    for i, (at, cosines, _) in zip(own, index.search([index.own(i) for i in own], own)):
+        exact = np.round(dense @ dense[i], 12)
+        exact[i] = 0
+        order = np.lexsort((np.arange(len(exact)), -exact))[:20]
+        assert at.tolist() == order.tolist() and np.allclose(cosines, exact[order])
+
+
 def test_memory_of_searching():
     """Many queries at once take little memory beside the index."""
     pick = np.random.default_rng(3)
