@@ -53,6 +53,8 @@ FREQUENT = 0.7
 HELD_WORDS = 400_000
 #: Words in more than this share of the documents are sent to all tasks.
 OFTEN = 1 / 1024
+#: Pairs of a window and an item that are counted together.
+PAIRS = 1024
 SPARE = 32
 ROUNDS = 1
 TERM_ROWS = 256
@@ -64,7 +66,7 @@ _SENTENCE = re.compile(r"[.!?]+(?:\s+|$)")
 #: ASCII letters lower-cased, digits as they are, the rest of ASCII as blanks.
 _FOLD = "".join(chr(c).lower() if chr(c).isalnum() else " " for c in range(128))
 _FOLD_BYTES = _FOLD.encode() + bytes(range(128, 256))
-_ODD = re.compile(r"[^\x00-\x7f\w]")
+_ASCII = bytes(range(128))
 
 
 def words_of(text: str) -> list[str]:
@@ -72,9 +74,11 @@ def words_of(text: str) -> list[str]:
     if text.isascii():
         return text.translate(_FOLD).split()
     text = text.lower()
-    if _ODD.search(text):
+    whole = text.encode("utf-8", "surrogatepass")
+    # For other characters, letters and digits are what the pattern takes.
+    if not whole.translate(None, _ASCII).decode("utf-8", "surrogatepass").isalnum():
         return _WORD.findall(text)
-    return text.encode().translate(_FOLD_BYTES).decode().split()
+    return whole.translate(_FOLD_BYTES).decode().split()
 
 
 @dataclass
@@ -155,6 +159,15 @@ def _widths(width: int, shortest: int) -> list[int]:
     return widths
 
 
+def _steps(starts: np.ndarray, sizes: np.ndarray, step: int | np.ndarray = 1) -> np.ndarray:
+    """From each start on as many numbers as its size, ``step`` apart, one after another."""
+    ends = np.cumsum(sizes)
+    nth = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
+    if np.ndim(step):
+        step = np.repeat(step, sizes)
+    return np.repeat(starts, sizes) + step * nth
+
+
 class Places:
     """Where a text may cover an item: a lossless filter by the items' rare words.
 
@@ -172,12 +185,12 @@ class Places:
         self.needed = np.ceil(PARTLY * self.reach - 1e-3).astype(np.int64)
         # Each word's place among the item's different words; all others share the last.
         self.local = np.empty((len(items), self.terms + 1), dtype=np.int32)
-        self.counts = []
-        for i, item in enumerate(items):
-            own, counts = np.unique(item.words, return_counts=True)
+        words = [np.unique(item.words, return_counts=True) for item in items]
+        self.counts = np.zeros((len(items), max(len(own) for own, _ in words) + 1), dtype=np.int64)
+        for i, (own, counts) in enumerate(words):
             self.local[i] = len(own)
             self.local[i, own] = np.arange(len(own))
-            self.counts.append(counts)
+            self.counts[i, : len(own)] = counts
         frequent = np.floor(FREQUENT * self.needed).astype(np.int64)
         self.rare_needed = self.needed - frequent
         self.fewest = self.rare_needed.min()
@@ -187,7 +200,9 @@ class Places:
         word, owner = np.array(pairs, dtype=np.int64).T
         order = np.argsort(word, kind="stable")
         self.owners = owner[order]
-        self.first = np.searchsorted(word[order], np.arange(self.terms + 1))
+        # Words of no item, -1, are the last entry.
+        self.many = np.bincount(word, minlength=self.terms + 1)
+        self.first = np.cumsum(self.many) - self.many
 
     def windows(self, numbers: np.ndarray, widths: list[tuple[int, int]]) -> list[tuple[int, int]]:
         """(start, width) of all windows of a text around which an item may be covered.
@@ -195,14 +210,13 @@ class Places:
         ``numbers`` are the text's words, -1 for words of no item; ``widths`` are
         (width, stride).
         """
-        at = np.flatnonzero(numbers >= 0)
-        low = self.first[numbers[at]]
-        many = self.first[numbers[at] + 1] - low
-        if many.sum() < self.fewest:
+        many = self.many[numbers]
+        total = int(many.sum())
+        if total < self.fewest:
             return []
-        place = np.repeat(at, many)
-        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        owner = self.owners[np.repeat(low, many) + nth]
+        place = np.repeat(np.arange(len(numbers)), many)
+        start = self.first[numbers] - (np.cumsum(many) - many)
+        owner = self.owners[start[place] + np.arange(total)]
         order = np.argsort(owner, kind="stable")
         owner, place = owner[order], place[order]
         # Runs of as many rare words of one item as are needed, by first and last place.
@@ -211,28 +225,43 @@ class Places:
         here, end = here[end < len(owner)], end[end < len(owner)]
         same = owner[end] == owner[here]
         owner, first, last = owner[here[same]], place[here[same]], place[end[same]]
-        found = []
-        for width, stride in widths:
-            least = last - width - self.reach[owner] + 1
-            most = first + self.reach[owner]
-            after = max(len(numbers) - width + stride, 1)
-            kept: set[int] = set()
-            for i in np.unique(owner[least <= most]).tolist():
-                near = (owner == i) & (least <= most)
-                starts: set[int] = set()
-                for a, z in zip(least[near].tolist(), most[near].tolist()):
-                    a = -(-max(a, 0) // stride) * stride
-                    starts.update(range(a, min(z + 1, after), stride))
-                kept.update(s for s in starts - kept if self._coverable(numbers, s, width, i))
-            found += [(s, width) for s in sorted(kept)]
-        return found
-
-    def _coverable(self, numbers: np.ndarray, start: int, width: int, i: int) -> bool:
-        reach = int(self.reach[i])
-        region = numbers[max(start - reach, 0) : start + width + reach]
-        counts = self.counts[i]
-        held = np.bincount(self.local[i, region], minlength=len(counts) + 1)
-        return int(np.minimum(held[:-1], counts).sum()) >= self.needed[i]
+        # For each width, the starts near a run; then each (width, item, start) once.
+        sizes, strides = np.array(widths).T
+        reach = self.reach[owner]
+        least = np.maximum(last - reach + 1 - sizes[:, None], 0)
+        low = least + -least % strides[:, None]
+        after = np.maximum(len(numbers) - sizes + strides, 1)
+        most = np.minimum(first + reach, after[:, None] - 1)
+        near, run = np.nonzero((low <= most) & (last - first < sizes[:, None] + 2 * reach))
+        if not len(run):
+            return []
+        low, step = low[near, run], strides[near]
+        many = (most[near, run] - low) // step + 1
+        span, items = after.max(), len(self.reach)
+        keys = np.repeat((near * items + owner[run]) * span, many) + _steps(low, many, step)
+        keys.sort()
+        keys = keys[np.flatnonzero(np.concatenate([[1], keys[1:] - keys[:-1]]))]
+        kept = set()
+        for a in range(0, len(keys), PAIRS):
+            key, start = np.divmod(keys[a : a + PAIRS], span)
+            near, own = np.divmod(key, items)
+            ok = self._coverable(numbers, start, sizes[near], own)
+            kept.update(zip(near[ok].tolist(), start[ok].tolist()))
+        return [(start, widths[i][0]) for i, start in sorted(kept)]
+
+    def _coverable(
+        self, numbers: np.ndarray, starts: np.ndarray, width: np.ndarray, owners: np.ndarray
+    ) -> np.ndarray:
+        """Whether the regions around windows at ``starts`` can cover the items ``owners``."""
+        reach, most = self.reach[owners], self.counts.shape[1]
+        low = np.maximum(starts - reach, 0)
+        sizes = np.minimum(starts + width + reach, len(numbers)) - low
+        row = np.repeat(np.arange(len(starts)), sizes)
+        word = numbers.take(_steps(low, sizes))
+        word[word < 0] = self.terms
+        slot = self.local.take((owners * (self.terms + 1))[row] + word)
+        held = np.bincount(row * most + slot, minlength=len(starts) * most).reshape(-1, most)
+        return np.minimum(held, self.counts[owners]).sum(axis=1) >= self.needed[owners]
 
 
 def _passages(
@@ -367,7 +396,6 @@ def _matches(
             for row in batch.to_pylist():
                 words, at, size = np.frombuffer(row["words"], "<i4"), row["at"], row["size"]
                 own, w = _vector(words[at : at + size], idf, row["squares"])
-                whole = float(((np.unique(words[at : at + size][words[at : at + size] >= 0], return_counts=True)[1] * idf[own]) ** 2).sum()) + row["squares"]
                 cosines = vectors @ (w.astype(np.float32) @ latent[own])
                 for i in np.flatnonzero(cosines >= min_cosine - 1e-6).tolist():
                     item = items[i]
@@ -378,6 +406,9 @@ def _matches(
                         continue
                     answer = _common(item.answer, region) / max(len(item.answer), 1)
                     if covered >= COVERED or answer >= ANSWERED:
+                        passage = words[at : at + size]
+                        n = np.unique(passage[passage >= 0], return_counts=True)[1]
+                        whole = float(((n * idf[own]) ** 2).sum()) + row["squares"]
                         out.append((row["doc_id"], row["text_hash"], item.item_id,
                                     float(cosines[i]), covered, answer, whole, row["others"]))
             if out:

@@ -109,6 +109,23 @@ def test_places_lose_no_covered_window():
                 assert best < dc.PARTLY or (s, width) in kept
 
 
+def test_places_count_many_pairs_together(monkeypatch):
+    """Windows and items are counted at once, in as many parts as it takes."""
+    pick = random.Random(6)
+    items = [dc.Item(i, [pick.randrange(40) for _ in range(pick.randrange(3, 14))], []) for i in range(6)]
+    places = dc.Places(items, np.array([1 + pick.random() for _ in range(40)]))
+    numbers = np.array([pick.randrange(-1, 40) for _ in range(300)], np.int32)
+    found = places.windows(numbers, [(8, 4), (4, 2)])
+    assert found == sorted(set(found), key=lambda f: (-f[1], f[0])) and {w for _, w in found} == {8, 4}
+    for start, width in found:
+        regions = [
+            (Counter(i.words), Counter(
+                numbers[max(start - len(i.words), 0) : start + width + len(i.words)].tolist())) for i in items]
+        assert any((own & near).total() >= dc.PARTLY * own.total() - 1e-3 for own, near in regions)
+    monkeypatch.setattr(dc, "PAIRS", 2)
+    assert places.windows(numbers, [(8, 4), (4, 2)]) == found
+
+
 def test_repeated_items_and_small_blocks(spark):
     texts, items = corpus(3, n=20, n_items=7)
     docs = documents(spark, texts)
