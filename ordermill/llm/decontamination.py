@@ -1,23 +1,25 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Documents are read as passages of ``width`` words, and of half as many and so on
-down to the length of the shortest item. TF-IDF weights come from the documents'
-own word frequencies, for all words. Only passages around which an item can be
-covered are looked at: its rare words are looked up in the text, and where enough
-of them lie close together the words around the passage are counted (``Places``).
-A passage's share of squared weight in the items' words bounds its squared cosine
-with any item; passages below the square of ``min_cosine`` are left out too. Both
-bounds lose no match. Words in few documents are too many to send everywhere:
-they weigh as little as they can at first, so that cosines are bounds from above,
-and the matches' cosines are made exact by a join with these words' frequencies.
-
-Over the passages left and the items, a randomised singular value
-decomposition gives a latent space: a random start, multiplied by the passages'
-Gram matrix in Spark and made orthonormal, a few times. Items whose cosine with
-a passage there, with the passage's whole norm, reaches ``min_cosine`` are
-candidates. Each is checked in the text around the passage: the longest common
-subsequence of words must cover the item, or most of it and its answer, the
-item's last sentence.
+down to the length of the shortest item; for items so long that no passage in them
+could reach the cosine, also of twice as many and so on. TF-IDF weights come from the documents'
+own word frequencies, for all words. All passages of all documents are weighed;
+none is left out. Words in few documents are too many to send everywhere: they
+weigh as little as they can at first, so that cosines are bounds from above, and
+the matches' cosines are made exact by a join with these words' frequencies.
+
+Over all passages and the items, a randomised singular value decomposition gives
+a latent space: a random start, multiplied by the passages' Gram matrix in Spark
+and made orthonormal, a few times. All passages are compared with all items
+there: items whose cosine, with the passage's whole norm, reaches ``min_cosine``
+but for the decomposition's error are candidates. Each is checked in the text
+around the passage: the longest common subsequence of words must cover the item,
+or most of it and its answer, the item's last sentence; and the cosine of the
+plain vectors must reach ``min_cosine``.
+
+Passages overlap, so nothing is done passage by passage: a text is stored once, in
+stretches, with its passages' norms, and sums over passages are sums over blocks of
+words that they share.
 
 Different item texts are handled in blocks of at most ``block_items`` and
 ``BLOCK_WORDS`` words, each with a latent space of as many dimensions as items and
@@ -27,18 +29,19 @@ rank. A block's words and vectors are bounded and are broadcast.
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ordermill.llm.common import MIN_LONG, id_and_text, keyed, slices
+from ordermill.llm.common import MIN_LONG, id_and_text, keyed, slices, trim
 from ordermill.sources.shared import settle
 
 WIDTH = 24
@@ -49,8 +52,20 @@ BLOCK_ITEMS = 256
 BLOCK_WORDS = 1 << 16
 #: Share of the words needed that an item's most frequent words may give.
 FREQUENT = 0.7
-#: Different words that a task counts before it passes them on.
+#: Different words that a task counts before it passes them on, or keeps numbers of.
 HELD_WORDS = 400_000
+#: Words in which a stretch's passages start.
+STRETCH = 2048
+#: Words that are packed together, at least.
+PACKED = 1 << 16
+#: Side of the square of words in which a task sums up products of passages.
+SIDE = 4096
+#: Passages whose products are summed in single precision before they are added up.
+SUMMED = 1 << 20
+#: Passages for each task of these sums, which passes on as much however few it takes.
+TAKEN = 1 << 22
+#: What the latent space may take from a cosine.
+SLACK = 0.01
 #: Words in more than this share of the documents are sent to all tasks.
 OFTEN = 1 / 1024
 #: Pairs of a window and an item that are counted together.
@@ -109,8 +124,8 @@ def _common(words: list[int], region: np.ndarray) -> int:
         masks[w] = masks.get(w, 0) | 1 << i
     full = (1 << len(words)) - 1
     row = full
-    for w in region.tolist():
-        hit = row & masks.get(w, 0)
+    for mask in filter(None, map(masks.get, region.tolist())):
+        hit = row & mask
         row = ((row + hit) | (row - hit)) & full
     return len(words) - row.bit_count()
 
@@ -151,9 +166,11 @@ def _seen(frequencies: DataFrame, number: dict[str, int]) -> np.ndarray:
     return seen
 
 
-def _widths(width: int, shortest: int) -> list[int]:
-    """``width``, halved until a window fits into the shortest item."""
+def _widths(width: int, shortest: int, least: float = 0) -> list[int]:
+    """``width``, halved until a window fits into the shortest item, and doubled up to ``least``."""
     widths = [width]
+    while widths[0] < least:
+        widths.insert(0, widths[0] * 2)
     while widths[-1] > max(shortest, 1):
         widths.append(widths[-1] // 2)
     return widths
@@ -169,7 +186,9 @@ def _steps(starts: np.ndarray, sizes: np.ndarray, step: int | np.ndarray = 1) ->
 
 
 class Places:
-    """Where a text may cover an item: a lossless filter by the items' rare words.
+    """Where a text may cover an item, by the items' words: lossless, without cosines.
+
+    The search asks it only whether candidates can be covered (``coverable``).
 
     To cover ``needed`` words of an item, the region around a window (the window
     and as many words as the item has on both sides) must hold so many of them,
@@ -245,17 +264,21 @@ class Places:
         for a in range(0, len(keys), PAIRS):
             key, start = np.divmod(keys[a : a + PAIRS], span)
             near, own = np.divmod(key, items)
-            ok = self._coverable(numbers, start, sizes[near], own)
+            ok = self.coverable(numbers, start, sizes[near], own)
             kept.update(zip(near[ok].tolist(), start[ok].tolist()))
         return [(start, widths[i][0]) for i, start in sorted(kept)]
 
-    def _coverable(
-        self, numbers: np.ndarray, starts: np.ndarray, width: np.ndarray, owners: np.ndarray
+    def coverable(
+        self, numbers: np.ndarray, starts: np.ndarray, width: np.ndarray, owners: np.ndarray,
+        first: int | np.ndarray = 0, end: int | np.ndarray | None = None,
     ) -> np.ndarray:
-        """Whether the regions around windows at ``starts`` can cover the items ``owners``."""
+        """Whether the regions around windows at ``starts`` can cover the items ``owners``.
+
+        A window's text goes from ``first`` to ``end`` in ``numbers``.
+        """
         reach, most = self.reach[owners], self.counts.shape[1]
-        low = np.maximum(starts - reach, 0)
-        sizes = np.minimum(starts + width + reach, len(numbers)) - low
+        low = np.maximum(starts - reach, first)
+        sizes = np.minimum(starts + width + reach, len(numbers) if end is None else end) - low
         row = np.repeat(np.arange(len(starts)), sizes)
         word = numbers.take(_steps(low, sizes))
         word[word < 0] = self.terms
@@ -264,65 +287,261 @@ class Places:
         return np.minimum(held, self.counts[owners]).sum(axis=1) >= self.needed[owners]
 
 
+class _Numbers:
+    """Numbers of words: a block's own, then others as they are met, with their digests."""
+
+    def __init__(self, number: dict[str, int], idf: np.ndarray) -> None:
+        self.numbers = defaultdict(count(len(number)).__next__, number)
+        #: By number, the last entry for no word: squared weights, whether a word is in few
+        #: documents, and digests of other words.
+        self.squares = np.append(idf**2, 0.0)
+        self.rare = np.zeros(len(idf) + 1, dtype=bool)
+        self.digests = np.zeros(len(idf) + 1, dtype=np.int64)
+
+    def of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words))
+
+    def weigh(self, often: dict[int, float], least: float) -> None:
+        """Give weights to the words met since the last call."""
+        met = len(self.numbers) - (len(self.squares) - 1)
+        digests = [*map(_digest, islice(reversed(self.numbers), met))][::-1]
+        weights = np.array([often.get(d, 0.0) for d in digests] + [0.0])
+        rare = weights == 0
+        squares = np.where(rare, least, weights) ** 2
+        rare[-1], squares[-1] = False, 0
+        self.squares = np.concatenate([self.squares[:-1], squares])
+        self.rare = np.concatenate([self.rare[:-1], rare])
+        self.digests = np.concatenate([self.digests[:-1], np.array(digests + [0], dtype=np.int64)])
+
+
+def _counts(left: np.ndarray, starts: np.ndarray, first: np.ndarray, widths: list[tuple[int, int]]) -> np.ndarray:
+    """How many windows of each width begin in the first ``starts`` of ``left`` words.
+
+    The last window of a text is the first that reaches its end; where a stretch is its
+    text's ``first`` one, there is one window of each width at least.
+    """
+    sizes, strides = np.array(widths).T
+    after = np.maximum(left[:, None] - sizes + strides, first[:, None])
+    return np.maximum(-(-np.minimum(after, starts[:, None]) // strides), 0)
+
+
+def _squares(numbers: np.ndarray, starts: np.ndarray, width: int, squares: np.ndarray) -> np.ndarray:
+    """Squared norms of the TF-IDF vectors of windows, by the words' squared weights."""
+    own = numbers[starts[:, None] + np.arange(width)]
+    own.sort(axis=1)
+    own = np.ascontiguousarray(own.T)
+    # A word's nth occurrence adds n * n - (n - 1) * (n - 1) = 2 * n - 1 times its square.
+    times = np.ones(len(starts))
+    total = squares[own[0]]
+    for before, word in zip(own, own[1:]):
+        times = np.where(word == before, times + 2, 1.0)
+        total += squares[word] * times
+    return total
+
+
 def _passages(
-    texts: DataFrame, number: dict[str, int], items: list[Item], idf: np.ndarray, often, least: float,
-    widths: list[tuple[int, int]], min_share: float,
+    texts: DataFrame, number: dict[str, int], idf: np.ndarray, often, least: float,
+    widths: list[tuple[int, int]], reach: int,
 ) -> DataFrame:
-    """(doc_id, text_hash, at, size, words, squares, others): passages that may match.
-
-    ``words`` are the word numbers, -1 for others, of the passage and of the
-    longest item's number of words before and after it; ``at`` is where the
-    passage starts in them and ``size`` its length. ``squares`` is the squared
-    weight of its other words, those of few documents (``others``, digests)
-    counting as ``least``.
+    """(doc_id, text_hash, at, counts, words, squares, others): all passages, by stretches.
+
+    A row has the passages that start in ``STRETCH`` words of a text: ``counts`` of
+    each width, from place ``at`` in ``words`` on, a stride apart. ``words`` are the
+    word numbers, -1 for others, -2 and less for the entries of ``others``, the
+    digests of words in few documents; they go on ``reach`` words before and after
+    the passages. ``squares`` are the passages' squared norms, by widths, ``others``
+    weighing ``least``.
     """
-    reach = max(len(i.words) for i in items)
-    shared = texts.sparkSession.sparkContext.broadcast((number, idf, Places(items, idf)))
+    shared = texts.sparkSession.sparkContext.broadcast((number, idf))
+    sizes, strides = np.array(widths).T
+    step = math.lcm(*strides.tolist())
+    stretch = -(-STRETCH // step) * step
+    margin = int(max(sizes.max(), strides.max()))
+
+    def rows(held: list[tuple], known: _Numbers, terms: int) -> pa.RecordBatch:
+        """The stretches of (doc_id, text_hash, numbers)."""
+        known.weigh(often.value, least)
+        lengths = np.array([len(h[2]) for h in held])
+        many = -(-lengths // stretch)
+        text = np.repeat(np.arange(len(held)), many)
+        start = _steps(np.zeros(len(held), dtype=np.int64), many, stretch)
+        counts = _counts(lengths[text] - start, np.full(len(text), stretch), (start == 0).astype(int), widths)
+        # Texts one after another, with room for the windows that go beyond their ends.
+        base = np.cumsum(lengths + margin) - (lengths + margin)
+        numbers = np.full(int((lengths + margin).sum()), -1, dtype=np.int32)
+        for at, (_, _, own) in zip(base.tolist(), held):
+            numbers[at : at + len(own)] = own
+        first = base[text] + start
+        squares = [
+            _squares(numbers, _steps(first, n, int(stride)), int(size), known.squares)
+            for n, size, stride in zip(counts.T, sizes, strides)]
+        ends = np.cumsum(counts, axis=0)
+        rare = known.rare[numbers]
+        nth = np.cumsum(rare)
+        digests = known.digests[numbers[rare]]
+        coded = np.where(numbers < terms, numbers, -1)
+        coded[rare] = -1 - nth[rare]
+        out = []
+        for r, (t, s) in enumerate(zip(text.tolist(), start.tolist())):
+            b = int(base[t])
+            low, high = b + max(s - reach, 0), b + min(s + stretch + margin + reach, len(held[t][2]))
+            words = coded[low:high].astype("<i4")
+            skip = int(nth[low] - rare[low])
+            words[words < -1] += skip
+            own = [q[e - c : e] for q, e, c in zip(squares, ends[r].tolist(), counts[r].tolist())]
+            out.append((
+                held[t][0], held[t][1], b + s - low, counts[r].tolist(), words.tobytes(),
+                np.concatenate(own).astype("<f8").tobytes(), digests[skip : nth[high - 1]].astype("<i8").tobytes()))
+        return pa.record_batch(
+            [pa.array(v, t) for v, t in zip(zip(*out), (
+                pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary()))],
+            names=["doc_id", "text_hash", "at", "counts", "words", "squares", "others"])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, idf, places = shared.value
-        common = often.value
+        number, idf = shared.value
+        known = _Numbers(number, idf)
         for batch in slices(parts, "text", 8 << 20):
             ids, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
-            out = []
+            held, words = [], 0
             for row, text in enumerate(batch.column("text").to_pylist()):
-                words = words_of(text)
-                numbers = np.fromiter(map(number.get, words, repeat(-1)), np.int32, len(words))
-                for s, width in places.windows(numbers, widths):
-                    e = min(s + width, len(words))
-                    low = max(s - reach, 0)
-                    other = Counter(_digest(w) for w, n in zip(words[s:e], numbers[s:e].tolist()) if n < 0)
-                    squares = sum((c * common.get(d, least)) ** 2 for d, c in other.items())
-                    seen, n = np.unique(numbers[s:e][numbers[s:e] >= 0], return_counts=True)
-                    inside = ((n * idf[seen]) ** 2).sum()
-                    if inside < min_share * (inside + squares) or not inside:
-                        continue
-                    rare = [d for d in other.elements() if d not in common]
-                    out.append((
-                        ids[row], hashes[row], s - low, e - s,
-                        numbers[low : s + width + reach].astype("<i4").tobytes(), float(squares), rare))
-            if out:
-                yield pa.record_batch(
-                    [pa.array(v, t) for v, t in zip(zip(*out), (
-                        pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.float64(),
-                        pa.list_(pa.int64())))],
-                    names=["doc_id", "text_hash", "at", "size", "words", "squares", "others"])
+                own = words_of(text)
+                if own:
+                    held.append((ids[row], hashes[row], known.of(own)))
+                    words += len(own)
+                if words > PACKED:
+                    yield rows(held, known, len(number))
+                    held, words = [], 0
+                    if len(known.numbers) > HELD_WORDS + len(number):
+                        known = _Numbers(number, idf)
+            if held:
+                yield rows(held, known, len(number))
+        trim()
 
     return texts.mapInArrow(
-        batches, "doc_id long, text_hash long, at int, size int, words binary, squares double, "
-        "others array<long>")
+        batches, "doc_id long, text_hash long, at int, counts array<int>, words binary, squares binary, "
+        "others binary")
+
 
+@dataclass
+class _Packed:
+    """Stretches whose words are laid out in blocks of ``grain`` words, each at a block's start."""
+
+    rows: list[int]
+    grain: int
+    #: The blocks' words, one block a row; -1 for words of no item.
+    numbers: np.ndarray
+    #: For each width: the windows' first blocks, their squared norms, and their stretches.
+    first: list[np.ndarray]
+    squares: list[np.ndarray]
+    owner: list[np.ndarray]
+    #: Each stretch's first block.
+    base: np.ndarray
+
+
+def _packed(batch: pa.RecordBatch, widths: list[tuple[int, int]], most: int) -> Iterator[_Packed]:
+    """A batch's stretches, as many together as have about ``most`` words."""
+    sizes, strides = np.array(widths).T
+    grain = math.gcd(*sizes.tolist(), *strides.tolist())
+    counts = np.array(batch.column("counts").to_pylist()).reshape(-1, len(widths))
+    at, words, squares = (batch.column(c).to_pylist() for c in ("at", "words", "squares"))
+    blocks = np.where(counts > 0, (counts - 1) * strides + sizes, 0).max(axis=1) // grain
+    part = np.cumsum(blocks * grain) // most
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    for a, b in zip(cuts, cuts[1:]):
+        total = int(blocks[a:b].sum())
+        base = np.cumsum(blocks[a:b]) - blocks[a:b]
+        numbers = np.full(total * grain, -1, dtype=np.int32)
+        for r, low in zip(range(a, b), (base * grain).tolist()):
+            own = np.frombuffer(words[r], "<i4")[at[r] : at[r] + int(blocks[r]) * grain]
+            numbers[low : low + len(own)] = np.maximum(own, -1)
+        norms = np.frombuffer(b"".join(squares[a:b]), "<f8")
+        own = counts[a:b]
+        # Where each width's windows begin among a stretch's.
+        begin = np.cumsum(own, axis=1) - own + (np.cumsum(own.sum(axis=1)) - own.sum(axis=1))[:, None]
+        yield _Packed(
+            list(range(a, b)), grain, numbers.reshape(total, grain),
+            [_steps(base, own[:, i], int(strides[i]) // grain) for i in range(len(widths))],
+            [norms[_steps(begin[:, i], own[:, i])] for i in range(len(widths))],
+            [np.repeat(np.arange(a, b), own[:, i]) for i in range(len(widths))], base)
+
+
+class _Products:
+    """Sums the products of all pairs of words of the same passages, times ``x``.
+
+    The Gram matrix of passages is summed over pairs of places: a pair counts with the
+    reciprocal squared norms of all passages that hold both places, which differ by block
+    only. It is held for up to ``SIDE`` different words, then multiplied by their rows of ``x``.
+    """
 
-def _vector(words: np.ndarray, idf: np.ndarray, squares: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-    """(words, weights) of length one in all, ``squares`` of other words included."""
-    own, n = np.unique(words[words >= 0], return_counts=True)
+    def __init__(self, x: np.ndarray, idf: np.ndarray, widths: list[tuple[int, int]]) -> None:
+        self.x, self.idf, self.widths = x, idf, widths
+        self.total = np.zeros_like(x)
+        self.local = np.full(len(x), -1)
+        self.words, self.seen = np.zeros(0, dtype=np.int64), 0
+        self.square = np.zeros((min(SIDE, len(x)),) * 2, dtype=np.float32)
+
+    def add(self, packed: _Packed) -> None:
+        held = self._held(packed)
+        most = held.shape[1]
+        numbers = packed.numbers.reshape(-1)
+        blocks = np.flatnonzero(numbers >= 0)
+        numbers, blocks = numbers[blocks], blocks // packed.grain
+        own = np.unique(numbers)
+        new = own[self.local[own] < 0]
+        if len(self.words) + len(new) > len(self.square):
+            self.flush()
+            new = own
+            if len(own) > len(self.square):
+                self.square = np.zeros((len(own),) * 2, dtype=np.float32)
+        self.local[new] = len(self.words) + np.arange(len(new))
+        self.words = np.concatenate([self.words, new])
+        n, flat, place = len(numbers), self.square.reshape(-1), self.local[numbers]
+        row, start, held = place * len(self.square), blocks * most, held.astype(np.float32).reshape(-1)
+        for apart in range(n):
+            lag = blocks[apart:] - blocks[: n - apart]
+            near = np.flatnonzero(lag < most)
+            if not len(near):
+                break
+            value = held[(start[: n - apart] + lag)[near]]
+            np.add.at(flat, (row[: n - apart] + place[apart:])[near], value if apart else value / 2)
+        self.seen += sum(map(len, packed.first))
+        if self.seen > SUMMED:
+            self.flush()
+
+    def _held(self, packed: _Packed) -> np.ndarray:
+        """For each block and the next ones: sum of 1 / squared norm of the passages with both."""
+        most = max(w for w, _ in self.widths) // packed.grain
+        total = len(packed.numbers)
+        held = np.zeros((total, most))
+        for (width, _), first, squares in zip(self.widths, packed.first, packed.squares):
+            long = width // packed.grain
+            once = np.divide(1, squares, out=np.zeros(len(squares)), where=squares > 0)
+            summed = np.concatenate([[0], np.cumsum(np.bincount(first, once, total))])
+            here = np.arange(total)
+            for lag in range(long):
+                held[:, lag] += summed[here + 1] - summed[np.clip(here + lag - long + 1, 0, here + 1)]
+        return held
+
+    def flush(self) -> None:
+        own, n = self.words, len(self.words)
+        square, idf = self.square[:n, :n], self.idf[own, None]
+        x = (self.x[own] * idf).astype(np.float32)
+        self.total[own] += (square @ x + square.T @ x) * idf
+        square[:] = 0
+        self.local[own] = -1
+        self.words, self.seen = own[:0], 0
+
+
+def _vector(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words, weights) of length one."""
+    own, n = np.unique(words, return_counts=True)
     weights = n * idf[own]
-    norm = np.sqrt((weights**2).sum() + squares)
-    return own, weights / norm if norm else weights
+    return own, weights / np.linalg.norm(weights)
 
 
 def _latent(
-    passages: DataFrame, items: list[np.ndarray], idf: np.ndarray, rank: int, rounds: int,
+    passages: DataFrame, items: list[np.ndarray], idf: np.ndarray, widths: list[tuple[int, int]],
+    rank: int, rounds: int,
 ) -> np.ndarray:
     """Right singular vectors (words x rank) of the passages' and items' TF-IDF rows.
 
@@ -331,35 +550,37 @@ def _latent(
     """
     spark = passages.sparkSession
     terms = len(idf)
-    weight = max(passages.count(), 1)
+    many = passages.select(F.sum(F.expr("aggregate(counts, 0L, (n, c) -> n + c)"))).first()[0]
+    weight = max(many or 0, 1)
+    parts = max(spark.sparkContext.defaultParallelism, weight // TAKEN)
+    stretches = passages.select("at", "counts", "words", "squares").coalesce(parts)
 
     def gram(x: np.ndarray) -> np.ndarray:
         """Transposed rows times rows times ``x``, summed over all rows."""
         shared = spark.sparkContext.broadcast(x)
 
         def partial(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            x = shared.value
-            total = np.zeros_like(x)
+            products = _Products(shared.value, idf, widths)
             for batch in parts:
-                for at, size, words, squares in zip(
-                    *(batch.column(c).to_pylist() for c in ("at", "size", "words", "squares"))
-                ):
-                    own, w = _vector(np.frombuffer(words, "<i4")[at : at + size], idf, squares)
-                    total[own] += np.outer(w, w @ x[own])
+                for packed in _packed(batch, widths, PACKED if terms <= SIDE else STRETCH):
+                    products.add(packed)
+            products.flush()
+            total = products.total.astype("<f4")
             for low in range(0, terms, TERM_ROWS):
                 rows = total[low : low + TERM_ROWS]
                 if rows.any():
                     yield pa.record_batch(
                         [pa.array([low], pa.int32()), pa.array([rows.tobytes()], pa.binary())],
                         names=["low", "rows"])
+            trim()
 
         def summed(key: tuple, rows: pa.Table) -> pa.Table:
-            total = sum(np.frombuffer(r) for r in rows.column("rows").to_pylist())
+            total = sum(np.frombuffer(r, "<f4").astype(float) for r in rows.column("rows").to_pylist())
             return pa.table({"low": pa.array([key[0].as_py()], pa.int32()), "rows": [total.tobytes()]})
 
         out = np.zeros_like(x)
         for row in (
-            passages.select("at", "size", "words", "squares").mapInArrow(partial, "low int, rows binary")
+            stretches.mapInArrow(partial, "low int, rows binary")
             .groupBy("low").applyInArrow(summed, "low int, rows binary").collect()
         ):
             part = np.frombuffer(bytes(row.rows)).reshape(-1, x.shape[1])
@@ -379,43 +600,95 @@ def _latent(
 
 
 def _matches(
-    passages: DataFrame, items: list[Item], idf: np.ndarray, latent: np.ndarray, min_cosine: float,
+    passages: DataFrame, items: list[Item], idf: np.ndarray, latent: np.ndarray,
+    widths: list[tuple[int, int]], min_cosine: float,
 ) -> DataFrame:
-    vectors = np.zeros((len(items), latent.shape[1]))
-    for i, item in enumerate(items):
-        own, w = _vector(np.array(item.words), idf)
-        vectors[i] = w @ latent[own]
-    norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-    shared = passages.sparkSession.sparkContext.broadcast(
-        (latent.astype(np.float32), (vectors / np.maximum(norms, 1e-9)).astype(np.float32), items, idf))
+    """Items found in passages, by cosines in the latent space, then by order of words."""
+    plain = [_vector(np.array(item.words), idf) for item in items]
+    vectors = np.stack([w @ latent[own] for own, w in plain])
+    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+    # A passage's inner products with the items there are sums over its words.
+    # The last row is for words of no item.
+    scores = np.zeros((len(idf) + 1, len(items)), dtype=np.float32)
+    scores[:-1] = (latent @ vectors.T) * idf[:, None]
+    shared = passages.sparkSession.sparkContext.broadcast((scores, items, plain, idf, Places(items, idf)))
+
+    def candidates(packed: _Packed, scores: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(stretch, first block in it, width, item) of cosines of ``min_cosine`` and little less."""
+        sums = scores[packed.numbers[:, 0]]
+        for words in packed.numbers.T[1:]:
+            sums += scores[words]
+        base = np.zeros(packed.rows[-1] + 1, dtype=np.int64)
+        base[packed.rows] = packed.base
+        # From each block on, sums of as many blocks as a passage has, the shortest first.
+        run, span = sums, 1
+        for (width, _), first, squares, owner in reversed(list(zip(
+            widths, packed.first, packed.squares, packed.owner
+        ))):
+            long = width // packed.grain
+            if long % span:
+                run, span = sums, 1
+            wide = run[: len(sums) - long + 1].copy()
+            for i in range(span, long, span):
+                wide += run[i : i + len(wide)]
+            run, span = wide, long
+            nth = np.full(len(wide), -1)
+            nth[first] = np.arange(len(first))
+            least = np.full(len(wide), np.inf, dtype=np.float32)
+            least[first] = np.where(squares > 0, (min_cosine - SLACK) * np.sqrt(squares), np.inf)
+            block, item = np.divmod(np.flatnonzero(wide >= least[:, None]), scores.shape[1])
+            window = nth[block]
+            yield owner[window], block - base[owner[window]], np.full(len(window), width), item, squares[window]
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        latent, vectors, items, idf = shared.value
+        scores, items, plain, idf, places = shared.value
         for batch in parts:
+            if not batch.num_rows:
+                continue
+            found = [
+                (row, first * packed.grain, *more) for packed in _packed(batch, widths, PACKED // 4)
+                for row, first, *more in candidates(packed, scores)]
+            row, start, width, item, squares = (np.concatenate(f) for f in zip(*found))
+            ids, hashes, at, words, others = (
+                batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "at", "words", "others"))
+            texts = {r: np.frombuffer(words[r], "<i4") for r in np.unique(row).tolist()}
+            base = np.zeros(batch.num_rows + 1, dtype=np.int64)
+            for r, text in texts.items():
+                base[r + 1] = len(text)
+            base = np.cumsum(base)
+            whole = np.concatenate([np.zeros(0, dtype=np.int32), *texts.values()])
+            start = start + np.array(at)[row]
             out = []
-            for row in batch.to_pylist():
-                words, at, size = np.frombuffer(row["words"], "<i4"), row["at"], row["size"]
-                own, w = _vector(words[at : at + size], idf, row["squares"])
-                cosines = vectors @ (w.astype(np.float32) @ latent[own])
-                for i in np.flatnonzero(cosines >= min_cosine - 1e-6).tolist():
-                    item = items[i]
-                    reach = len(item.words)
-                    region = words[max(at - reach, 0) : at + size + reach]
-                    covered = _common(item.words, region) / len(item.words)
+            for a in range(0, len(row), PAIRS):
+                r, i = row[a : a + PAIRS], item[a : a + PAIRS]
+                ok = places.coverable(
+                    whole, base[r] + start[a : a + PAIRS], width[a : a + PAIRS], i, base[r], base[r + 1])
+                for n in (a + np.flatnonzero(ok)).tolist():
+                    text, wanted, s, e = texts[int(row[n])], items[item[n]], int(start[n]), int(start[n] + width[n])
+                    reach = len(wanted.words)
+                    region = text[max(s - reach, 0) : min(e, len(text)) + reach]
+                    covered = _common(wanted.words, region) / reach
                     if covered < PARTLY:
                         continue
-                    answer = _common(item.answer, region) / max(len(item.answer), 1)
-                    if covered >= COVERED or answer >= ANSWERED:
-                        passage = words[at : at + size]
-                        n = np.unique(passage[passage >= 0], return_counts=True)[1]
-                        whole = float(((n * idf[own]) ** 2).sum()) + row["squares"]
-                        out.append((row["doc_id"], row["text_hash"], item.item_id,
-                                    float(cosines[i]), covered, answer, whole, row["others"]))
+                    answer = _common(wanted.answer, region) / max(len(wanted.answer), 1)
+                    if covered < COVERED and answer < ANSWERED:
+                        continue
+                    passage = text[s:e]
+                    held, times = np.unique(passage[passage >= 0], return_counts=True)
+                    own, weights = plain[item[n]]
+                    _, x, y = np.intersect1d(held, own, assume_unique=True, return_indices=True)
+                    cosine = float((times * idf[held])[x] @ weights[y] / np.sqrt(squares[n]))
+                    if cosine < min_cosine - 1e-6:
+                        continue
+                    digests = np.frombuffer(others[row[n]], "<i8")
+                    out.append((ids[row[n]], hashes[row[n]], wanted.item_id, cosine, covered, answer,
+                                float(squares[n]), digests[-2 - passage[passage < -1]].tolist()))
             if out:
                 kinds = (pa.int64(),) * 3 + (pa.float64(),) * 4 + (pa.list_(pa.int64()),)
                 yield pa.record_batch(
                     [pa.array(v, t) for v, t in zip(zip(*out), kinds)],
                     names=["doc_id", "text_hash", "item_id", "cosine", "covered", "answered", "whole", "others"])
+        trim()
 
     return passages.mapInArrow(
         batches,
@@ -492,16 +765,18 @@ def contaminated(
         number = {w: i for i, w in enumerate(sorted({w for r in rows for w in words_of(r.text)}))}
         items = _items(rows, number)
         idf = np.log((1 + total) / (1 + _seen(frequencies, number))) + 1
+        lengths = [len(i.words) for i in items]
+        # A window inside an item of n words has a cosine of about sqrt(window / n).
         widths = [
             (w, max(1, w * stride // width))
-            for w in _widths(width, min(len(i.words) for i in items))]
+            for w in _widths(width, min(lengths), 2 * min_cosine**2 * max(lengths))]
         passages = settle(
-            _passages(texts, number, items, idf, shared, least, widths, min_cosine**2),
+            _passages(texts, number, idf, shared, least, widths, max(lengths)),
             "benchmark-passages")
         rank = min(len(items) + SPARE, len(number))
-        latent = _latent(passages, [np.array(i.words) for i in items], idf, rank, rounds)
+        latent = _latent(passages, [np.array(i.words) for i in items], idf, widths, rank, rounds)
         found.append(_exact(
-            _matches(passages, items, idf, latent, min_cosine), frequencies, total, least))
+            _matches(passages, items, idf, latent, widths, min_cosine), frequencies, total, least))
     if not found:
         return spark.createDataFrame(
             [], "doc_id long, text_hash long, item_id long, cosine double, covered double, answered double")

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ordermill.llm import decontamination as dc
 from tests.llm.util import documents
@@ -165,3 +166,78 @@ def test_words_are_split_without_the_pattern(monkeypatch):
     monkeypatch.setattr(dc, "_WORD", None)
     assert dc.words_of("One, two_THREE 4.") == ["one", "two", "three", "4"]
     assert dc.words_of("Één, zwölf_漢字") == ["één", "zwölf", "漢字"]
+
+
+def test_all_passages_are_weighed_and_none_is_left_out(spark, monkeypatch):
+    """Also those far from any item: all go into the decomposition, with their norms."""
+    monkeypatch.setattr(dc, "STRETCH", 24)
+    monkeypatch.setattr(dc, "PACKED", 50)
+    pick = random.Random(8)
+    known = [f"w{i}" for i in range(9)]
+    texts = [
+        pick.choices(known + [f"x{i}" for i in range(40)], k=k) for k in [1, 2, 7, 24, 25, 90, 131]
+    ] + [["far", "from", "any", "item"] * 9, []]
+    idf = np.array([1 + pick.random() for _ in known])
+    often = {dc._digest(f"x{i}"): 1.5 for i in range(20)}
+    widths, number = [(8, 4), (4, 2)], {w: i for i, w in enumerate(known)}
+    weights = {**dict(zip(known, idf)), **{f"x{i}": 1.5 for i in range(20)}}
+
+    class Shared:
+        value = often
+
+    docs = documents(spark, [" ".join(t) for t in texts]).selectExpr("doc_id", "doc_id AS text_hash", "text")
+    table = dc._passages(docs, number, idf, Shared, 2.0, widths, 5)
+    wanted, dense = {}, []
+    for doc, words in enumerate(texts):
+        for w, step in widths:
+            for s in range(0, max(len(words) - w + step, 1) if words else 0, step):
+                counts = Counter(words[s : s + w])
+                row = {v: n * weights.get(v, 2.0) for v, n in counts.items()}
+                wanted.setdefault((doc, w), []).append(sum(x * x for x in row.values()))
+                dense.append([row.get(v, 0) / math.sqrt(wanted[doc, w][-1]) for v in known])
+    found, total = {}, 0
+    for r in table.orderBy("doc_id", F.expr("monotonically_increasing_id()")).collect():
+        squares = np.frombuffer(r.squares, "<f8").tolist()
+        for (w, _), n in zip(widths, r.counts):
+            found.setdefault((r.doc_id, w), []).extend(squares[:n])
+            squares, total = squares[n:], total + n
+    assert {k for k, v in found.items() if v} == set(wanted) and total == len(dense)
+    assert all(np.allclose(sorted(found[k]), sorted(wanted[k])) for k in wanted)
+    dense = np.array(dense)
+    x = np.random.default_rng(1).standard_normal((len(known), 3))
+    batch = table.toArrow().combine_chunks().to_batches()[0]
+    for side, summed in ((4096, 1 << 20), (4, 3)):
+        monkeypatch.setattr(dc, "SIDE", side)
+        monkeypatch.setattr(dc, "SUMMED", summed)
+        for most in (1, 60, 10**6):
+            products = dc._Products(x, idf, widths)
+            for packed in dc._packed(batch, widths, most):
+                products.add(packed)
+            products.flush()
+            assert np.allclose(products.total, dense.T @ (dense @ x), rtol=1e-4, atol=1e-4)
+    # The space is that of all passages and of the items, not of passages near items only.
+    items = [np.array([0, 1, 2]), np.array([3, 4])]
+    latent = dc._latent(table, items, idf, widths, 6, 8)
+    rows = np.zeros((2, len(known)))
+    for i, words in enumerate(items):
+        rows[i, words] = idf[words] / np.linalg.norm(idf[words])
+    right = np.linalg.svd(np.vstack([dense, math.sqrt(len(dense)) * rows]))[2][:3].T
+    assert np.allclose(np.linalg.svd(latent.T @ right)[1], 1, atol=1e-3)
+
+
+def test_cosines_are_those_of_the_plain_vectors(spark):
+    """Not those of the latent space, which are a little off."""
+    texts, items = corpus(4)
+    want = brute(texts, items)
+    got = {
+        (r.doc_id, r.item_id): r.cosine
+        for r in dc.contaminated(
+            documents(spark, texts), spark.createDataFrame(list(items.items()), ITEMS)).collect()}
+    assert set(got) == {k for k in want} and all(abs(got[k] - c) < 1e-9 for k, c in want.items())
+
+
+def test_items_much_longer_than_a_passage(spark):
+    words = [f"v{i}" for i in range(700)]
+    texts = ["a b " * 30 + " ".join(words) + " c d" * 40, " ".join(words[:350]), "a b c d " * 20]
+    one = spark.createDataFrame([(1, " ".join(words)), (2, "a b c x y z")], ITEMS)
+    assert {(r.doc_id, r.item_id) for r in dc.contaminated(documents(spark, texts), one).collect()} == {(0, 1)}
