@@ -64,7 +64,7 @@ SIDE = 4096
 SUMMED = 1 << 20
 #: Passages for each task of these sums, which passes on as much however few it takes.
 TAKEN = 1 << 22
-#: What the latent space may take from a cosine.
+#: What the latent space may take from a cosine; items that lose more there are kept whole.
 SLACK = 0.01
 #: Words in more than this share of the documents are sent to all tasks.
 OFTEN = 1 / 1024
@@ -606,11 +606,17 @@ def _matches(
     """Items found in passages, by cosines in the latent space, then by order of words."""
     plain = [_vector(np.array(item.words), idf) for item in items]
     vectors = np.stack([w @ latent[own] for own, w in plain])
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+    norms = np.linalg.norm(vectors, axis=1)
     # A passage's inner products with the items there are sums over its words.
     # The last row is for words of no item.
     scores = np.zeros((len(idf) + 1, len(items)), dtype=np.float32)
-    scores[:-1] = (latent @ vectors.T) * idf[:, None]
+    scores[:-1] = (latent @ (vectors / np.maximum(norms, 1e-9)[:, None]).T) * idf[:, None]
+    # Cosines differ by no more than the part of an item outside the space; where that is
+    # too much, the item is compared as it is.
+    for i in np.flatnonzero(1 - norms**2 > (0.9 * SLACK) ** 2):
+        own, w = plain[i]
+        scores[:, i] = 0
+        scores[own, i] = w * idf[own]
     shared = passages.sparkSession.sparkContext.broadcast((scores, items, plain, idf, Places(items, idf)))
 
     def candidates(packed: _Packed, scores: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:

@@ -241,3 +241,13 @@ def test_items_much_longer_than_a_passage(spark):
     texts = ["a b " * 30 + " ".join(words) + " c d" * 40, " ".join(words[:350]), "a b c d " * 20]
     one = spark.createDataFrame([(1, " ".join(words)), (2, "a b c x y z")], ITEMS)
     assert {(r.doc_id, r.item_id) for r in dc.contaminated(documents(spark, texts), one).collect()} == {(0, 1)}
+
+
+def test_items_outside_the_latent_space_are_not_lost(spark, monkeypatch):
+    texts, items = corpus(5)
+    monkeypatch.setattr(dc, "_latent", lambda passages, items, idf, *_: np.eye(len(idf))[:, :1])
+    want = brute(texts, items)
+    got = {
+        (r.doc_id, r.item_id) for r in dc.contaminated(
+            documents(spark, texts), spark.createDataFrame(list(items.items()), ITEMS)).collect()}
+    assert len(want) > 15 and got == set(want)
